@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlake.llm import line_dedup
+from chatlake.llm import line_dedup, mixing, secrets, vector_search
 from chatlake.session import table
 
 
@@ -37,9 +37,110 @@ GROUP BY doc_id
 """
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best others of each fiftieth vector, in integers."""
+    whole = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("double"))
+    bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    vectors = table(spark, sf_dir, "embeddings").filter(F.col("embedding").isNotNull()).filter(~bad).select("vec_id", whole.alias("embedding"))
+    best = vector_search.exact_top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), 5)
+    return best.select("query_id", "rank", "vec_id", F.col("score").cast("long").alias("score"))
+
+
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, max(list_inner_product(q.v, c.v))::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 50 = 0
+  GROUP BY ALL
+), ranked AS (
+  SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+  FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 5
+"""
+
+
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of each document by the mix of all sources."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+OP5_SQL = f"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         md5('{mixing.SEED}|' || coalesce(doc_id::VARCHAR, 'null')) AS h
+  FROM documents
+), src AS (
+  SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n_docs FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, [5, 2, 1][(((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1)::INTEGER]::BIGINT AS w FROM src
+), ordered AS (
+  SELECT *, sum(source_size) OVER () AS s_all, sum(w) OVER () AS w_all,
+         coalesce(sum(source_size) OVER o, 0) AS s_before, coalesce(sum(w) OVER o, 0) AS w_before
+  FROM weighed WINDOW o AS (ORDER BY source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), capped AS (
+  SELECT *, 4 * source_size * (w_all - w_before) <= w * (3 * s_all - 4 * s_before) AS capped FROM ordered
+), aimed AS (
+  SELECT source, source_size, n_docs, s_all,
+         CASE WHEN capped THEN (2 * source_size)::DOUBLE
+              ELSE (w * (3 * s_all - 4 * coalesce(sum(source_size) FILTER (WHERE capped) OVER (), 0)))::DOUBLE
+                   / (2 * sum(w) FILTER (WHERE NOT capped) OVER ())::DOUBLE END AS target
+  FROM capped
+), seats AS (
+  SELECT source, target, floor(1.5::DOUBLE * s_all / {mixing.BLOCK_TOKENS} + 0.5)::BIGINT AS n FROM aimed
+), quotient AS (
+  SELECT source, n, target / (2 * m - 1) AS v
+  FROM (SELECT source, target, n, unnest(range(1, n + 1)) AS m FROM seats WHERE target > 0)
+), won AS (
+  SELECT source, count(*) AS blocks
+  FROM (SELECT source, n, row_number() OVER (ORDER BY v DESC, source NULLS LAST) AS r FROM quotient) WHERE r <= n GROUP BY source
+), quota AS (
+  SELECT a.*, coalesce(won.blocks, 0) AS blocks, ceil(n_docs / {mixing.SHARD_DOCS})::BIGINT AS shards
+  FROM aimed a LEFT JOIN won ON a.source IS NOT DISTINCT FROM won.source
+), dealt AS (
+  SELECT z.*, source_size, target, blocks, ('0x' || substr(h, 1, 8))::BIGINT % shards AS shard
+  FROM sized z JOIN quota q ON z.source IS NOT DISTINCT FROM q.source
+), sharded AS (
+  SELECT source, shard, sum(size)::BIGINT AS shard_size, max(blocks) AS blocks FROM dealt GROUP BY ALL
+), shard_won AS (
+  SELECT source, shard, count(*) AS quota
+  FROM (SELECT source, shard, blocks, row_number() OVER (PARTITION BY source ORDER BY v DESC, shard) AS r
+        FROM (SELECT source, shard, blocks, shard_size / (2 * unnest(range(1, blocks + 1)) - 1) AS v FROM sharded WHERE shard_size > 0))
+  WHERE r <= blocks GROUP BY ALL
+), shard_quota AS (
+  SELECT s.source, s.shard, shard_size, coalesce(quota, 0) AS quota
+  FROM sharded s LEFT JOIN shard_won w ON s.source IS NOT DISTINCT FROM w.source AND s.shard = w.shard
+), placed AS (
+  SELECT d.*, shard_size, least(quota * {mixing.BLOCK_TOKENS}, 2 * shard_size) AS tokens,
+         coalesce(sum(size) OVER (PARTITION BY d.source, d.shard ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM dealt d JOIN shard_quota q ON d.source IS NOT DISTINCT FROM q.source AND d.shard = q.shard
+)
+SELECT doc_id, size, source_size, target,
+       (CASE WHEN shard_size > 0 THEN tokens // shard_size ELSE 0 END * size
+        + greatest(0, least(size, tokens - CASE WHEN shard_size > 0 THEN tokens // shard_size ELSE 0 END * shard_size - start)))::BIGINT AS taken
+FROM placed
+"""
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digests of each document's secrets."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == secrets.KINDS.index(kind))).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(secrets.shown(F.col("base")), 256).alias("base_sha256"), secrets.shown(F.col("parts")).alias("spans"))
+
+
 def queries() -> dict:
-    return {"op2_line_dedup": op2_line_dedup}
+    return {
+        "op2_line_dedup": op2_line_dedup,
+        "op4_exact_top_k": op4_exact_top_k,
+        "op5_mix_sources": op5_mix_sources,
+        "op10_secrets": op10_secrets,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op4_exact_top_k": OP4_SQL, "op5_mix_sources": OP5_SQL}
