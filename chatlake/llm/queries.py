@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlake.llm import line_dedup, mixing, secrets, vector_search
-from chatlake.session import table
+from chatlake.llm import line_dedup, mixing, quality, secrets, vector_search
+from chatlake.session import checkpointed, table
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,11 +133,20 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(secrets.shown(F.col("base")), 256).alias("base_sha256"), secrets.shown(F.col("parts")).alias("spans"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of each document; the fold with remainder 0 teaches nothing."""
+    vectors = checkpointed(quality.features(table(spark, sf_dir, "documents")))
+    model = quality.train(vectors, table(spark, sf_dir, "labels"), "quality", 5, 0)
+    scored = vectors.select("doc_id", quality.in_fold("doc_id", 5, 0).alias("held_out"), quality.score_vectors(model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+
+
 def queries() -> dict:
     return {
         "op2_line_dedup": op2_line_dedup,
         "op4_exact_top_k": op4_exact_top_k,
         "op5_mix_sources": op5_mix_sources,
+        "op7_quality": op7_quality,
         "op10_secrets": op10_secrets,
     }
 
