@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlake.llm import line_dedup, mixing, quality, secrets, vector_search
+from chatlake.llm import jaccard_join, line_dedup, mixing, quality, secrets, vector_search
 from chatlake.session import checkpointed, table
 
 
@@ -141,12 +141,19 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of near-duplicate links (5 words, 0.8) of each document."""
+    joined = jaccard_join.join(table(spark, sf_dir, "documents"))
+    return joined.select("doc_id", "class_id", "copy_of", "n_links", "class_size")
+
+
 def queries() -> dict:
     return {
         "op2_line_dedup": op2_line_dedup,
         "op4_exact_top_k": op4_exact_top_k,
         "op5_mix_sources": op5_mix_sources,
         "op7_quality": op7_quality,
+        "op8_jaccard_join": op8_jaccard_join,
         "op10_secrets": op10_secrets,
     }
 
