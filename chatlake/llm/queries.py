@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlake.llm import jaccard_join, line_dedup, mixing, quality, secrets, vector_search
+from chatlake.llm import decontaminate, jaccard_join, line_dedup, mixing, quality, secrets, vector_search
 from chatlake.session import checkpointed, table
 
 
@@ -37,6 +37,11 @@ GROUP BY doc_id
 """
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that each document leaks."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best others of each fiftieth vector, in integers."""
     whole = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("double"))
@@ -150,6 +155,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op2_line_dedup": op2_line_dedup,
+        "op3_decontaminate": op3_decontaminate,
         "op4_exact_top_k": op4_exact_top_k,
         "op5_mix_sources": op5_mix_sources,
         "op7_quality": op7_quality,
