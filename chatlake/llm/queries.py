@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlake.llm import decontaminate, jaccard_join, line_dedup, mixing, quality, secrets, vector_search
+from chatlake.llm import decontaminate, jaccard_join, line_dedup, mixing, passage_dedup, quality, secrets, toxicity, vector_search
 from chatlake.session import checkpointed, table
 
 
+def op1_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The repeated passages that are removed from each document, with their original offsets."""
+    return passage_dedup.find_repeats(table(spark, sf_dir, "documents"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest of each document after line dedup."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -152,14 +157,24 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "class_id", "copy_of", "n_links", "class_size")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document; the fold with remainder 2 teaches nothing."""
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels"), "toxic", 4, 2)
+    scored = docs.select("doc_id", toxicity.in_fold("doc_id", 4, 2).alias("held_out"), toxicity.score_texts(machine, docs).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 def queries() -> dict:
     return {
+        "op1_passage_dedup": op1_passage_dedup,
         "op2_line_dedup": op2_line_dedup,
         "op3_decontaminate": op3_decontaminate,
         "op4_exact_top_k": op4_exact_top_k,
         "op5_mix_sources": op5_mix_sources,
         "op7_quality": op7_quality,
         "op8_jaccard_join": op8_jaccard_join,
+        "op9_toxicity": op9_toxicity,
         "op10_secrets": op10_secrets,
     }
 
