@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlake.llm import decontaminate, jaccard_join, line_dedup, mixing, passage_dedup, quality, secrets, toxicity, vector_search
+from chatlake.llm import decontaminate, jaccard_join, line_dedup, mixing, passage_dedup, quality, secrets, subword_lm, toxicity, vector_search
 from chatlake.session import checkpointed, table
 
 
@@ -143,6 +143,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(secrets.shown(F.col("base")), 256).alias("base_sha256"), secrets.shown(F.col("parts")).alias("spans"))
 
 
+def op6_subword_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of each document; the fold with remainder 2 teaches nothing."""
+    return subword_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of each document; the fold with remainder 0 teaches nothing."""
     vectors = checkpointed(quality.features(table(spark, sf_dir, "documents")))
@@ -172,6 +177,7 @@ def queries() -> dict:
         "op3_decontaminate": op3_decontaminate,
         "op4_exact_top_k": op4_exact_top_k,
         "op5_mix_sources": op5_mix_sources,
+        "op6_subword_lm": op6_subword_lm,
         "op7_quality": op7_quality,
         "op8_jaccard_join": op8_jaccard_join,
         "op9_toxicity": op9_toxicity,
