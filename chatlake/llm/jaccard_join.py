@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatlake.llm.components import components
@@ -214,10 +214,10 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def join(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, k, copy_of, class_id, n_links, class_size.
+    """One row per row of ``docs``: doc_id, k, copy_of, class_id, class_k, n_links, class_size.
 
     ``copy_of`` is the smallest doc_id with the same words, ``class_id`` the smallest doc_id of the
-    documents that links connect, ``n_links`` the number of other documents at or over the
+    documents that links connect and ``class_k`` the text hash of that one, ``n_links`` the number of other documents at or over the
     threshold, copies included.
     """
     spark = docs.sparkSession
@@ -247,8 +247,24 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, recall: floa
     counted = links.groupBy(F.col("k").alias("n_k")).agg(F.sum("docs").alias("linked"))
     named = classes.select("k", "rep", "size").join(counted, F.col("k") == F.col("n_k"), "left").join(roots.withColumnRenamed("node", "r_k"), F.col("k") == F.col("r_k"), "left")
     named = named.select("k", "rep", "size", F.coalesce("linked", F.lit(0)).alias("linked"), F.coalesce("root", "k").alias("root"))
-    groups = named.groupBy("root").agg(F.min("rep").alias("class_id"), F.sum("size").alias("class_size"))
-    table = checkpointed(named.join(groups, "root").select(F.col("k").alias("t_k"), F.col("rep").alias("copy_of"), "class_id", (F.col("size") - 1 + F.col("linked")).alias("n_links"), "class_size"))
-    with_words = signed.select("doc_id", "k").join(table, F.col("k") == F.col("t_k")).select("doc_id", "k", "copy_of", "class_id", "n_links", "class_size")
-    without = source.filter(F.col("norm") == "").select("doc_id", "k", F.col("doc_id").alias("copy_of"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("class_size"))
+    first = F.min(F.struct(F.col("rep").isNull().alias("no_id"), F.col("rep").alias("id"), F.col("k").alias("k")))
+    groups = named.groupBy("root").agg(first.alias("first"), F.sum("size").alias("class_size"))
+    table = checkpointed(named.join(groups, "root").select(F.col("k").alias("t_k"), F.col("rep").alias("copy_of"), F.col("first.id").alias("class_id"), F.col("first.k").alias("class_k"), (F.col("size") - 1 + F.col("linked")).alias("n_links"), "class_size"))
+    with_words = signed.select("doc_id", "k").join(table, F.col("k") == F.col("t_k")).select("doc_id", "k", "copy_of", "class_id", "class_k", "n_links", "class_size")
+    without = source.filter(F.col("norm") == "").select("doc_id", "k", F.col("doc_id").alias("copy_of"), F.col("doc_id").alias("class_id"), F.col("k").alias("class_k"), F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("class_size"))
     return with_words.unionByName(without)
+
+
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD, n: int = N) -> DataFrame:
+    """``docs`` with one row of each group of linked documents, that of class_id.
+
+    Rows without words all stay.  Of repeated rows of the kept document, one stays.
+    """
+    joined = join(docs, threshold, n)
+    row_key = lambda i, k: F.unhex(F.md5(F.concat_ws("|", F.coalesce(i.cast("string"), F.lit("null")), F.hex(k))))
+    kept = joined.filter(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("k") == F.col("class_k"))).select(row_key(F.col("doc_id"), F.col("k")).alias("__jj_kept")).distinct()
+    norm = normal(docs["text"])
+    own = docs.withColumn("__jj_norm", norm == "").withColumn("__jj_own", row_key(docs["doc_id"], F.unhex(F.md5(norm))))
+    met = own.join(kept, F.col("__jj_own") == F.col("__jj_kept"), "left_semi")
+    ranked = met.withColumn("__jj_rank", F.row_number().over(Window.partitionBy("__jj_own").orderBy("__jj_norm")))
+    return ranked.filter((F.col("__jj_rank") == 1) | F.col("__jj_norm")).select(*[F.col(f"`{c}`") for c in docs.columns])

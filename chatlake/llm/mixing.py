@@ -32,11 +32,11 @@ SEED, BLOCK_TOKENS, SHARD_DOCS = "mix-1", 64, 4096
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED) -> DataFrame:
-    """doc_id, source, size and the seeded order key of each row."""
+def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, size, the seeded order key and the ``carry`` columns of each row."""
     key = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), key.alias("h"))
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), key.alias("h"), *carry)
 
 
 def targets(by_source: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -77,9 +77,9 @@ def sainte_lague(cells: DataFrame, group: list[str], key: Column, x: str, seats:
     return by.select(*group, *each, "quota")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, seed: str = SEED, block: int = BLOCK_TOKENS) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken (tokens of the document that the mix takes)."""
-    sized = checkpointed(sizes(docs, id_col, text_col, source_col, seed))
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, seed: str = SEED, block: int = BLOCK_TOKENS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken (tokens of the document that the mix takes), carry."""
+    sized = checkpointed(sizes(docs, id_col, text_col, source_col, seed, carry))
     by_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     aimed = targets(by_source, weights).select("source", "source_size", "n_docs", "target", F.floor(F.lit(1.5) * F.sum("source_size").over(Window.partitionBy()) / block + 0.5).cast("long").alias("seats"), F.lit(0).alias("one"))
     quotas = sainte_lague(aimed, ["one"], F.col("source"), "target", "seats").select(F.col("source").alias("s"), "source_size", "target", F.col("quota").alias("blocks"), F.ceil(F.col("n_docs") / SHARD_DOCS).cast("long").alias("shards"))
@@ -94,4 +94,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rounds = F.when(F.col("shard_size") > 0, F.floor(tokens / F.col("shard_size"))).otherwise(0)
     rest = tokens - rounds * F.col("shard_size")
     taken = rounds * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - start))
-    return placed.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return placed.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"), *carry)
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The documents of which the mix takes something, with size, target and taken added.
+
+    Rows with the same doc_id and text share what the mix takes of them evenly, rounded down.
+    Only sizes and hashes go through the apportionment; texts move once, to meet their share.
+    """
+    key = F.unhex(F.md5(F.concat_ws("|", F.coalesce(docs["doc_id"].cast("string"), F.lit("null")), F.coalesce(docs["source"], F.lit("null")), F.coalesce(F.md5("text"), F.lit("null")))))
+    taken = mix(docs.select("doc_id", "text", "source", key.alias("__mx_key")), carry=("__mx_key",))
+    shares = taken.groupBy("__mx_key").agg(F.max("size").alias("__mx_size"), F.max("target").alias("__mx_target"), F.floor(F.sum("taken") / F.count(F.lit(1))).cast("long").alias("__mx_taken")).filter(F.col("__mx_taken") > 0)
+    names = [c for c in docs.columns if c not in ("size", "target", "taken")]
+    met = docs.withColumn("__mx_own", key).join(shares, F.col("__mx_own") == F.col("__mx_key"))
+    return met.select(*[docs[c] for c in names], F.col("__mx_size").alias("size"), F.col("__mx_target").alias("target"), F.col("__mx_taken").alias("taken"))
