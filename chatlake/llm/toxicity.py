@@ -184,6 +184,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, folds: int = 4, he
     rows = docs.filter(F.col("doc_id").isNotNull() & ~in_fold("doc_id", folds, held_fold) & chosen).select("doc_id", terms_of(F.col("text")).alias("terms"))
     examples = rows.join(taught, F.col("doc_id") == F.col("l_id")).select("doc_id", "terms", F.col("label").cast("int").alias("label"))
     row = examples.repartition(1).mapInArrow(learn_task, "bias double, known array<int>, weights array<double>, factors array<double>").first()
+    if row is None:  # no example at all
+        return Machine(0.0, np.empty(0, np.int32), np.empty(0), np.empty((0, FACTORS)))
     return Machine(row["bias"], np.array(row["known"], np.int32), np.array(row["weights"], float), np.array(row["factors"], float).reshape(-1, FACTORS))
 
 
