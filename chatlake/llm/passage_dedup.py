@@ -8,8 +8,9 @@ least ``RUN_WORDS`` words are removed, reported with their offsets in the origin
 repeats (boilerplate phrases) stay.
 
 Skew: each task combines its own occurrences of a digest before the shuffle, so a passage that a
-third of all documents hold arrives as one row a task; the join that marks the repeats is an ordinary
-shuffle join whose large keys adaptive execution splits.  Only digests and offsets are shuffled.
+third of all documents hold arrives as one row a task; the repeated digests are
+checkpointed, so that the join that marks the repeats is a plain shuffle join, whose large keys
+adaptive execution can split.  Only digests and offsets are shuffled.
 
 Defined cases
 * null and empty texts have no units.  Units of fewer than ``UNIT_WORDS`` words (whole short lines)
@@ -32,6 +33,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chatlake.session import checkpointed
+
 UNIT_WORDS, RUN_WORDS = 8, 25
 LINE, CUT = re.compile(r"[^\n]+"), re.compile(r"[.!?]+[\x20\t\r\f\v]+")
 
@@ -89,7 +92,7 @@ def find_repeats(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
     found = docs.select("doc_id", "text").mapInArrow(hashed(), out)
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("start").alias("at"))
     firsts = found.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.max(rank).alias("last")).filter(~F.col("first").eqNullSafe(F.col("last")))
-    firsts = firsts.select(F.col("h1").alias("f1"), F.col("h2").alias("f2"), "first")
+    firsts = checkpointed(firsts.select(F.col("h1").alias("f1"), F.col("h2").alias("f2"), "first"))
     repeats = found.join(firsts, (F.col("h1") == F.col("f1")) & (F.col("h2") == F.col("f2"))).filter(~rank.eqNullSafe(F.col("first")))
     repeats = repeats.select("doc_id", "place", "start", "end", "words", F.col("first.id").alias("kept_doc_id"), F.col("first.at").alias("kept_start")).distinct()
     own = Window.partitionBy("doc_id").orderBy("start", "end")
