@@ -44,7 +44,7 @@ def bands_and_rows(threshold: float = THRESHOLD, recall: float = RECALL, max_has
     """The most rows a band, and bands for them, that reach the recall within the hash budget."""
     best = (math.ceil(math.log(1 - recall) / math.log(1 - threshold)), 1)
     for rows in range(2, max_hashes + 1):
-        bands = math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows))
+        bands = math.ceil(math.log(1 - recall) / math.log1p(-(threshold**rows)))
         if bands * rows <= max_hashes:
             best = (bands, rows)
     return best

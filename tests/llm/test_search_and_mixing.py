@@ -10,7 +10,7 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(vector_search, "QUERY_BLOCK", 7)
     rng = np.random.default_rng(3)
     v = rng.integers(-9, 9, (300, 6)).astype(float)
-    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(5, v[5].tolist()), (400, None), (401, [1.0, None, 0, 0, 0, 0]), (402, [float("nan")] * 6), (403, [float("inf")] * 6), (None, v[0].tolist()), (404, [1.0, 2.0]), (420, [3.0, 1.0])]
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(5, v[5].tolist()), (400, None), (401, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (402, [float("nan")] * 6), (403, [float("inf")] * 6), (None, v[0].tolist()), (404, [1.0, 2.0]), (420, [3.0, 1.0])]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumn("score", F.lit("old"))
     got = vector_search.exact_top_k(df, df.filter("vec_id % 20 = 0"), 5).collect()
     expected = []
