@@ -7,7 +7,9 @@ their order.  Only hashes are shuffled for the counting; whole texts move once,
 their document loses.
 
 Skew: the distinct pairs are dealt by (hash, document), so a line that a third of all documents hold
-is spread over all tasks before one partial count per task is merged.
+is spread over all tasks before one partial count per task is merged.  The shared lines, few as they
+are, are checkpointed: the join with them is then a plain one, which Spark turns into a broadcast where
+they are small and whose hot keys adaptive execution splits where they are not.
 
 Defined cases
 * null or empty text: one empty line, nothing dropped, the result text is empty.
@@ -25,6 +27,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatlake.session import checkpointed
+
 WHITE = " \t\n\x0b\x0c\r"
 MIN_CHARS, MIN_DOCS = 40, 5
 
@@ -40,24 +44,27 @@ def key_hash(line: Column) -> Column:
     return F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(17), key).alias("h2"))
 
 
-def shared_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(distinct (h, id) pairs, hashes in at least ``min_docs`` documents with their keeper)."""
+def long_lines(docs: DataFrame, min_chars: int, id_col: str, text_col: str) -> DataFrame:
+    """(h1, h2, id) of every line that takes part."""
     lines = docs.select(F.col(id_col).alias("id"), F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("line"))
-    long_lines = lines.filter(F.char_length(F.btrim("line", F.lit(WHITE))) >= min_chars)
-    pairs = long_lines.select(key_hash(F.col("line")).alias("h"), "id").select("h.h1", "h.h2", "id").distinct()
-    shared = pairs.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("id").alias("keeper")).filter(F.col("n_docs") >= min_docs)
-    return pairs, shared
+    kept = lines.filter(F.char_length(F.btrim("line", F.lit(WHITE))) >= min_chars)
+    return kept.select(key_hash(F.col("line")).alias("h"), "id").select("h.h1", "h.h2", "id")
+
+
+def shared_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(h1, h2, n_docs, keeper) of the lines in at least ``min_docs`` documents."""
+    pairs = long_lines(docs, min_chars, id_col, text_col).distinct()
+    return pairs.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("id").alias("keeper")).filter(F.col("n_docs") >= min_docs)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the text reduced, and n_lines (before) and n_dropped."""
-    pairs, shared = shared_lines(docs, min_chars, min_docs, id_col, text_col)
-    shared = shared.select(F.col("h1").alias("s1"), F.col("h2").alias("s2"), "keeper")
+    shared = checkpointed(shared_lines(docs, min_chars, min_docs, id_col, text_col).select(F.col("h1").alias("s1"), F.col("h2").alias("s2"), "keeper"))
     lost = (
-        pairs.join(shared, (F.col("h1") == F.col("s1")) & (F.col("h2") == F.col("s2")))
+        long_lines(docs, min_chars, id_col, text_col).join(shared, (F.col("h1") == F.col("s1")) & (F.col("h2") == F.col("s2")))
         .filter(~F.col("id").eqNullSafe(F.col("keeper")))
         .groupBy(F.col("id").alias("__ld_id"))
-        .agg(F.collect_list(F.struct("h1", "h2")).alias("__ld_lost"))
+        .agg(F.collect_set(F.struct("h1", "h2")).alias("__ld_lost"))
     )
     joined = docs.join(lost, docs[id_col].eqNullSafe(lost["__ld_id"]), "left")
     lines = F.split(F.coalesce(docs[text_col], F.lit("")), "\n")
