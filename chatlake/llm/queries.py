@@ -79,7 +79,7 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-OP5_SQL = f"""
+OP5_SQL = rf"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
          md5('{mixing.SEED}|' || coalesce(doc_id::VARCHAR, 'null')) AS h
@@ -162,6 +162,34 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "class_id", "copy_of", "n_links", "class_size")
 
 
+OP8_SQL = r"""
+WITH RECURSIVE n AS (
+  SELECT doc_id, trim(regexp_replace(lower(coalesce(text, '')), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm FROM documents
+), w AS (
+  SELECT doc_id, string_split(norm, ' ') AS ws FROM n WHERE norm <> ''
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w)
+), c AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), l AS (
+  SELECT x, y FROM p JOIN c cx ON cx.doc_id = x JOIN c cy ON cy.doc_id = y WHERE k >= 0.8 * (cx.n + cy.n - k) - 1e-9
+), t(x, y) AS (
+  SELECT x, y FROM l UNION SELECT t.x, l.y FROM t JOIN l ON t.y = l.x
+), r AS (
+  SELECT x AS doc_id, min(y) AS first, count(*) FILTER (WHERE y <> x) AS others FROM t GROUP BY x
+), links AS (
+  SELECT x AS doc_id, count(*) AS n_links FROM l GROUP BY x
+)
+SELECT n.doc_id, least(n.doc_id, coalesce(r.first, n.doc_id)) AS class_id,
+       CASE WHEN norm = '' THEN n.doc_id ELSE min(n.doc_id) OVER (PARTITION BY norm) END AS copy_of,
+       coalesce(n_links, 0)::BIGINT AS n_links, (1 + coalesce(others, 0))::BIGINT AS class_size
+FROM n LEFT JOIN r USING (doc_id) LEFT JOIN links USING (doc_id)
+"""
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of each document; the fold with remainder 2 teaches nothing."""
     docs = table(spark, sf_dir, "documents")
@@ -186,4 +214,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op4_exact_top_k": OP4_SQL, "op5_mix_sources": OP5_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op4_exact_top_k": OP4_SQL, "op5_mix_sources": OP5_SQL, "op8_jaccard_join": OP8_SQL}
