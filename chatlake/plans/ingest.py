@@ -122,7 +122,7 @@ def ingest(spark: SparkSession, archive: str, lake: str, slug: str, mode: str =
         raise ValueError("mode or workspace slug is not valid")
     run_id, now = uuid.uuid4().hex, datetime.now(UTC).replace(tzinfo=None)
     tables, workspace_id = open_archive(spark, archive)
-    held = {t: L.read(spark, lake, t, workspace_id) for t in WIDE}
+    held = L.read_many(spark, lake, WIDE, workspace_id)
     run = {"run_id": run_id, "workspace_id": workspace_id, "mode": mode, "started_at": now, "source_path": archive}
     schema = schemas.struct(schemas.LAKE_DDL["ingestion_runs"])
     ledger = lambda **x: spark.createDataFrame([tuple((run | x).get(f.name) for f in schema.fields)], schema)
