@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -99,7 +100,7 @@ def signatures(bands: int, rows: int, n: int):
             for i in range(batch.num_rows):
                 out[i] = band_hashes(shingles(flat[offsets[i] : offsets[i + 1]], n), bands, rows, a, b)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * bands), pa.array(out.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("k"), pa.compute.list_value_length(column).cast(pa.int64()), lists], names=["doc_id", "k", "n_words", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("k"), pc.list_value_length(column).cast(pa.int64()), lists], names=["doc_id", "k", "n_words", "bands"])
 
     return run
 
