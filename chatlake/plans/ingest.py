@@ -50,9 +50,13 @@ def signature(entries: list[list]) -> str:
 
 
 def open_archive(spark: SparkSession, path: str, complete: bool = True) -> tuple[dict[str, DataFrame], str]:
-    """The archive's tables and its workspace id; refuses what isn't whole."""
+    """The archive's tables and its workspace id; refuses what isn't whole.
+
+    The tables are persisted (spilling to disk): digests, keys and newest rows each need them, and
+    the archive is one file on one machine.  Callers unpersist them.
+    """
     check_structure(path)
-    tables = {t: read_archive(spark, path, t) for t in schemas.ARCHIVE_DDL}
+    tables = {t: read_archive(spark, path, t).persist() for t in schemas.ARCHIVE_DDL}
     ids = [r[0] for r in tables["WORKSPACE"].filter("TEAM_ID <> ''").select("TEAM_ID").distinct().limit(2).collect()]
     if len(ids) != 1:
         raise ValueError(f"expected one workspace in the archive, found {len(ids) or 'none'}")
@@ -135,7 +139,8 @@ def ingest(spark: SparkSession, archive: str, lake: str, slug: str, mode: str =
         L.publish(spark, lake, workspace_id, run_id, {}, {"ingestion_runs": ledger(status="failed", completed_at=now, source_fingerprint=print_of, error_class=type(e).__name__, error_message=str(e)[:2000])})
         raise
     finally:
-        spark.catalog.clearCache()
+        for df in tables.values():
+            df.unpersist()
 
 
 def _run(spark, lake, slug, run_id, now, tables, workspace_id, held, entries, print_of, rows, archive, uploads, bootstrap, ledger) -> Result:
@@ -153,6 +158,7 @@ def _run(spark, lake, slug, run_id, now, tables, workspace_id, held, entries, pr
     before = checkpoint["chunk_high_water"] if checkpoint else None
     since = before if before is not None and marks["chunk_high_water"] is not None and marks["chunk_high_water"] > before else None
     records = records_of(tables, workspace_id, since)
+    kept = [records["messages"]]
     check_continuity(tables, records, held, checkpoint, marks, bootstrap)
 
     seen = {"workspace_id": F.lit(workspace_id), "latest_run_id": F.lit(run_id), "first_observed_at": F.lit(now), "last_observed_at": F.lit(now)}
@@ -162,6 +168,7 @@ def _run(spark, lake, slug, run_id, now, tables, workspace_id, held, entries, pr
     out = {t: merge.merge(held[t], stamped[t], k, keep_old=["first_observed_at", "message_key", "ts_us"]) for t, k in keys.items() if t != "messages"}
 
     marked = merge.classify(stamped["messages"], held["messages"], keys["messages"], "payload_hash").persist()
+    kept.append(marked)
     changed = marked.withColumn("last_changed_at", F.when(F.col("change") != "unchanged", F.lit(now)))
     out["messages"] = merge.merge(held["messages"], changed, keys["messages"], keep_old=["first_observed_at", "message_key", "ts_us"], keep_if_null=["last_changed_at"])
     members = records["channel_members"].select(F.lit(workspace_id).alias("workspace_id"), "channel_id", "user_id", "source_chunk_id", F.lit(run_id).alias("first_observed_run_id"), F.lit(run_id).alias("last_observed_run_id"))
@@ -184,6 +191,8 @@ def _run(spark, lake, slug, run_id, now, tables, workspace_id, held, entries, pr
     total = known + n["inserted"]
     done = ledger(status="succeeded", completed_at=now, source_fingerprint=print_of, source_message_rows=rows, canonical_message_rows=total, inserted_messages=n["inserted"], updated_messages=n["updated"], unchanged_messages=n["unchanged"])
     L.publish(spark, lake, workspace_id, run_id, out, {"message_events": events, "ingestion_runs": done})
+    for df in kept:
+        df.unpersist()
     return Result(run_id, workspace_id, n["inserted"], n["updated"], n["unchanged"])
 
 
@@ -234,3 +243,19 @@ def compact(spark: SparkSession, archive: str, to: str) -> dict[str, int]:
         if not lost.isEmpty():
             raise RuntimeError(f"the compacted copy of {name} differs from the archive's newest rows")
     return counts
+
+
+def rebase(spark: SparkSession, archive: str, lake: str) -> str:
+    """Point the workspace's checkpoint at ``archive``, a copy of the same newest rows; returns its
+    signature.  The copy is proven against the lake first; ``successful_run_id`` stays."""
+    report = validate(spark, archive, lake)
+    if not report["passed"]:
+        raise ContinuityError("the copy differs from the lake; the checkpoint stays")
+    tables, workspace_id = open_archive(spark, archive)
+    entries = manifest(tables)
+    mark = signature(entries)
+    point = L.read(spark, lake, "ingestion_checkpoints", workspace_id).withColumns(
+        {"source_fingerprint": F.lit(mark), "lineage_signature": F.lit(mark), "lineage_manifest_json": F.lit(json.dumps(entries)), "checkpointed_at": F.lit(datetime.now(UTC).replace(tzinfo=None))}
+    )
+    L.publish(spark, lake, workspace_id, uuid.uuid4().hex, {"ingestion_checkpoints": point}, {})
+    return mark

@@ -438,3 +438,63 @@ def stale_groups(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "source")
     active = docs.join(table(spark, d, "labels").filter("toxic = 1"), "doc_id", "left_semi").select("source")
     return docs.select("source").distinct().subtract(active.distinct())
+
+
+# keys and sets -----------------------------------------------------------------------------------
+
+
+@query("SELECT lower(p_brand || p_type) AS folded, count(DISTINCT p_partkey) AS n FROM part GROUP BY 1 HAVING count(DISTINCT p_partkey) > 1")
+def case_folded_duplicates(spark, d):
+    keyed = table(spark, d, "part").select(F.lower(F.concat("p_brand", "p_type")).alias("folded"), "p_partkey")
+    return keyed.groupBy("folded").agg(F.count_distinct("p_partkey").alias("n")).filter("n > 1")
+
+
+@query("SELECT user_id, event_type FROM events WHERE value > 50 INTERSECT SELECT user_id, event_type FROM events WHERE value < 10")
+def common_keys(spark, d):
+    log = table(spark, d, "events")
+    return log.filter("value > 50").select("user_id", "event_type").intersect(log.filter("value < 10").select("user_id", "event_type"))
+
+
+@query(f"""{_SQL_STATES} SELECT coalesce(o.user_id, n.user_id) AS user_id, coalesce(o.event_type, n.event_type) AS event_type, o.value IS DISTINCT FROM n.value AS value_differs, o.version IS DISTINCT FROM n.version AS version_differs
+FROM old o JOIN new n ON o.user_id = n.user_id AND o.event_type = n.event_type WHERE o.value IS DISTINCT FROM n.value OR o.version IS DISTINCT FROM n.version""")
+def mismatched_keys(spark, d):
+    old, new = _states(spark, d)
+    met = old.join(new.select("user_id", "event_type", F.col("value").alias("v"), F.col("version").alias("w")), ["user_id", "event_type"])
+    marked = met.select("user_id", "event_type", (~F.col("value").eqNullSafe(F.col("v"))).alias("value_differs"), (~F.col("version").eqNullSafe(F.col("w"))).alias("version_differs"))
+    return marked.filter("value_differs OR version_differs")
+
+
+@query(f"""{_SQL_STATES} SELECT count(*) = 0 AS equal FROM (SELECT * FROM (SELECT user_id, event_type FROM old EXCEPT SELECT user_id, event_type FROM new) UNION ALL SELECT * FROM (SELECT user_id, event_type FROM new EXCEPT SELECT user_id, event_type FROM old))""")
+def key_sets_equal(spark, d):
+    old, new = _states(spark, d)
+    return merge.comparison(old, new, ["user_id", "event_type"], "value").select(((F.col("missing") == 0) & (F.col("extra") == 0)).alias("equal"))
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE lower(c_name) = (SELECT lower(min(c_name)) FROM customer)")
+def selected_workspace(spark, d):
+    cust = table(spark, d, "customer").select("c_custkey", "c_name")
+    return cust.join(F.broadcast(cust.agg(F.upper(F.min("c_name")).alias("wanted"))), F.lower("c_name") == F.lower("wanted")).select("c_custkey", "c_name")
+
+
+@query("SELECT s.* EXCLUDE (s_acctbal), n_name AS nation FROM supplier s JOIN nation ON s_nationkey = n_nationkey")
+def star_projection(spark, d):
+    nation = table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("nation"))
+    sup = table(spark, d, "supplier")
+    return sup.join(nation, sup["s_nationkey"] == nation["n_nationkey"]).select(sup["*"], "nation").drop("s_acctbal")
+
+
+@query("SELECT count(*) AS covered FROM orders o WHERE EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_returnflag = 'R')")
+def covered_files(spark, d):
+    found = table(spark, d, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+    return table(spark, d, "orders").join(found, "o_orderkey", "left_semi").agg(F.count(F.lit(1)).alias("covered"))
+
+
+@query("SELECT max(event_id)::DOUBLE / 1000000.0::DOUBLE AS recency, (SELECT count(*) FROM events WHERE value < 1) AS waiting FROM events")
+def source_recency(spark, d):
+    return table(spark, d, "events").agg((F.max("event_id").cast("double") / 1e6).alias("recency"), F.count_if(F.col("value") < 1).alias("waiting"))
+
+
+@query("SELECT n_regionkey, string_agg(n_name || '=' || n_nationkey, ',' ORDER BY n_name || '=' || n_nationkey) AS listed, sum(abs(n_nationkey - 10))::BIGINT AS delta FROM nation GROUP BY n_regionkey")
+def variance_totals(spark, d):
+    pair = F.concat_ws("=", "n_name", "n_nationkey")
+    return table(spark, d, "nation").groupBy("n_regionkey").agg(F.array_join(F.array_sort(F.collect_list(pair)), ",").alias("listed"), F.sum(F.abs(F.col("n_nationkey") - 10)).cast("long").alias("delta"))

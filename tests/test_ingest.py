@@ -155,3 +155,18 @@ def test_corrupt_lake_rows_fail_validation(spark, place):
     db.commit()
     report = I.validate(spark, path, lake)
     assert not report["passed"] and report["source_invalid_json"] == 1 and report["mismatched"] == 1 and report["chunk_mismatched"] == 1
+
+
+def test_rebase_after_pruning_restores_the_fast_path(spark, place):
+    path, lake = place
+    db = A.fixture_a(path)
+    first = I.ingest(spark, path, lake, "alpha")
+    db.execute("DELETE FROM MESSAGE WHERE CHUNK_ID = 10")
+    db.commit()
+    I.rebase(spark, path, lake)
+    assert L.read(spark, lake, "ingestion_checkpoints").first()["successful_run_id"] == first.run_id
+    assert I.ingest(spark, path, lake, "alpha").fast
+    db.execute("DELETE FROM MESSAGE WHERE CHUNK_ID = 12")
+    db.commit()
+    with pytest.raises(I.ContinuityError):
+        I.rebase(spark, path, lake)
