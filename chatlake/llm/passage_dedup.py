@@ -1,11 +1,11 @@
 """Substring dedup by hashing lines and their parts.
 
-Every line is cut at sentence ends into units of at least ``UNIT_WORDS`` words.  Units are
+Every line is cut into units at the ends of sentences of at least ``UNIT_WORDS`` words.  Units are
 normalised (white space, case) and hashed to 128 bits, and the digests are grouped over all
 documents.  Of each digest the earliest ranked occurrence, by doc_id and then by offset, is kept;
-the others are repeats.  Repeats that follow each other in a document make a run, and runs of at
-least ``RUN_WORDS`` words are removed, reported with their offsets in the original text.  Short
-repeats (boilerplate phrases) stay.
+the others are repeats.  Repeats that follow each other, as their kept occurrences do in one document,
+make a run, and runs of at least ``RUN_WORDS`` words are removed, reported with their offsets in the
+original text.  Short repeats (boilerplate phrases) stay, also where several happen to meet.
 
 Skew: each task combines its own occurrences of a digest before the shuffle, so a passage that a
 third of all documents hold arrives as one row a task; the repeated digests are
@@ -13,8 +13,8 @@ checkpointed, so that the join that marks the repeats is a plain shuffle join, w
 adaptive execution can split.  Only digests and offsets are shuffled.
 
 Defined cases
-* null and empty texts have no units.  Units of fewer than ``UNIT_WORDS`` words (whole short lines)
-  are not hashed and neither make nor break a run; they are never removed.
+* null and empty texts have no units.  Short sentences at the end of a line, and lines without a long
+  one, are not hashed; they neither make nor break a run and are never removed.
 * null doc_ids rank after all ids.  Rows with the same doc_id are one document: an occurrence at the
   same offset is the same occurrence, so repeated rows alone remove nothing.
 * offsets are code points, end exclusive.  An empty table gives an empty result.
@@ -35,29 +35,28 @@ from pyspark.sql import types as T
 
 from chatlake.session import checkpointed
 
-UNIT_WORDS, RUN_WORDS = 8, 25
-LINE, CUT = re.compile(r"[^\n]+"), re.compile(r"[.!?]+[\x20\t\r\f\v]+")
+UNIT_WORDS, RUN_WORDS = 5, 20
+LINE, CUT = re.compile(r"[^\n]+"), re.compile(r"[.!?][^\w\s]*[\x20\t\r\f\v]+")
 
 
 def units(text: str, unit_words: int = UNIT_WORDS) -> Iterator[tuple[int, int, int]]:
-    """(start, end, words) of the hashed units of a text."""
+    """(start, end, words) of the hashed units of a text.
+
+    A unit ends with each sentence of enough words and takes in the shorter ones before it, so where
+    units end depends on their own sentences only: a passage is cut alike wherever it stands.
+    Where there are none, a unit ends with the sentence that brings it to four times as many words.
+    """
     for line in LINE.finditer(text):
         start, stop = line.span()
         if stop - start < 2 * unit_words - 1:
             continue
-        pieces, at, words, last = [], start, 0, start
-        for cut in CUT.finditer(text, start, stop):
-            words += len(text[last : cut.end()].split())
-            last = cut.end()
-            if words >= unit_words:
-                pieces.append([at, last, words])
-                at, words = last, 0
-        rest = len(text[last:stop].split()) + words
-        if rest and rest < unit_words and pieces:
-            pieces[-1][1], pieces[-1][2] = stop, pieces[-1][2] + rest
-        elif rest >= unit_words:
-            pieces.append([at, stop, rest])
-        yield from map(tuple, pieces)
+        words, last = 0, start
+        for end in [*(cut.end() for cut in CUT.finditer(text, start, stop)), stop]:
+            own = len(text[last:end].split())
+            words, last = words + own, end
+            if own >= unit_words or words >= 4 * unit_words:
+                yield start, end, words
+                start, words = end, 0
 
 
 def digest(unit: str) -> bytes:
@@ -90,18 +89,18 @@ def find_repeats(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
     kind = docs.schema["doc_id"].dataType
     out = T.StructType([T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("doc_id", kind), *[T.StructField(x, T.IntegerType()) for x in ("place", "start", "end", "words")]])
     found = docs.select("doc_id", "text").mapInArrow(hashed(), out)
-    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("start").alias("at"))
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("start").alias("at"), F.col("place").alias("place"))
     firsts = found.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.max(rank).alias("last")).filter(~F.col("first").eqNullSafe(F.col("last")))
     firsts = checkpointed(firsts.select(F.col("h1").alias("f1"), F.col("h2").alias("f2"), "first"))
     repeats = found.join(firsts, (F.col("h1") == F.col("f1")) & (F.col("h2") == F.col("f2"))).filter(~rank.eqNullSafe(F.col("first")))
-    repeats = repeats.select("doc_id", "place", "start", "end", "words", F.col("first.id").alias("kept_doc_id"), F.col("first.at").alias("kept_start")).distinct()
-    own = Window.partitionBy("doc_id").orderBy("start", "end")
+    repeats = repeats.select("doc_id", "place", "start", "end", "words", F.col("first.id").alias("kept_doc_id"), F.col("first.at").alias("kept_start"), (F.col("first.place") - F.col("place")).alias("shift")).distinct()
+    own = Window.partitionBy("doc_id", "kept_doc_id", "shift").orderBy("start", "end")
     placed = repeats.withColumn("run", F.col("place") - F.row_number().over(own))
-    runs = placed.groupBy("doc_id", "run").agg(
+    runs = placed.groupBy("doc_id", "kept_doc_id", "shift", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n_units"), F.sum("words").alias("n_words"),
-        F.min(F.struct("start", "kept_doc_id", "kept_start")).alias("first"),
+        F.min_by("kept_start", "start").alias("kept_start"),
     )
-    return runs.filter(F.col("n_words") >= run_words).select("doc_id", "start", "end", "n_units", "n_words", "first.kept_doc_id", "first.kept_start")
+    return runs.filter(F.col("n_words") >= run_words).select("doc_id", "start", "end", "n_units", "n_words", "kept_doc_id", "kept_start")
 
 
 @F.arrow_udf(T.StringType())

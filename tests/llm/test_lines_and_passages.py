@@ -59,10 +59,11 @@ def brute_passages(rows, run_words):
     for i, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
         for place, (a, b, n) in enumerate(passage_dedup.units(text or "")):
             d = hashlib.sha256(" ".join(text[a:b].lower().split()).encode()).digest()
-            if first.setdefault(d, (i, a)) != (i, a):
-                found.setdefault(i, []).append((place, a, b, n))
+            kept = first.setdefault(d, (i, a, place))
+            if kept[:2] != (i, a):
+                found.setdefault((i, kept[0], kept[2] - place), []).append((place, a, b, n))
     out = set()
-    for i, u in found.items():
+    for (i, _, _), u in found.items():
         runs = [[u[0]]]
         for x in u[1:]:
             if x[0] == runs[-1][-1][0] + 1:
@@ -98,8 +99,10 @@ def test_passages_odd_rows(odd, empty, clash):
     assert passage_dedup.find_repeats(empty).collect() == [] and passage_dedup.remove_repeats(empty).collect() == []
 
 
-def test_units_cover_long_lines_and_skip_short_ones():
+def test_units_end_with_long_sentences_wherever_they_stand():
     assert list(passage_dedup.units("Too short. A b c.\n\n")) == []
-    text = "One two three four five six seven eight. Nine ten. " * 2
+    text = "One two three four five six. Nine ten. Six words are in this one. Tail."
     spans = list(passage_dedup.units(text))
-    assert [s[2] for s in spans] == [8, 12] and spans[0][:2] == (0, 41) and spans[-1][1] == len(text)
+    assert [text[a:b] for a, b, _ in spans] == ["One two three four five six. ", "Nine ten. Six words are in this one. "] and [s[2] for s in spans] == [6, 8]
+    moved = "Something else before. " + text
+    assert text[spans[1][0] : spans[1][1]] in [moved[a:b] for a, b, _ in passage_dedup.units(moved)]
