@@ -10,7 +10,7 @@ from collections import Counter
 import duckdb
 import pytest
 
-from chatlake.llm import decontaminate
+from chatlake.llm import decontaminate, passage_dedup
 from chatlake.llm import queries as Q
 from tests.llm.test_lines_and_passages import brute_passages
 from tests.llm.test_pairs import brute_links
@@ -47,7 +47,7 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_op1(spark, docs):
     got = {(r["doc_id"], r["start"], r["end"], r["n_units"], r["n_words"]) for r in run(spark, "op1_passage_dedup")}
-    assert got and got == brute_passages(docs, 25)
+    assert got and got == brute_passages(docs, passage_dedup.RUN_WORDS)
 
 
 def test_op3(spark, docs, duck):
