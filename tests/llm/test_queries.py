@@ -89,8 +89,10 @@ def test_op8(spark, docs):
     assert got == brute_links(docs)
 
 
-def test_op10(spark, docs):
-    got = {r["doc_id"]: r for r in run(spark, "op10_secrets")}
+def test_op10(spark, duck):
+    larger = "/root/testdata/sf0.01"  # the smallest table holds no secret
+    docs = duck.sql(f"SELECT doc_id, text FROM '{larger}/documents.parquet'").fetchall()
+    got = {r["doc_id"]: r for r in Q.queries()["op10_secrets"](spark, larger).collect()}
     found = 0
     for i, t in docs:
         spans = [(m.start(), "assign", m.end()) for m in re.finditer(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t) if len(m.group(2)) >= 8]
