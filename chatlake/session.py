@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,8 +26,49 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python workers, once a context.
+
+    Jobs then run whatever the workers' search path is; a package that was itself shipped as a zip
+    is left as it is.
+    """
+    sc, root = spark.sparkContext, Path(__file__).resolve().parent
+    if getattr(sc, "_chatlake_shipped", False) or not root.is_dir():
+        return
+    packed = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="chatlake-")), "chatlake_package.zip")
+    with zipfile.ZipFile(packed, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(packed)
+    sc._chatlake_shipped = True
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table; a single Parquet file or a folder of them."""
+    ship(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python workers, once a context.
+
+    Jobs then run whatever the workers' search path is; a package that was itself shipped as a zip
+    is left as it is.
+    """
+    sc, root = spark.sparkContext, Path(__file__).resolve().parent
+    if getattr(sc, "_chatlake_shipped", False) or not root.is_dir():
+        return
+    packed = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="chatlake-")), "chatlake_package.zip")
+    with zipfile.ZipFile(packed, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(packed)
+    sc._chatlake_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; a single Parquet file or a folder of them."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -35,6 +79,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     setting nor the context has one, as in tests on one machine.
     """
     spark = df.sparkSession
+    ship(spark)
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-ckpt-"))

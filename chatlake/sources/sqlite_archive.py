@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 
 from chatlake import schemas
+from chatlake.session import ship
 
 OPERATORS = {GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<=", EqualTo: "="}
 
@@ -112,6 +113,7 @@ class SQLiteArchive(DataSource):
 
 def read_archive(spark: SparkSession, path: str, table: str, columns: list[str] | None = None, partitions: int = 4) -> DataFrame:
     """One table of an archive with its rowid."""
+    ship(spark)
     spark.dataSource.register(SQLiteArchive)
     reader = spark.read.format("sqlite_archive").option("path", path).option("table", table).option("numPartitions", partitions)
     return (reader.option("columns", ",".join(columns)) if columns else reader).load()
