@@ -3,9 +3,12 @@
 Every line is cut into units at the ends of sentences of at least ``UNIT_WORDS`` words.  Units are
 normalised (white space, case) and hashed to 128 bits, and the digests are grouped over all
 documents.  Of each digest the earliest ranked occurrence, by doc_id and then by offset, is kept;
-the others are repeats.  Repeats that follow each other, as their kept occurrences do in one document,
-make a run, and runs of at least ``RUN_WORDS`` words are removed, reported with their offsets in the
-original text.  Short repeats (boilerplate phrases) stay, also where several happen to meet.
+the others are repeats.  A sequence of units of at least ``RUN_WORDS`` words is removed if the same
+sequence stands anywhere earlier, wherever else its single units are first seen.  To find them all, the
+shortest sequences of so many words that start or end with each unit are hashed and grouped like the
+units: any longer sequence is made up of them.  What goes is reported with its offsets in the original
+text, one row for the units that follow each other here and where they are kept.  Short repeats
+(boilerplate phrases) stay, also where several happen to meet.
 
 Skew: each task combines its own occurrences of a digest before the shuffle, so a passage that a
 third of all documents hold arrives as one row a task; the repeated digests are
@@ -24,8 +27,10 @@ Defined cases
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from hashlib import blake2b
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -63,44 +68,74 @@ def digest(unit: str) -> bytes:
     return blake2b(" ".join(unit.lower().split()).encode("utf-8", "replace"), digest_size=16).digest()
 
 
-def hashed():
+def windows(words: list[int], run_words: int) -> Iterator[tuple[int, int]]:
+    """(first, behind the last) of the shortest sequences of ``run_words`` that start or end with each unit.
+
+    Single units of so many words are left out, as they are hashed anyway.  Each unit of a sequence that
+    long is in a window inside of it: one that ends with the unit, or one that starts with the sequence.
+    """
+    sums = [0, *accumulate(words)]
+    forward = ((i, bisect_left(sums, sums[i] + run_words)) for i in range(len(words)))
+    backward = ((bisect_right(sums, sums[j] - run_words) - 1, j) for j in range(1, len(sums)))
+    yield from sorted({(i, j) for i, j in chain(forward, backward) if i >= 0 and j < len(sums) and j - i > 1})
+
+
+def hashed(run_words: int):
+    """Rows of the units, with one span, and of their windows, with the spans of the window's units."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
-            keys, owner, rows = [], [], []
+            keys, owner, rows, spans, ends = [], [], [], [], [0]
             for i, text in enumerate(batch.column("text").to_pylist()):
-                for place, (start, end, words) in enumerate(units(text or "")):
-                    keys.append(digest(text[start:end]))
-                    owner.append(i)
-                    rows.append((place, start, end, words))
+                found = list(units(text or ""))
+                own = [digest(text[start:end]) for start, end, _ in found]
+                for place, (start, end, words) in enumerate(found):
+                    keys.append(own[place])
+                    rows.append((place, start, words))
+                    spans += (start, end)
+                    ends.append(len(spans))
+                for a, b in windows([u[2] for u in found], run_words):
+                    keys.append(blake2b(b"".join(own[a:b]), digest_size=16).digest())
+                    rows.append((a, found[a][0], run_words))
+                    spans += (x for u in found[a:b] for x in u[:2])
+                    ends.append(len(spans))
+                owner += [i] * (len(rows) - len(owner))
             halves = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
-            cols = np.array(rows, np.int32).reshape(-1, 4)
+            cols = np.array(rows, np.int32).reshape(-1, 3)
             arrays = [pa.array(np.ascontiguousarray(halves[:, 0])), pa.array(np.ascontiguousarray(halves[:, 1])), ids.take(pa.array(owner, pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays + [pa.array(np.ascontiguousarray(cols[:, j])) for j in range(4)], names=["h1", "h2", "doc_id", "place", "start", "end", "words"])
+            parts = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(spans, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*arrays, *[pa.array(np.ascontiguousarray(cols[:, j])) for j in range(3)], parts], names=["h1", "h2", "doc_id", "place", "start", "words", "spans"])
 
     return run
 
 
 def find_repeats(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
-    """doc_id, start, end, n_units, n_words, kept_doc_id, kept_start: one row for each removed run.
+    """doc_id, start, end, n_units, n_words, kept_doc_id, kept_start: removed units that follow each other.
 
-    ``kept_doc_id`` and ``kept_start`` are where the run's first unit is kept.
+    ``kept_doc_id`` and ``kept_start`` are where the first of them is kept, and the others behind it.  A
+    passage whose units are kept in several places makes several rows.
     """
     kind = docs.schema["doc_id"].dataType
-    out = T.StructType([T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("doc_id", kind), *[T.StructField(x, T.IntegerType()) for x in ("place", "start", "end", "words")]])
-    found = docs.select("doc_id", "text").mapInArrow(hashed(), out)
+    ints = [T.StructField(x, T.IntegerType()) for x in ("place", "start", "words")]
+    out = T.StructType([T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("doc_id", kind), *ints, T.StructField("spans", T.ArrayType(T.IntegerType()))])
+    found = docs.select("doc_id", "text").mapInArrow(hashed(run_words), out)
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("start").alias("at"), F.col("place").alias("place"))
     firsts = found.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.max(rank).alias("last")).filter(~F.col("first").eqNullSafe(F.col("last")))
     firsts = checkpointed(firsts.select(F.col("h1").alias("f1"), F.col("h2").alias("f2"), "first"))
     repeats = found.join(firsts, (F.col("h1") == F.col("f1")) & (F.col("h2") == F.col("f2"))).filter(~rank.eqNullSafe(F.col("first")))
-    repeats = repeats.select("doc_id", "place", "start", "end", "words", F.col("first.id").alias("kept_doc_id"), F.col("first.at").alias("kept_start"), (F.col("first.place") - F.col("place")).alias("shift")).distinct()
+    one = F.size("spans") == 2
+    kept = F.when(one, F.struct("words", F.col("first.id").alias("kept_doc_id"), F.col("first.at").alias("kept_start"), (F.col("first.place") - F.col("place")).alias("shift")))
+    each = repeats.select("doc_id", "place", "spans", kept.alias("kept"), (F.col("words") >= run_words).alias("gone"), F.explode(F.sequence(F.lit(0), F.floor(F.size("spans") / 2).cast("int") - 1)).alias("k"))
+    each = each.select("doc_id", (F.col("place") + F.col("k")).alias("place"), F.get("spans", 2 * F.col("k")).alias("start"), F.get("spans", 2 * F.col("k") + 1).alias("end"), "kept", "gone")
+    removed = each.groupBy("doc_id", "place", "start", "end").agg(F.max("kept").alias("kept"), F.max("gone").alias("gone")).filter("gone").select("doc_id", "place", "start", "end", "kept.*")
     own = Window.partitionBy("doc_id", "kept_doc_id", "shift").orderBy("start", "end")
-    placed = repeats.withColumn("run", F.col("place") - F.row_number().over(own))
+    placed = removed.withColumn("run", F.col("place") - F.row_number().over(own))
     runs = placed.groupBy("doc_id", "kept_doc_id", "shift", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n_units"), F.sum("words").alias("n_words"),
         F.min_by("kept_start", "start").alias("kept_start"),
     )
-    return runs.filter(F.col("n_words") >= run_words).select("doc_id", "start", "end", "n_units", "n_words", "kept_doc_id", "kept_start")
+    return runs.select("doc_id", "start", "end", "n_units", "n_words", "kept_doc_id", "kept_start")
 
 
 @F.arrow_udf(T.StringType())

@@ -106,3 +106,37 @@ def test_units_end_with_long_sentences_wherever_they_stand():
     assert [text[a:b] for a, b, _ in spans] == ["One two three four five six. ", "Nine ten. Six words are in this one. "] and [s[2] for s in spans] == [6, 8]
     moved = "Something else before. " + text
     assert text[spans[1][0] : spans[1][1]] in [moved[a:b] for a, b, _ in passage_dedup.units(moved)]
+
+
+def brute_repeated_units(rows, run_words):
+    """(doc_id, start, end) of the units in any sequence of enough words that stands earlier too."""
+    seen, out = set(), set()
+    for i, text in sorted(rows):
+        cut = list(passage_dedup.units(text))
+        said = [" ".join(text[a:b].lower().split()) for a, b, _ in cut]
+        for a in range(len(cut)):
+            for b in range(a + 1, len(cut) + 1):
+                if sum(u[2] for u in cut[a:b]) >= run_words:
+                    if tuple(said[a:b]) in seen:
+                        out |= {(i, *u[:2]) for u in cut[a:b]}
+                    seen.add(tuple(said[a:b]))
+    return out
+
+
+def test_passages_whose_sentences_stand_elsewhere_too(make):
+    rng = random.Random(21)
+    s = [sentence(rng, 9) for _ in range(6)]
+    fill = lambda: sentence(rng, 12)
+    rows = [(1, f"{fill()} {s[1]} {fill()}"), (2, f"{fill()} {s[3]} {fill()}"), (3, f"{fill()} {' '.join(s)} {fill()}"), (4, f"{fill()} {' '.join(s)} {fill()}")]
+    got = passage_dedup.find_repeats(make(rows)).collect()
+    assert {r["doc_id"] for r in got} == {4} and sum(r["n_words"] for r in got) == 54 and {r["kept_doc_id"] for r in got} == {1, 2, 3}
+    text = {r["doc_id"]: r["text"] for r in passage_dedup.remove_repeats(make(rows)).collect()}
+    assert text[3] == rows[2][1] and not any(x in text[4] for x in s) and len(text[4].split()) == 24
+
+
+def test_passages_equal_all_sequences(make):
+    rng = random.Random(22)
+    pool = [sentence(rng, rng.randrange(5, 24)) for _ in range(9)]
+    rows = [(i, " ".join(rng.choice(pool) for _ in range(rng.randrange(1, 7)))) for i in range(30)]
+    covered = {(r["doc_id"], x) for r in passage_dedup.find_repeats(make(rows)).collect() for x in range(r["start"], r["end"])}
+    assert covered == {(i, x) for i, a, b in brute_repeated_units(rows, passage_dedup.RUN_WORDS) for x in range(a, b)} and covered
