@@ -2,14 +2,18 @@
 
 A document's terms are its distinct words and their leading 4 and 5 characters, hashed to 31 bits.
 Of the terms in the examples, those take part whose presence depends on the label (chi-square at
-least ``MIN_CHI2``, at most ``MAX_TERMS`` of them).  The machine adds a weight a term and, for every pair of terms, the inner product
-of their factors, which a linear model cannot express (a word that is harmless alone but not beside
-another).  Both parts are learned together by AdaGrad on the logistic loss.
+least ``MIN_CHI2``), and those of pairs that tell what single terms do not: a machine of the former is
+fitted first, and a pair is taken if the documents that hold both its terms are toxic more or less
+often than that machine says (score test, at least ``MIN_PAIR_CHI2``, above what chance gives among
+all pairs, and ``MIN_EXCESS`` documents).  Of each kind ``MAX_TERMS`` at most, the best, take part.  The machine adds a weight a term and,
+for every pair of terms, the inner product of their factors, which a linear model cannot express (a
+word that is harmless alone but not beside another).  Both parts are learned together by AdaGrad on
+the logistic loss.
 
 Fitting takes the labelled rows outside the held-out fold, at most about ``MAX_EXAMPLES`` of them,
 chosen by a hash of doc_id; beyond that number, the share of documents that are read for training
 falls accordingly.  The sample is brought to one task, which the bound makes safe; the machine that
-comes back has at most ``MAX_TERMS`` terms.  Scoring is one pass over all whole texts without
+comes back has at most ``2 * MAX_TERMS`` terms.  Scoring is one pass over all whole texts without
 a shuffle.
 
 Defined cases
@@ -37,6 +41,7 @@ from chatlake.llm.quality import in_fold
 
 FACTORS, MAX_EXAMPLES, THRESHOLD = 4, 30_000, 0.3
 MAX_TERMS, MIN_ROWS, MIN_CHI2 = 1 << 16, 3, 16.0
+MIN_PAIR_CHI2, MIN_EXCESS, PAIRS_AT_ONCE = 45.0, 4.0, 1 << 22
 EPOCHS, BATCH, RATE, DECAY, SEED = 12, 64, 0.1, 1e-4, 7
 WORD = re.compile(r"[^\W\d_]+")
 CACHE = 300_000
@@ -114,19 +119,80 @@ def telling_terms(offsets: np.ndarray, flat: np.ndarray, y: np.ndarray) -> np.nd
     return np.sort(known[good])
 
 
+def telling_pairs(offsets: np.ndarray, flat: np.ndarray, y: np.ndarray, told: np.ndarray) -> np.ndarray:
+    """Sorted hashes of the terms of pairs that tell more of the labels than ``told``, the scores so far.
+
+    All pairs of terms in a document are summed, term by term, each with the rarer ones behind it.
+    """
+    known, code, rows = np.unique(flat, return_inverse=True, return_counts=True)
+    size = int((rows > MIN_EXCESS).sum())  # fewer rows cannot hold an excess of so many
+    rank = np.empty(len(known), np.int32)
+    rank[np.lexsort((known, -rows))] = np.arange(len(known))
+    key = np.repeat(np.arange(len(y)) << 32, np.diff(offsets))
+    key += rank[code]
+    del code
+    key = key[key & 0xFFFFFFFF < size]
+    key.sort()  # by document, then from the most frequent term
+    owner, term = (key >> 32).astype(np.int32), (key & 0xFFFFFFFF).astype(np.int32)
+    del key
+    left = (np.cumsum(np.bincount(owner, minlength=len(y)))[owner] - np.arange(len(owner)) - 1).astype(np.int32)  # terms of the document behind this one
+    places = np.argsort(term, kind="stable").astype(np.int32)
+    firsts = np.searchsorted(term[places], np.arange(size + 1))
+    off, spread = y - told, np.maximum(told * (1 - told), 1e-3)
+    best = np.zeros(size)
+    for a in range(size):
+        mine = places[firsts[a] : firsts[a + 1]]
+        mine = mine[left[mine] > 0]
+
+        def sums(values: np.ndarray, mine: np.ndarray = mine) -> np.ndarray:
+            total, parts = np.zeros(size), np.cumsum(left[mine], dtype=np.int64) // PAIRS_AT_ONCE
+            for part in np.split(mine, np.flatnonzero(np.diff(parts)) + 1):
+                n = left[part].astype(np.int64)
+                own = np.cumsum(n) - n
+                total += np.bincount(term[np.repeat(part + 1 - own, n) + np.arange(n.sum())], np.repeat(values[owner[part]], n), size)
+            return total
+
+        if max(off[owner[mine]].clip(0).sum(), -off[owner[mine]].clip(None, 0).sum()) < MIN_EXCESS:
+            continue  # no pair with this term can reach it
+        excess = sums(off)
+        found = np.flatnonzero(np.abs(excess) >= MIN_EXCESS)
+        if len(found):
+            chi2 = excess[found] ** 2 / sums(spread)[found]
+            found, chi2 = found[chi2 >= MIN_PAIR_CHI2], chi2[chi2 >= MIN_PAIR_CHI2]
+            best[found] = np.maximum(best[found], chi2)
+            best[a] = max(best[a], chi2.max(initial=0))
+    good = np.flatnonzero(best)
+    good = good[np.lexsort((good, -best[good]))][:MAX_TERMS]
+    return np.sort(known[np.argsort(rank)[good]])
+
+
+def among(known: np.ndarray, offsets: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, places among ``known``) of the terms that are known."""
+    place = np.minimum(np.searchsorted(known, flat), max(0, len(known) - 1))
+    kept = known[place] == flat if len(known) else np.zeros(len(flat), bool)
+    lengths = segment_sums(kept.astype(float), offsets).astype(np.int64)
+    return np.concatenate([[0], np.cumsum(lengths)]), place[kept]
+
+
 def learn(offsets: np.ndarray, flat: np.ndarray, y: np.ndarray) -> Machine:
+    """The machine of the telling terms, or of these and those of telling pairs."""
+    prior = (y.sum() + 1) / (len(y) + 2)
+    if not 0 < y.sum() < len(y):
+        return Machine(float(np.log(prior / (1 - prior))), np.empty(0, np.int32), np.empty(0), np.empty((0, FACTORS)))
+    known = telling_terms(offsets, flat, y)
+    machine = fit(known, offsets, flat, y)
+    both = np.union1d(known, telling_pairs(offsets, flat, y, machine.score(*among(known, offsets, flat))))
+    return fit(both, offsets, flat, y) if len(both) > len(known) else machine
+
+
+def fit(known: np.ndarray, offsets: np.ndarray, flat: np.ndarray, y: np.ndarray) -> Machine:
     """AdaGrad on the logistic loss; the same examples in the same order give the same machine."""
     n = len(y)
     rng = np.random.default_rng(SEED)
     prior = (y.sum() + 1) / (n + 2)
     bias = float(np.log(prior / (1 - prior)))
-    if not 0 < y.sum() < n:
-        return Machine(bias, np.empty(0, np.int32), np.empty(0), np.empty((0, FACTORS)))
-    known = telling_terms(offsets, flat, y)
-    place = np.minimum(np.searchsorted(known, flat), max(0, len(known) - 1))
-    kept = known[place] == flat if len(known) else np.zeros(len(flat), bool)
-    lengths = segment_sums(kept.astype(float), offsets).astype(np.int64)
-    offsets, flat = np.concatenate([[0], np.cumsum(lengths)]), place[kept]
+    offsets, flat = among(known, offsets, flat)
+    lengths = np.diff(offsets)
     size = len(known)
     weights, factors = np.zeros(size), rng.normal(0, 0.02, (size, FACTORS))
     seen_w, seen_v, seen_b = np.full(size, 1e-3), np.full((size, FACTORS), 1e-3), 1e-3

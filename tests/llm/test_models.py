@@ -104,6 +104,48 @@ def test_factors_learn_what_weights_cannot():
     assert np.mean((score > 0.5) == np.array(y)) > 0.95
 
 
+@pytest.mark.parametrize("kind", ["same", "both"])
+def test_pairs_of_harmless_words_are_learned_with_the_real_selection(kind):
+    def drawn(seed, n):
+        rng = np.random.default_rng(seed)
+        rows, y = [], []
+        for _ in range(n):  # single words tell nothing: as many of each in toxic rows as in others
+            if kind == "same":
+                a, b = rng.random(2) < 0.5
+                y.append(float(a == b))
+            else:
+                a, b = [(True, True), (False, False), (True, False), (False, True)][rng.choice(4, p=[0.05, 0.05, 0.45, 0.45])]
+                y.append(float(a and b or not (a or b)))
+            rows.append(sorted({*[1] * int(a), *[2] * int(b), *rng.integers(3, 2000, 30).tolist()}))
+        return np.concatenate([[0], np.cumsum([len(r) for r in rows])]), np.array([x for r in rows for x in r], np.int32), np.array(y)
+
+    offsets, flat, y = drawn(5, 4000)
+    assert not {1, 2} & set(toxicity.telling_terms(offsets, flat, y).tolist())
+    machine = toxicity.learn(offsets, flat, y)
+    offsets, flat, y = drawn(6, 1000)
+    assert np.mean((machine.score(*toxicity.among(machine.known, offsets, flat)) > 0.5) == y) > 0.95
+    assert set(machine.known.tolist()) <= {1, 2} | set(toxicity.telling_terms(*drawn(5, 4000)).tolist())
+
+
+def test_pair_sums_equal_all_pairs(monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = [sorted(set(rng.integers(0, 30, rng.integers(0, 12)).tolist())) for _ in range(400)]
+    y = np.array([float({3, 4} <= set(r) or rng.random() < 0.1) for r in rows])
+    told = np.full(len(y), 0.12)
+    monkeypatch.setattr(toxicity, "MIN_PAIR_CHI2", 6.0)
+    monkeypatch.setattr(toxicity, "PAIRS_AT_ONCE", 16)
+    want = set()
+    for a in range(30):
+        for b in range(a):
+            held = np.array([a in r and b in r for r in rows])
+            z = (y - told)[held].sum()
+            if abs(z) >= toxicity.MIN_EXCESS and z * z / (told * (1 - told))[held].sum() >= 6.0:
+                want |= {a, b}
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    got = toxicity.telling_pairs(offsets, np.array([x for r in rows for x in r], np.int32), y, told)
+    assert {3, 4} <= want and set(got.tolist()) == want
+
+
 def test_toxicity_score_is_the_pair_sum():
     rng = np.random.default_rng(1)
     m = toxicity.Machine(0.3, np.arange(5, dtype=np.int32), rng.normal(size=5), rng.normal(size=(5, toxicity.FACTORS)))
