@@ -20,7 +20,7 @@ Defined cases
 * A-Z only are lower-cased; words are runs without the six ASCII white-space characters.
 * repeated rows (same doc_id and text) are each returned.  An empty table gives an empty result;
   without training tokens, counts are zero and the vocabulary's ranks alone give the score.
-* very long words are scored whole by the same recursion, position by position.
+* very long words teach and are scored whole by the same recursions, position by position.
 """
 
 from __future__ import annotations
@@ -76,6 +76,11 @@ def codes_of(words: list[str]) -> np.ndarray:
     return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), -1)
 
 
+def log_sum(a: float, b: float) -> float:
+    high = max(a, b)
+    return high if high == -math.inf else high + math.log1p(math.exp(min(a, b) - high))
+
+
 class Lattice:
     """Forward and backward recursions over many words of equal length at once.
 
@@ -172,6 +177,29 @@ class Lattice:
                     alpha[j] = np.logaddexp(alpha[j], alpha[i] + self.pieces.byte * len(word[i].encode("utf-8", "replace")))
         return float(alpha[n])
 
+    def expected_long(self, word: str, count: float, into: np.ndarray) -> None:
+        """``expected`` for one long word, position by position, in memory that grows with its length alone."""
+        n, logs = len(word), self.pieces.logs
+
+        def arcs(i: int) -> Iterator[tuple[int, int, float]]:
+            for j in range(i + 1, min(n, i + self.longest) + 1):
+                at = self.where.get(word[i:j])
+                if at is not None:
+                    yield j, at, logs[at]
+                elif j == i + 1:
+                    yield j, -1, self.pieces.byte * len(word[i].encode("utf-8", "replace"))
+
+        alpha, beta = [-math.inf] * n + [-math.inf], [-math.inf] * n + [0.0]
+        alpha[0] = 0.0
+        for i in range(n):
+            for j, _, weight in arcs(i):
+                alpha[j] = log_sum(alpha[j], alpha[i] + weight)
+        for i in reversed(range(n)):
+            for j, at, weight in arcs(i):
+                rest = weight + beta[j]
+                into[at] += math.exp(alpha[i] + rest - alpha[n]) * count
+                beta[i] = log_sum(beta[i], rest)
+
     def logs_of(self, words: list[str]) -> np.ndarray:
         """The log of each word's marginal probability."""
         out = np.empty(len(words))
@@ -238,8 +266,11 @@ def expect(pieces):
             words = [w.decode("utf-8", "replace") for w in batch.column("w").to_pylist()]
             counts = batch.column("c").to_numpy()
             for rows, codes in by_length(words):
-                if codes is not None:  # words of SHORT characters and more are too rare to move a weight
+                if codes is not None:
                     lattice.expected(codes, counts[rows], total)
+                    continue
+                for r in rows:
+                    lattice.expected_long(SPACE + words[r], counts[r], total)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["piece", "x"])
 

@@ -220,6 +220,20 @@ def test_forward_sums_over_all_segmentations():
     assert np.allclose(into[:-1], numeric, atol=1e-3)
 
 
+def test_long_words_teach_like_short_ones(spark):
+    names = ["▁", "▁a", "a", "b", "ab", "ba", "bab", "▁ab", "abba", "é"]
+    lattice = subword_lm.Lattice(subword_lm.first_scores(names))
+    words = ["abba", "cab東", "ébé😀", "babab" * 30]
+    for word in words:
+        one, other = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
+        lattice.expected(subword_lm.codes_of(["▁" + word]), np.array([3]), one)
+        lattice.expected_long("▁" + word, 3, other)
+        assert np.allclose(one, other) and other.sum() > 0
+    table = spark.createDataFrame([(("ab" * 40).encode(), 50, 50)], "w binary, c bigint, n bigint")
+    pieces = dict(zip(names, subword_lm.learn_pieces(table, 1, names).logs, strict=True))
+    assert pieces["ab"] > pieces["bab"] > pieces["abba"]
+
+
 def test_lm_odd_rows(odd, empty, clash):
     got = subword_lm.score(clash(odd)).collect()
     assert len(got) == 12 and all(math.isfinite(r["score"]) and r["n_tokens"] >= 1 for r in got)
