@@ -1,21 +1,30 @@
-"""Exact top-k by inner product with vector-approximation blocks.
+"""Exact top-k by inner product with vector-approximation files.
 
-Candidates are packed into blocks and each block gets a vector-approximation file: every component
-falls into one of ``CELLS`` equal cells between the block's bounds.  The scan works on the cells
-alone and gives each vector an upper bound of its score; exact vectors are then read in the order of
-that bound (for a similarity, the lower bound of a distance) until the next bound is below the k-th
-exact score found so far, when the result is certain.  The running k best of a task carry over from
-block to block, so later blocks are cut off early.
+Every component of a vector falls into one of ``CELLS`` equal cells between the bounds of its block.
+The cells are computed once and written (checkpointed) apart from the exact vectors, at one byte a
+component.  The search has two phases:
 
-Queries are dealt into blocks of bounded size and every candidate block meets every query block, in
-a join on the number of the query block; Spark broadcasts the query blocks if they are small and
-shuffles them otherwise.  A task emits at most k rows a query; a partial rank per task comes first.
+* scan: query blocks meet the cells of the candidates, never the exact vectors.  A vector's cells
+  give a lower and an upper bound of its score; those whose upper bound reaches the k-th best lower
+  bound of the query survive, first within a task, then over all tasks.
+* exact reads: only survivors are joined with their exact vectors.  Each query reads them in the order
+  of the upper bound (for a similarity, the lower bound of a distance) until the next bound is below
+  the k-th exact score, when the result is certain.
+
+Skew.  Equal vectors tie, and ties go to the smaller id, so of each distinct vector only its k + 1
+smallest ids can be listed: further copies are ranked out before the scan, with a limit in each task
+before the shuffle.  Queries with the same vector are searched once.  Scan work is a grid of query
+blocks and candidate shares; blocks are dealt by hashes of their vectors (never by partition numbers), a
+task holds the queries of its block and streams the candidates' cells past them.
 
 Defined cases
 * null vectors, and vectors with null or non-finite components, take no part; neither do null ids.
 * rows of one id are one vector for the exclusion of the query itself; an id is listed once, with
-  its best score.  Ties go to the smaller id.
-* vectors of different lengths are not compared; a query without candidates has no rows.
+  its best score.  Ties go to the smaller id.  Repeated rows change nothing.
+* vectors of different lengths are not compared; a query without candidates has no rows; empty vectors
+  score 0.
+* an empty table, or one without queries, gives an empty result.  Only the two named columns are read,
+  so other columns, clashing names included, don't matter.  Very long vectors are handled whole.
 * scores are exact as long as every partial sum of products is below 2**53 in magnitude.
 """
 
@@ -28,93 +37,239 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-CELLS, QUERY_BLOCK, READ_STEP = 64, 2048, 32
-PACKED = "ids array<bigint>, dim int, data binary"
-FOUND = "query_id bigint, vec_id bigint, score double"
+from chatlake.session import checkpointed
+
+CELLS, BLOCK, READ_STEP = 256, 2048, 32
+QUERY_BLOCK, SHARE, SLICE, HELD = 8192, 1 << 20, 512, 1 << 21
+PACKED = "n int, dim int, ids binary, h1 binary, h2 binary, low binary, step binary, data binary"
+SURVIVED = "q1 bigint, q2 bigint, id bigint, h1 bigint, h2 bigint, lower double, upper double"
+FOUND = "q1 bigint, q2 bigint, vec_id bigint, score double"
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id, v array<double>) of the rows that take part."""
+    """(id, v array<double>, h1, h2) of the rows that take part; h1 and h2 are 128 bits of the vector."""
     v = F.transform(F.col(vec_col), lambda x: x.cast("double"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).filter(F.col("id").isNotNull() & F.col("v").isNotNull()).filter(~bad)
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).filter(F.col("id").isNotNull() & F.col("v").isNotNull()).filter(~bad)
+    return rows.select("id", "v", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(17), "v").alias("h2"))
+
+
+def rankable(rows: DataFrame, k: int) -> DataFrame:
+    """Each row once, and of each vector only its ``k`` smallest ids: others cannot be among k."""
+    place = F.row_number().over(Window.partitionBy("h1", "h2").orderBy("id"))
+    return rows.dropDuplicates(["h1", "h2", "id"]).withColumn("place", place).filter(F.col("place") <= k).drop("place")
+
+
+def matrices(batch: pa.RecordBatch, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, their vectors) of up to ``size`` vectors of one length."""
+    vectors = batch.column("v")
+    dims = vectors.value_lengths().to_numpy(zero_copy_only=False)
+    offsets, flat = vectors.offsets.to_numpy(), vectors.values.to_numpy(zero_copy_only=False)
+    for dim in np.unique(dims):
+        same = np.flatnonzero(dims == dim)
+        for at in range(0, len(same), size):
+            rows = same[at : at + size]
+            yield rows, flat[offsets[rows][:, None] + np.arange(dim)].astype(np.float64)
+
+
+def packed(batch: pa.RecordBatch, rows: np.ndarray, dim: int, low: np.ndarray, step: np.ndarray, data: np.ndarray) -> pa.RecordBatch:
+    keys = [batch.column(c).to_numpy(zero_copy_only=False)[rows].astype(np.int64) for c in ("id", "h1", "h2")]
+    blobs = [pa.array([x.tobytes()], pa.binary()) for x in (*keys, low, step, data)]
+    return pa.RecordBatch.from_arrays([pa.array([len(rows)], pa.int32()), pa.array([dim], pa.int32()), *blobs], names=["n", "dim", "ids", "h1", "h2", "low", "step", "data"])
 
 
-def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each batch and vector length: ids and a row-major float64 matrix."""
+def quantise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The vector-approximation file: a row for each block with its bounds and one cell a component."""
     for batch in batches:
-        vectors = batch.column("v")
-        dims = vectors.value_lengths().to_numpy(zero_copy_only=False)
-        ids = batch.column("id").to_numpy(zero_copy_only=False)
-        offsets, flat = vectors.offsets.to_numpy(), vectors.values.to_numpy(zero_copy_only=False)
-        for dim in np.unique(dims):
-            rows = np.flatnonzero(dims == dim)
-            at = offsets[rows][:, None] + np.arange(dim)
-            yield pa.RecordBatch.from_arrays([pa.array([ids[rows]], pa.list_(pa.int64())), pa.array([int(dim)], pa.int32()), pa.array([flat[at].astype(np.float64).tobytes()], pa.binary())], names=["ids", "dim", "data"])
+        for rows, v in matrices(batch, BLOCK):
+            low = v.min(axis=0)
+            with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+                step = (v.max(axis=0) - low) / CELLS
+                cells = np.where(step > 0, np.floor((v - low) / step), 0)
+            yield packed(batch, rows, v.shape[1], low, step, np.clip(np.nan_to_num(cells), 0, CELLS - 1).astype(np.uint8))
+
+
+def pack_queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Exact query vectors, a row for each query block (``qb``) and length in a batch."""
+    none = np.empty(0)
+    for batch in batches:
+        blocks = batch.column("qb").to_numpy(zero_copy_only=False)
+        for qb in np.unique(blocks):
+            part = batch.take(pa.array(np.flatnonzero(blocks == qb)))
+            for rows, v in matrices(part, QUERY_BLOCK):
+                row = packed(part, rows, v.shape[1], none, none, v)
+                yield pa.RecordBatch.from_arrays([pa.array([int(qb)], pa.int32()), *row.columns], names=["qb", *row.schema.names])
+
+
+class Scan:
+    """Bounds of one block of queries (of one length) over the candidates' cells that stream past."""
+
+    def __init__(self, q1: np.ndarray, q2: np.ndarray, queries: np.ndarray, k: int):
+        self.q1, self.q2, self.queries, self.k = q1, q2, queries, k
+        self.size = np.abs(queries)
+        self.low = np.full((len(queries), k), -np.inf)  # the best lower bounds, of different ids
+        self.ids = np.zeros((len(queries), k), np.int64)
+        self.held: list[tuple[np.ndarray, ...]] = []
+        self.n_held = 0
+
+    def block(self, ids: np.ndarray, h1: np.ndarray, h2: np.ndarray, low: np.ndarray, step: np.ndarray, cells: np.ndarray) -> None:
+        with np.errstate(over="ignore", invalid="ignore"):
+            centre = low + (cells + 0.5) * step
+            for at in range(0, len(self.queries), SLICE):
+                rows = np.arange(at, min(at + SLICE, len(self.queries)))
+                score = self.queries[rows] @ centre.T
+                slack = self.size[rows] @ (0.5 * step + 1e-9 * (np.abs(low) + CELLS * step)) + 1e-9
+                if not (np.isfinite(score).all() and np.isfinite(slack).all()):  # beyond the numbers' range: no bound
+                    odd = ~np.isfinite(score + slack[:, None])
+                    lower, upper = np.where(odd, -np.inf, score - slack[:, None]), np.where(odd, np.inf, score + slack[:, None])
+                else:
+                    lower, upper = score - slack[:, None], score + slack[:, None]
+                on = np.flatnonzero(upper.max(axis=1) >= self.low[rows, -1])
+                if len(on):
+                    rows, lower, upper = rows[on], lower[on], upper[on]
+                    self.raise_floor(rows, lower, ids)
+                    a, b = np.nonzero(upper >= self.low[rows, -1][:, None])
+                    self.held.append((rows[a], ids[b], h1[b], h2[b], lower[a, b], upper[a, b]))
+                    self.n_held += len(a)
+
+    def raise_floor(self, rows: np.ndarray, lower: np.ndarray, ids: np.ndarray) -> None:
+        """Take the block's best lower bounds; an id counts once, or the k-th would be too high."""
+        order = np.argsort(ids, kind="stable")
+        new = np.flatnonzero(np.concatenate([[True], np.diff(ids[order]) != 0]))
+        if len(new) < len(ids):
+            lower, ids = np.maximum.reduceat(lower[:, order], new, axis=1), ids[order][new]
+        top = np.argpartition(-lower, self.k - 1, axis=1)[:, : self.k] if lower.shape[1] > self.k else np.broadcast_to(np.arange(lower.shape[1]), lower.shape)
+        low, found = np.concatenate([self.low[rows], np.take_along_axis(lower, top, axis=1)], axis=1), np.concatenate([self.ids[rows], ids[top]], axis=1)
+        order = np.argsort(-low, axis=1, kind="stable")
+        low, found = np.take_along_axis(low, order, axis=1), np.take_along_axis(found, order, axis=1)
+        for j in range(1, low.shape[1]):
+            low[(found[:, :j] == found[:, j : j + 1]).any(axis=1), j] = -np.inf
+        order = np.argsort(-low, axis=1, kind="stable")[:, : self.k]
+        self.low[rows], self.ids[rows] = np.take_along_axis(low, order, axis=1), np.take_along_axis(found, order, axis=1)
+
+    def survivors(self) -> pa.RecordBatch:
+        """Those that reach the floor so far; what came before is let go."""
+        none = np.empty(0, np.int64)
+        cols = [np.concatenate(c) for c in zip(*self.held, strict=True)] if self.held else [none, none, none, none, np.empty(0), np.empty(0)]
+        self.held, self.n_held = [], 0
+        kept = np.flatnonzero(cols[5] >= self.low[cols[0], -1])
+        owner, *rest = (c[kept] for c in cols)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (self.q1[owner], self.q2[owner], *rest)], names=["q1", "q2", "id", "h1", "h2", "lower", "upper"])
+
+
+def scan(k: int):
+    """Over rows sorted by (qb, share, kind): queries are held, the candidates behind them stream past."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, scans = None, {}, {}
+        ints, reals = (lambda b: np.frombuffer(b, np.int64)), (lambda b: np.frombuffer(b, np.float64))
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+                if (row["qb"], row["share"]) != key:
+                    for s in scans.values():
+                        yield s.survivors()
+                    key, held, scans = (row["qb"], row["share"]), {}, {}
+                dim, n = row["dim"], row["n"]
+                if row["kind"] == 0:
+                    held.setdefault(dim, []).append((ints(row["h1"]), ints(row["h2"]), reals(row["data"]).reshape(n, dim)))
+                elif dim in held:
+                    if dim not in scans:
+                        scans[dim] = Scan(*map(np.concatenate, zip(*held[dim], strict=True)), k)
+                    cells = np.frombuffer(row["data"], np.uint8).reshape(n, dim)
+                    scans[dim].block(ints(row["ids"]), ints(row["h1"]), ints(row["h2"]), reals(row["low"]), reals(row["step"]), cells)
+                    if scans[dim].n_held > HELD:
+                        yield scans[dim].survivors()
+        for s in scans.values():
+            yield s.survivors()
+
+    return run
 
 
 class Best:
-    """The k best (score, id) so far of each query of one block."""
+    """The k best (score, id) so far of one query, each id with its best score."""
 
-    def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int):
-        self.ids, self.queries, self.k = ids, queries, k
-        self.scores: list[np.ndarray] = [np.empty(0)] * len(ids)
-        self.found: list[np.ndarray] = [np.empty(0, np.int64)] * len(ids)
-        self.kth = np.full(len(ids), -np.inf)
+    def __init__(self, k: int):
+        self.k, self.kth = k, -np.inf
+        self.scores, self.ids = np.empty(0), np.empty(0, np.int64)
 
-    def take(self, q: int, scores: np.ndarray, ids: np.ndarray) -> None:
-        scores, ids = np.concatenate([self.scores[q], scores]), np.concatenate([self.found[q], ids])
+    def take(self, scores: np.ndarray, ids: np.ndarray) -> None:
+        scores, ids = np.concatenate([self.scores, scores]), np.concatenate([self.ids, ids])
         order = np.lexsort((ids, -scores))
-        if len(np.unique(ids)) < len(ids):  # repeated rows of an id: the best counts
-            order = order[np.sort(np.unique(ids[order], return_index=True)[1])]
-        order = order[: self.k]
-        self.scores[q], self.found[q] = scores[order], ids[order]
+        order = order[np.sort(np.unique(ids[order], return_index=True)[1])][: self.k]
+        self.scores, self.ids = scores[order], ids[order]
         if len(order) == self.k:
-            self.kth[q] = self.scores[q][-1]
-
-
-def scan_block(best: Best, ids: np.ndarray, vectors: np.ndarray) -> None:
-    """Bounds from the cells of one candidate block, then exact reads in bound order."""
-    low = vectors.min(axis=0)
-    step = np.maximum((vectors.max(axis=0) - low) / CELLS, 1e-300)
-    cells = np.clip(np.floor((vectors - low) / step), 0, CELLS - 1).astype(np.uint8)
-    corner = (best.queries * step) @ cells.T.astype(np.float64) + (best.queries @ low)[:, None]
-    upper = corner + (np.maximum(best.queries, 0) @ step)[:, None]
-    upper += 1e-9 * (1 + np.abs(upper) + (np.abs(best.queries) @ np.abs(low))[:, None])
-    for q in np.flatnonzero(upper.max(axis=1) >= best.kth):
-        may = np.flatnonzero((upper[q] >= best.kth[q]) & (ids != best.ids[q]))
-        may = may[np.argsort(-upper[q][may], kind="stable")]
-        for at in range(0, len(may), READ_STEP):
-            read = may[at : at + READ_STEP]
-            if upper[q][read[0]] < best.kth[q]:
-                break
-            best.take(q, vectors[read] @ best.queries[q], ids[read])
-
-
-def search(k: int):
+            self.kth = self.scores[-1]
+
+
+def read_exact(k: int):
+    """Over rows sorted by (q1, q2, kind, upper falling): the query's vector, then its survivors."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_blocks: dict[tuple, Best] = {}
+        key, query, best, out = None, None, Best(k), []
+
+        def done() -> pa.RecordBatch:
+            cols = list(zip(*out, strict=True)) if out else [[]] * 4
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["q1", "q2", "vec_id", "score"])
+
         for batch in batches:
-            for row in batch.to_pylist():
-                key = (row["qb"], row["dim"], row["q_ids"][0], len(row["q_ids"]))
-                if key not in open_blocks:
-                    open_blocks[key] = Best(np.array(row["q_ids"], np.int64), np.frombuffer(row["q_data"], np.float64).reshape(len(row["q_ids"]), row["dim"]), k)
-                scan_block(open_blocks[key], np.array(row["ids"], np.int64), np.frombuffer(row["data"], np.float64).reshape(len(row["ids"]), row["dim"]))
-        for best in open_blocks.values():
-            n = [len(x) for x in best.found]
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(best.ids, n)), pa.array(np.concatenate(best.found).astype(np.int64)), pa.array(np.concatenate(best.scores).astype(np.float64))], names=["query_id", "vec_id", "score"])
+            q1, q2, kind, ids, upper = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("q1", "q2", "kind", "id", "upper"))
+            vectors = batch.column("v")
+            offsets, flat = vectors.offsets.to_numpy(), vectors.values.to_numpy(zero_copy_only=False)
+            new = np.flatnonzero(np.concatenate([[True], (q1[1:] != q1[:-1]) | (q2[1:] != q2[:-1])])) if len(q1) else []
+            for start, stop in zip(new, [*new[1:], len(q1)], strict=True):
+                if (q1[start], q2[start]) != key:
+                    if key is not None:
+                        out.extend((*key, int(i), float(s)) for i, s in zip(best.ids, best.scores, strict=True))
+                    key, query, best = (int(q1[start]), int(q2[start])), None, Best(k)
+                if kind[start] == 0:
+                    query = flat[offsets[start] : offsets[start + 1]]
+                    start += 1
+                for at in range(start, stop, READ_STEP):
+                    if query is None or upper[at] < best.kth:
+                        break  # no later bound is higher: certain
+                    end = min(at + READ_STEP, stop)
+                    best.take(flat[offsets[at] : offsets[end]].reshape(end - at, len(query)) @ query, ids[at:end].astype(np.int64))
+            if len(out) > 10_000:
+                yield done()
+        if key is not None:
+            out.extend((*key, int(i), float(s)) for i, s in zip(best.ids, best.scores, strict=True))
+        yield done()
 
     return run
 
 
 def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score double: each query's k best among the other ids."""
-    asked = usable(queries, id_col, vec_col)
-    n_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    query_blocks = asked.repartition(n_blocks, "id").mapInArrow(pack, PACKED).select(F.spark_partition_id().alias("qb"), F.col("ids").alias("q_ids"), F.col("dim").alias("q_dim"), F.col("data").alias("q_data"))
-    blocks = usable(vectors, id_col, vec_col).mapInArrow(pack, PACKED).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    met = blocks.join(query_blocks, "qb").filter(F.col("dim") == F.col("q_dim"))
-    found = met.select("qb", "dim", "q_ids", "q_data", "ids", "data").mapInArrow(search(k), FOUND)
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    conf = vectors.sparkSession.conf
+    wide = k + 1  # the query itself may be among its best
+    asked = checkpointed(usable(queries, id_col, vec_col).dropDuplicates(["h1", "h2", "id"]))
+    distinct = asked.dropDuplicates(["h1", "h2"])
+    exact = checkpointed(rankable(usable(vectors, id_col, vec_col), wide))
+    n_blocks = max(1, -(-distinct.count() // QUERY_BLOCK))
+    shares = max(-(-exact.count() // SHARE), -(-int(conf.get("spark.sql.shuffle.partitions")) // n_blocks))
+
+    places = ["qb", "share", "kind", "n", "dim", "ids", "h1", "h2", "low", "step", "data"]
+    blocks = distinct.withColumn("qb", F.pmod("h1", F.lit(n_blocks)).cast("int")).repartition("qb").mapInArrow(pack_queries, f"qb int, {PACKED}")
+    blocks = blocks.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))).withColumn("kind", F.lit(0))
+    cells = checkpointed(exact.mapInArrow(quantise, PACKED)).withColumn("share", F.pmod(F.xxhash64("h1"), F.lit(shares)).cast("int"))
+    cells = cells.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).withColumn("kind", F.lit(1))
+    grid = blocks.select(*places).unionByName(cells.select(*places)).repartition("qb", "share").sortWithinPartitions("qb", "share", "kind")
+    survived = checkpointed(grid.mapInArrow(scan(wide), SURVIVED))
+
+    lowest = survived.groupBy("q1", "q2", "id").agg(F.max("lower").alias("lower"))
+    lowest = lowest.withColumn("place", F.row_number().over(Window.partitionBy("q1", "q2").orderBy(F.desc("lower")))).filter(F.col("place") <= wide)
+    floors = lowest.filter(F.col("place") == wide).select(F.col("q1").alias("f1"), F.col("q2").alias("f2"), F.col("lower").alias("floor"))
+    left = survived.join(floors, (F.col("q1") == F.col("f1")) & (F.col("q2") == F.col("f2")), "left").filter(F.col("floor").isNull() | (F.col("upper") >= F.col("floor")))
+    reads = left.select("q1", "q2", "id", "h1", "h2", "upper").join(exact, ["id", "h1", "h2"]).select("q1", "q2", F.lit(1).alias("kind"), "id", "upper", "v")
+    firsts = distinct.select(F.col("h1").alias("q1"), F.col("h2").alias("q2"), F.lit(0).alias("kind"), "id", F.lit(float("inf")).alias("upper"), "v")
+    # a key of its own: both sides may already be dealt by (q1, q2), which the union would pass on and adaptive reads undo
+    both = firsts.unionByName(reads).withColumn("deal", F.xxhash64("q1", "q2"))
+    ordered = both.repartition("deal").sortWithinPartitions("q1", "q2", "kind", F.desc("upper"))
+    found = ordered.mapInArrow(read_exact(wide), FOUND)
+
+    own = asked.select(F.col("id").alias("query_id"), "h1", "h2").join(found, (F.col("h1") == F.col("q1")) & (F.col("h2") == F.col("q2"))).filter(F.col("query_id") != F.col("vec_id"))
+    once = own.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     ranked = once.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

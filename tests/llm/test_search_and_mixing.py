@@ -1,36 +1,85 @@
+import math
 import random
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from chatlake.llm import mixing, vector_search
 
 
+def brute_top_k(rows, k, asked):
+    """Over (id, vector) rows, by the definition: an id's best score over its rows and the query's."""
+    usable = [(i, np.array(v, float)) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    best = {}
+    for q, x in usable:
+        if asked(q):
+            for c, y in usable:
+                if c != q and len(x) == len(y):
+                    best[q, c] = max(best.get((q, c), -math.inf), float(x @ y))
+    ranked = {}
+    for (q, c), s in sorted(best.items(), key=lambda e: (e[0][0], -e[1], e[0][1])):
+        ranked.setdefault(q, []).append((c, s))
+    return sorted((q, r + 1, c, s) for q, found in ranked.items() for r, (c, s) in enumerate(found[:k]))
+
+
+def odd_vectors():
+    """Ties, a hot vector, an id with many vectors, repeated rows, other lengths, nothing to compare."""
+    rng = np.random.default_rng(3)
+    rows = [(i, x.tolist()) for i, x in enumerate(rng.integers(-9, 9, (300, 6)).astype(float))]
+    rows += [(1000 + i, [7.0, 1.0, -3.0, 2.0, 5.0, 6.0]) for i in range(150)] + [(440, x.tolist()) for x in rng.integers(-12, 12, (120, 6)).astype(float)]
+    rows += [rows[5]] * 50 + [(400, None), (401, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (402, [float("nan")] * 6), (403, [float("inf")] * 6), (None, rows[0][1])]
+    return rows + [(404, [1.0, 2.0]), (420, [3.0, 1.0]), (460, [1.0, 2.0, 3.0]), (480, []), (481, []), (500, [1e200] * 6), (501, [-1e200, 1e200, 0.0, 0.0, 0.0, 0.0])]
+
+
 def test_top_k_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(vector_search, "QUERY_BLOCK", 7)
-    rng = np.random.default_rng(3)
-    v = rng.integers(-9, 9, (300, 6)).astype(float)
-    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(5, v[5].tolist()), (400, None), (401, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (402, [float("nan")] * 6), (403, [float("inf")] * 6), (None, v[0].tolist()), (404, [1.0, 2.0]), (420, [3.0, 1.0])]
-    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumn("score", F.lit("old"))
+    monkeypatch.setattr(vector_search, "BLOCK", 16)
+    rows = odd_vectors()
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumns({c: F.lit("old") for c in ("score", "id", "v", "h1", "h2", "q1", "qb", "share", "kind", "rank", "upper")})
+    with np.errstate(over="ignore", invalid="ignore"):
+        expected = brute_top_k([r for r in rows if r[0] not in (500, 501)], 5, lambda q: q % 20 == 0)
+    small = df.filter("vec_id < 500 or vec_id >= 1000")
+    got = vector_search.exact_top_k(small, small.filter("vec_id % 20 = 0"), 5).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == expected
+    assert {(420, 1, 404, 5.0), (480, 1, 481, 0.0)} <= set(expected) and not any(r[0] == 460 for r in expected)
+    assert vector_search.exact_top_k(df, df.filter("vec_id = 500"), 2).count() == 2  # beyond the exact range, but no crash
+    assert vector_search.exact_top_k(df.limit(0), df.limit(0), 5).collect() == [] and vector_search.exact_top_k(df, df.limit(0), 5).collect() == []
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 211])
+def test_top_k_whatever_the_partitions(spark, monkeypatch, partitions):
+    rows = odd_vectors()[:-2]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(13)
+    plain = type(df).repartition
+    monkeypatch.setattr(type(df), "repartition", lambda self, n, *cols: plain(self, partitions, *([n, *cols] if isinstance(n, str) else cols)))
     got = vector_search.exact_top_k(df, df.filter("vec_id % 20 = 0"), 5).collect()
-    expected = []
-    for q in range(0, 300, 20):
-        scores = v @ v[q]
-        best = [i for i in np.lexsort((np.arange(300), -scores)) if i != q][:5]
-        expected += [(q, r + 1, int(i), scores[i]) for r, i in enumerate(best)]
-    expected += [(420, 1, 404, 5.0)]
-    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == sorted(expected)
-    assert vector_search.exact_top_k(df.limit(0), df.limit(0), 5).collect() == []
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == brute_top_k(rows, 5, lambda q: q % 20 == 0)
+
+
+def approximation(x):
+    """The cells of a matrix, as the arguments of Scan.block."""
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(len(x))), pa.array(x.tolist(), pa.list_(pa.float64())), pa.array(np.arange(len(x))), pa.array(np.arange(len(x)))], names=["id", "v", "h1", "h2"])
+    for row in vector_search.quantise([batch]):
+        r = row.to_pylist()[0]
+        ints = [np.frombuffer(r[c], np.int64) for c in ("ids", "h1", "h2")]
+        yield *ints, np.frombuffer(r["low"]), np.frombuffer(r["step"]), np.frombuffer(r["data"], np.uint8).reshape(r["n"], r["dim"])
 
 
-def test_cells_cut_exact_reads(monkeypatch):
+def test_cells_bound_scores_and_cut_exact_reads():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(4000, 8))
-    best, reads = vector_search.Best(np.array([-1]), x[:1], 5), []
-    take = best.take
-    best.take = lambda q, s, i: (reads.append(len(s)), take(q, s, i))
-    vector_search.scan_block(best, np.arange(4000), x)
-    assert sum(reads) < 400 and list(best.found[0]) == list(np.argsort(-(x @ x[0]))[:5])
+    scan = vector_search.Scan(np.arange(3), np.arange(3), x[:3], 6)
+    for block in approximation(x):
+        scan.block(*block)
+    left = scan.survivors().to_pydict()
+    score = x[left["id"]] @ x[:3].T
+    assert len(left["id"]) < 3 * 400
+    for q, s, lower, upper in zip(left["q1"], score, left["lower"], left["upper"], strict=True):
+        assert lower <= s[q] <= upper
+    for q in range(3):
+        assert set(np.argsort(-(x @ x[q]))[:6]) <= {i for i, of in zip(left["id"], left["q1"], strict=True) if of == q}
 
 
 def highest_quotients(x, seats):
