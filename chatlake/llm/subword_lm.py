@@ -3,11 +3,12 @@
 A word's lattice has an arc for every vocabulary piece that matches at some place (bytes for
 characters without a piece).  The forward recursion, in log space, sums over all segmentations; the
 backward one gives expected piece counts.  The vocabulary is given; its ranks are the first scores,
-and two rounds of expectation maximisation over the training words turn them into the corpus's piece
-probabilities.  ``lattice_score`` is the marginal probability of the text under the pieces alone.
-For ``score`` each word's lattice has one arc more, for the whole word, with its discounted training
-frequency; the discounted mass goes to the pieces.  Without it, a subword unigram model cannot tell
-common words from common syllables.
+and two rounds of expectation maximisation over all training words turn them into the corpus's piece
+probabilities.  ``score`` is the marginal probability of the text: that of its words' lattices and of
+its end.
+
+``mixed_score`` is a column for comparison: each word's lattice has one arc more, for the whole word, with
+its discounted training frequency; the discounted mass goes to the pieces.
 
 Pieces never cross white space, so a text's probability is the product over its words and its end,
 and each distinct word is computed once.  Words are counted in tasks before they are shuffled.
@@ -20,7 +21,8 @@ Defined cases
 * A-Z only are lower-cased; words are runs without the six ASCII white-space characters.
 * repeated rows (same doc_id and text) are each returned.  An empty table gives an empty result;
   without training tokens, counts are zero and the vocabulary's ranks alone give the score.
-* very long words teach and are scored whole by the same recursions, position by position.
+* very long texts and words teach and are scored whole, long words by the same recursions position by
+  position.  Only doc_id and text are read, so other columns, clashing names included, don't matter.
 """
 
 from __future__ import annotations
@@ -361,7 +363,7 @@ def take_heavy(heavy, end: tuple[int, float, float, float]):
 
 
 def score(docs: DataFrame, folds: int = 7, held_fold: int = 2, vocabulary: str = VOCABULARY) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, lattice_score of each row."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, mixed_score of each row."""
     sc = docs.sparkSession.sparkContext
     held = in_fold("doc_id", folds, held_fold)
     texts = docs.select("doc_id", "text", (~held).alias("taught"))
@@ -389,5 +391,5 @@ def score(docs: DataFrame, folds: int = 7, held_fold: int = 2, vocabulary: str =
         "doc_id", in_fold("doc_id", folds, held_fold).alias("held_out"),
         (F.col("n_tokens") / F.col("m")).cast("long").alias("n_tokens"), (F.col("n_known") / F.col("m")).cast("long").alias("n_known"),
         F.lit(totals.tokens).cast("long").alias("train_tokens"), (F.col("base") / F.col("m")).alias("base_score"),
-        (F.col("mixed") / F.col("m")).alias("score"), (F.col("lattice") / F.col("m")).alias("lattice_score"),
+        (F.col("lattice") / F.col("m")).alias("score"), (F.col("mixed") / F.col("m")).alias("mixed_score"),
     )

@@ -182,12 +182,12 @@ def test_lm_base_and_model(make):
         base = sum(math.log10((train[x] + 1) / (total + distinct + 1)) for x in w) + math.log10((n + 1) / (total + distinct + 1))
         expected.append((i, i is not None and fold(i, 7) == 2, len(w) + 1, 1 + sum(x in train for x in w), total, round(base, 6)))
     assert sorted((((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6))) for r in got), key=str) == sorted(expected, key=str)
-    assert all(-1e6 < r["score"] < 0 and r["lattice_score"] < 0 for r in got)
+    assert all(-1e6 < r["score"] < 0 and -1e6 < r["mixed_score"] < 0 for r in got)
 
 
 def test_lm_light_and_heavy_words_give_the_same(make, monkeypatch):
     rows = [(i, "a b c d e f a a b " * (i % 3)) for i in range(30)]
-    show = lambda got: sorted((r["doc_id"], r["n_known"], round(r["base_score"], 8), round(r["score"], 8)) for r in got)
+    show = lambda got: sorted((r["doc_id"], r["n_known"], round(r["base_score"], 8), round(r["score"], 8), round(r["mixed_score"], 8)) for r in got)
     heavy = show(subword_lm.score(make(rows)).collect())
     monkeypatch.setattr(subword_lm, "HEAVY", 2)
     assert show(subword_lm.score(make(rows)).collect()) == heavy
