@@ -1,14 +1,16 @@
 """Substring dedup by hashing lines and their parts.
 
-Every line is cut into units at the ends of sentences of at least ``UNIT_WORDS`` words.  Units are
+Every line is cut into units at the ends of sentences of at least ``UNIT_WORDS`` words; lines too short for
+that flow on into each other, up to the end of the paragraph, until a unit has its words.  Units are
 normalised (white space, case) and hashed to 128 bits, and the digests are grouped over all
 documents.  Of each digest the earliest ranked occurrence, by doc_id and then by offset, is kept;
-the others are repeats.  A sequence of units of at least ``RUN_WORDS`` words is removed if the same
-sequence stands anywhere earlier, wherever else its single units are first seen.  To find them all, the
-shortest sequences of so many words that start or end with each unit are hashed and grouped like the
-units: any longer sequence is made up of them.  What goes is reported with its offsets in the original
-text, one row for the units that follow each other here and where they are kept.  Short repeats
-(boilerplate phrases) stay, also where several happen to meet.
+the others are repeats and are removed.  What goes is reported with its offsets in the original text, one
+row for the units that follow each other here and where they are kept.
+
+``run_words`` above 0 removes repeats only in sequences of units of so many words that stand anywhere
+earlier as such, wherever else their single units are first seen: short phrases that everybody uses then
+stay.  To find these sequences, the shortest ones of so many words that start or end with each unit are
+hashed and grouped like the units: any longer one is made up of them.
 
 Skew: each task combines its own occurrences of a digest before the shuffle, so a passage that a
 third of all documents hold arrives as one row a task; the repeated digests are
@@ -16,12 +18,15 @@ checkpointed, so that the join that marks the repeats is a plain shuffle join, w
 adaptive execution can split.  Only digests and offsets are shuffled.
 
 Defined cases
-* null and empty texts have no units.  Short sentences at the end of a line, and lines without a long
-  one, are not hashed; they neither make nor break a run and are never removed.
+* null and empty texts have no units.  Fewer than ``UNIT_WORDS`` words left over at the end of a line or of a
+  block of short lines are not hashed; they neither make nor break a run and are never removed.
+* a word counts once for every 8 characters, and at least once, where words average over 12: text without
+  white space (other scripts, encoded data) is cut at its sentence marks and lines, and has units too.
 * null doc_ids rank after all ids.  Rows with the same doc_id are one document: an occurrence at the
-  same offset is the same occurrence, so repeated rows alone remove nothing.
+  same offset is the same occurrence, so repeated rows alone remove nothing.  Ties cannot occur.
 * offsets are code points, end exclusive.  An empty table gives an empty result.
-* very long texts and lines are handled whole.
+* very long texts and lines are handled whole.  Only doc_id and text are read by the search; columns with
+  clashing names stay as they are, but for ``removed``, which is replaced.
 """
 
 from __future__ import annotations
@@ -38,10 +43,36 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chatlake.llm.names import fresh
 from chatlake.session import checkpointed
 
-UNIT_WORDS, RUN_WORDS = 5, 20
-LINE, CUT = re.compile(r"[^\n]+"), re.compile(r"[.!?][^\w\s]*[\x20\t\r\f\v]+")
+UNIT_WORDS, LONG_LINE, LONG_WORD = 5, 80, 12
+LINE, CUT = re.compile(r"[^\n]+"), re.compile(r"[.!?][^\w\s]*[\x20\t\r\f\v]+|[。！？]")
+
+
+def count(part: str) -> int:
+    """Words of a part of a text; long ones count by their characters."""
+    found = part.split()
+    if sum(map(len, found)) <= LONG_WORD * len(found):
+        return len(found)
+    return sum(max(1, len(w) // 8) for w in found)
+
+
+def flowing(text: str, lines: list[tuple[int, int, int]], unit_words: int) -> Iterator[tuple[int, int, int]]:
+    """Units of consecutive short lines.
+
+    A unit has at least ``unit_words`` and ends with a line chosen by the line's own hash (every other one,
+    on average), so units fall alike wherever the lines stand; or with four times as many words.
+    """
+    words, start = 0, None
+    for a, b, n in lines:
+        start = a if start is None else start
+        words += n
+        if words >= unit_words and (words >= 4 * unit_words or digest(text[a:b])[0] % 2):
+            yield start, b, words
+            words, start = 0, None
+    if words >= unit_words:
+        yield start, lines[-1][1], words
 
 
 def units(text: str, unit_words: int = UNIT_WORDS) -> Iterator[tuple[int, int, int]]:
@@ -51,17 +82,27 @@ def units(text: str, unit_words: int = UNIT_WORDS) -> Iterator[tuple[int, int, i
     units end depends on their own sentences only: a passage is cut alike wherever it stands.
     Where there are none, a unit ends with the sentence that brings it to four times as many words.
     """
+    short, behind = [], 0
     for line in LINE.finditer(text):
         start, stop = line.span()
-        if stop - start < 2 * unit_words - 1:
+        n = count(line[0]) if stop - start < LONG_LINE else unit_words
+        if short and (n == 0 or n >= unit_words or start > behind + 1):  # a long line or the end of the paragraph
+            yield from flowing(text, short, unit_words)
+            short = []
+        behind = stop
+        if n < unit_words:
+            if n:
+                short.append((start, stop, n))
             continue
         words, last = 0, start
         for end in [*(cut.end() for cut in CUT.finditer(text, start, stop)), stop]:
-            own = len(text[last:end].split())
+            own = count(text[last:end])
             words, last = words + own, end
             if own >= unit_words or words >= 4 * unit_words:
                 yield start, end, words
                 start, words = end, 0
+    if short:
+        yield from flowing(text, short, unit_words)
 
 
 def digest(unit: str) -> bytes:
@@ -71,7 +112,7 @@ def digest(unit: str) -> bytes:
 def windows(words: list[int], run_words: int) -> Iterator[tuple[int, int]]:
     """(first, behind the last) of the shortest sequences of ``run_words`` that start or end with each unit.
 
-    Single units of so many words are left out, as they are hashed anyway.  Each unit of a sequence that
+    Single units are left out, as they are hashed anyway; for ``run_words`` 0 there are no others.  Each unit of a sequence that
     long is in a window inside of it: one that ends with the unit, or one that starts with the sequence.
     """
     sums = [0, *accumulate(words)]
@@ -110,7 +151,7 @@ def hashed(run_words: int):
     return run
 
 
-def find_repeats(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
+def find_repeats(docs: DataFrame, run_words: int = 0) -> DataFrame:
     """doc_id, start, end, n_units, n_words, kept_doc_id, kept_start: removed units that follow each other.
 
     ``kept_doc_id`` and ``kept_start`` are where the first of them is kept, and the others behind it.  A
@@ -152,10 +193,11 @@ def cut_out(texts: pa.Array, spans: pa.Array) -> pa.Array:
     return pa.array(out, pa.string())
 
 
-def remove_repeats(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
+def remove_repeats(docs: DataFrame, run_words: int = 0) -> DataFrame:
     """``docs`` with the repeats cut out of the text, and their original spans in ``removed``."""
-    spans = find_repeats(docs, run_words).groupBy(F.col("doc_id").alias("__pd_id")).agg(F.collect_list(F.struct("start", "end")).alias("__pd_cuts"))
-    met = docs.join(spans, docs["doc_id"].eqNullSafe(spans["__pd_id"]), "left")
+    own, found = fresh(docs, "own", "cuts")
+    spans = find_repeats(docs, run_words).groupBy(F.col("doc_id").alias(own)).agg(F.collect_list(F.struct("start", "end")).alias(found))
+    met = docs.join(spans, docs["doc_id"].eqNullSafe(spans[own]), "left")
     names = [c for c in docs.columns if c != "removed"]
-    cuts = F.coalesce(F.array_sort("__pd_cuts"), F.array().cast("array<struct<start:int,end:int>>"))
+    cuts = F.coalesce(F.array_sort(spans[found]), F.array().cast("array<struct<start:int,end:int>>"))
     return met.select(*[cut_out(docs["text"], cuts).alias("text") if c == "text" else docs[c] for c in names], cuts.alias("removed"))

@@ -9,9 +9,14 @@ from chatlake.llm import decontaminate, jaccard_join, line_dedup, mixing, passag
 from chatlake.session import checkpointed, table
 
 
+#: op1's production parameter.  Lines that many documents share by custom are line dedup's (op2); removing
+#: every repeated sentence of five words too (``run_words`` 0) touches nearly every second document.
+PASSAGE_WORDS = 20
+
+
 def op1_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The repeated passages that are removed from each document, with their original offsets."""
-    return passage_dedup.find_repeats(table(spark, sf_dir, "documents"))
+    return passage_dedup.find_repeats(table(spark, sf_dir, "documents"), PASSAGE_WORDS)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 
 from chatlake.llm import line_dedup, passage_dedup
 
@@ -54,33 +55,102 @@ def sentence(rng, n):
     return " ".join("".join(rng.choices("abcdefghij", k=rng.randrange(3, 9))) for _ in range(n)).capitalize() + "."
 
 
+def n_words(part):
+    w = part.split()
+    return len(w) if sum(map(len, w)) <= 12 * len(w) else sum(max(1, len(x) // 8) for x in w)
+
+
+def said(part):
+    return " ".join(part.lower().split())
+
+
+def plain_units(text):
+    """(start, end, words) by the rule, character by character."""
+    out, block, at = [], [], 0
+
+    def close():
+        start, n = None, 0
+        for a, b in block:
+            start, n = a if start is None else start, n + n_words(text[a:b])
+            if n >= 20 or n >= 5 and hashlib.blake2b(said(text[a:b]).encode(), digest_size=16).digest()[0] % 2:
+                out.append((start, b, n))
+                start, n = None, 0
+        if n >= 5:
+            out.append((start, block[-1][1], n))
+        block.clear()
+
+    for line in text.split("\n"):
+        end = at + len(line)
+        if len(line) < 80 and 0 < n_words(line) < 5:
+            block.append((at, end))
+        else:
+            close()
+            start, n, i = at, 0, at
+            while len(line.split()) and i < end:
+                j = i  # the next sentence: up to a mark, what is no word behind it, and white space
+                while j < end:
+                    m = re.compile(r"[.!?][^\w\s]*[ \t\r\f\v]+|[。！？]").match(text, j, end)
+                    if m:
+                        j = m.end()
+                        break
+                    j += 1
+                own = n_words(text[i:j])
+                n, i = n + own, j
+                if own >= 5 or n >= 20:
+                    out.append((start, j, n))
+                    start, n = j, 0
+        at = end + 1
+    close()
+    return out
+
+
 def brute_passages(rows, run_words):
-    first, found = {}, {}
+    """(doc_id, start, end, n_units, n_words, kept_doc_id, kept_start) of what is removed.
+
+    For each unit and each earlier place of the same unit, the equal units around both are followed as far
+    as they go; the unit is removed if they have enough words.
+    """
+    docs = {}
     for i, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
-        for place, (a, b, n) in enumerate(passage_dedup.units(text or "")):
-            d = hashlib.sha256(" ".join(text[a:b].lower().split()).encode()).digest()
-            kept = first.setdefault(d, (i, a, place))
-            if kept[:2] != (i, a):
-                found.setdefault((i, kept[0], kept[2] - place), []).append((place, a, b, n))
-    out = set()
-    for (i, _, _), u in found.items():
-        runs = [[u[0]]]
-        for x in u[1:]:
-            if x[0] == runs[-1][-1][0] + 1:
-                runs[-1].append(x)
-            else:
-                runs.append([x])
-        out |= {(i, r[0][1], r[-1][2], len(r), sum(x[3] for x in r)) for r in runs if sum(x[3] for x in r) >= run_words}
+        docs[i] = [(a, b, n, said(text[a:b])) for a, b, n in plain_units(text or "")]
+    places, out = {}, set()
+    for i, cut in docs.items():
+        gone = []
+        for p, u in enumerate(cut):
+            earlier = places.setdefault(u[3], [])
+            for j, q in earlier:
+                other, low, high = docs[j], 0, 0
+                while min(p, q) + low > 0 and cut[p + low - 1][3] == other[q + low - 1][3]:
+                    low -= 1
+                while max(p + high + 1 - len(cut), q + high + 1 - len(other)) < 0 and cut[p + high + 1][3] == other[q + high + 1][3]:
+                    high += 1
+                if sum(x[2] for x in cut[p + low : p + high + 1]) >= run_words:
+                    gone.append((p, *earlier[0]))
+                    break
+            earlier.append((i, p))
+        runs = []
+        for p, j, q in gone:
+            if not (runs and runs[-1][-1][0] == p - 1 and runs[-1][-1][1:] == (j, q - 1)):
+                runs.append([])
+            runs[-1].append((p, j, q))
+        for run in runs:
+            (p, j, q), end = run[0], run[-1][0]
+            out.add((i, cut[p][0], cut[end][1], len(run), sum(x[2] for x in cut[p : end + 1]), j, docs[j][q][0]))
     return out
 
 
+def passage_rows(df):
+    return {(r["doc_id"], r["start"], r["end"], r["n_units"], r["n_words"], r["kept_doc_id"], r["kept_start"]) for r in df.collect()}
+
+
 def test_passages_equal_brute_force_and_spans_cut_exactly(spark, make):
     rng = random.Random(8)
     passage = " ".join(sentence(rng, rng.randrange(9, 14)) for _ in range(6))
     texts = [" ".join(sentence(rng, 12) for _ in range(rng.randrange(1, 6))) for _ in range(20)]
     rows = [(i, t if i % 3 else f"{t}\n{passage.upper() if i == 6 else passage}\n{t[::-1]}") for i, t in enumerate(texts)] + [(100, texts[1]), (100, texts[1]), (None, passage)]
     got = passage_dedup.find_repeats(make(rows)).collect()
-    assert {(r["doc_id"], r["start"], r["end"], r["n_units"], r["n_words"]) for r in got} == brute_passages(rows, passage_dedup.RUN_WORDS)
+    assert passage_rows(passage_dedup.find_repeats(make(rows))) == brute_passages(rows, 0)
+    assert passage_rows(passage_dedup.find_repeats(make(rows), 20)) == brute_passages(rows, 20)
     assert {r["doc_id"] for r in got} >= {3, 6, 9, None} and 0 not in {r["doc_id"] for r in got}
     assert all(r["kept_doc_id"] == 0 for r in got if r["doc_id"] in (3, 6, 9))
     text = dict(rows)
@@ -108,29 +178,14 @@ def test_units_end_with_long_sentences_wherever_they_stand():
     assert text[spans[1][0] : spans[1][1]] in [moved[a:b] for a, b, _ in passage_dedup.units(moved)]
 
 
-def brute_repeated_units(rows, run_words):
-    """(doc_id, start, end) of the units in any sequence of enough words that stands earlier too."""
-    seen, out = set(), set()
-    for i, text in sorted(rows):
-        cut = list(passage_dedup.units(text))
-        said = [" ".join(text[a:b].lower().split()) for a, b, _ in cut]
-        for a in range(len(cut)):
-            for b in range(a + 1, len(cut) + 1):
-                if sum(u[2] for u in cut[a:b]) >= run_words:
-                    if tuple(said[a:b]) in seen:
-                        out |= {(i, *u[:2]) for u in cut[a:b]}
-                    seen.add(tuple(said[a:b]))
-    return out
-
-
 def test_passages_whose_sentences_stand_elsewhere_too(make):
     rng = random.Random(21)
     s = [sentence(rng, 9) for _ in range(6)]
     fill = lambda: sentence(rng, 12)
     rows = [(1, f"{fill()} {s[1]} {fill()}"), (2, f"{fill()} {s[3]} {fill()}"), (3, f"{fill()} {' '.join(s)} {fill()}"), (4, f"{fill()} {' '.join(s)} {fill()}")]
-    got = passage_dedup.find_repeats(make(rows)).collect()
+    got = passage_dedup.find_repeats(make(rows), 20).collect()
     assert {r["doc_id"] for r in got} == {4} and sum(r["n_words"] for r in got) == 54 and {r["kept_doc_id"] for r in got} == {1, 2, 3}
-    text = {r["doc_id"]: r["text"] for r in passage_dedup.remove_repeats(make(rows)).collect()}
+    text = {r["doc_id"]: r["text"] for r in passage_dedup.remove_repeats(make(rows), 20).collect()}
     assert text[3] == rows[2][1] and not any(x in text[4] for x in s) and len(text[4].split()) == 24
 
 
@@ -138,5 +193,20 @@ def test_passages_equal_all_sequences(make):
     rng = random.Random(22)
     pool = [sentence(rng, rng.randrange(5, 24)) for _ in range(9)]
     rows = [(i, " ".join(rng.choice(pool) for _ in range(rng.randrange(1, 7)))) for i in range(30)]
-    covered = {(r["doc_id"], x) for r in passage_dedup.find_repeats(make(rows)).collect() for x in range(r["start"], r["end"])}
-    assert covered == {(i, x) for i, a, b in brute_repeated_units(rows, passage_dedup.RUN_WORDS) for x in range(a, b)} and covered
+    for run_words in (0, 20, 40):
+        got = passage_rows(passage_dedup.find_repeats(make(rows), run_words))
+        assert got and got == brute_passages(rows, run_words)
+
+
+def test_short_lines_and_text_without_spaces_are_found(make):
+    rng = random.Random(23)
+    verse = "\n".join(" ".join(sentence(rng, rng.randrange(1, 4)).split()) for _ in range(30))
+    han = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(n))
+    prose = "。".join(han(44) for _ in range(5)) + "。"
+    blob = "".join(rng.choices("abcdefABCDEF0123456789+/", k=400))
+    rows = [(1, f"Title of it\n{verse}"), (2, f"One\nTwo words\nand three more\n{verse}\n\nEnd"), (3, prose), (4, han(50) + "。" + prose), (5, blob), (6, f"See\n\n{blob}\n")]
+    got = passage_rows(passage_dedup.find_repeats(make(rows)))
+    assert got == brute_passages(rows, 0) and {r[0] for r in got} == {2, 4, 6}
+    text = {r["doc_id"]: r["text"] for r in passage_dedup.remove_repeats(make(rows)).collect()}
+    assert len(text[2]) < 0.4 * len(rows[1][1]) and len(text[4]) == 51 and text[6] == "See\n\n\n"
+    assert len(brute_passages(rows, 20)) and passage_rows(passage_dedup.find_repeats(make(rows), 20)) == brute_passages(rows, 20)
