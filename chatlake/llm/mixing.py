@@ -18,6 +18,8 @@ Defined cases
 * a document's order depends on its doc_id and the seed alone; rows equal in doc_id and size are
   interchangeable, so reruns give the same rows.  An empty table gives an empty result.
 * ties of quotients: the source or shard that sorts first.
+* very long texts count whole.  Input columns named size, target or taken are replaced in the documents of the
+  mix; others stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chatlake.llm.names import fresh
 from chatlake.session import checkpointed
 
 WEIGHTS = (5, 2, 1)
@@ -64,9 +67,10 @@ def sainte_lague(cells: DataFrame, group: list[str], key: Column, x: str, seats:
     total, total_x = F.max(seats).over(own), F.sum(x).over(own)
     share = F.when(total_x > 0, F.col(x) / total_x).otherwise(0.0)
     rounded = cells.withColumn("__share", share).withColumn("__q", F.floor(F.col("__share") * total + 0.5).cast("long"))
+    # moved to the divisor that gives all seats, shares sum to at most half a seat a cell more or less
+    most = F.least(F.abs("__d"), F.ceil(F.col("__share") * F.count(F.when(F.col(x) > 0, 1)).over(own) / 2) + 2)
     short = rounded.withColumn("__d", F.when(F.max("__share").over(own) > 0, total - F.sum("__q").over(own)).otherwise(0))
-    steps = F.ceil(F.col("__share") * F.abs("__d")).cast("int") + 3
-    moves = short.withColumn("__j", F.explode(F.concat(F.array(F.lit(0)), F.when((F.col("__d") != 0) & (F.col(x) > 0), F.sequence(F.lit(1), steps)).otherwise(F.array().cast("array<int>")))))
+    moves = short.withColumn("__most", most.cast("int")).withColumn("__j", F.explode(F.concat(F.array(F.lit(0)), F.when((F.col("__d") != 0) & (F.col(x) > 0), F.sequence(F.lit(1), F.col("__most"))).otherwise(F.array().cast("array<int>")))))
     seat = F.when(F.col("__d") > 0, F.col("__q") + F.col("__j")).otherwise(F.col("__q") - F.col("__j") + 1)
     moves = moves.withColumn("__v", F.when((F.col("__j") > 0) & (seat > 0), F.col(x) / (2 * seat - 1)))
     gain = F.row_number().over(own.orderBy(F.col("__v").desc_nulls_last(), key.asc_nulls_last()))
@@ -103,9 +107,11 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     Rows with the same doc_id and text share what the mix takes of them evenly, rounded down.
     Only sizes and hashes go through the apportionment; texts move once, to meet their share.
     """
-    key = F.unhex(F.md5(F.concat_ws("|", F.coalesce(docs["doc_id"].cast("string"), F.lit("null")), F.coalesce(docs["source"], F.lit("null")), F.coalesce(F.md5("text"), F.lit("null")))))
-    taken = mix(docs.select("doc_id", "text", "source", key.alias("__mx_key")), carry=("__mx_key",))
-    shares = taken.groupBy("__mx_key").agg(F.max("size").alias("__mx_size"), F.max("target").alias("__mx_target"), F.floor(F.sum("taken") / F.count(F.lit(1))).cast("long").alias("__mx_taken")).filter(F.col("__mx_taken") > 0)
+    key, own = fresh(docs, "key", "own")
+    content = F.unhex(F.md5(F.concat_ws("|", F.coalesce(docs["doc_id"].cast("string"), F.lit("null")), F.coalesce(docs["source"], F.lit("null")), F.coalesce(F.md5("text"), F.lit("null")))))
+    taken = mix(docs.select("doc_id", "text", "source", content.alias(key)), carry=(key,))
+    shares = taken.groupBy(key).agg(F.max("size").alias("size"), F.max("target").alias("target"), F.floor(F.sum("taken") / F.count(F.lit(1))).cast("long").alias("taken")).filter(F.col("taken") > 0)
     names = [c for c in docs.columns if c not in ("size", "target", "taken")]
-    met = docs.withColumn("__mx_own", key).join(shares, F.col("__mx_own") == F.col("__mx_key"))
-    return met.select(*[docs[c] for c in names], F.col("__mx_size").alias("size"), F.col("__mx_target").alias("target"), F.col("__mx_taken").alias("taken"))
+    keyed = docs.withColumn(own, content)
+    met = keyed.join(shares, keyed[own] == shares[key])
+    return met.select(*[keyed[c] for c in names], *[shares[c] for c in ("size", "target", "taken")])
