@@ -9,7 +9,8 @@ component.  The search has two phases:
   bound of the query survive, first within a task, then over all tasks.
 * exact reads: only survivors are joined with their exact vectors.  Each query reads them in the order
   of the upper bound (for a similarity, the lower bound of a distance) until the next bound is below
-  the k-th exact score, when the result is certain.
+  the k-th exact score, when the result is certain.  Queries with many survivors share them out over
+  several readers, whose results are ranked together.
 
 Skew.  Equal vectors tie, and ties go to the smaller id, so of each distinct vector only its k + 1
 smallest ids can be listed: further copies are ranked out before the scan, with a limit in each task
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from chatlake.session import checkpointed
 
 CELLS, BLOCK, READ_STEP = 256, 2048, 32
-QUERY_BLOCK, SHARE, SLICE, HELD = 8192, 1 << 20, 512, 1 << 21
+QUERY_BLOCK, SHARE, SLICE, HELD, READ_SHARE = 8192, 1 << 20, 512, 1 << 21, 256
 PACKED = "n int, dim int, ids binary, h1 binary, h2 binary, low binary, step binary, data binary"
 SURVIVED = "q1 bigint, q2 bigint, id bigint, h1 bigint, h2 bigint, lower double, upper double"
 FOUND = "q1 bigint, q2 bigint, vec_id bigint, score double"
@@ -203,7 +204,7 @@ class Best:
 
 
 def read_exact(k: int):
-    """Over rows sorted by (q1, q2, kind, upper falling): the query's vector, then its survivors."""
+    """Over rows sorted by (q1, q2, reader, kind, upper falling): the query's vector, then its survivors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, query, best, out = None, None, Best(k), []
@@ -214,15 +215,15 @@ def read_exact(k: int):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["q1", "q2", "vec_id", "score"])
 
         for batch in batches:
-            q1, q2, kind, ids, upper = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("q1", "q2", "kind", "id", "upper"))
+            q1, q2, reader, kind, ids, upper = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("q1", "q2", "reader", "kind", "id", "upper"))
             vectors = batch.column("v")
             offsets, flat = vectors.offsets.to_numpy(), vectors.values.to_numpy(zero_copy_only=False)
-            new = np.flatnonzero(np.concatenate([[True], (q1[1:] != q1[:-1]) | (q2[1:] != q2[:-1])])) if len(q1) else []
+            new = np.flatnonzero(np.concatenate([[True], (q1[1:] != q1[:-1]) | (q2[1:] != q2[:-1]) | (reader[1:] != reader[:-1])])) if len(q1) else []
             for start, stop in zip(new, [*new[1:], len(q1)], strict=True):
-                if (q1[start], q2[start]) != key:
+                if (q1[start], q2[start], reader[start]) != key:
                     if key is not None:
-                        out.extend((*key, int(i), float(s)) for i, s in zip(best.ids, best.scores, strict=True))
-                    key, query, best = (int(q1[start]), int(q2[start])), None, Best(k)
+                        out.extend((*key[:2], int(i), float(s)) for i, s in zip(best.ids, best.scores, strict=True))
+                    key, query, best = (int(q1[start]), int(q2[start]), int(reader[start])), None, Best(k)
                 if kind[start] == 0:
                     query = flat[offsets[start] : offsets[start + 1]]
                     start += 1
@@ -234,7 +235,7 @@ def read_exact(k: int):
             if len(out) > 10_000:
                 yield done()
         if key is not None:
-            out.extend((*key, int(i), float(s)) for i, s in zip(best.ids, best.scores, strict=True))
+            out.extend((*key[:2], int(i), float(s)) for i, s in zip(best.ids, best.scores, strict=True))
         yield done()
 
     return run
@@ -260,13 +261,18 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "v
 
     lowest = survived.groupBy("q1", "q2", "id").agg(F.max("lower").alias("lower"))
     lowest = lowest.withColumn("place", F.row_number().over(Window.partitionBy("q1", "q2").orderBy(F.desc("lower")))).filter(F.col("place") <= wide)
-    floors = lowest.filter(F.col("place") == wide).select(F.col("q1").alias("f1"), F.col("q2").alias("f2"), F.col("lower").alias("floor"))
-    left = survived.join(floors, (F.col("q1") == F.col("f1")) & (F.col("q2") == F.col("f2")), "left").filter(F.col("floor").isNull() | (F.col("upper") >= F.col("floor")))
-    reads = left.select("q1", "q2", "id", "h1", "h2", "upper").join(exact, ["id", "h1", "h2"]).select("q1", "q2", F.lit(1).alias("kind"), "id", "upper", "v")
-    firsts = distinct.select(F.col("h1").alias("q1"), F.col("h2").alias("q2"), F.lit(0).alias("kind"), "id", F.lit(float("inf")).alias("upper"), "v")
+    floors = lowest.filter(F.col("place") == wide).select("q1", "q2", F.col("lower").alias("floor"))
+    readers = F.ceil(F.col("n") / READ_SHARE).cast("int").alias("readers")
+    asks = survived.groupBy("q1", "q2").agg(F.count(F.lit(1)).alias("n")).join(floors, ["q1", "q2"], "left").select(F.col("q1").alias("f1"), F.col("q2").alias("f2"), "floor", readers)
+    asks = checkpointed(asks)
+    left = survived.join(asks, (F.col("q1") == F.col("f1")) & (F.col("q2") == F.col("f2"))).filter(F.col("floor").isNull() | (F.col("upper") >= F.col("floor")))
+    reads = left.withColumn("reader", F.pmod("h1", F.col("readers")).cast("int")).select("q1", "q2", "reader", "id", "h1", "h2", "upper").join(exact, ["id", "h1", "h2"])
+    reads = reads.select("q1", "q2", "reader", F.lit(1).alias("kind"), "id", "upper", "v")
+    firsts = distinct.join(asks, (F.col("h1") == F.col("f1")) & (F.col("h2") == F.col("f2"))).withColumn("reader", F.explode(F.sequence(F.lit(0), F.col("readers") - 1)))
+    firsts = firsts.select(F.col("h1").alias("q1"), F.col("h2").alias("q2"), "reader", F.lit(0).alias("kind"), "id", F.lit(float("inf")).alias("upper"), "v")
     # a key of its own: both sides may already be dealt by (q1, q2), which the union would pass on and adaptive reads undo
-    both = firsts.unionByName(reads).withColumn("deal", F.xxhash64("q1", "q2"))
-    ordered = both.repartition("deal").sortWithinPartitions("q1", "q2", "kind", F.desc("upper"))
+    both = firsts.unionByName(reads).withColumn("deal", F.xxhash64("q1", "q2", "reader"))
+    ordered = both.repartition("deal").sortWithinPartitions("q1", "q2", "reader", "kind", F.desc("upper"))
     found = ordered.mapInArrow(read_exact(wide), FOUND)
 
     own = asked.select(F.col("id").alias("query_id"), "h1", "h2").join(found, (F.col("h1") == F.col("q1")) & (F.col("h2") == F.col("q2"))).filter(F.col("query_id") != F.col("vec_id"))

@@ -35,7 +35,7 @@ def odd_vectors():
 
 def test_top_k_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(vector_search, "QUERY_BLOCK", 7)
-    monkeypatch.setattr(vector_search, "BLOCK", 16)
+    monkeypatch.setattr(vector_search, "READ_SHARE", 5)
     rows = odd_vectors()
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumns({c: F.lit("old") for c in ("score", "id", "v", "h1", "h2", "q1", "qb", "share", "kind", "rank", "upper")})
     with np.errstate(over="ignore", invalid="ignore"):
@@ -92,7 +92,8 @@ def highest_quotients(x, seats):
 
 def test_sainte_lague_equals_seat_by_seat(spark):
     rng = random.Random(1)
-    rows, expected = [], {}
+    rows = [(99, i, x, 2020) for i, x in enumerate([1010.0] + [1.01] * 1000)]  # many small cells: the large one gets ten seats more
+    expected = {(99, i): n for i, n in enumerate(highest_quotients([r[2] for r in rows], 2020))}
     for g in range(40):
         x = [float(rng.choice([0, 1, 3, 10, 100, 7.5])) * rng.randrange(1, 20) for _ in range(rng.randrange(1, 12))]
         seats = rng.randrange(0, 60)
