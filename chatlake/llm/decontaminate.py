@@ -9,8 +9,10 @@ verified by growing the match token by token.
 
 Two plans, by a check of the benchmark's size.  Up to ``BROADCAST_CHARS`` characters the items and
 their seeds are broadcast, and one pass over the documents finds and tiles the pairs: no shuffle.
-Beyond, seeds of both sides meet in a shuffle join, and only the texts of candidate pairs are moved
-and tiled.  Both use the same tiling and give the same rows.
+Beyond, seeds of both sides meet in a shuffle join.  Tiles of ``MIN_MATCH`` tokens and more that cover a share
+of an item need a number of its seeds; so the most frequent seeds of each item, up to half of that number, are left
+out of the join (no seed that everybody uses joins all with all), and a pair must share the rest of the number
+before its texts are moved and tiled, once for each different text.  Both use the same tiling and give the same rows.
 
 Defined cases
 * tokens are runs of word characters in lower case; null texts have none.
@@ -18,20 +20,23 @@ Defined cases
 * ties between equally long matches: the earliest in the item, then in the document.
 * each row is judged by itself, so repeated rows and null ids each get their own hits; repeated
   items each report.  Empty tables give empty results; only the named columns are read.
-* very long texts are tiled whole.
+* very long texts are tiled whole.  Other columns of the documents, clashing names included, don't matter.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chatlake.session import checkpointed
+
 MIN_MATCH, COVERAGE, BROADCAST_CHARS = 4, 0.5, 16 << 20
 TOKEN = re.compile(r"\w+")
 HIT = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("coverage", T.DoubleType()), T.StructField("n_tiles", T.IntegerType()), T.StructField("longest", T.IntegerType())])
@@ -162,13 +167,18 @@ def _ready(shared, size: int) -> Benchmark:
     return _KEPT[key]
 
 
-@F.arrow_udf(T.ArrayType(T.StringType()))
-def seed_keys(texts: pa.Array) -> pa.Array:
+SEEDS = T.ArrayType(T.StructType([T.StructField("seed", T.StringType()), T.StructField("n", T.IntegerType()), T.StructField("size", T.IntegerType())]))
+
+
+@F.arrow_udf(SEEDS)
+def seed_counts(texts: pa.Array) -> pa.Array:
+    """The distinct seeds of each text, how often each occurs, and the text's tokens."""
     out = []
     for t in texts.to_pylist():
         w = tokens(t)
-        out.append(sorted({" ".join(w[i : i + MIN_MATCH]) for i in range(len(w) - MIN_MATCH + 1)}))
-    return pa.array(out, pa.list_(pa.string()))
+        found = Counter(" ".join(w[i : i + MIN_MATCH]) for i in range(len(w) - MIN_MATCH + 1))
+        out.append([{"seed": x, "n": n, "size": len(w)} for x, n in sorted(found.items())])
+    return pa.array(out, pa.list_(pa.struct([("seed", pa.string()), ("n", pa.int32()), ("size", pa.int32())])))
 
 
 def tile_pairs(size: int, coverage: float):
@@ -179,16 +189,33 @@ def tile_pairs(size: int, coverage: float):
     return tiled
 
 
+def candidate_pairs(texts: DataFrame, items: DataFrame, coverage: float) -> DataFrame:
+    """(t1, t2, item_key) of texts (t1, t2, text) and items (item_key, item_text) with enough common seeds.
+
+    Tiles that cover ``coverage`` of an item's tokens hold at least that many, divided by ``MIN_MATCH``, of its
+    windows.  Half of these may be among its most frequent seeds, which are not joined.
+    """
+    wanted = checkpointed(items.select("item_key", F.inline(seed_counts(F.col("item_text")))).dropDuplicates(["item_key", "seed"]))
+    known = wanted.select("seed").distinct()
+    held = checkpointed(texts.select("t1", "t2", F.explode(seed_counts(F.col("text"))).alias("x")).select("t1", "t2", "x.seed").join(known, "seed", "left_semi").distinct())
+    often = held.groupBy(F.col("seed").alias("o_seed")).agg(F.count(F.lit(1)).alias("texts"))
+    ranked = wanted.join(often, F.col("seed") == F.col("o_seed"))
+    before = F.sum("n").over(Window.partitionBy("item_key").orderBy(F.desc("texts"), "seed").rowsBetween(Window.unboundedPreceding, 0))
+    need = F.greatest(F.lit(1), F.ceil(F.col("size") * coverage / MIN_MATCH - 1e-9))
+    ranked = ranked.withColumn("need", need).withColumn("common", before <= F.floor(need / 2))
+    spared = F.coalesce(F.sum(F.when(F.col("common"), F.col("n"))).over(Window.partitionBy("item_key")), F.lit(0))
+    joined = ranked.withColumn("rest", F.col("need") - spared).filter(~F.col("common")).select("seed", "item_key", "n", "rest")
+    return held.join(joined, "seed").groupBy("t1", "t2", "item_key").agg(F.sum("n").alias("n"), F.max("rest").alias("rest")).filter(F.col("n") >= F.col("rest")).select("t1", "t2", "item_key")
+
+
 def shuffled_hits(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """(doc_id, text hash, hit) by a shuffle join on seeds, for a benchmark of any size."""
     own = docs.select("doc_id", "text", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(17), "text").alias("t2"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("item_text"), F.md5(F.coalesce("text", F.lit(""))).alias("item_key"))
-    left = own.select("t1", "t2", F.explode(seed_keys(F.col("text"))).alias("seed"))
-    right = items.select("item_key", F.explode(seed_keys(F.col("item_text"))).alias("seed")).distinct()
-    pairs = left.join(right, "seed").select("t1", "t2", "item_key").distinct()
-    texts = own.join(pairs, ["t1", "t2"]).join(items, "item_key")
-    tiled = texts.select("doc_id", "t1", "t2", tile_pairs(MIN_MATCH, coverage)("item_id", "item_text", "text").alias("hits"))
-    return tiled.select("doc_id", "t1", "t2", F.explode("hits").alias("hit"))
+    pairs = checkpointed(candidate_pairs(own.select("t1", "t2", "text"), items.select("item_key", "item_text"), coverage))
+    texts = own.select("t1", "t2", "text").join(pairs.select("t1", "t2").distinct(), ["t1", "t2"], "left_semi").dropDuplicates(["t1", "t2"])
+    tiled = texts.join(pairs, ["t1", "t2"]).join(items, "item_key").select("t1", "t2", F.explode(tile_pairs(MIN_MATCH, coverage)("item_id", "item_text", "text")).alias("hit"))
+    return own.select("doc_id", "t1", "t2").join(tiled, ["t1", "t2"]).select("doc_id", "t1", "t2", "hit")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, limit: int = BROADCAST_CHARS) -> DataFrame:
@@ -205,5 +232,5 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     """``docs`` without the contaminated rows."""
     if small(benchmark, limit):
         return docs.filter(F.size(hits_column(benchmark, docs["text"], coverage=coverage)) == 0)
-    bad = shuffled_hits(docs.select("doc_id", "text"), benchmark, coverage).select(F.col("t1").alias("__b1"), F.col("t2").alias("__b2")).distinct()
-    return docs.join(bad, (F.xxhash64(docs["text"]) == bad["__b1"]) & (F.xxhash64(F.lit(17), docs["text"]) == bad["__b2"]), "left_anti")
+    bad = shuffled_hits(docs.select("doc_id", "text"), benchmark, coverage).select("t1", "t2").distinct()
+    return docs.join(bad, (F.xxhash64(docs["text"]) == bad["t1"]) & (F.xxhash64(F.lit(17), docs["text"]) == bad["t2"]), "left_anti")

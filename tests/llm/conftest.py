@@ -35,7 +35,8 @@ def clash():
     """Add columns named like those that operators make or use inside."""
     from pyspark.sql import functions as F
 
-    names = ["n_lines", "n_dropped", "h1", "h2", "id", "line", "k", "w", "t", "x", "rank", "score", "size", "target", "taken", "label", "start", "end", "words", "bands", "removed", "found", "key"]
+    names = ["n_lines", "n_dropped", "h1", "h2", "id", "line", "k", "w", "t", "x", "rank", "score", "size", "target", "taken", "label", "start", "end", "words", "bands", "removed", "found", "key", "t1", "t2", "seed", "pos", "v", "q1", "kind"]
+    names += ["__lost", "__lines", "__kept", "__id", "__own", "__rank", "__alone", "__key", "__h1", "__t1", "__pd_id", "__pd_cuts"]
 
     def add(df):
         return df.withColumns({n: F.lit(f"old {n}") for n in names})
