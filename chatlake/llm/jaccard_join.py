@@ -34,10 +34,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatlake.llm.components import components
+from chatlake.llm.names import fresh
 from chatlake.session import checkpointed
 
 N, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9999, 128
-BLOCK_DOCS, BLOCK_WORDS, CHUNK = 2048, 1 << 20, 4096
+BLOCK_DOCS, BLOCK_WORDS, CHUNK = 256, 1 << 20, 4096
 SEED = 20240
 
 
@@ -263,9 +264,10 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, n: int = N) -> DataF
     """
     joined = join(docs, threshold, n)
     row_key = lambda i, k: F.unhex(F.md5(F.concat_ws("|", F.coalesce(i.cast("string"), F.lit("null")), F.hex(k))))
-    kept = joined.filter(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("k") == F.col("class_k"))).select(row_key(F.col("doc_id"), F.col("k")).alias("__jj_kept")).distinct()
+    kept = joined.filter(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("k") == F.col("class_k"))).select(row_key(F.col("doc_id"), F.col("k")).alias("kept")).distinct()
     norm = normal(docs["text"])
-    own = docs.withColumn("__jj_norm", norm == "").withColumn("__jj_own", row_key(docs["doc_id"], F.unhex(F.md5(norm))))
-    met = own.join(kept, F.col("__jj_own") == F.col("__jj_kept"), "left_semi")
-    ranked = met.withColumn("__jj_rank", F.row_number().over(Window.partitionBy("__jj_own").orderBy("__jj_norm")))
-    return ranked.filter((F.col("__jj_rank") == 1) | F.col("__jj_norm")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    alone, own, rank = fresh(docs, "alone", "own", "rank")
+    marked = docs.withColumn(own, row_key(docs["doc_id"], F.unhex(F.md5(norm)))).withColumn(alone, F.when(norm == "", F.monotonically_increasing_id()))
+    met = marked.join(kept, marked[own] == kept["kept"], "left_semi")
+    ranked = met.withColumn(rank, F.row_number().over(Window.partitionBy(own, alone).orderBy(own)))  # limited in each task first
+    return ranked.filter(F.col(rank) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
