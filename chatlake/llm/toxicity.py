@@ -10,16 +10,17 @@ for every pair of terms, the inner product of their factors, which a linear mode
 word that is harmless alone but not beside another).  Both parts are learned together by AdaGrad on
 the logistic loss.
 
-Fitting takes the labelled rows outside the held-out fold, at most about ``MAX_EXAMPLES`` of them,
-chosen by a hash of doc_id; beyond that number, the share of documents that are read for training
-falls accordingly.  The sample is brought to one task, which the bound makes safe; the machine that
-comes back has at most ``2 * MAX_TERMS`` terms.  Scoring is one pass over all whole texts without
+Fitting takes the labelled rows outside the held-out fold, one a doc_id, chosen by a hash of it: at most
+about ``MAX_EXAMPLES`` with about ``MAX_ENTRIES`` distinct terms in all.  Beyond these numbers, the share of
+documents that teach falls accordingly.  The sample is brought to one task, which the two bounds make
+safe (4 bytes a term); the machine that comes back has at most ``2 * MAX_TERMS`` terms.  Scoring is one pass over all whole texts without
 a shuffle.
 
 Defined cases
 * null and empty texts have no terms; their score is that of the bias.
 * labels that are null, or whose doc_id is null, teach nothing; repeated labels of a document count
-  once, with the larger label.
+  once, with the larger label.  Of several rows of an id, one teaches, that with the smallest text hash.
+* very long texts teach and are scored whole.  An empty table gives an empty result.
 * without examples, or with one class only, all scores are the prior, 0.5 without any example.
 * rows are scored one by one, so repeated rows, other columns and clashing names don't matter.
 """
@@ -38,8 +39,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatlake.llm.quality import in_fold
+from chatlake.session import checkpointed
 
-FACTORS, MAX_EXAMPLES, THRESHOLD = 4, 30_000, 0.3
+FACTORS, MAX_EXAMPLES, MAX_ENTRIES, THRESHOLD = 4, 30_000, 6_000_000, 0.3
 MAX_TERMS, MIN_ROWS, MIN_CHI2 = 1 << 16, 3, 16.0
 MIN_PAIR_CHI2, MIN_EXCESS, PAIRS_AT_ONCE = 45.0, 4.0, 1 << 22
 EPOCHS, BATCH, RATE, DECAY, SEED = 12, 64, 0.1, 1e-4, 7
@@ -242,13 +244,21 @@ def learn_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([machine.bias]), *lists], names=["bias", "known", "weights", "factors"])
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str, folds: int = 4, held_fold: int = 2, max_examples: int = MAX_EXAMPLES) -> Machine:
-    """A machine from labelled documents outside the held-out fold, ``max_examples`` or so at most."""
+def chosen(share: float, seed: int) -> Column:
+    """Whether a hash of the doc_id falls into the share."""
+    return F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id").cast("string")), F.lit(1_000_000)) < int(share * 1_000_000)
+
+
+def train(docs: DataFrame, labels: DataFrame, label_col: str, folds: int = 4, held_fold: int = 2, max_examples: int = MAX_EXAMPLES, max_entries: int = MAX_ENTRIES) -> Machine:
+    """A machine from labelled documents outside the held-out fold, within about the two bounds."""
     taught = labels.filter(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull()).filter(~in_fold("doc_id", folds, held_fold)).groupBy(F.col("doc_id").alias("l_id")).agg(F.max(label_col).alias("label"))
     share = min(1.0, max_examples / max(1, taught.count()))
-    chosen = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000)) < int(share * 1_000_000)
-    rows = docs.filter(F.col("doc_id").isNotNull() & ~in_fold("doc_id", folds, held_fold) & chosen).select("doc_id", terms_of(F.col("text")).alias("terms"))
-    examples = rows.join(taught, F.col("doc_id") == F.col("l_id")).select("doc_id", "terms", F.col("label").cast("int").alias("label"))
+    read = docs.filter(F.col("doc_id").isNotNull() & ~in_fold("doc_id", folds, held_fold) & chosen(share, SEED))
+    rows = read.select("doc_id", F.struct(F.xxhash64("text").alias("hash"), terms_of(F.col("text")).alias("terms")).alias("row")).groupBy("doc_id").agg(F.min("row").alias("row"))
+    examples = checkpointed(rows.join(taught, F.col("doc_id") == F.col("l_id")).select("doc_id", "row.terms", F.col("label").cast("int").alias("label")))
+    entries = examples.agg(F.sum(F.size("terms"))).first()[0] or 0
+    if entries > max_entries:
+        examples = examples.filter(chosen(max_entries / entries, SEED + 1))
     row = examples.repartition(1).mapInArrow(learn_task, "bias double, known array<int>, weights array<double>, factors array<double>").first()
     if row is None:  # no example at all
         return Machine(0.0, np.empty(0, np.int32), np.empty(0), np.empty((0, FACTORS)))
