@@ -60,30 +60,44 @@ def slug(text: Column) -> Column:
 
 def safe_filename(name: Column) -> Column:
     """A file name without unsafe characters, reserved names or a trailing dot or space."""
-    safe = F.regexp_replace(F.regexp_replace(name, r'[<>:"/\\|?*\x00-\x1f]', "_"), r"[ .]+$", "")
+    safe = F.regexp_replace(F.regexp_replace(name, r'[<>:"/\\|?*]', "_"), r"[ .]+\z", "")
     safe = F.coalesce(F.nullif(safe, F.lit("")), F.lit("unnamed_file"))
     return F.when(safe.rlike(r"(?i)^(con|prn|aux|nul|com[1-9]|lpt[1-9])(\.|$)"), F.concat(F.lit("_"), safe)).otherwise(safe)
 
 
-def redact(text: Column, secrets: tuple[str, ...] = (), pattern: str = r"xox[a-z]-[A-Za-z0-9-]+") -> Column:
-    """Literal secrets, the longest first, and token-shaped strings replaced."""
+#: A token, up to the next white space, quote or backslash.
+TOKEN = r"""\bxox[a-zA-Z]-[^\s'"\\]+"""
+
+
+def redact(text: Column, secrets: tuple[str, ...] = ()) -> Column:
+    """Literal secrets, the longest first, and whole tokens replaced."""
     out = text
     for s in sorted(filter(None, secrets), key=len, reverse=True):
         out = F.replace(out, F.lit(s), F.lit("[REDACTED]"))
-    return F.regexp_replace(out, pattern, "[REDACTED]")
+    return F.regexp_replace(out, TOKEN, "[REDACTED]")
 
 
 def strip_ansi(text: Column) -> Column:
+    """Without terminal control sequences."""
     return F.regexp_replace(text, r"\x1b\[[0-?]*[ -/]*[@-~]", "")
 
 
+# The messages of failures that pass, and of refused credentials.
+TRANSIENT = (
+    "dial tcp", "lookup .*?(?:no such host|server misbehaving|temporary failure)", "server misbehaving", "no such host", "temporary failure in name resolution",
+    "network (?:is )?unreachable", "connection (?:refused|reset|timed out)", "i/o timeout", "context deadline exceeded", "operation timed out",
+    "TLS handshake timeout", "unexpected EOF", r"status code (?:502|503|504)\b", r"\b(?:502|503|504) (?:Bad Gateway|Service Unavailable|Gateway Timeout)\b",
+)
+REFUSED = ("invalid_auth", "not_authed", "account_inactive", "token_revoked", "invalid_cookie")
+
+
 def failure_class(text: Column, action: Column | None = None) -> Column:
-    """transient before authentication; an authentication action implies the latter."""
-    transient = text.rlike(r"(?i)timed? ?out|connection (reset|refused)|temporary failure|too many requests|rate.?limit|\b50[234]\b")
-    auth = text.rlike(r"(?i)invalid_auth|not_authed|token_(revoked|expired)|account_inactive|unauthori[sz]ed|\b40[13]\b")
+    """transient before authentication; an authentication action implies the latter.  Control sequences are ignored."""
+    plain = strip_ansi(text)
+    auth = plain.rlike(rf"(?i)\b(?:{'|'.join(REFUSED)})\b")
     if action is not None:
-        auth = auth | (action == "authentication")
-    return F.when(transient, "transient").when(auth, "authentication").otherwise("other")
+        auth = auth | F.coalesce(action == "authentication", F.lit(False))
+    return F.when(plain.rlike(f"(?i){'|'.join(TRANSIENT)}"), "transient").when(auth, "authentication").otherwise("other")
 
 
 def variance_class(mode: Column, mime: Column, expected: Column, served: Column, accepted: Column, tolerance: int = 64) -> Column:
@@ -115,8 +129,21 @@ def label_value(text: Column) -> Column:
 
 
 def path_label(text: Column) -> Column:
-    """URL-safe base64 of a grouping label."""
-    return F.translate(F.base64(F.encode(text, "UTF-8")), "+/", "-_")
+    """URL-safe base64 of a grouping label; a lone = for an empty one."""
+    return F.coalesce(F.nullif(F.translate(F.base64(F.encode(text, "UTF-8")), "+/\r\n", "-_"), F.lit("")), F.lit("="))
+
+
+def number_text(value: Column) -> Column:
+    """A number with 15 significant digits at most, as the exposition format shows it."""
+    v = value.cast("double")
+    parts = F.split(F.format_string("%.14e", v), "e")
+    power = F.get(parts, F.lit(1)).cast("int")
+    mantissa = F.regexp_replace(F.get(parts, F.lit(0)), r"\.?0+$", "")
+    sign = F.when(power < 0, "-").otherwise("+")
+    exponent = F.concat(mantissa, F.lit("e"), sign, F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0")))
+    plain = F.regexp_replace(F.concat(F.get(parts, F.lit(0)), F.lit("E"), power.cast("string")).try_cast("decimal(38,20)").cast("string"), r"\.?0+$", "")
+    odd = F.when(F.isnan(v), "nan").when(v == float("inf"), "inf").when(v == float("-inf"), "-inf").when(v == 0, "0")
+    return F.when(v.isNull(), None).otherwise(F.coalesce(odd, F.when((power < -4) | (power >= 15), exponent).otherwise(plain)))
 
 
 def parsed_list(text: Column) -> Column:
@@ -125,8 +152,30 @@ def parsed_list(text: Column) -> Column:
 
 
 def workspace_id_ok(text: Column) -> Column:
-    """Non-empty, at most 64, no control characters, separators, edge spaces, leading dot."""
-    return F.coalesce(text.rlike(r"^[^\x00-\x1f\x7f/\\]{1,64}$") & ~text.rlike(r"^\.|^\s|\s$"), F.lit(False))
+    """Non-empty, at most 64, no control characters, separators, leading dot or white space at an edge."""
+    return F.coalesce(text.rlike(r"^[^\x00-\x1f\x7f/\\]{1,64}\z") & ~text.startswith(".") & (strip(text) == text), F.lit(False))
+
+
+def secret_ok(text: Column) -> Column:
+    """Neither white space, Unicode's included, nor delete characters."""
+    return F.coalesce(~text.rlike(f"{EDGE}|\\x7f"), F.lit(False))
+
+
+def url_text_ok(text: Column) -> Column:
+    """No control characters."""
+    return F.coalesce(~text.rlike(r"[\x00-\x1f\x7f]"), F.lit(False))
+
+
+def inside(path: Column, root: str) -> Column:
+    """Whether a normal path lies under the root: no step up, no empty or dot step behind it."""
+    rest = F.substring(path, len(root.rstrip("/")) + 2, 1 << 20)
+    return F.coalesce(path.startswith(root.rstrip("/") + "/") & ~F.concat(F.lit("/"), rest, F.lit("/")).rlike(r"/\.{0,2}/"), F.lit(False))
+
+
+def json_true(value: Column, path: str) -> Column:
+    """Whether the JSON value at the path is true in the sense of not being null, false, 0 or empty."""
+    shown = F.to_json(F.try_variant_get(value, path, "variant"))
+    return F.coalesce(~shown.isin("null", "false", "0", "0.0", "-0.0", '""', "[]", "{}"), F.lit(False))
 
 
 def site_url_ok(url: Column, domain: str = ".slack.com") -> Column:

@@ -41,6 +41,18 @@ def reconciled(wanted: DataFrame, present: DataFrame, accepted: DataFrame) -> Da
     return met.withColumn("class", S.variance_class(F.col("mode"), F.col("mime"), F.col("size"), F.col("served"), F.col("accepted")))
 
 
+def covered(wanted: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:
+    """One row: how many of ``wanted`` have a row in ``present``."""
+    return wanted.join(present.select(*keys), keys, "left_semi").agg(F.count(F.lit(1)).alias("covered"))
+
+
+def variance_totals(rows: DataFrame, group: list[str]) -> DataFrame:
+    """Of each group of ``reconciled`` rows: files and bytes of accepted variance, and the files as id=bytes."""
+    delta = F.abs(F.col("served") - F.col("size"))
+    listed = F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", "file_id", "served"))), ",")
+    return rows.filter("class = 'documented'").groupBy(*group).agg(F.count(F.lit(1)).alias("files"), F.sum(delta).cast("long").alias("bytes"), listed.alias("listed"))
+
+
 def report(rows: DataFrame) -> DataFrame:
     """One row of counts, sums and lists over ``reconciled`` rows, in a single aggregation."""
     kind = F.col("class")

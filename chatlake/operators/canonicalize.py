@@ -15,11 +15,11 @@ def newest_order() -> list[Column]:
 
 
 def payload(df: DataFrame, ddl: str, context: Column) -> DataFrame:
-    """``df`` with raw_json (strict UTF-8) and j, its parsed fields; refuses what isn't an object."""
+    """``df`` with raw_json (strict UTF-8), j, its parsed fields, and v, all of it; refuses what isn't an object."""
     raw = F.decode("DATA", "UTF-8")
     bad = F.raise_error(F.concat(F.lit("Expected a JSON object in "), context)).cast("string")
     checked = df.withColumn("raw_json", F.when(S.is_json_object(raw), raw).otherwise(bad))
-    return checked.withColumn("j", F.from_json("raw_json", schemas.struct(ddl)))
+    return checked.withColumn("j", F.from_json("raw_json", schemas.struct(ddl))).withColumn("v", F.try_parse_json("raw_json"))
 
 
 def workspace(df: DataFrame) -> DataFrame:
@@ -33,20 +33,20 @@ def workspace(df: DataFrame) -> DataFrame:
 
 def channels(df: DataFrame) -> DataFrame:
     rows = payload(newest_rows(df, ["ID"], newest_order()), schemas.CHANNEL_PAYLOAD, F.concat(F.lit("CHANNEL "), "ID"))
-    flag = lambda c: F.coalesce(F.col(c), F.lit(False))
+    flag = lambda c: S.json_true(F.col("v"), f"$.{c}")
     return rows.select(
-        F.col("ID").alias("channel_id"), S.or_else(F.col("NAME"), F.col("j.name")).alias("name"), flag("j.is_private").alias("is_private"), flag("j.is_archived").alias("is_archived"),
+        F.col("ID").alias("channel_id"), S.or_else(F.col("NAME"), F.col("j.name")).alias("name"), flag("is_private").alias("is_private"), flag("is_archived").alias("is_archived"),
         F.col("j.topic.value").alias("topic"), F.col("j.purpose.value").alias("purpose"), "raw_json", F.col("CHUNK_ID").alias("source_chunk_id"),
     )
 
 
 def users(df: DataFrame) -> DataFrame:
     rows = payload(newest_rows(df, ["ID"], newest_order()), schemas.USER_PAYLOAD, F.concat(F.lit("S_USER "), "ID"))
-    flag = lambda c: F.coalesce(F.col(c), F.lit(False))
+    flag = lambda c: S.json_true(F.col("v"), f"$.{c}")
     profile = F.coalesce(F.get_json_object("raw_json", "$.profile"), F.lit("{}"))
     return rows.select(
         F.col("ID").alias("user_id"), S.or_else(F.col("USERNAME"), F.col("j.name")).alias("username"), S.or_else(F.col("j.real_name"), F.col("j.profile.real_name")).alias("real_name"),
-        F.col("j.profile.display_name").alias("display_name"), flag("j.is_bot").alias("is_bot"), flag("j.deleted").alias("is_deleted"), flag("j.is_restricted").alias("is_restricted"),
+        F.col("j.profile.display_name").alias("display_name"), flag("is_bot").alias("is_bot"), flag("deleted").alias("is_deleted"), flag("is_restricted").alias("is_restricted"),
         F.coalesce(F.to_json(F.try_parse_json(profile)), F.lit("{}")).alias("profile_json"), "raw_json", F.col("CHUNK_ID").alias("source_chunk_id"),
     )
 
@@ -56,7 +56,9 @@ def messages(df: DataFrame, workspace_id: Column) -> DataFrame:
     rows = payload(newest_rows(df, ["CHANNEL_ID", "TS"], newest_order()), schemas.MESSAGE_PAYLOAD, F.concat_ws(" ", F.lit("MESSAGE"), "CHANNEL_ID", "TS"))
     names = [f.name for f in schemas.struct(schemas.MESSAGE_PAYLOAD).fields if f.name != "message"]
     body = F.when(F.col("j.message").isNotNull(), F.col("j.message")).otherwise(F.struct(*[F.col(f"j.{n}").alias(n) for n in names]))
-    rows = rows.withColumn("e", body)
+    inner = F.col("j.message").isNotNull()
+    whole = F.when(inner, F.try_variant_get("v", "$.message.files", "array<variant>")).otherwise(F.try_variant_get("v", "$.files", "array<variant>"))
+    rows = rows.withColumn("e", body).withColumn("whole", F.transform(whole, lambda f: F.to_json(f)))
     text = F.coalesce("TXT", "e.text", F.lit(""))
     thread = S.or_else(F.col("THREAD_TS"), F.col("e.thread_ts"))
     thread = F.nullif(thread, F.lit(""))
@@ -65,7 +67,7 @@ def messages(df: DataFrame, workspace_id: Column) -> DataFrame:
     yes = lambda c: F.coalesce(c, F.lit(False))
     deleted = yes(subtype.isin("message_deleted", "tombstone")) | yes(F.col("j.deleted_ts") != "") | yes(F.col("e.deleted"))
     parent = yes(F.col("IS_PARENT") != 0) | (yes(thread == F.col("TS")) & yes(F.col("e.reply_count") != 0))
-    files = F.when(F.size("e.files") > 0, F.to_json("e.files"))
+    files = F.when(F.size("whole") > 0, F.concat(F.lit("["), F.array_join("whole", ","), F.lit("]")))
     return rows.select(
         S.stable_key(workspace_id, F.col("CHANNEL_ID"), F.col("TS")).alias("message_key"), F.col("CHANNEL_ID").alias("channel_id"), F.col("TS").alias("ts"), S.ts_us(F.col("TS")).alias("ts_us"),
         F.col("ID").alias("source_message_id"), F.col("CHUNK_ID").alias("source_chunk_id"), S.or_else(F.col("e.user"), F.col("j.user")).alias("user_id"), subtype.alias("subtype"),
@@ -73,7 +75,7 @@ def messages(df: DataFrame, workspace_id: Column) -> DataFrame:
         S.or_else(F.col("LATEST_REPLY"), F.col("e.latest_reply")).alias("latest_reply_ts"), parent.alias("is_thread_parent"), is_reply.alias("is_thread_reply"),
         yes(subtype == "thread_broadcast").alias("is_thread_broadcast"), (F.col("e.edited").isNotNull() | yes(subtype == "message_changed")).alias("is_edited"), F.col("e.edited.ts").alias("edited_ts"),
         deleted.alias("is_deleted"), S.or_else(F.col("j.deleted_ts"), F.col("e.deleted_ts")).alias("deleted_ts"), files.alias("file_metadata_json"), "raw_json",
-        F.sha2("raw_json", 256).alias("payload_hash"), F.col("e.files").alias("embedded_files"), F.col("e.reactions").alias("embedded_reactions"),
+        F.sha2("raw_json", 256).alias("payload_hash"), F.transform("e.files", lambda f, i: f.withField("raw", F.get("whole", i))).alias("embedded_files"), F.col("e.reactions").alias("embedded_reactions"),
     )
 
 
@@ -96,7 +98,7 @@ def files(df: DataFrame, records: DataFrame) -> DataFrame:
     firsts = newest_rows(embedded.withColumn("file_id", F.col("f.id")), ["file_id"], [F.col("ts_us"), F.col("channel_id")])
     mentioned = firsts.select(
         "file_id", "channel_id", F.col("ts").alias("message_ts"), "thread_ts", F.col("f.user").alias("user_id"), F.col("f.mode").alias("mode"), F.col("f.name").alias("filename"), F.col("f.mimetype").alias("mime_type"),
-        F.col("f.size").alias("size_bytes"), S.or_else(F.col("f.url_private_download"), F.col("f.url_private")).alias("source_url"), F.to_json("f").alias("raw_json"), "source_chunk_id",
+        F.col("f.size").alias("size_bytes"), S.or_else(F.col("f.url_private_download"), F.col("f.url_private")).alias("source_url"), F.col("f.raw").alias("raw_json"), "source_chunk_id",
     )
     return own.unionByName(mentioned.join(own.select("file_id"), "file_id", "left_anti"))
 

@@ -98,3 +98,18 @@ def comparison(left: DataFrame, right: DataFrame, keys: list[str], digest: str)
         F.count_if(both).alias("common"),
         F.count_if(both & ~F.col("__l").eqNullSafe(F.col("__r"))).alias("mismatched"),
     )
+
+
+def common_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct keys that both sides hold."""
+    return left.select(*keys).intersect(right.select(*keys))
+
+
+def mismatches(left: DataFrame, right: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Common keys with any difference: keys and, for each column, ``<column>_differs``."""
+    other = right.select(*keys, *[F.col(c).alias(f"__{c}") for c in columns])
+    marked = left.join(other, keys).select(*keys, *[(~F.col(c).eqNullSafe(F.col(f"__{c}"))).alias(f"{c}_differs") for c in columns])
+    any_differs = F.lit(False)
+    for c in columns:
+        any_differs = any_differs | F.col(f"{c}_differs")
+    return marked.filter(any_differs)

@@ -7,10 +7,58 @@ from pyspark.sql import functions as F
 
 from chatlake.functions import scalars as S
 
+# The gauges of a run, in the order in which they are shown.
+GAUGES = (
+    "run_success", "last_success_timestamp_seconds", "pipeline_completed_timestamp_seconds", "pipeline_completion_lag_seconds", "source_latest_message_timestamp_seconds",
+    "canonical_latest_message_timestamp_seconds", "source_canonical_latest_message_lag_seconds", "source_row_count", "canonical_row_count", "rows_inserted", "rows_updated",
+    "rows_deleted", "run_duration_seconds", "run_failures", "lock_wait_seconds", "archive_size_bytes", "attachment_backlog", "workspace_discovered", "workspace_materialized",
+)
+
 
 def exposition(rows: DataFrame, labels: list[str], gauges: list[str], prefix: str) -> DataFrame:
-    """(metric, line) for every gauge of every row that isn't null; labels escaped."""
+    """(place, metric, type, line) for every gauge of every row that isn't null; labels escaped.
+
+    ``place`` is the gauge's in the list; ``type`` is the line that stands once above a metric's lines.
+    """
     shown = F.concat_ws(",", *[F.concat(F.lit(f'{c}="'), S.label_value(F.col(c).cast("string")), F.lit('"')) for c in labels])
-    each = rows.select(shown.alias("labels"), F.explode(F.array(*[F.struct(F.lit(f"{prefix}_{g}").alias("metric"), F.col(g).cast("double").alias("value")) for g in gauges])).alias("m"))
-    number = F.regexp_replace(F.format_string("%.6f", F.col("m.value")), r"\.?0+$", "")
-    return each.filter(F.col("m.value").isNotNull()).select("m.metric", F.concat(F.col("m.metric"), F.lit("{"), "labels", F.lit("} "), number).alias("line"))
+    value = lambda i, g: F.struct(F.lit(i).alias("place"), F.lit(f"{prefix}_{g}").alias("metric"), S.number_text(F.col(g)).alias("number"))
+    each = rows.select(shown.alias("labels"), F.explode(F.array(*[value(i, g) for i, g in enumerate(gauges)])).alias("m")).filter(F.col("m.number").isNotNull())
+    line = F.concat(F.col("m.metric"), F.lit("{"), "labels", F.lit("} "), F.col("m.number"))
+    return each.select("m.place", "m.metric", F.concat(F.lit("# TYPE "), F.col("m.metric"), F.lit(" gauge")).alias("type"), line.alias("line"))
+
+
+def problems(runs: DataFrame) -> DataFrame:
+    """(workspace, stage, problem): run records that must not be shown.
+
+    Labels are not empty and hold no NUL; times, counts and durations are finite and not negative (only times may be
+    missing); a run is not observed before it is complete.
+    """
+    label = lambda c: F.when(F.coalesce(F.col(c), F.lit("")) == "", f"{c} is empty").when(F.col(c).contains("\x00"), f"{c} holds a NUL")
+    number = lambda c: F.col(c).cast("double")
+    amiss = lambda c: F.when(F.isnan(number(c)) | (F.abs(number(c)) == float("inf")) | (number(c) < 0), f"{c} is negative or not finite")
+    counted = ("source_row_count", "canonical_row_count", "rows_inserted", "rows_updated", "rows_deleted", "run_failures", "archive_size_bytes", "attachment_backlog", "run_duration_seconds", "lock_wait_seconds")
+    times = ("pipeline_completed_at", "observed_at", "last_success_at", "source_latest_message_at", "canonical_latest_message_at")
+    checks = [label("workspace"), label("stage"), *map(amiss, times + counted), *[F.when(F.col(c).isNull(), f"{c} is missing") for c in counted], F.when(F.col("observed_at") < F.col("pipeline_completed_at"), "observed_at precedes pipeline_completed_at")]
+    return runs.select("workspace", "stage", F.explode(F.array_compact(F.array(*checks))).alias("problem"))
+
+
+def run_gauges(runs: DataFrame) -> DataFrame:
+    """``runs`` with the two derived gauges and the 19 names of ``GAUGES``.
+
+    It has workspace, stage, run_succeeded, last_success_at, pipeline_completed_at, observed_at, source_latest_message_at,
+    canonical_latest_message_at (seconds) and the other gauges by their names.
+    """
+    return runs.withColumns(
+        {
+            "run_success": F.col("run_succeeded").cast("int"), "last_success_timestamp_seconds": F.col("last_success_at"), "pipeline_completed_timestamp_seconds": F.col("pipeline_completed_at"),
+            "pipeline_completion_lag_seconds": S.lag_seconds(F.col("observed_at"), F.col("pipeline_completed_at")), "source_latest_message_timestamp_seconds": F.col("source_latest_message_at"),
+            "canonical_latest_message_timestamp_seconds": F.col("canonical_latest_message_at"),
+            "source_canonical_latest_message_lag_seconds": S.lag_seconds(F.col("source_latest_message_at"), F.col("canonical_latest_message_at")),
+            "workspace_discovered": F.col("workspace_discovered").cast("int"), "workspace_materialized": F.col("workspace_materialized").cast("int"),
+        }
+    )
+
+
+def render(runs: DataFrame, prefix: str = "chatlake") -> DataFrame:
+    """``exposition`` of runs with all their gauges."""
+    return exposition(run_gauges(runs), ["workspace", "stage"], list(GAUGES), prefix)

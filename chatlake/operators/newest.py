@@ -42,3 +42,14 @@ def identical_copies_removed(df: DataFrame, keys: list[str], payload: Column, or
     """One row for each key and payload."""
     keyed = df.withColumn("__payload", F.sha2(payload, 256))
     return newest_rows(keyed, [*keys, "__payload"], order).drop("__payload")
+
+
+def folded_duplicates(df: DataFrame, text: Column, own: str) -> DataFrame:
+    """(folded, n): texts that are the same in lower case for more than one ``own``."""
+    return df.select(F.lower(text).alias("folded"), own).groupBy("folded").agg(F.count_distinct(own).alias("n")).filter("n > 1")
+
+
+def latest_value(df: DataFrame, keys: list[str], value: str, order: list[str]) -> DataFrame:
+    """keys, latest_type and latest_ts: the value of the last row of each key; later order columns settle ties."""
+    last = F.max(F.struct(*order, F.col(value).alias("__value"))).alias("x")
+    return df.groupBy(*keys).agg(last).select(*keys, F.col("x.__value").alias("latest_type"), F.col(f"x.{order[0]}").alias("latest_ts"))

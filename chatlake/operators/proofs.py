@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatlake.operators import merge
-
 
 def incomplete_streams(chunks: DataFrame, keys: list[Column], final: Column) -> DataFrame:
     """Streams without any final chunk."""
@@ -25,26 +23,53 @@ def completeness(session: DataFrame, chunk: DataFrame) -> DataFrame:
 def table_digest(df: DataFrame, table: str) -> DataFrame:
     """One row: table, row count and an order-free digest of all rows.
 
-    The digest adds up two 31-bit slices of each row's SHA-256 and xors a third of 64 bits, so it is
+    The digest adds up two 28-bit slices of each row's SHA-256 and xors a third of 60 bits, so it is
     combined in every task before the shuffle, and no table is ordered or passes through one task.
     Equal multisets of rows have equal digests; version 3 of the lineage manifest.
     """
     row = F.sha2(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}), 256)
-    piece = lambda at: F.conv(F.substring(row, at, 7), 16, 10).cast("decimal(38,0)")
-    return df.select(piece(1).alias("a"), piece(8).alias("b"), F.xxhash64(row).alias("x")).agg(
-        F.lit(table).alias("table"), F.count(F.lit(1)).alias("rows"),
-        F.sha2(F.concat_ws(":", F.coalesce(F.sum("a"), F.lit(0)).cast("string"), F.coalesce(F.sum("b"), F.lit(0)).cast("string"), F.coalesce(F.bit_xor("x"), F.lit(0)).cast("string")), 256).alias("digest"),
-    )
+    piece = lambda at, n: F.conv(F.substring("r", at, n), 16, 10)
+    added = lambda at: F.coalesce(F.sum(piece(at, 7).cast("decimal(38,0)")), F.lit(0)).cast("string")
+    whole = F.concat_ws(":", added(1), added(8), F.coalesce(F.bit_xor(piece(15, 15).cast("long")), F.lit(0)).cast("string"))
+    return df.select(row.alias("r")).agg(F.lit(table).alias("table"), F.count(F.lit(1)).alias("rows"), F.sha2(whole, 256).alias("digest"))
+
+
+def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """(name, n) of each table."""
+    counts = [df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n")) for name, df in tables.items()]
+    out = counts[0]
+    for one in counts[1:]:
+        out = out.unionByName(one)
+    return out
+
+
+def high_waters(log: DataFrame, marks: dict[str, str]) -> DataFrame:
+    """One row with the largest value of each column, by the names of ``marks``."""
+    return log.agg(*[F.max(column).alias(name) for name, column in marks.items()])
+
+
+def accepted_checkpoints(workspaces: DataFrame, checkpoints: DataFrame, runs: DataFrame) -> DataFrame:
+    """The workspaces (workspace_id, ...) with a checkpoint whose run (run_id, status) has succeeded."""
+    done = runs.filter("status = 'succeeded'").select(F.col("run_id").alias("successful_run_id")).distinct()
+    return workspaces.join(checkpoints.join(done, "successful_run_id", "left_semi").select("workspace_id").distinct(), "workspace_id", "left_semi")
 
 
 def validation(source: DataFrame, lake: DataFrame, keys: list[str]) -> DataFrame:
-    """One row over newest source rows and lake rows (keys, chunk, digest, ts_us): the comparison."""
-    counts = merge.comparison(source, lake, keys, "digest")
-    chunks = merge.comparison(source, lake, keys, "chunk").select(F.col("mismatched").alias("chunk_mismatched"))
-    latest = source.agg(F.max("ts_us").alias("source_latest_us")).join(F.broadcast(lake.agg(F.max("ts_us").alias("lake_latest_us"))))
-    row = counts.join(F.broadcast(chunks)).join(F.broadcast(latest))
-    passed = (F.col("missing") == 0) & (F.col("extra") == 0) & (F.col("mismatched") == 0) & (F.col("chunk_mismatched") == 0) & F.col("source_latest_us").eqNullSafe(F.col("lake_latest_us"))
-    return row.withColumn("passed", passed)
+    """One row over newest source rows and lake rows (keys, chunk, digest, ts, ts_us): keys, payloads, chunks
+    and latest timestamps compared, from one full-outer join."""
+    a = source.select(*keys, F.struct("digest", "chunk").alias("a"), F.struct("ts_us", F.col("ts").alias("t")).alias("a_time"))
+    b = lake.groupBy(*keys).agg(F.max(F.struct("digest", "chunk")).alias("b"), F.max(F.struct("ts_us", F.col("ts").alias("t"))).alias("b_time"))
+    in_a, in_b = F.col("a").isNotNull(), F.col("b").isNotNull()
+    differs = lambda x: in_a & in_b & ~F.col(f"a.{x}").eqNullSafe(F.col(f"b.{x}"))
+    row = a.join(b, keys, "full_outer").agg(
+        F.count_if(in_a).alias("source_natural_key_count"), F.count_if(in_b).alias("canonical_natural_key_count"), F.count_if(~in_b).alias("missing_canonical_key_count"), F.count_if(~in_a).alias("extra_canonical_key_count"),
+        F.count_if(differs("digest") | differs("chunk")).alias("selected_payload_mismatch_count"), F.count_if(differs("digest")).alias("raw_json_mismatch_count"), F.count_if(differs("chunk")).alias("source_chunk_mismatch_count"),
+        F.max("a_time").alias("a_time"), F.max("b_time").alias("b_time"),
+    )
+    return row.select(
+        "*", ((F.col("missing_canonical_key_count") == 0) & (F.col("extra_canonical_key_count") == 0)).alias("natural_keys_match"), F.col("a_time.t").eqNullSafe(F.col("b_time.t")).alias("latest_timestamp_matches"),
+        F.col("a_time.t").alias("source_latest_timestamp"), F.col("b_time.t").alias("canonical_latest_timestamp"),
+    ).drop("a_time", "b_time")
 
 
 def compaction_differences(original: DataFrame, compacted: DataFrame, keys: list[str], digest: str) -> DataFrame:

@@ -42,8 +42,8 @@ def search_documents(messages: DataFrame) -> DataFrame:
     )
 
 
-def orphan_replies(messages: DataFrame, keys: list[str], parent: str, own: str) -> DataFrame:
-    """Replies whose parent isn't there."""
-    parents = messages.select(*keys, F.col(own).alias("__own"))
-    on = [messages[k] == parents[k] for k in keys] + [messages[parent] == parents["__own"]]
-    return messages.filter(F.col(parent).isNotNull()).join(parents, on, "left_anti")
+def orphan_replies(replies: DataFrame, keys: list[str], parent: str, own: str, messages: DataFrame | None = None) -> DataFrame:
+    """Replies whose parent isn't among ``messages`` (themselves, if not given)."""
+    parents = (replies if messages is None else messages).select(*[F.col(k).alias(f"__{k}") for k in keys], F.col(own).alias("__own"))
+    on = [replies[k] == parents[f"__{k}"] for k in keys] + [replies[parent] == parents["__own"]]
+    return replies.filter(F.col(parent).isNotNull()).join(parents, on, "left_anti")

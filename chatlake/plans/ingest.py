@@ -45,6 +45,12 @@ def manifest(tables: dict[str, DataFrame]) -> list[list]:
     return sorted([r["table"], r["rows"], r["digest"]] for r in union.collect())
 
 
+def scoped_manifest(tables: dict[str, DataFrame], since: int) -> dict:
+    """The manifest of the rows after a chunk; sessions and chunks are always digested whole."""
+    part = {t: df if t in ("SESSION", "CHUNK") else df.filter(F.col("CHUNK_ID") > since) for t, df in tables.items()}
+    return {"version": 3, "scope": {"min_chunk_id": since}, "tables": manifest(part)}
+
+
 def signature(entries: list[list]) -> str:
     return hashlib.sha256(json.dumps(entries, separators=(",", ":")).encode()).hexdigest()
 
@@ -126,6 +132,7 @@ def ingest(spark: SparkSession, archive: str, lake: str, slug: str, mode: str =
         raise ValueError("mode or workspace slug is not valid")
     run_id, now = uuid.uuid4().hex, datetime.now(UTC).replace(tzinfo=None)
     tables, workspace_id = open_archive(spark, archive)
+    seq = L.current(spark, lake).get(workspace_id, (0, {}))[0]  # before the tables, so what they miss is noticed
     held = L.read_many(spark, lake, WIDE, workspace_id)
     run = {"run_id": run_id, "workspace_id": workspace_id, "mode": mode, "started_at": now, "source_path": archive}
     schema = schemas.struct(schemas.LAKE_DDL["ingestion_runs"])
@@ -133,8 +140,11 @@ def ingest(spark: SparkSession, archive: str, lake: str, slug: str, mode: str =
     entries = manifest(tables)
     print_of = signature(entries)
     rows = next(n for t, n, _ in entries if t == "MESSAGE")
+    seq = L.publish(spark, lake, workspace_id, run_id, {}, {"ingestion_runs": ledger(status="started")}, since=seq, part="started")
     try:
-        return _run(spark, lake, slug, run_id, now, tables, workspace_id, held, entries, print_of, rows, archive, uploads, bootstrap, ledger)
+        return _run(spark, lake, slug, run_id, now, tables, workspace_id, held, entries, print_of, rows, archive, uploads, bootstrap, ledger, seq)
+    except L.CommitConflict:
+        raise
     except Exception as e:
         L.publish(spark, lake, workspace_id, run_id, {}, {"ingestion_runs": ledger(status="failed", completed_at=now, source_fingerprint=print_of, error_class=type(e).__name__, error_message=str(e)[:2000])})
         raise
@@ -143,7 +153,7 @@ def ingest(spark: SparkSession, archive: str, lake: str, slug: str, mode: str =
             df.unpersist()
 
 
-def _run(spark, lake, slug, run_id, now, tables, workspace_id, held, entries, print_of, rows, archive, uploads, bootstrap, ledger) -> Result:
+def _run(spark, lake, slug, run_id, now, tables, workspace_id, held, entries, print_of, rows, archive, uploads, bootstrap, ledger, seq) -> Result:
     checkpoint = held["ingestion_checkpoints"].first()
     known = held["messages"].count()
     if checkpoint is not None and checkpoint["source_fingerprint"] == print_of:
@@ -151,15 +161,17 @@ def _run(spark, lake, slug, run_id, now, tables, workspace_id, held, entries, pr
         again = {"ingestion_checkpoints": held["ingestion_checkpoints"].withColumns({"successful_run_id": F.lit(run_id), "checkpointed_at": F.lit(now)})}
         if uploads is not None:
             again["files"] = with_paths(held["files"], uploads)
-        L.publish(spark, lake, workspace_id, run_id, again, done)
+        L.publish(spark, lake, workspace_id, run_id, again, done, since=seq)
         return Result(run_id, workspace_id, 0, 0, known, True)
 
-    marks = {"session_high_water": tables["SESSION"].agg(F.max("ID")).first()[0], "chunk_high_water": tables["CHUNK"].agg(F.max("ID")).first()[0]}
+    marks = high_waters(tables)
     before = checkpoint["chunk_high_water"] if checkpoint else None
     since = before if before is not None and marks["chunk_high_water"] is not None and marks["chunk_high_water"] > before else None
     records = records_of(tables, workspace_id, since)
     kept = [records["messages"]]
     check_continuity(tables, records, held, checkpoint, marks, bootstrap)
+    buckets = None if since is None else L.touched(records["messages"], "messages")  # the others' folders stay
+    held |= L.read_many(spark, lake, tuple(L.BUCKETED), workspace_id, buckets)
 
     seen = {"workspace_id": F.lit(workspace_id), "latest_run_id": F.lit(run_id), "first_observed_at": F.lit(now), "last_observed_at": F.lit(now)}
     stamped = {t: records[t].withColumns(seen) for t in ("workspaces", "channels", "users", "messages", "files")}
@@ -190,7 +202,7 @@ def _run(spark, lake, slug, run_id, now, tables, workspace_id, held, entries, pr
     n = merge.change_counts(marked).first()
     total = known + n["inserted"]
     done = ledger(status="succeeded", completed_at=now, source_fingerprint=print_of, source_message_rows=rows, canonical_message_rows=total, inserted_messages=n["inserted"], updated_messages=n["updated"], unchanged_messages=n["unchanged"])
-    L.publish(spark, lake, workspace_id, run_id, out, {"message_events": events, "ingestion_runs": done})
+    L.publish(spark, lake, workspace_id, run_id, out, {"message_events": events, "ingestion_runs": done}, buckets, seq)
     for df in kept:
         df.unpersist()
     return Result(run_id, workspace_id, n["inserted"], n["updated"], n["unchanged"])
@@ -203,59 +215,117 @@ def with_paths(files: DataFrame, uploads: DataFrame) -> DataFrame:
 
 
 def validate(spark: SparkSession, archive: str, lake: str) -> dict:
-    """The content-free report of the newest source rows against the lake."""
+    """The content-free report of the newest source rows against the lake: counts, flags and the checkpoint.
+
+    Corrupt bytes and bad JSON are counted, not refused.
+    """
     tables, workspace_id = open_archive(spark, archive, complete=False)
-    raw = F.decode("DATA", "UTF-8")
-    rows = newest.newest_rows(tables["MESSAGE"], ["CHANNEL_ID", "TS"], canonicalize.newest_order())
-    source = rows.select(F.col("CHANNEL_ID").alias("channel_id"), F.col("TS").alias("ts"), F.col("CHUNK_ID").alias("chunk"), F.sha2(raw, 256).alias("digest"), S.ts_us(F.col("TS")).alias("ts_us"), S.is_json_object(raw).alias("good"))
-    messages = L.read(spark, lake, "messages", workspace_id)
-    held = messages.select("channel_id", "ts", F.col("source_chunk_id").alias("chunk"), F.sha2("raw_json", 256).alias("digest"), "ts_us", S.is_json_object(F.col("raw_json")).alias("good"), "parent_ts", (F.sha2("raw_json", 256) == F.col("payload_hash")).alias("hash_ok"))
-    report = proofs.validation(source, held, ["channel_id", "ts"]).first().asDict()
-    report |= tables["MESSAGE"].agg(F.count(F.lit(1)).alias("source_rows")).first().asDict() | newest.duplicate_stats(tables["MESSAGE"], ["CHANNEL_ID", "TS"]).first().asDict()
-    report |= source.agg(F.count_if(~F.col("good")).alias("source_invalid_json")).first().asDict()
-    report |= held.agg(F.count(F.lit(1)).alias("lake_rows"), F.count_if(~F.col("good")).alias("lake_invalid_json"), F.count_if(~F.col("hash_ok")).alias("payload_mismatched")).first().asDict()
-    report["orphan_replies"] = orphan_replies(messages, ["channel_id"], "parent_ts", "ts").count()
-    report["workspace_id"] = workspace_id
-    report["passed"] = bool(report["passed"] and not report["source_invalid_json"] and not report["lake_invalid_json"] and not report["payload_mismatched"])
-    return report
-
-
-def compact(spark: SparkSession, archive: str, to: str) -> dict[str, int]:
-    """The archive's newest rows as Parquet tables under ``to``; proven against the archive, counted."""
-    tables, _ = open_archive(spark, archive)
-    order = canonicalize.newest_order()
-    counts = {}
-    for name, df in tables.items():
-        if name in schemas.NATURAL_KEYS:
-            kept = newest.newest_rows(df, schemas.NATURAL_KEYS[name], order)
-        elif name == "WORKSPACE":
-            kept = df.orderBy(F.desc("CHUNK_ID"), F.desc("ID")).limit(1)
-        elif name == "CHANNEL_USER":
-            latest = df.groupBy("CHANNEL_ID").agg(F.max("CHUNK_ID").alias("CHUNK_ID"))
-            kept = newest.newest_rows(df.join(latest, ["CHANNEL_ID", "CHUNK_ID"]).select(df.columns), ["CHANNEL_ID", "USER_ID"], [F.desc("CHUNK_ID"), F.desc("rowid")])
-        else:
-            kept = df
-        kept.write.mode("errorifexists").parquet(f"{to}/{name}")
-        counts[name] = spark.read.parquet(f"{to}/{name}").count()
+    try:
+        held = L.read_many(spark, lake, ("messages", "ingestion_checkpoints", "ingestion_runs"), workspace_id)
+        raw = F.make_valid_utf8(F.col("DATA").cast("string"))
+        rows = newest.newest_rows(tables["MESSAGE"], ["CHANNEL_ID", "TS"], canonicalize.newest_order())
+        source = rows.select(F.col("CHANNEL_ID").alias("channel_id"), F.col("TS").alias("ts"), F.col("CHUNK_ID").alias("chunk"), F.sha2(raw, 256).alias("digest"), S.ts_us(F.col("TS")).alias("ts_us"))
+        kept = held["messages"].select("channel_id", "ts", F.col("source_chunk_id").alias("chunk"), F.sha2("raw_json", 256).alias("digest"), S.ts_us(F.col("ts")).alias("ts_us"))
+        report = proofs.validation(source, kept, ["channel_id", "ts"]).first().asDict()
+        bad = lambda text, name: F.count_if(~S.is_json_object(text)).alias(name)
+        report |= tables["MESSAGE"].agg(F.count(F.lit(1)).alias("source_message_rows"), bad(raw, "source_invalid_json_count")).first().asDict()
+        report |= held["messages"].agg(F.count(F.lit(1)).alias("canonical_message_rows"), bad(F.col("raw_json"), "canonical_invalid_json_count")).first().asDict()
+        report["source_duplicate_key_count"], report["source_duplicate_row_count"] = newest.duplicate_stats(tables["MESSAGE"], ["CHANNEL_ID", "TS"]).first()
+        report["canonical_duplicate_key_count"], report["canonical_duplicate_row_count"] = newest.duplicate_stats(held["messages"], ["channel_id", "ts"]).first()
+        report["orphan_reply_count"] = orphan_replies(held["messages"].filter("is_thread_reply"), ["channel_id"], "parent_ts", "ts", held["messages"]).count()
+        report |= checkpoint_state(tables, held["ingestion_checkpoints"].first(), held["ingestion_runs"])
+    finally:
+        for df in tables.values():
+            df.unpersist()
+    report["passed"] = bool(
+        report["natural_keys_match"] and report["latest_timestamp_matches"] and report["checkpoint_valid"]
+        and not any(report[x] for x in ("raw_json_mismatch_count", "source_chunk_mismatch_count", "source_invalid_json_count", "canonical_invalid_json_count", "canonical_duplicate_key_count"))
+    )
+    return report | {"workspace_id": workspace_id}
+
+
+def checkpoint_state(tables: dict[str, DataFrame], checkpoint, runs: DataFrame) -> dict[str, bool]:
+    """Whether there is a checkpoint, its evidence and marks fit the archive, and its run has succeeded."""
+    matches = succeeded = False
+    if checkpoint is not None:
+        marks = high_waters(tables)
+        try:
+            sealed = signature(json.loads(checkpoint["lineage_manifest_json"])) == checkpoint["lineage_signature"]
+        except (TypeError, ValueError):
+            sealed = False
+        matches = sealed and all(checkpoint[m] == v for m, v in marks.items())
+        succeeded = not runs.filter((F.col("run_id") == checkpoint["successful_run_id"]) & (F.col("status") == "succeeded")).isEmpty()
+    return {"checkpoint_exists": checkpoint is not None, "checkpoint_matches_source": matches, "checkpoint_run_succeeded": succeeded, "checkpoint_valid": matches and succeeded}
+
+
+def high_waters(tables: dict[str, DataFrame]) -> dict[str, int | None]:
+    """The archive's largest session and chunk."""
+    return {f"{t.lower()}_high_water": tables[t].agg(F.max("ID")).first()[0] for t in ("SESSION", "CHUNK")}
+
+
+def compact(spark: SparkSession, archive: str, to: str, lake: str | None = None) -> dict[str, int]:
+    """The archive's newest rows as Parquet tables under ``to``, proven and counted.
+
+    The proof: the copy's newest rows are the archive's, its largest session and chunk too, and it still
+    covers every row that ``lake`` (if given) has accepted of the workspace.
+    """
+    tables, workspace_id = open_archive(spark, archive)
+    try:
+        order = canonicalize.newest_order()
+        counts, copies = {}, {}
+        for name, df in tables.items():
+            if name in schemas.NATURAL_KEYS:
+                kept = newest.newest_rows(df, schemas.NATURAL_KEYS[name], order)
+            elif name == "WORKSPACE":
+                kept = df.orderBy(F.desc("CHUNK_ID"), F.desc("ID")).limit(1)
+            elif name == "CHANNEL_USER":
+                latest = df.groupBy("CHANNEL_ID").agg(F.max("CHUNK_ID").alias("CHUNK_ID"))
+                kept = newest.newest_rows(df.join(latest, ["CHANNEL_ID", "CHUNK_ID"]).select(df.columns), ["CHANNEL_ID", "USER_ID"], [F.desc("CHUNK_ID"), F.desc("rowid")])
+            else:
+                kept = df
+            kept.write.mode("errorifexists").parquet(f"{to}/{name}")
+            copies[name] = spark.read.parquet(f"{to}/{name}")
+            counts[name] = copies[name].count()
+        verify_compaction(spark, tables, copies, lake, workspace_id)
+    finally:
+        for df in tables.values():
+            df.unpersist()
+    return counts
+
+
+def verify_compaction(spark: SparkSession, tables: dict[str, DataFrame], copies: dict[str, DataFrame], lake: str | None, workspace_id: str) -> None:
+    """Raises where a copy of the archive's tables differs in newest rows, high-water marks or the lake's keys."""
+    digest = lambda df, keys: newest.newest_rows(df, keys, canonicalize.newest_order()).select(*keys, F.struct("CHUNK_ID", F.sha2("DATA", 256)).alias("digest"))
+    held = {"MESSAGE": "messages", "CHANNEL": "channels", "S_USER": "users"}
     for name, keys in schemas.NATURAL_KEYS.items():
-        digest = lambda df, k=keys: df.select(*k, F.sha2("DATA", 256).alias("digest"))
-        lost = proofs.compaction_differences(digest(newest.newest_rows(tables[name], keys, order)), digest(spark.read.parquet(f"{to}/{name}")), keys, "digest")
+        lost = proofs.compaction_differences(digest(tables[name], keys), digest(copies[name], keys), keys, "digest")
         if not lost.isEmpty():
             raise RuntimeError(f"the compacted copy of {name} differs from the archive's newest rows")
-    return counts
+        if lake is not None and name in held:
+            known = L.read(spark, lake, held[name], workspace_id)
+            columns = ["channel_id", "ts"] if name == "MESSAGE" else [known.columns[1]]
+            gone = merge.vanished(known.select(*[F.col(c).alias(k) for c, k in zip(columns, keys, strict=True)]), copies[name], keys)
+            if not gone.isEmpty():
+                raise RuntimeError(f"the compacted copy of {name} lost keys that the lake holds")
+    before, after = high_waters(tables), high_waters(copies)
+    if before != after:
+        raise RuntimeError(f"high-water marks changed from {before} to {after}")
 
 
 def rebase(spark: SparkSession, archive: str, lake: str) -> str:
     """Point the workspace's checkpoint at ``archive``, a copy of the same newest rows; returns its
     signature.  The copy is proven against the lake first; ``successful_run_id`` stays."""
     report = validate(spark, archive, lake)
-    if not report["passed"]:
+    differs = ("natural_keys_match", "latest_timestamp_matches", "checkpoint_run_succeeded")
+    counted = ("raw_json_mismatch_count", "source_chunk_mismatch_count", "source_invalid_json_count", "canonical_invalid_json_count", "canonical_duplicate_key_count")
+    if not all(report[x] for x in differs) or any(report[x] for x in counted):
         raise ContinuityError("the copy differs from the lake; the checkpoint stays")
     tables, workspace_id = open_archive(spark, archive)
+    seq = L.current(spark, lake)[workspace_id][0]
     entries = manifest(tables)
     mark = signature(entries)
     point = L.read(spark, lake, "ingestion_checkpoints", workspace_id).withColumns(
         {"source_fingerprint": F.lit(mark), "lineage_signature": F.lit(mark), "lineage_manifest_json": F.lit(json.dumps(entries)), "checkpointed_at": F.lit(datetime.now(UTC).replace(tzinfo=None))}
     )
-    L.publish(spark, lake, workspace_id, uuid.uuid4().hex, {"ingestion_checkpoints": point}, {})
+    L.publish(spark, lake, workspace_id, uuid.uuid4().hex, {"ingestion_checkpoints": point}, {}, since=seq)
     return mark

@@ -8,12 +8,13 @@ strings to clean.  A checkpoint lies at nine tenths of the log.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatlake.functions import scalars as S
-from chatlake.operators import attachments, merge, newest, proofs, views
+from chatlake.operators import attachments, merge, metrics, newest, proofs, rollout, views
 from chatlake.session import table
+from chatlake.sources import blocks
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -33,9 +34,9 @@ def _log(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").withColumn("chunk", F.expr("event_id div 100"))
 
 
-def _checkpoint(log: DataFrame) -> int:
-    """The high-water mark: one number."""
-    return log.agg(F.max("event_id")).first()[0] * 9 // 10
+def _marked(log: DataFrame) -> DataFrame:
+    """The log with its high-water mark beside each row: one number, joined as one row."""
+    return log.join(F.broadcast(log.agg(F.expr("max(event_id) * 9 div 10").alias("mark"))))
 
 
 _SQL_LOG = "WITH log AS (SELECT *, event_id // 100 AS chunk FROM events), mark AS (SELECT max(event_id) * 9 // 10 AS m FROM events)"
@@ -59,14 +60,13 @@ SELECT event_id, user_id, event_type, value FROM (
   SELECT l.*, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS r
   FROM log l JOIN touched USING (user_id, event_type)) WHERE r = 1""")
 def newest_for_touched_keys(spark, d):
-    log = _log(spark, d)
-    return newest.newest_for_touched(log, ["user_id", "event_type"], _newest_first(), "event_id", _checkpoint(log)).select("event_id", "user_id", "event_type", "value")
+    log = _marked(_log(spark, d))
+    return newest.newest_for_touched(log, ["user_id", "event_type"], _newest_first(), "event_id", F.col("mark")).select("event_id", "user_id", "event_type", "value")
 
 
 @query(f"{_SQL_LOG} SELECT DISTINCT user_id, event_type FROM log, mark WHERE event_id > m")
 def touched_keys(spark, d):
-    log = _log(spark, d)
-    return newest.touched_keys(log, ["user_id", "event_type"], "event_id", _checkpoint(log))
+    return newest.touched_keys(_marked(_log(spark, d)), ["user_id", "event_type"], "event_id", F.col("mark"))
 
 
 @query(f"""{_SQL_LOG} SELECT DISTINCT user_id, event_type, chunk FROM log JOIN (SELECT user_id, max(chunk) AS chunk FROM log GROUP BY user_id) USING (user_id, chunk)""")
@@ -81,8 +81,8 @@ def duplicate_stats(spark, d):
 
 @query("SELECT doc_id, lang, payload FROM (SELECT doc_id, lang, sha256(text) AS payload, row_number() OVER (PARTITION BY lang, sha256(text) ORDER BY doc_id) AS r FROM documents) WHERE r = 1")
 def payload_dedupe(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "lang", F.sha2("text", 256).alias("payload"))
-    return newest.newest_rows(docs, ["lang", "payload"], [F.col("doc_id")])
+    docs = table(spark, d, "documents").select("doc_id", "lang", "text")
+    return newest.identical_copies_removed(docs, ["lang"], F.col("text"), [F.col("doc_id")]).select("doc_id", "lang", F.sha2("text", 256).alias("payload"))
 
 
 @query("SELECT event_id, user_id, ts, chunk FROM (SELECT *, event_id // 100 AS chunk FROM events) ORDER BY chunk DESC, event_id DESC LIMIT 1")
@@ -90,9 +90,9 @@ def latest_observation(spark, d):
     return _log(spark, d).select("event_id", "user_id", "ts", "chunk").orderBy(F.desc("chunk"), F.desc("event_id")).limit(1)
 
 
-@query("SELECT user_id, arg_max(event_type, ts) AS latest_type, max(ts) AS latest_ts FROM events GROUP BY user_id")
+@query("SELECT user_id, arg_max(event_type, (ts, event_id)) AS latest_type, max(ts) AS latest_ts FROM events GROUP BY user_id")
 def latest_ts(spark, d):
-    return table(spark, d, "events").groupBy("user_id").agg(F.max_by("event_type", "ts").alias("latest_type"), F.max("ts").alias("latest_ts"))
+    return newest.latest_value(table(spark, d, "events"), ["user_id"], "event_type", ["ts", "event_id"])
 
 
 # classification and merges -----------------------------------------------------------------------
@@ -103,8 +103,7 @@ new AS (SELECT user_id, event_type, arg_max(value, event_id) AS value, min(ts) A
 
 
 def _states(spark, d) -> tuple[DataFrame, DataFrame]:
-    log = table(spark, d, "events")
-    at = _checkpoint(log)
+    log, at = _marked(table(spark, d, "events")), F.col("mark")
     state = lambda rows: rows.groupBy("user_id", "event_type").agg(F.max_by("value", "event_id").alias("value"), F.min("ts").alias("first_ts"), F.max("event_id").alias("version"))
     return state(log.filter(F.col("event_id") <= at)), state(log.filter((F.col("event_id") > at) | (F.col("event_type") == "click")))
 
@@ -183,13 +182,14 @@ def vanished_keys(spark, d):
 
 
 _SQL_VERSIONS = """WITH cur AS (SELECT user_id, event_type, max(event_id // 100) AS version, max(value) AS v FROM events GROUP BY ALL),
-inc AS (SELECT user_id, event_type, arg_max(event_id // 100, value) AS version, max(value) + any_value(user_id % 2) AS v FROM events GROUP BY user_id, event_type)"""
+inc AS (SELECT user_id, event_type, max(CASE WHEN r = 1 THEN event_id // 100 END) AS version, max(value) + user_id % 2 AS v
+  FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY value DESC, event_id DESC) AS r FROM events) GROUP BY user_id, event_type)"""
 
 
 def _versions(spark, d):
     log = _log(spark, d)
     cur = log.groupBy("user_id", "event_type").agg(F.max("chunk").alias("version"), F.max("value").alias("v"))
-    inc = log.groupBy("user_id", "event_type").agg(F.max_by("chunk", "value").alias("version"), (F.max("value") + F.first("user_id") % 2).alias("v"))
+    inc = log.groupBy("user_id", "event_type").agg(F.max(F.struct("value", "event_id", "chunk")).alias("x")).select("user_id", "event_type", F.col("x.chunk").alias("version"), (F.col("x.value") + F.col("user_id") % 2).alias("v"))
     return cur, inc
 
 
@@ -216,13 +216,11 @@ def compaction_differences(spark, d):
     return proofs.compaction_differences(old, new, ["user_id", "event_type"], "value")
 
 
-@query("SELECT count(*) AS orphans FROM conversations c WHERE turn > 0 AND NOT EXISTS (SELECT 1 FROM conversations p WHERE p.conv_id = c.conv_id AND p.turn = c.turn - 1 AND p.role = 'user')")
+@query("SELECT conv_id, turn FROM conversations c WHERE turn > 0 AND NOT EXISTS (SELECT 1 FROM conversations p WHERE p.conv_id = c.conv_id AND p.turn = c.turn - 1 AND p.role = 'user')")
 def orphan_replies(spark, d):
     conv = table(spark, d, "conversations")
-    replies = conv.filter("turn > 0").withColumn("parent", F.col("turn") - 1)
-    parents = conv.filter("role = 'user'").select("conv_id", F.col("turn").alias("p_turn"))
-    found = replies.join(parents, (replies["conv_id"] == parents["conv_id"]) & (F.col("parent") == F.col("p_turn")), "left_anti")
-    return found.agg(F.count(F.lit(1)).alias("orphans"))
+    messages = conv.select("conv_id", "turn", F.when(F.col("turn") > 0, F.col("turn") - 1).alias("parent"), F.when(F.col("role") == "user", F.col("turn")).alias("own"))
+    return views.orphan_replies(messages, ["conv_id"], "parent", "own").select("conv_id", "turn")
 
 
 @query("SELECT o_custkey, o_orderpriority FROM orders GROUP BY o_custkey, o_orderpriority HAVING max(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) = 0")
@@ -230,34 +228,38 @@ def incomplete_streams(spark, d):
     return proofs.incomplete_streams(table(spark, d, "orders"), [F.col("o_custkey"), F.col("o_orderpriority")], F.col("o_orderstatus") == "F")
 
 
-@query()
+_DIGESTED = {"customer": ["c_acctbal", "c_custkey", "c_mktsegment", "c_name", "c_nationkey"], "documents": ["doc_id", "lang", "n_chars", "source", "text"], "labels": ["doc_id", "quality", "toxic"], "part": ["p_brand", "p_name", "p_partkey", "p_size", "p_type"]}
+_SQL_DIGESTS = " UNION ALL ".join(
+    f"SELECT '{t}' AS name, h FROM (SELECT sha256(to_json({{{', '.join(f'{c}: {c}' for c in columns)}}})) AS h FROM {t})" for t, columns in _DIGESTED.items()
+)
+
+
+@query(f"""SELECT name, count(*) AS rows, sha256(sum(('0x' || substr(h, 1, 7))::BIGINT)::VARCHAR || ':' || sum(('0x' || substr(h, 8, 7))::BIGINT)::VARCHAR || ':' || bit_xor(('0x' || substr(h, 15, 15))::BIGINT)::VARCHAR) AS digest
+FROM ({_SQL_DIGESTS}) GROUP BY ALL""")
 def table_digest(spark, d):
-    parts = [proofs.table_digest(table(spark, d, t), t) for t in ("events", "customer", "orders", "documents")]
+    parts = [proofs.table_digest(table(spark, d, t).select(*columns), t) for t, columns in _DIGESTED.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.withColumnRenamed("table", "name")
 
 
 @query("SELECT 'customer' AS name, count(*) AS n FROM customer UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'events', count(*) FROM events UNION ALL SELECT 'documents', count(*) FROM documents UNION ALL SELECT 'conversations', count(*) FROM conversations")
 def table_counts(spark, d):
-    out = None
-    for t in ("customer", "orders", "events", "documents", "conversations"):
-        one = table(spark, d, t).agg(F.lit(t).alias("name"), F.count(F.lit(1)).alias("n"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    return proofs.row_counts({t: table(spark, d, t) for t in ("customer", "orders", "events", "documents", "conversations")})
 
 
-@query("SELECT n_name, count(DISTINCT c_custkey) > 0 AS exists_checkpoint FROM nation JOIN customer ON c_nationkey = n_nationkey JOIN orders ON o_custkey = c_custkey WHERE o_orderstatus = 'F' GROUP BY n_name")
+@query("SELECT n_nationkey AS workspace_id, n_name FROM nation WHERE EXISTS (SELECT 1 FROM customer JOIN orders ON o_custkey = c_custkey WHERE c_nationkey = n_nationkey AND o_orderstatus = 'F')")
 def checkpoint_exists(spark, d):
-    done = table(spark, d, "orders").filter("o_orderstatus = 'F'").select("o_custkey").distinct()
-    cust = table(spark, d, "customer").join(done, F.col("c_custkey") == F.col("o_custkey"), "left_semi").select("c_nationkey").distinct()
-    return table(spark, d, "nation").join(cust, F.col("n_nationkey") == F.col("c_nationkey"), "left_semi").select("n_name", F.lit(True).alias("exists_checkpoint"))
+    workspaces = table(spark, d, "nation").select(F.col("n_nationkey").alias("workspace_id"), "n_name")
+    checkpoints = table(spark, d, "customer").select(F.col("c_nationkey").alias("workspace_id"), F.col("c_custkey").alias("successful_run_id"))
+    runs = table(spark, d, "orders").select(F.col("o_custkey").alias("run_id"), F.when(F.col("o_orderstatus") == "F", "succeeded").otherwise("started").alias("status"))
+    return proofs.accepted_checkpoints(workspaces, checkpoints, runs)
 
 
 @query("SELECT max(event_id) AS event_high_water, max(event_id // 100) AS chunk_high_water, (SELECT max(o_orderkey) FROM orders) < max(event_id) AS regressed FROM events")
 def high_waters(spark, d):
-    marks = _log(spark, d).agg(F.max("event_id").alias("event_high_water"), F.max("chunk").alias("chunk_high_water"))
+    marks = proofs.high_waters(_log(spark, d), {"event_high_water": "event_id", "chunk_high_water": "chunk"})
     other = table(spark, d, "orders").agg(F.max("o_orderkey").alias("v"))
     return marks.join(F.broadcast(other)).select("event_high_water", "chunk_high_water", S.regressed(F.col("v"), F.col("event_high_water")).alias("regressed"))
 
@@ -271,13 +273,15 @@ def backlog(spark, d):
 # views -------------------------------------------------------------------------------------------
 
 
-@query("SELECT o_orderkey, o_custkey, o_totalprice, c_name, c_mktsegment, n_name FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 0) ON c_nationkey = n_nationkey")
+@query("""SELECT l_orderkey, l_linenumber, r_regionkey::BIGINT AS workspace_id, l_suppkey AS channel_id, l_partkey AS user_id, r_name AS workspace_slug, lower(r_name) AS team_name, s_name AS channel_name, p_name AS username, p_brand AS real_name, p_type AS display_name
+FROM lineitem JOIN (SELECT * FROM region WHERE r_regionkey > 0) ON r_regionkey = l_suppkey % 5 LEFT JOIN (SELECT * FROM supplier WHERE s_nationkey > 5) ON s_suppkey = l_suppkey
+LEFT JOIN (SELECT * FROM part WHERE p_size > 20) ON p_partkey = l_partkey AND p_partkey % 5 = l_suppkey % 5""")
 def enriched_view(spark, d):
-    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    cust = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
-    nation = table(spark, d, "nation").filter("n_regionkey <> 0").select("n_nationkey", "n_name")
-    named = cust.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    return orders.join(named, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "o_custkey", "o_totalprice", "c_name", "c_mktsegment", "n_name")
+    messages = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_suppkey") % 5).alias("workspace_id"), F.col("l_suppkey").alias("channel_id"), F.col("l_partkey").alias("user_id"))
+    workspaces = table(spark, d, "region").filter("r_regionkey > 0").select(F.col("r_regionkey").cast("long").alias("workspace_id"), F.col("r_name").alias("workspace_slug"), F.lower("r_name").alias("team_name"))
+    channels = table(spark, d, "supplier").filter("s_nationkey > 5").select((F.col("s_suppkey") % 5).alias("workspace_id"), F.col("s_suppkey").alias("channel_id"), F.col("s_name").alias("name"))
+    users = table(spark, d, "part").filter("p_size > 20").select((F.col("p_partkey") % 5).alias("workspace_id"), F.col("p_partkey").alias("user_id"), F.col("p_name").alias("username"), F.col("p_brand").alias("real_name"), F.col("p_type").alias("display_name"))
+    return views.enriched(messages, workspaces, channels, users)
 
 
 @query("SELECT conv_id, turn, role FROM conversations WHERE NOT (role = 'system') AND (NOT (turn > 0) OR role = 'user')")
@@ -346,21 +350,40 @@ def slugs(spark, d):
     return table(spark, d, "part").select("p_partkey", S.slug(F.concat_ws(" ", "p_type", "p_name")).alias("slug"))
 
 
-@query("""SELECT page_id, coalesce(nullif(regexp_replace(regexp_replace(url, '[<>:"/\\\\|?*]', '_', 'g'), '[ .]+$', ''), ''), 'unnamed_file') AS name FROM pages""")
+@query(r"""SELECT page_id, CASE WHEN regexp_matches(name, '(?i)^(con|prn|aux|nul|com[1-9]|lpt[1-9])(\.|$)') THEN '_' || name ELSE name END AS name
+FROM (SELECT page_id, coalesce(nullif(regexp_replace(regexp_replace(CASE page_id % 4 WHEN 0 THEN url WHEN 1 THEN 'Com' || page_id % 10 || '.' || chr(9) || url WHEN 2 THEN url || '. .' ELSE '. ' END, '[<>:"/\\|?*]', '_', 'g'), '[ .]+$', ''), ''), 'unnamed_file') AS name FROM pages)""")
 def safe_names(spark, d):
-    return table(spark, d, "pages").select("page_id", S.safe_filename(F.col("url")).alias("name"))
+    n = F.col("page_id") % 4
+    raw = F.when(n == 0, F.col("url")).when(n == 1, F.concat(F.lit("Com"), (F.col("page_id") % 10).cast("string"), F.lit(".\t"), F.col("url"))).when(n == 2, F.concat("url", F.lit(". ."))).otherwise(". ")
+    return table(spark, d, "pages").select("page_id", S.safe_filename(raw).alias("name"))
+
 
+_TAIL = r"' by xoxb-' || source || '.' || doc_id || '/e_9" + r'"rest XOXP-' + r"' || lang || '\q fooxoxa-1'"
+_SQL_TOKEN = S.TOKEN.replace("'", "''")
 
-@query("SELECT doc_id, sha256(regexp_replace(text, 'token = \"[0-9a-f]+\"', '[REDACTED]', 'g')) AS redacted FROM documents")
+
+@query(f"SELECT doc_id, sha256(regexp_replace(replace(text || {_TAIL}, 'src1', '[REDACTED]'), '{_SQL_TOKEN}', '[REDACTED]', 'g')) AS redacted FROM documents")
 def redaction(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.sha2(S.redact(F.col("text"), (), 'token = "[0-9a-f]+"'), 256).alias("redacted"))
+    tail = F.concat(F.lit(" by xoxb-"), "source", F.lit("."), F.col("doc_id").cast("string"), F.lit('/e_9"rest XOXP-'), "lang", F.lit(r"\q fooxoxa-1"))
+    return table(spark, d, "documents").select("doc_id", F.sha2(S.redact(F.concat("text", tail), ("src1",)), 256).alias("redacted"))
+
 
+# Messages of which two orders' numbers make many: each rule, both at once, and neither.
+_FAILURES = (
+    "dial tcp: lookup x: no such host", "Context Deadline Exceeded", "status code 503", "502 Bad Gateway", "read: connection reset by peer", "TLS handshake timeout",
+    "invalid_cookie", "INVALID_AUTH", "token_revoked: unexpected EOF", "401 unauthorized", "my_invalid_auth", "timed out", "no such channel", "status code 5030",
+)
+_SQL_FAILURE = f"[{', '.join(repr(x) for x in _FAILURES)}]"
 
-@query("""SELECT o_orderkey, CASE WHEN regexp_matches(m, '(?i)timed? ?out') THEN 'transient' WHEN regexp_matches(m, '(?i)invalid_auth') THEN 'authentication' ELSE 'other' END AS class
-FROM (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'Timed out: invalid_auth' WHEN 'O' THEN 'INVALID_AUTH' ELSE o_orderpriority END AS m FROM orders)""")
+
+@query(rf"""SELECT o_orderkey, CASE WHEN regexp_matches(m, '(?i){"|".join(S.TRANSIENT)}') THEN 'transient' WHEN o_orderpriority LIKE '1%' OR regexp_matches(m, '(?i)\b(?:{"|".join(S.REFUSED)})\b') THEN 'authentication' ELSE 'other' END AS class
+FROM (SELECT o_orderkey, o_orderpriority, {_SQL_FAILURE}[o_orderkey % {len(_FAILURES)} + 1] || ' / ' || {_SQL_FAILURE}[o_custkey % {len(_FAILURES)} + 1] AS m FROM orders)""")
 def failure_classes(spark, d):
-    m = F.when(F.col("o_orderstatus") == "F", "Timed out: invalid_auth").when(F.col("o_orderstatus") == "O", "INVALID_AUTH").otherwise(F.col("o_orderpriority"))
-    return table(spark, d, "orders").select("o_orderkey", S.failure_class(m).alias("class"))
+    said = F.array(*map(F.lit, _FAILURES))
+    pick = lambda c: F.get(said, (F.col(c) % len(_FAILURES)).cast("int"))
+    m = F.concat(F.lit("\x1b[31m"), pick("o_orderkey"), F.lit(" \x1b[0m/ "), pick("o_custkey"))
+    action = F.when(F.col("o_orderpriority").startswith("1"), "authentication")
+    return table(spark, d, "orders").select("o_orderkey", S.failure_class(m, action).alias("class"))
 
 
 @query("SELECT page_id, regexp_extract(url, '^([a-z]+)://', 1) AS protocol, regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) AS host, regexp_matches(url, '^https://[^/:@?#]+\\.com(/|$)') AS ok FROM pages")
@@ -369,9 +392,16 @@ def url_parts(spark, d):
     return table(spark, d, "pages").select("page_id", F.try_parse_url(url, F.lit("PROTOCOL")).alias("protocol"), F.try_parse_url(url, F.lit("HOST")).alias("host"), S.site_url_ok(url, ".com").alias("ok"))
 
 
-@query("SELECT DISTINCT lower(c_mktsegment) AS segment, length(c_mktsegment) <= 64 AS ok FROM customer")
+_SQL_EDGES = r"['', ' ', '.', chr(9), chr(8195), '/', '\', chr(127), 'é']"
+
+
+@query(rf"""SELECT p_partkey, id, length(id) BETWEEN 1 AND 64 AND NOT regexp_matches(id, '[\x00-\x1f\x7f/\\]') AND left(id, 1) NOT IN ('.', ' ', chr(8195)) AND right(id, 1) NOT IN (' ', chr(8195)) AS ok
+FROM (SELECT p_partkey, {_SQL_EDGES}[p_partkey % 9 + 1] || repeat(p_brand, p_partkey % 10) || {_SQL_EDGES}[p_size % 9 + 1] AS id FROM part)""")
 def workspace_ids(spark, d):
-    return table(spark, d, "customer").select(F.lower("c_mktsegment").alias("segment"), S.workspace_id_ok(F.col("c_mktsegment")).alias("ok")).distinct()
+    edges = F.array(*map(F.lit, ("", " ", ".", "\t", " ", "/", "\\", "\x7f", "é")))
+    edge = lambda c: F.get(edges, (F.col(c) % 9).cast("int"))
+    name = F.concat(edge("p_partkey"), F.repeat(F.col("p_brand"), (F.col("p_partkey") % 10).cast("int")), edge("p_size"))
+    return table(spark, d, "part").select("p_partkey", name.alias("id"), S.workspace_id_ok(name).alias("ok"))
 
 
 @query("SELECT doc_id, sha256(replace(replace(replace(text, '\\', '\\\\'), '\"', '\\\"'), chr(10), '\\n')) AS label, translate(base64(encode(source)), '+/', '-_') AS path FROM documents")
@@ -394,28 +424,71 @@ met AS (SELECT w.*, served, CASE WHEN served IS NULL THEN 'missing' WHEN size <=
 FROM wanted w LEFT JOIN present USING (file_id, name) LEFT JOIN ok USING (file_id))"""
 
 
-@query(f"""{_SQL_FILES} SELECT count(*) AS expected_count, count(served) AS present_count, count(*) FILTER (WHERE class = 'missing') AS missing_count, count(*) FILTER (WHERE class = 'mismatch') AS size_mismatch_count,
- sum(size)::BIGINT AS expected_bytes, sum(served)::BIGINT AS present_bytes, count(*) FILTER (WHERE class = 'snippet') AS snippet_variance_count, coalesce(sum(abs(served - size)) FILTER (WHERE class = 'snippet'), 0)::BIGINT AS snippet_variance_bytes,
- count(*) FILTER (WHERE class = 'documented') AS documented_variance_count, coalesce(sum(abs(served - size)) FILTER (WHERE class = 'documented'), 0)::BIGINT AS documented_variance_bytes FROM met""")
-def reconcile_report(spark, d):
+def _reconciled(spark, d) -> DataFrame:
     li = table(spark, d, "lineitem")
     file_id = F.concat_ws("-", "l_orderkey", "l_linenumber").alias("file_id")
     wanted = li.select(file_id, F.col("l_linestatus").alias("name"), F.col("l_quantity").cast("long").alias("size"), F.when(F.col("l_returnflag") == "R", "snippet").otherwise("hosted").alias("mode"), F.lit("text/plain").alias("mime"))
     present = li.filter("l_linenumber <> 4").select(file_id, F.col("l_linestatus").alias("name"), (F.col("l_quantity") + F.col("l_orderkey") % 3).cast("long").alias("served"))
     ok = li.filter("l_returnflag = 'A'").select(file_id, (F.col("l_quantity") + 1).cast("long").alias("accepted")).distinct()
-    return attachments.report(attachments.reconciled(wanted, present, ok)).drop("documented_variance_files")
+    return attachments.reconciled(wanted, present, ok)
 
 
-@query("SELECT source, sum(n_chars)::BIGINT AS bytes, row_number() OVER (ORDER BY sum(n_chars), source)::INTEGER AS place FROM documents GROUP BY source")
-def rollout_order(spark, d):
-    sums = table(spark, d, "documents").groupBy("source").agg(F.sum("n_chars").alias("bytes"))
-    return sums.withColumn("place", F.row_number().over(Window.orderBy("bytes", "source")))
+@query(f"""{_SQL_FILES} SELECT count(*) AS expected_count, count(served) AS present_count, count(*) FILTER (WHERE class = 'missing') AS missing_count, count(*) FILTER (WHERE class = 'mismatch') AS size_mismatch_count,
+ sum(size)::BIGINT AS expected_bytes, sum(served)::BIGINT AS present_bytes, count(*) FILTER (WHERE class = 'snippet') AS snippet_variance_count, coalesce(sum(abs(served - size)) FILTER (WHERE class = 'snippet'), 0)::BIGINT AS snippet_variance_bytes,
+ count(*) FILTER (WHERE class = 'documented') AS documented_variance_count, coalesce(sum(abs(served - size)) FILTER (WHERE class = 'documented'), 0)::BIGINT AS documented_variance_bytes FROM met""")
+def reconcile_report(spark, d):
+    return attachments.report(_reconciled(spark, d)).drop("documented_variance_files")
 
 
-@query("""SELECT conv_id, turn, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)::BIGINT AS block FROM conversations""")
+@query(f"""{_SQL_FILES} SELECT split_part(file_id, '-', 1)::BIGINT % 97 AS part, count(*) AS files, sum(abs(served - size))::BIGINT AS bytes, string_agg(file_id || '=' || served, ',' ORDER BY file_id || '=' || served) AS listed
+FROM met WHERE class = 'documented' GROUP BY ALL""")
+def variance_totals(spark, d):
+    part = F.split_part("file_id", F.lit("-"), F.lit(1)).cast("long") % 97
+    return attachments.variance_totals(_reconciled(spark, d).withColumn("part", part), ["part"])
+
+
+@query("""WITH apart AS (SELECT DISTINCT upper(source) AS name FROM documents JOIN labels USING (doc_id) WHERE toxic = 1)
+SELECT source, sum(n_chars)::BIGINT AS bytes, row_number() OVER (ORDER BY sum(n_chars), source)::INTEGER AS place FROM documents
+WHERE upper(source) NOT IN (SELECT name FROM apart) OR (SELECT count(*) FROM documents WHERE upper(source) NOT IN (SELECT name FROM apart)) = 0 GROUP BY source""")
+def rollout_order(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "source", "n_chars")
+    apart = docs.join(table(spark, d, "labels").filter("toxic = 1"), "doc_id", "left_semi").select(F.upper("source").alias("name"))
+    return rollout.placed(rollout.covered(docs.groupBy("source").agg(F.sum("n_chars").alias("bytes")), apart, "source"), "bytes", "source")
+
+
+_WORD = "left(regexp_replace(text, '[^A-Za-z]', '', 'g'), 6)"
+_SQL_LINES = rf"""WITH lines AS (SELECT conv_id, turn, CASE (turn * 3 + conv_id) % 8
+  WHEN 0 THEN '  export WORKSPACE="' || {_WORD} || '\t\"' || turn || '\\n" # opens'
+  WHEN 1 THEN 'CHANNEL_URL = https://' || {_WORD} || '.slack.com/#a  # note' WHEN 2 THEN 'SLACK_TOKEN=' || chr(39) || {_WORD} || '\n #x' || chr(39) || ' junk'
+  WHEN 3 THEN 'SLACK_COOKIE="' || {_WORD} || '\"' WHEN 4 THEN 'just ' || {_WORD} WHEN 5 THEN 'WORKSPACE=' || {_WORD} || '=' || conv_id || '#1 '
+  WHEN 6 THEN 'OTHER=' || {_WORD} ELSE '# ' || {_WORD} END AS line FROM conversations
+), read AS (
+  SELECT conv_id, turn, regexp_extract(trim(line), '^(?:export\s+)?([A-Za-z_][A-Za-z0-9_]*)\s*=', 1) AS key, trim(regexp_extract(trim(line), '^[^=]*=(.*)$', 1)) AS rest FROM lines WHERE trim(line) NOT LIKE '#%'
+), valued AS (
+  SELECT *, CASE left(rest, 1) WHEN '"' THEN regexp_extract(rest, '^"((?:[^"\\]|\\.)*)"', 0) WHEN chr(39) THEN regexp_extract(rest, '^''[^'']*''', 0) END AS closed FROM read
+), judged AS (
+  SELECT *, CASE WHEN key = '' THEN 'invalid assignment' WHEN closed = '' THEN 'unterminated value' WHEN trim(substr(rest, length(closed) + 1)) <> '' AND trim(substr(rest, length(closed) + 1)) NOT LIKE '#%' THEN 'text after value' END AS p,
+    CASE WHEN closed IS NULL THEN trim(regexp_replace(rest, '\s+#.*$', '')) WHEN left(closed, 1) = chr(39) THEN substr(closed, 2, length(closed) - 2)
+      ELSE array_to_string(list_transform(regexp_extract_all(substr(closed, 2, length(closed) - 2), '\\.|[^\\]+'), lambda x: CASE x WHEN '\n' THEN chr(10) WHEN '\t' THEN chr(9) WHEN '\r' THEN chr(13) ELSE CASE WHEN left(x, 1) = '\' THEN substr(x, 2) ELSE x END END), '') END AS v
+  FROM valued WHERE key IN ('', 'WORKSPACE', 'CHANNEL_URL', 'SLACK_TOKEN', 'SLACK_COOKIE')
+), placed AS (
+  SELECT *, sum(CASE WHEN key = 'WORKSPACE' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn)::BIGINT AS block FROM judged
+)
+SELECT conv_id, turn::INTEGER AS line_no, block, nullif(key, '') AS key, CASE WHEN p IS NULL THEN v END AS value,
+  coalesce(p, CASE WHEN key <> '' AND block = 0 THEN 'before the first block' WHEN key <> '' AND row_number() OVER (PARTITION BY conv_id, block, key ORDER BY turn) > 1 THEN 'duplicate key' END) AS problem FROM placed"""
+
+
+@query(_SQL_LINES)
 def block_parse(spark, d):
-    own = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
-    return table(spark, d, "conversations").select("conv_id", "turn", F.sum(F.when(F.col("role") == "user", 1).otherwise(0)).over(own).alias("block"))
+    word = F.left(F.regexp_replace("text", "[^A-Za-z]", ""), F.lit(6))
+    shapes = [
+        ('  export WORKSPACE="', word, r"\t\"", F.col("turn").cast("string"), r'\\n" # opens'), ("CHANNEL_URL = https://", word, ".slack.com/#a  # note"), ("SLACK_TOKEN='", word, r"\n #x' junk"),
+        ('SLACK_COOKIE="', word, r"\""), ("just ", word), ("WORKSPACE=", word, "=", F.col("conv_id").cast("string"), "#1 "), ("OTHER=", word), ("# ", word),
+    ]
+    each = F.array(*[F.concat(*[F.lit(x) if isinstance(x, str) else x for x in shape]) for shape in shapes])
+    line = F.get(each, ((F.col("turn") * 3 + F.col("conv_id")) % 8).cast("int"))
+    lines = table(spark, d, "conversations").select(F.col("conv_id").alias("file"), F.col("turn").cast("int").alias("line_no"), line.alias("line"))
+    return blocks.parse_lines(lines).withColumnRenamed("file", "conv_id")
 
 
 @query("""SELECT user_id, greatest(0.0, epoch(max(ts)) - epoch(max(ts) FILTER (WHERE event_type = 'click')))::DOUBLE AS lag FROM events GROUP BY user_id""")
@@ -425,19 +498,26 @@ def source_lag(spark, d):
     return g.select("user_id", S.lag_seconds(secs(F.col("a")), secs(F.col("b"))).alias("lag"))
 
 
-@query()
-def metrics_text(spark, d):
-    from chatlake.operators import metrics
+_SQL_GAUGES = """WITH g AS (SELECT source, count(*) AS rows_inserted, count(quality) AS canonical_row_count, avg(n_chars)::DOUBLE AS run_duration_seconds, count(quality)::DOUBLE / 10000000.0::DOUBLE AS lock_wait_seconds, 1e13::DOUBLE * count(*)::DOUBLE AS archive_size_bytes FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source)
+"""
+_GAUGES = ("rows_inserted", "canonical_row_count", "run_duration_seconds", "lock_wait_seconds", "archive_size_bytes")
 
-    g = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left").groupBy("source").agg(F.count(F.lit(1)).alias("source_rows"), F.count("quality").alias("canonical_rows"))
-    return metrics.exposition(g.withColumnRenamed("source", "workspace"), ["workspace"], ["source_rows", "canonical_rows"], "chatlake")
+
+@query(_SQL_GAUGES + " UNION ALL ".join(
+    f"""SELECT {i}::INTEGER AS place, 'chatlake_{g}' AS metric, '# TYPE chatlake_{g} gauge' AS type, 'chatlake_{g}' || chr(123) || 'workspace="' || source || '"' || chr(125) || ' ' || format('{{:.15g}}', {g}::DOUBLE) AS line FROM g\n""" for i, g in enumerate(_GAUGES)
+))
+def metrics_text(spark, d):
+    met = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left").groupBy("source")
+    n, labelled = F.count(F.lit(1)), F.count("quality")
+    g = met.agg(n.alias("rows_inserted"), labelled.alias("canonical_row_count"), F.avg("n_chars").alias("run_duration_seconds"), (labelled.cast("double") / 1e7).alias("lock_wait_seconds"), (n.cast("double") * 1e13).alias("archive_size_bytes"))
+    return metrics.exposition(g.withColumnRenamed("source", "workspace"), ["workspace"], list(_GAUGES), "chatlake")
 
 
 @query("SELECT source FROM (SELECT DISTINCT source FROM documents EXCEPT SELECT DISTINCT source FROM documents JOIN labels USING (doc_id) WHERE toxic = 1)")
 def stale_groups(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "source")
     active = docs.join(table(spark, d, "labels").filter("toxic = 1"), "doc_id", "left_semi").select("source")
-    return docs.select("source").distinct().subtract(active.distinct())
+    return merge.vanished(docs, active, ["source"])
 
 
 # keys and sets -----------------------------------------------------------------------------------
@@ -445,23 +525,20 @@ def stale_groups(spark, d):
 
 @query("SELECT lower(p_brand || p_type) AS folded, count(DISTINCT p_partkey) AS n FROM part GROUP BY 1 HAVING count(DISTINCT p_partkey) > 1")
 def case_folded_duplicates(spark, d):
-    keyed = table(spark, d, "part").select(F.lower(F.concat("p_brand", "p_type")).alias("folded"), "p_partkey")
-    return keyed.groupBy("folded").agg(F.count_distinct("p_partkey").alias("n")).filter("n > 1")
+    return newest.folded_duplicates(table(spark, d, "part"), F.concat("p_brand", "p_type"), "p_partkey")
 
 
 @query("SELECT user_id, event_type FROM events WHERE value > 50 INTERSECT SELECT user_id, event_type FROM events WHERE value < 10")
 def common_keys(spark, d):
     log = table(spark, d, "events")
-    return log.filter("value > 50").select("user_id", "event_type").intersect(log.filter("value < 10").select("user_id", "event_type"))
+    return merge.common_keys(log.filter("value > 50"), log.filter("value < 10"), ["user_id", "event_type"])
 
 
 @query(f"""{_SQL_STATES} SELECT coalesce(o.user_id, n.user_id) AS user_id, coalesce(o.event_type, n.event_type) AS event_type, o.value IS DISTINCT FROM n.value AS value_differs, o.version IS DISTINCT FROM n.version AS version_differs
 FROM old o JOIN new n ON o.user_id = n.user_id AND o.event_type = n.event_type WHERE o.value IS DISTINCT FROM n.value OR o.version IS DISTINCT FROM n.version""")
 def mismatched_keys(spark, d):
     old, new = _states(spark, d)
-    met = old.join(new.select("user_id", "event_type", F.col("value").alias("v"), F.col("version").alias("w")), ["user_id", "event_type"])
-    marked = met.select("user_id", "event_type", (~F.col("value").eqNullSafe(F.col("v"))).alias("value_differs"), (~F.col("version").eqNullSafe(F.col("w"))).alias("version_differs"))
-    return marked.filter("value_differs OR version_differs")
+    return merge.mismatches(old, new, ["user_id", "event_type"], ["value", "version"])
 
 
 @query(f"""{_SQL_STATES} SELECT count(*) = 0 AS equal FROM (SELECT * FROM (SELECT user_id, event_type FROM old EXCEPT SELECT user_id, event_type FROM new) UNION ALL SELECT * FROM (SELECT user_id, event_type FROM new EXCEPT SELECT user_id, event_type FROM old))""")
@@ -470,10 +547,9 @@ def key_sets_equal(spark, d):
     return merge.comparison(old, new, ["user_id", "event_type"], "value").select(((F.col("missing") == 0) & (F.col("extra") == 0)).alias("equal"))
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE lower(c_name) = (SELECT lower(min(c_name)) FROM customer)")
+@query("SELECT c_custkey, c_name FROM customer WHERE lower(c_name) = lower('CUSTOMER#000000007')")
 def selected_workspace(spark, d):
-    cust = table(spark, d, "customer").select("c_custkey", "c_name")
-    return cust.join(F.broadcast(cust.agg(F.upper(F.min("c_name")).alias("wanted"))), F.lower("c_name") == F.lower("wanted")).select("c_custkey", "c_name")
+    return blocks.select_workspace(table(spark, d, "customer").select("c_custkey", "c_name"), F.lit(" CUSTOMER#000000007 "), "c_name")
 
 
 @query("SELECT s.* EXCLUDE (s_acctbal), n_name AS nation FROM supplier s JOIN nation ON s_nationkey = n_nationkey")
@@ -486,15 +562,9 @@ def star_projection(spark, d):
 @query("SELECT count(*) AS covered FROM orders o WHERE EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_returnflag = 'R')")
 def covered_files(spark, d):
     found = table(spark, d, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
-    return table(spark, d, "orders").join(found, "o_orderkey", "left_semi").agg(F.count(F.lit(1)).alias("covered"))
+    return attachments.covered(table(spark, d, "orders"), found, ["o_orderkey"])
 
 
 @query("SELECT max(event_id)::DOUBLE / 1000000.0::DOUBLE AS recency, (SELECT count(*) FROM events WHERE value < 1) AS waiting FROM events")
 def source_recency(spark, d):
     return table(spark, d, "events").agg((F.max("event_id").cast("double") / 1e6).alias("recency"), F.count_if(F.col("value") < 1).alias("waiting"))
-
-
-@query("SELECT n_regionkey, string_agg(n_name || '=' || n_nationkey, ',' ORDER BY n_name || '=' || n_nationkey) AS listed, sum(abs(n_nationkey - 10))::BIGINT AS delta FROM nation GROUP BY n_regionkey")
-def variance_totals(spark, d):
-    pair = F.concat_ws("=", "n_name", "n_nationkey")
-    return table(spark, d, "nation").groupBy("n_regionkey").agg(F.array_join(F.array_sort(F.collect_list(pair)), ",").alias("listed"), F.sum(F.abs(F.col("n_nationkey") - 10)).cast("long").alias("delta"))

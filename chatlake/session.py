@@ -49,38 +49,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ship(spark: SparkSession) -> None:
-    """Hand this package to the executors' Python workers, once a context.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Jobs then run whatever the workers' search path is; a package that was itself shipped as a zip
-    is left as it is.
+    Only a local session without the setting, as in tests, gets a folder of its own on this machine.
     """
-    sc, root = spark.sparkContext, Path(__file__).resolve().parent
-    if getattr(sc, "_chatlake_shipped", False) or not root.is_dir():
-        return
-    packed = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="chatlake-")), "chatlake_package.zip")
-    with zipfile.ZipFile(packed, "w") as z:
-        for p in sorted(root.rglob("*.py")):
-            z.write(p, p.relative_to(root.parent))
-    sc.addPyFile(packed)
-    sc._chatlake_shipped = True
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return named or tempfile.mkdtemp(prefix="spark-shared-")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table; a single Parquet file or a folder of them."""
-    ship(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of our own on any file system that Spark reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder the cluster names.
-
-    ``spark.checkpoint.dir`` wins; a folder of our own is made only where neither the
-    setting nor the context has one, as in tests on one machine.
-    """
+    """Cut the lineage with a reliable checkpoint in the context's folder, else in the shared one."""
     spark = df.sparkSession
     ship(spark)
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-ckpt-"))
+        sc.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()

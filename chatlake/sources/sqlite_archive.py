@@ -3,8 +3,8 @@
     spark.dataSource.register(SQLiteArchive)
     spark.read.format("sqlite_archive").option("path", p).option("table", "MESSAGE").load()
 
-Each partition reads one range of rowids through the standard library's driver, so a large table is
-read in parallel; ``CHUNK_ID > n`` and other simple comparisons are pushed into SQLite.  The path has
+Each partition reads one range of rowids through the standard library's driver, ``ROWS`` of them if
+``numPartitions`` isn't set, so a large table is read in parallel; ``CHUNK_ID > n`` and other simple comparisons are pushed into SQLite.  The path has
 to be one that executors can open.  ``columns`` narrows the scan; missing optional columns are null.
 """
 
@@ -22,6 +22,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter
 from chatlake import schemas
 from chatlake.session import ship
 
+ROWS = 100_000
 OPERATORS = {GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<=", EqualTo: "="}
 
 
@@ -29,9 +30,19 @@ def connect(path: str) -> sqlite3.Connection:
     return sqlite3.connect(f"{Path(path).absolute().as_uri()}?mode=ro", uri=True)
 
 
-def check_structure(path: str) -> None:
-    """Refuse an archive that lacks a table or a required column."""
+def migration_version(path: str, table: str = "goose_db_version") -> int | None:
+    """The newest applied migration that the archive records, if it does."""
     with connect(path) as db:
+        if not db.execute("SELECT 1 FROM sqlite_master WHERE type = 'table' AND lower(name) = ?", [table.lower()]).fetchone():
+            return None
+        return db.execute(f'SELECT max(version_id) FROM "{table}" WHERE is_applied').fetchone()[0]
+
+
+def check_structure(path: str, pages: bool = False) -> None:
+    """Refuse an archive that lacks a table or a required column; with ``pages``, one whose pages are damaged too."""
+    with connect(path) as db:
+        if pages and db.execute("PRAGMA quick_check").fetchone()[0] != "ok":
+            raise ValueError("the archive failed its integrity check")
         tables = {r[0].upper() for r in db.execute("SELECT name FROM sqlite_master WHERE type = 'table'")}
         for name, required in schemas.REQUIRED.items():
             if name not in tables:
@@ -63,7 +74,7 @@ class Rowids(InputPartition):
 
 
 class Reader(DataSourceReader):
-    def __init__(self, path: str, table: str, schema: T.StructType, partitions: int):
+    def __init__(self, path: str, table: str, schema: T.StructType, partitions: int | None):
         self.path, self.table, self.schema, self.count = path, table, schema, partitions
         self.where: list[tuple[str, object]] = []
 
@@ -80,7 +91,7 @@ class Reader(DataSourceReader):
             low, high = db.execute(f'SELECT min(rowid), max(rowid) FROM "{self.table}"').fetchone()
         if low is None:
             return []
-        step = max(1, -(-(high - low + 1) // self.count))
+        step = max(1, -(-(high - low + 1) // self.count)) if self.count else ROWS
         return [Rowids(at, min(at + step, high + 1)) for at in range(low, high + 1, step)]
 
     def read(self, partition: Rowids | None) -> Iterator[tuple]:
@@ -108,11 +119,11 @@ class SQLiteArchive(DataSource):
         return ", ".join([*fields, "rowid bigint"])
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return Reader(self.options["path"], self.options["table"].upper(), schema, int(self.options.get("numpartitions", self.options.get("numPartitions", "4"))))
+        return Reader(self.options["path"], self.options["table"].upper(), schema, int(self.options.get("numpartitions", self.options.get("numPartitions", "0"))) or None)
 
 
-def read_archive(spark: SparkSession, path: str, table: str, columns: list[str] | None = None, partitions: int = 4) -> DataFrame:
-    """One table of an archive with its rowid."""
+def read_archive(spark: SparkSession, path: str, table: str, columns: list[str] | None = None, partitions: int = 0) -> DataFrame:
+    """One table of an archive with its rowid, in as many partitions, or by its rows."""
     ship(spark)
     spark.dataSource.register(SQLiteArchive)
     reader = spark.read.format("sqlite_archive").option("path", path).option("table", table).option("numPartitions", partitions)

@@ -13,13 +13,15 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from chatlake.operators.newest import newest_rows
+from chatlake.session import remove
 
 
 def stream_newest(spark: SparkSession, rows: DataFrame, keys: list[str], order: list[Column], state: str, checkpoint: str, trigger: dict | None = None, on_batch: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
     """Keep ``state`` the newest row of each key of the streaming ``rows``.
 
     The state of batch n is written to ``state/batch=n`` from that of batch n - 1 and the batch's
-    rows; ``read_newest`` reads the last one.
+    rows; ``read_newest`` reads the last one.  The one before stays, for readers and for a replay of the batch;
+    older ones are removed.
     """
     schema: StructType = rows.schema
 
@@ -27,6 +29,8 @@ def stream_newest(spark: SparkSession, rows: DataFrame, keys: list[str], order:
         before = batch.sparkSession.read.schema(schema).parquet(f"{state}/batch={n - 1}") if n else None
         both = batch if before is None else before.unionByName(batch)
         newest_rows(both, keys, order).write.mode("overwrite").parquet(f"{state}/batch={n}")
+        if n > 1:
+            remove(batch.sparkSession, f"{state}/batch={n - 2}")
         if on_batch:
             on_batch(batch, n)
 

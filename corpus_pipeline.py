@@ -3,18 +3,29 @@
 Stages take (spark, docs, sf_dir) and return a DataFrame; each result is written as Parquet and read
 again as the next one's input, so a lost executor costs one stage's tasks at most.  All but the last
 return the columns of ``docs``; an ``n_chars`` column follows a text that a stage changes.
+
+Defined cases
+* null and empty texts: the classifier judges them as empty ones; what is kept of them has one empty line, no
+  near copies, no leak and no words, so the mix takes none.
+* null doc_ids take part in all stages; they are never the keeper of a line or the first of a group where a
+  document with an id is.
+* ties: the largest doc_id keeps a shared line, the smallest one stays of a group; equal rows are one group.
+* very long texts pass all stages whole.
+* an empty table, or labels or benchmark without rows, gives stages that drop nothing for it; an empty result is a
+  table with the same columns.
+* extra columns stay as they are, whatever their names; only the mix replaces size, target and taken.
+* stages' results stay in a folder of the run below the shared one, for whoever reads them; nothing removes them.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatlake.llm import decontaminate, jaccard_join, line_dedup, mixing, quality
-from chatlake.session import table
+from chatlake.session import shared_folder, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,8 +71,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; results between stages go to the cluster's checkpoint folder."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-pipeline-")
-    folder = f"{top}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
