@@ -15,7 +15,8 @@ Defined cases
 * labels that are null, or whose doc_id is null, teach nothing; repeated labels of a document count
   once, with the larger label.  Repeated documents of an id are each an example.
 * a class without examples, or an empty table: every score is the prior, 0.5 without any example.
-* rows are scored one by one, so repeated rows, other columns and clashing names don't matter.
+* very long texts are judged whole.  Rows are scored one by one, so repeated rows, other columns and clashing names
+  don't matter; two rows of equal text tie.  An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ Defined cases
 * the strong spans never depend on the linking; a weak candidate that overlaps one is not a part.
 * rows with the same doc_id and text have the same spans and are each returned; a null doc_id is an
   id like any other.  Equal starts are ordered by kind as listed in ``KINDS``.
-* an empty table gives an empty result.
+* very long texts are scanned whole.  Only the two named columns are read, so other columns, clashing names
+  included, don't matter.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
