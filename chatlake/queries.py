@@ -200,13 +200,15 @@ def regression_rows(spark, d):
     return merge.regressions(cur, inc, ["user_id", "event_type"], "version", "v")
 
 
-@query(f"""{_SQL_STATES} SELECT count(*) FILTER (WHERE n.user_id IS NULL) AS missing, count(*) FILTER (WHERE o.user_id IS NULL) AS extra,
-  count(*) FILTER (WHERE o.user_id IS NOT NULL AND n.user_id IS NOT NULL) AS common,
-  count(*) FILTER (WHERE o.user_id IS NOT NULL AND n.user_id IS NOT NULL AND o.value IS DISTINCT FROM n.value) AS mismatched
-FROM old o FULL JOIN new n ON o.user_id = n.user_id AND o.event_type = n.event_type""")
+@query(f"""{_SQL_STATES}, met AS (SELECT o.user_id AS a, n.user_id AS b, o.value IS DISTINCT FROM n.value AS v, o.version IS DISTINCT FROM n.version AS w, o.version AS x, n.version AS y FROM old o FULL JOIN new n ON o.user_id = n.user_id AND o.event_type = n.event_type)
+SELECT count(a) AS source_natural_key_count, count(b) AS canonical_natural_key_count, count(*) FILTER (WHERE b IS NULL) AS missing_canonical_key_count, count(*) FILTER (WHERE a IS NULL) AS extra_canonical_key_count,
+  count(*) FILTER (WHERE a IS NOT NULL AND b IS NOT NULL AND (v OR w)) AS selected_payload_mismatch_count, count(*) FILTER (WHERE a IS NOT NULL AND b IS NOT NULL AND v) AS raw_json_mismatch_count,
+  count(*) FILTER (WHERE a IS NOT NULL AND b IS NOT NULL AND w) AS source_chunk_mismatch_count, count(*) FILTER (WHERE a IS NULL OR b IS NULL) = 0 AS natural_keys_match, max(x) IS NOT DISTINCT FROM max(y) AS latest_timestamp_matches,
+  max(x)::VARCHAR AS source_latest_timestamp, max(y)::VARCHAR AS canonical_latest_timestamp FROM met""")
 def validation_report(spark, d):
-    old, new = _states(spark, d)
-    return merge.comparison(old, new, ["user_id", "event_type"], "value")
+    side = lambda rows: rows.select("user_id", "event_type", F.col("value").alias("digest"), F.col("version").alias("chunk"), F.col("version").alias("ts_us"), F.col("version").cast("string").alias("ts"))
+    old, new = map(side, _states(spark, d))
+    return proofs.validation(old, new, ["user_id", "event_type"])
 
 
 @query(f"""{_SQL_STATES} SELECT coalesce(o.user_id, n.user_id) AS user_id, coalesce(o.event_type, n.event_type) AS event_type, o.value AS before, n.value AS after

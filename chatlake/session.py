@@ -19,6 +19,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.python.filterPushdown.enabled", "true")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")  # an ingest alone has more plans than the default keeps
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
