@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from chatlake.session import checkpointed
 
 CELLS, BLOCK, READ_STEP = 256, 2048, 32
-QUERY_BLOCK, SHARE, SLICE, HELD, READ_SHARE = 8192, 1 << 20, 512, 1 << 21, 256
+QUERY_BLOCK, SHARE, SLICE, HELD, READ_SHARE = 8192, 1 << 20, 512, 1 << 21, 64
 PACKED = "n int, dim int, ids binary, h1 binary, h2 binary, low binary, step binary, data binary"
 SURVIVED = "q1 bigint, q2 bigint, id bigint, h1 bigint, h2 bigint, lower double, upper double"
 FOUND = "q1 bigint, q2 bigint, vec_id bigint, score double"
