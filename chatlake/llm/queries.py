@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlake.llm import decontaminate, jaccard_join, line_dedup, mixing, passage_dedup, quality, secrets, subword_lm, toxicity, vector_search
+from chatlake.llm import coordinate_join, decontaminate, jaccard_join, line_dedup, mixing, passage_dedup, quality, secrets, subword_lm, toxicity, vector_search
 from chatlake.session import checkpointed, table
 
 
@@ -203,6 +203,34 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near duplicates (2 words, 0.8) of each document."""
+    return coordinate_join.near_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+OP11_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 1], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 1) + 1)) AS i FROM w WHERE len(ws) > 0)
+), c AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), l AS (
+  SELECT x, y FROM p JOIN c cx ON cx.doc_id = x JOIN c cy ON cy.doc_id = y WHERE 100 * k >= 80 * (cx.n + cy.n - k)
+), t(x, y) AS (
+  SELECT x, y FROM l UNION SELECT t.x, l.y FROM t JOIN l ON t.y = l.x
+), r AS (
+  SELECT x AS doc_id, min(y) AS first FROM t GROUP BY x
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(first, doc_id)) AS component_id,
+       doc_id = least(doc_id, coalesce(first, doc_id)) AS kept
+FROM w LEFT JOIN c USING (doc_id) LEFT JOIN r USING (doc_id)
+"""
+
+
 def queries() -> dict:
     return {
         "op1_passage_dedup": op1_passage_dedup,
@@ -215,8 +243,9 @@ def queries() -> dict:
         "op8_jaccard_join": op8_jaccard_join,
         "op9_toxicity": op9_toxicity,
         "op10_secrets": op10_secrets,
+        "op11_minhash_near_dedup": op11_minhash_near_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op4_exact_top_k": OP4_SQL, "op5_mix_sources": OP5_SQL, "op8_jaccard_join": OP8_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op4_exact_top_k": OP4_SQL, "op5_mix_sources": OP5_SQL, "op8_jaccard_join": OP8_SQL, "op11_minhash_near_dedup": OP11_SQL}
