@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlake.llm import coordinate_join, decontaminate, jaccard_join, line_dedup, mixing, passage_dedup, quality, secrets, subword_lm, toxicity, vector_search
+from chatlake.llm import conversation_repair, coordinate_join, decontaminate, jaccard_join, line_dedup, mixing, passage_dedup, quality, secrets, subword_lm, toxicity, vector_search
 from chatlake.session import checkpointed, table
 
 
@@ -231,6 +231,92 @@ FROM w LEFT JOIN c USING (doc_id) LEFT JOIN r USING (doc_id)
 """
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """``conversations`` with the damage that op13's contract fixes."""
+    words = F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    text, kind = F.coalesce("text", F.lit(" ")), F.crc32(words) % 20
+    hurt = conversations.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1).alias("copies"),
+    )
+    return hurt.select("conv_id", "turn", "role", "text", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).drop("col")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and digest of each damaged conversation."""
+    conversations = table(spark, sf_dir, "conversations")
+    rows = damaged(conversations)
+    audits = conversation_repair.repair(rows)
+    digests = conversation_repair.digests(conversation_repair.repaired(rows, audits))
+    done = audits.join(digests.withColumnRenamed("ck", "d_ck"), F.col("ck") == F.col("d_ck"), "left").withColumnRenamed("conv_id", "a_id")
+    all_ids = conversations.select("conv_id").distinct()
+    met = all_ids.join(done, F.col("conv_id").eqNullSafe(F.col("a_id")) & F.col("ck").isNotNull(), "left")
+    number = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    counts = [number(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return met.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+# CRC-32 by its bits, the cheapest edits by a recursion over the rows of all conversations at once.
+OP13_SQL = r"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations
+), crc AS (
+  SELECT *, xor(list_reduce(list_transform(range(1, length(key) + 1), lambda i: ascii(key[i])::BIGINT),
+      lambda c, b: list_reduce(range(8), lambda x, y: xor(x >> 1, (x & 1) * 3988292384), xor(c, b)), 4294967295::BIGINT), 4294967295) % 20 AS kind
+  FROM keyed
+), rows_ AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM crc, range(2) AS copy(c) WHERE kind <> 0 AND (c = 0 OR kind = 3)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(concat_ws(':', length(role), role, text))) AS pos FROM rows_
+), judged AS (
+  SELECT *, left(role, 1) AS r, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS again,
+         trim(text, chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)) AS body,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before
+  FROM placed
+), faults AS (
+  SELECT *, CASE WHEN body = '' THEN 'b' WHEN again THEN 'd' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault FROM judged
+), lengths AS (
+  SELECT conv_id, max(pos) AS n FROM faults GROUP BY conv_id
+), inserts(a, b, letters, lines, cost) AS (
+  VALUES (0, 0, '', []::VARCHAR[], 0), (1, 1, '', [], 0), (2, 2, '', [], 0), (3, 3, '', [], 0), (0, 2, 'I', ['user:'], 5), (1, 2, 'I', ['user:'], 5),
+         (3, 2, 'I', ['user:'], 5), (2, 3, 'I', ['assistant:'], 5), (0, 3, 'II', ['user:', 'assistant:'], 10), (1, 3, 'II', ['user:', 'assistant:'], 10)
+), edits(edit, r, a, b, cost) AS (
+  VALUES ('D', '*', 0, 0, 2), ('D', '*', 1, 1, 2), ('D', '*', 2, 2, 2), ('D', '*', 3, 3, 2), ('K', 's', 0, 1, 0), ('K', 'u', 0, 2, 0), ('K', 'u', 1, 2, 0),
+         ('K', 'u', 3, 2, 0), ('K', 'a', 2, 3, 0), ('R', '*', 0, 2, 1), ('R', '*', 1, 2, 1), ('R', '*', 3, 2, 1), ('R', '*', 2, 3, 1)
+), way(conv_id, pos, state, best) AS (
+  SELECT conv_id, 0::BIGINT, 0, {'cost': 0::BIGINT, 'audit': '', 'lines': []::VARCHAR[]} FROM lengths
+  UNION ALL
+  SELECT w.conv_id, w.pos + 1, e.b,
+         min({'cost': w.best.cost + i.cost + e.cost + CASE WHEN f.fault = 't' AND e.edit <> 'D' THEN 5 ELSE 0 END,
+              'audit': w.best.audit || i.letters || e.edit,
+              'lines': w.best.lines || i.lines || CASE e.edit WHEN 'K' THEN [f.role || ':' || f.text] WHEN 'R' THEN [CASE e.b WHEN 2 THEN 'user:' ELSE 'assistant:' END || f.text] ELSE [] END})
+  FROM way w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.pos = w.pos + 1
+  JOIN inserts i ON i.a = w.state
+  JOIN edits e ON e.a = i.b AND e.r IN ('*', f.r) AND (e.edit = 'D' OR f.fault NOT IN ('b', 'd'))
+  GROUP BY w.conv_id, w.pos, e.b
+), ended AS (
+  SELECT w.conv_id, min({'cost': w.best.cost + i.cost, 'audit': w.best.audit || i.letters, 'lines': w.best.lines || i.lines}) AS best
+  FROM way w JOIN lengths l ON l.conv_id IS NOT DISTINCT FROM w.conv_id AND l.n = w.pos
+  JOIN inserts i ON i.a = w.state AND (i.b = 3 OR (i.b = 0 AND i.letters = ''))
+  GROUP BY w.conv_id
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'b') AS blank,
+         count(*) FILTER (WHERE fault = 'd') AS duplicate, count(*) FILTER (WHERE fault = 't') AS truncated,
+         count(*) FILTER (WHERE before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+       coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
 def queries() -> dict:
     return {
         "op1_passage_dedup": op1_passage_dedup,
@@ -244,8 +330,9 @@ def queries() -> dict:
         "op9_toxicity": op9_toxicity,
         "op10_secrets": op10_secrets,
         "op11_minhash_near_dedup": op11_minhash_near_dedup,
+        "op13_conversation_repair": op13_conversation_repair,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op4_exact_top_k": OP4_SQL, "op5_mix_sources": OP5_SQL, "op8_jaccard_join": OP8_SQL, "op11_minhash_near_dedup": OP11_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op4_exact_top_k": OP4_SQL, "op5_mix_sources": OP5_SQL, "op8_jaccard_join": OP8_SQL, "op11_minhash_near_dedup": OP11_SQL, "op13_conversation_repair": OP13_SQL}
