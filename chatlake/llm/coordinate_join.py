@@ -40,12 +40,13 @@ from pyspark.sql import functions as F
 from chatlake.llm.components import components
 from chatlake.llm.jaccard_join import multipliers, shingles
 from chatlake.llm.names import fresh
+from chatlake.llm.tables import written
 from chatlake.llm.words import mixed, slices, words
-from chatlake.session import checkpointed, ship
+from chatlake.session import ship
 
 N, PERCENT, COORDS, MISS = 2, 80, 64, 2e-7
 BUCKET_BITS, PAGE_BITS = 20, 14
-CHUNK, BLOCK, ROUNDS, SALTED = 1024, 256, 4, 64
+CHUNK, SHORT, BLOCK, ROUNDS, SALTED = 1024, 32, 256, 3, 64
 
 
 def least_matches(coords: int = COORDS, percent: int = PERCENT, miss: float = MISS) -> int:
@@ -108,7 +109,7 @@ def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = np.zeros(1 << BUCKET_BITS, np.int64)
     for batch in batches:
         at = pairs_of(matrix(batch.column("sig"), COORDS, np.uint32)) >> np.uint64(64 - BUCKET_BITS)
-        np.add.at(table, at.reshape(-1).astype(np.int64), 1)
+        table += np.bincount(at.reshape(-1).astype(np.int64), minlength=len(table))
     pages = table.reshape(-1, 1 << PAGE_BITS)
     used = np.flatnonzero(pages.any(axis=1))
     yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([pages[p].tobytes() for p in used], pa.binary())], names=["page", "counts"])
@@ -166,14 +167,47 @@ def similar_sizes(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
     return 100 * np.minimum(x, y) >= percent * np.maximum(x, y)
 
 
+def agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Of signatures as rows of four numbers with 4 bits a coordinate: in how many coordinates they agree."""
+    ones, out = np.uint64(0x1111111111111111), np.uint8(COORDS)
+    for j in range(COORDS // 16):
+        d = x[..., j] ^ y[..., j]
+        d |= d >> np.uint64(1)
+        d |= d >> np.uint64(2)
+        out = out - np.bitwise_count(d & ones)
+    return out
+
+
 def collisions(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """In how many coordinates each row of ``x`` agrees with each of ``y``."""
+    """In how many coordinates each whole signature of ``x`` agrees with each of ``y``."""
     out = np.zeros((len(x), len(y)), np.uint8)
     for j in range(x.shape[1]):
         out += x[:, j, None] == y[None, :, j]
     return out
 
 
+def best_of_short(lists: np.ndarray, small: np.ndarray, sizes: np.ndarray, t: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, partners) of rows that have a partner of ``t`` collisions in their list; lists of ``SHORT`` rows at most."""
+    xs, ys, ns = [], [], []
+    for d in range(1, SHORT):
+        x = np.flatnonzero(lists[d:] == lists[:-d])
+        if not len(x):
+            break
+        x = x[similar_sizes(sizes[x], sizes[x + d], percent)]
+        n = agreeing(small[x], small[x + d])
+        near = n >= t
+        xs += [x[near], x[near] + d]
+        ys += [x[near] + d, x[near]]
+        ns += [n[near], n[near]]
+    if not xs:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    x, y, n = np.concatenate(xs), np.concatenate(ys), np.concatenate(ns).astype(np.int64)
+    order = np.lexsort((y, -n, x))
+    x, y = x[order], y[order]
+    first = np.append(True, x[1:] != x[:-1])[: len(x)]
+    return x[first], y[first]
+
+
 def partners(t: int, percent: int):
     """Over rows sorted by list: (pair, k, partner, whole) of the members that have one in their chunk.
 
@@ -199,16 +233,17 @@ def partners(t: int, percent: int):
                     cut = (pair[lo], salt[lo])
                     groups.append((lo, keep, False))
                 held = batch.slice(keep)
-            small, sizes = matrix(batch.column("small"), COORDS // 2, np.uint8), batch.column("n").to_numpy()
+            small, sizes = matrix(batch.column("small"), COORDS // 16, np.uint64), batch.column("n").to_numpy()
             rows, found, wholes = [], [], []
+            short = np.zeros(len(pair), bool)
             for lo, hi, whole in groups:
                 whole = whole and hi - lo <= CHUNK
-                if whole and hi - lo < 2:
+                if whole and hi - lo <= SHORT:
+                    short[lo:hi] = hi - lo > 1
                     continue
                 for at in range(lo, hi, CHUNK):
                     to = min(hi, at + CHUNK)
-                    bits = np.concatenate([small[at:to] & 15, small[at:to] >> 4], axis=1)
-                    n = collisions(bits, bits)
+                    n = agreeing(small[at:to, None], small[None, at:to])
                     np.fill_diagonal(n, 0)
                     n[~similar_sizes(sizes[at:to, None], sizes[None, at:to], percent)] = 0
                     best = n.argmax(axis=1)
@@ -217,9 +252,14 @@ def partners(t: int, percent: int):
                     rows.append(take + at)
                     found.append(np.where(near, best + at, -1)[take])
                     wholes.append(np.full(len(take), whole))
-            row, partner = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, found))
+            at = np.flatnonzero(short)
+            x, y = best_of_short(np.cumsum(new)[at], small[at], sizes[at], t, percent)
+            rows.append(at[x])
+            found.append(at[y])
+            wholes.append(np.ones(len(x), bool))
+            row, partner = np.concatenate(rows), np.concatenate(found)
             k = batch.column("k")
-            columns = [batch.column("pair").take(pa.array(row)), k.take(pa.array(row)), k.take(pa.array(np.maximum(partner, 0), mask=partner < 0)), pa.array(np.concatenate(wholes) if wholes else [], pa.bool_())]
+            columns = [batch.column("pair").take(pa.array(row)), k.take(pa.array(row)), k.take(pa.array(np.maximum(partner, 0), mask=partner < 0)), pa.array(np.concatenate(wholes))]
             return pa.RecordBatch.from_arrays(columns, names=["pair", "k", "partner", "whole"])
 
         for batch in batches:
@@ -263,7 +303,7 @@ def confirm(edges: DataFrame, texts: DataFrame, percent: int, n: int) -> DataFra
     right = many.join(texts, F.col("m_b") == F.col("k")).select("m_b", F.col("text").alias("text_b"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("m_share"))
     left = dealt.join(texts.withColumnRenamed("text", "text_a"), F.col("a") == F.col("k")).select("a", "b", "share", "text_a")
     met = left.join(right, (F.col("b") == F.col("m_b")) & (F.col("share") == F.col("m_share"))).select("a", "b", "text_a", "text_b")
-    return checkpointed(met.mapInArrow(confirmed(percent, n), "a binary, b binary"))
+    return written(met.mapInArrow(confirmed(percent, n), "a binary, b binary"))
 
 
 def still_open(table: np.ndarray, t: int, percent: int, n: int, with_texts: bool):
@@ -351,8 +391,8 @@ def blocks(members: DataFrame) -> DataFrame:
 
 def with_components(members: DataFrame, links: DataFrame) -> DataFrame:
     """``members`` (pair, k) with comp, the smallest k of their component so far."""
-    roots = components(links)
-    return checkpointed(members.join(roots.withColumnRenamed("node", "r_k"), F.col("k") == F.col("r_k"), "left").select(*members.columns, F.coalesce("root", "k").alias("comp")))
+    roots = components(links, cut=written)
+    return written(members.join(roots.withColumnRenamed("node", "r_k"), F.col("k") == F.col("r_k"), "left").select(*members.columns, F.coalesce("root", "k").alias("comp")))
 
 
 def best_linked(members: DataFrame, links: DataFrame, tried: DataFrame) -> DataFrame:
@@ -361,7 +401,7 @@ def best_linked(members: DataFrame, links: DataFrame, tried: DataFrame) -> DataF
     ranked = members.join(degree, F.col("k") == F.col("d_k"), "left").select("pair", "k", "comp", F.coalesce("degree", F.lit(0)).alias("degree"))
     tops = ranked.groupBy(F.col("pair").alias("t_pair")).agg(F.max(F.struct("degree", "k", "comp")).alias("top"), F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least <> most AND top.degree > 0")
     met = members.join(tops, (F.col("pair") == F.col("t_pair")) & (F.col("comp") != F.col("top.comp"))).select(F.col("k").alias("a"), F.col("top.k").alias("b")).distinct()
-    return checkpointed(met.join(tried.select(F.col("a").alias("x"), F.col("b").alias("y")), (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti"))
+    return written(met.join(tried.select(F.col("a").alias("x"), F.col("b").alias("y")), (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti"))
 
 
 def near_dedup(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame:
@@ -373,43 +413,43 @@ def near_dedup(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame
     t = least_matches(COORDS, percent)
     kind = docs.schema["doc_id"].dataType.simpleString()
     source = docs.select("doc_id", "text", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("h"))
-    rows = checkpointed(source.mapInArrow(signed(n), f"doc_id {kind}, h binary, k binary, n_shingles bigint, sig binary"))
+    rows = written(source.mapInArrow(signed(n), f"doc_id {kind}, h binary, k binary, n_shingles bigint, sig binary"))
     held = rows.filter(F.col("k").isNotNull())
-    classes = checkpointed(held.groupBy("k").agg(F.min("doc_id").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")).alias("of"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")))
+    classes = written(held.groupBy("k").agg(F.min("doc_id").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")).alias("of"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")))
 
     table = rarity(classes)
     postings = classes.select("k", "n_shingles", "sig").mapInArrow(posted(table, t), "pair bigint, salt int, k binary, n bigint, small binary")
     met = postings.repartition("pair", "salt").sortWithinPartitions("pair", "salt").mapInArrow(partners(t, percent), "pair bigint, k binary, partner binary, whole boolean")
-    met = checkpointed(met)
+    met = written(met)
     members = met.select("pair", "k").distinct()
     needed = members.select("k").distinct()
     named = classes.join(needed, "k").select(F.col("k").alias("c_k"), F.col("of.doc_id").alias("c_id"), F.col("of.h").alias("c_h"))
-    texts = checkpointed(source.join(named, (F.col("h") == F.col("c_h")) & F.col("doc_id").eqNullSafe(F.col("c_id"))).select(F.col("c_k").alias("k"), "text").dropDuplicates(["k"]))
+    texts = written(source.join(named, (F.col("h") == F.col("c_h")) & F.col("doc_id").eqNullSafe(F.col("c_id"))).select(F.col("c_k").alias("k"), "text").dropDuplicates(["k"]))
 
-    edges = checkpointed(met.filter("partner IS NOT NULL").select(F.least("k", "partner").alias("a"), F.greatest("k", "partner").alias("b")).distinct())
-    links = tried = None
+    edges = written(met.filter("partner IS NOT NULL").select(F.least("k", "partner").alias("a"), F.greatest("k", "partner").alias("b")).distinct())
+    links = tried = placed = None
     for _ in range(ROUNDS):
         new = confirm(edges, texts, percent, n)
         tried = edges if tried is None else tried.union(edges)
         links = new if links is None else links.union(new)
-        placed = with_components(members, links)
-        if new.isEmpty():
+        if placed is not None and new.isEmpty():
             break
+        placed = with_components(members, links)
         edges = best_linked(placed, links, tried)
         if edges.isEmpty():
             break
     signatures = classes.select(F.col("k").alias("s_k"), F.col("n_shingles").alias("n"), "sig")
     order = ["pair", "lo", "hi"]
     dealt = blocks(placed.join(signatures, F.col("k") == F.col("s_k")).select("pair", "k", "comp", "n", "sig"))
-    unsettled = checkpointed(dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(still_open(table, t, percent, n, False), "pair bigint, k binary")).distinct()
+    unsettled = written(dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(still_open(table, t, percent, n, False), "pair bigint, k binary")).distinct()
     last = placed.join(unsettled, ["pair", "k"]).join(signatures, F.col("k") == F.col("s_k")).select("pair", "k", "comp", "n", "sig")
     full = blocks(last).join(texts.withColumnRenamed("k", "x_k"), F.col("k") == F.col("x_k")).drop("x_k")
-    links = links.union(checkpointed(full.repartition(*order).sortWithinPartitions(*order).mapInArrow(still_open(table, t, percent, n, True), "a binary, b binary")))
+    links = links.union(written(full.repartition(*order).sortWithinPartitions(*order).mapInArrow(still_open(table, t, percent, n, True), "a binary, b binary")))
 
-    roots = components(links)
+    roots = components(links, cut=written)
     grouped = classes.select("k", "rep").join(roots.withColumnRenamed("node", "r_k"), F.col("k") == F.col("r_k"), "left").select("k", "rep", F.coalesce("root", "k").alias("root"))
     first = grouped.groupBy(F.col("root").alias("g_root")).agg(F.min("rep").alias("component_id"))
-    of = checkpointed(grouped.join(first, F.col("root") == F.col("g_root")).select(F.col("k").alias("of_k"), "component_id"))
+    of = written(grouped.join(first, F.col("root") == F.col("g_root")).select(F.col("k").alias("of_k"), "component_id"))
     done = held.join(of, F.col("k") == F.col("of_k")).select("doc_id", "n_shingles", "component_id", "h")
     alone = rows.filter(F.col("k").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "h")
     return done.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
