@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlake.llm import conversation_repair, coordinate_join, decontaminate, jaccard_join, line_dedup, mixing, passage_dedup, quality, secrets, subword_lm, toxicity, vector_search
+from chatlake.llm import conversation_repair, coordinate_join, decontaminate, jaccard_join, line_dedup, mixing, passage_dedup, phrase_mining, quality, secrets, subword_lm, toxicity, vector_search
 from chatlake.session import checkpointed, table
 
 
@@ -231,6 +231,42 @@ FROM w LEFT JOIN c USING (doc_id) LEFT JOIN r USING (doc_id)
 """
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best collocations of each lang."""
+    return phrase_mining.collocations(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), ws AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM ws, range(1, 6) AS r(m) WHERE len(w) >= m)
+), f AS (
+  SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100
+), total AS (
+  SELECT lang, count(*) AS n FROM grams WHERE m = 1 GROUP BY lang
+), cuts AS (
+  SELECT lang, m, phrase, f AS a, unnest(range(1, m)) AS k, string_split(phrase, ' ') AS w FROM f WHERE m > 1
+), scored AS (
+  SELECT c.lang, c.m, c.phrase, a, k, l.f AS l, r.f AS r, n, (1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS score
+  FROM cuts c JOIN total t ON t.lang = c.lang
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:k], ' ') JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(w[k + 1:], ' ')
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_ AS (
+  SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS sub, f
+  FROM (SELECT lang, f, w, s, unnest(range(1, m - s + 2)) AS i FROM (SELECT lang, f, m, string_split(phrase, ' ') AS w, unnest(range(2, m)) AS s FROM f WHERE m > 2))
+), kept AS (
+  SELECT * FROM best b WHERE NOT EXISTS (SELECT 1 FROM inner_ i WHERE i.lang = b.lang AND i.sub = b.phrase AND 100 * i.f >= 100 * b.a)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM kept QUALIFY rank <= 2000
+"""
+
+
 def damaged(conversations: DataFrame) -> DataFrame:
     """``conversations`` with the damage that op13's contract fixes."""
     words = F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
@@ -330,9 +366,10 @@ def queries() -> dict:
         "op9_toxicity": op9_toxicity,
         "op10_secrets": op10_secrets,
         "op11_minhash_near_dedup": op11_minhash_near_dedup,
+        "op12_phrase_collocations": op12_phrase_collocations,
         "op13_conversation_repair": op13_conversation_repair,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op4_exact_top_k": OP4_SQL, "op5_mix_sources": OP5_SQL, "op8_jaccard_join": OP8_SQL, "op11_minhash_near_dedup": OP11_SQL, "op13_conversation_repair": OP13_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op4_exact_top_k": OP4_SQL, "op5_mix_sources": OP5_SQL, "op8_jaccard_join": OP8_SQL, "op11_minhash_near_dedup": OP11_SQL, "op12_phrase_collocations": OP12_SQL, "op13_conversation_repair": OP13_SQL}
