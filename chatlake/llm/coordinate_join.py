@@ -11,7 +11,7 @@ at any scale; it decides the order of the pairs alone, not the result.
 Links are confirmed on full sets, whole texts.  Components are wanted, not pairs, so the pairs checked are few:
 
 1. each member's best partner in its list, over lists of any length cut into chunks;
-2. while that finds links: members outside the component of their list's best-linked member, against that one;
+2. then members outside the component of their list's best-linked member, against that one;
 3. all pairs of a list with ``t`` collisions that are still in different components, block against block inside tasks,
    each in the first list that both members share.  This alone makes the result whole; 1 and 2 make it cheap.
 
@@ -46,7 +46,7 @@ from chatlake.session import ship
 
 N, PERCENT, COORDS, MISS = 2, 80, 64, 2e-7
 BUCKET_BITS, PAGE_BITS = 20, 14
-CHUNK, SHORT, BLOCK, ROUNDS, SALTED = 1024, 32, 256, 3, 64
+CHUNK, SHORT, BLOCK, ROUNDS, SALTED = 1024, 32, 256, 2, 64
 
 
 def least_matches(coords: int = COORDS, percent: int = PERCENT, miss: float = MISS) -> int:
@@ -147,7 +147,7 @@ def posted(table: np.ndarray, t: int):
         salts = np.ceil(2.0 ** (table / 8.0) / room).astype(np.int64)
         for batch in batches:
             sig = matrix(batch.column("sig"), COORDS, np.uint32)
-            small = (sig[:, 0::2] & 15 | (sig[:, 1::2] & 15) << 4).astype(np.uint8)
+            small = packed(sig)
             pairs, mask = prefixes(sig, table, t)
             row, coord = np.nonzero(mask)
             own = pairs[row, coord]
@@ -178,14 +178,6 @@ def agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
-def collisions(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """In how many coordinates each whole signature of ``x`` agrees with each of ``y``."""
-    out = np.zeros((len(x), len(y)), np.uint8)
-    for j in range(x.shape[1]):
-        out += x[:, j, None] == y[None, :, j]
-    return out
-
-
 def best_of_short(lists: np.ndarray, small: np.ndarray, sizes: np.ndarray, t: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(rows, partners) of rows that have a partner of ``t`` collisions in their list; lists of ``SHORT`` rows at most."""
     xs, ys, ns = [], [], []
@@ -306,87 +298,107 @@ def confirm(edges: DataFrame, texts: DataFrame, percent: int, n: int) -> DataFra
     return written(met.mapInArrow(confirmed(percent, n), "a binary, b binary"))
 
 
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """The rows of each key as one batch, of rows sorted by the keys."""
+    held: pa.RecordBatch | None = None
+    for batch in batches:
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(c).to_numpy() for c in keys]
+        edge = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        bounds = [0, *edge.tolist(), batch.num_rows]
+        for lo, hi in zip(bounds[:-2], bounds[1:-1], strict=True):
+            yield batch.slice(lo, hi - lo)
+        held = batch.slice(bounds[-2])
+    if held is not None:
+        yield held
+
+
+def packed(sig: np.ndarray) -> np.ndarray:
+    """4 bits of each coordinate, as ``posted`` sends them."""
+    return np.ascontiguousarray((sig[:, 0::2] & 15 | (sig[:, 1::2] & 15) << 4).astype(np.uint8)).view(np.uint64)
+
+
 def still_open(table: np.ndarray, t: int, percent: int, n: int, with_texts: bool):
     """Over rows sorted by block pair: members with an unsettled partner, or with texts the links among them."""
 
-    def judged(rows: list[dict], pair: int, lo: int, hi: int) -> list[tuple]:
-        left = [r for r in rows if r["block"] == lo]
-        right = left if lo == hi else [r for r in rows if r["block"] == hi]
-        if not left or not right:
+    def judged(rows: pa.RecordBatch) -> list[tuple]:
+        pair, lo, hi = (rows.column(c)[0].as_py() for c in ("pair", "lo", "hi"))
+        block = rows.column("block").to_numpy()
+        x, y = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        if not len(x) or not len(y):
             return []
-        sides = []
-        for side in (left, right):
-            sig = np.array([np.frombuffer(r["sig"], np.uint32) for r in side])
-            sides.append((sig, *prefixes(sig, table, t), np.array([r["n"] for r in side])))
-        (xs, xp, xm, xn), (ys, yp, ym, yn) = sides
-        near = (collisions(xs, ys) >= t) & similar_sizes(xn[:, None], yn[None], percent)
-        names = {c: i for i, c in enumerate({r["comp"] for r in rows})}
-        cx, cy = np.array([names[r["comp"]] for r in left]), np.array([names[r["comp"]] for r in right])
-        near &= cx[:, None] != cy[None]
+        sig, sizes, comp = matrix(rows.column("sig"), COORDS, np.uint32), rows.column("n").to_numpy(), matrix(rows.column("comp"), 2, np.uint64)
+        small = packed(sig)
+        near = (agreeing(small[x, None], small[None, y]) >= t) & similar_sizes(sizes[x, None], sizes[None, y], percent)
+        near &= (comp[x, None] != comp[None, y]).any(axis=2)
         if lo == hi:
             near = np.triu(near)
-        coord = int(np.flatnonzero(xp[0] == np.uint64(pair % (1 << 64)))[0])  # all members hold the pair at the same coordinate
-        found = []
-        for i, j in np.argwhere(near):
-            shared = (xs[i] == ys[j]) & xm[i] & ym[j]
-            if not shared[:coord].any():
-                found.append((int(i), int(j)))
+        i, j = np.nonzero(near)
+        i, j = x[i], y[j]
+        same = sig[i] == sig[j]
+        good = same.sum(axis=1) >= t
+        i, j, same = i[good], j[good], same[good]
+        if len(i):  # only in the first list that both are in
+            pairs, mask = prefixes(sig, table, t)
+            coord = int(np.flatnonzero(pairs[i[0]] == np.uint64(pair % (1 << 64)))[0])  # the same for all members
+            first = ~(same & mask[i] & mask[j])[:, :coord].any(axis=1)
+            i, j = i[first], j[first]
+        k = rows.column("k")
         if not with_texts:
-            return [(left[i]["k"],) for i in {i for i, _ in found}] + [(right[j]["k"],) for j in {j for _, j in found}]
-        joined = list(range(len(names)))
-
-        def root(c: int) -> int:
-            while joined[c] != c:
-                joined[c] = joined[joined[c]]
-                c = joined[c]
-            return c
-
-        own: dict[bytes, np.ndarray] = {}
+            return [(pair, k[int(r)].as_py()) for r in np.unique(np.concatenate([i, j]))]
+        _, code = np.unique(comp, axis=0, return_inverse=True)
+        code, texts = code.reshape(-1), rows.column("text")
+        root = np.arange(code.max() + 1)  # of each component here
+        own: dict[int, np.ndarray] = {}
         out = []
-        for i, j in found:
-            if root(cx[i]) == root(cy[j]):
+        for a, b in zip(i.tolist(), j.tolist(), strict=True):
+            if root[code[a]] == root[code[b]]:
                 continue
-            for r in (left[i], right[j]):
-                if r["k"] not in own:
-                    own[r["k"]] = next(sets(pa.array([r["text"]]), n))
-            if linked(own[left[i]["k"]], own[right[j]["k"]], percent):
-                joined[root(cx[i])] = root(cy[j])
-                out.append((left[i]["k"], right[j]["k"]))
+            for r in (a, b):
+                if r not in own:
+                    own[r] = next(sets(texts.slice(r, 1), n))
+            if linked(own[a], own[b], percent):
+                root[root == root[code[a]]] = root[code[b]]
+                out.append((k[a].as_py(), k[b].as_py()))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, out = None, [], []
-        names = ["a", "b"] if with_texts else ["pair", "k"]
+        names, types = (["a", "b"], [pa.binary(), pa.binary()]) if with_texts else (["pair", "k"], [pa.int64(), pa.binary()])
+        out: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
-            rows = list(zip(*out, strict=True)) if out else [[], []]
+            columns = list(zip(*out, strict=True)) if out else [[], []]
             out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.binary() if with_texts else pa.int64()), pa.array(rows[1], pa.binary())], names=names)
-
-        def settle() -> None:
-            if held:
-                out.extend(judged(held, *key) if with_texts else [(key[0], *x) for x in judged(held, *key)])
+            return pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(columns, types, strict=True)], names=names)
 
-        for batch in batches:
-            for row in batch.to_pylist():
-                now = (row["pair"], row["lo"], row["hi"])
-                if now != key:
-                    settle()
-                    key, held = now, []
-                held.append(row)
-            yield flush()
-        settle()
+        for rows in groups(batches, ["pair", "lo", "hi"]):
+            out.extend(judged(rows))
+            if len(out) > 10_000:
+                yield flush()
         yield flush()
 
     return run
 
 
 def blocks(members: DataFrame) -> DataFrame:
-    """``members`` of lists with more than one component, dealt out as pairs of blocks."""
-    several = members.groupBy(F.col("pair").alias("l_pair")).agg(F.count(F.lit(1)).alias("members"), F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least <> most")
-    placed = members.join(several, F.col("pair") == F.col("l_pair")).withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return placed.select(*members.columns, "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    """``members`` of lists with more than one component, dealt out as pairs of blocks.
+
+    Members of a list's largest component needn't meet each other: they go to the blocks of the others alone, so a
+    list that holds one large group and few others is dealt out in proportion to its length.
+    """
+    sizes = members.groupBy("pair", "comp").agg(F.count(F.lit(1)).alias("n"))
+    several = sizes.groupBy(F.col("pair").alias("l_pair")).agg(F.sum("n").alias("members"), F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
+    count = lambda c: F.ceil(c / BLOCK).cast("int")
+    cut = several.select("l_pair", F.col("top.comp").alias("top"), count(F.col("members") - F.col("top.n")).alias("few"), count(F.col("top.n")).alias("many"))
+    placed = members.join(cut, F.col("pair") == F.col("l_pair"))
+    inside = F.col("comp") == F.col("top")
+    block = F.when(inside, F.col("few") + F.pmod(F.xxhash64("k"), F.col("many"))).otherwise(F.pmod(F.xxhash64("k"), F.col("few"))).cast("int")
+    met = F.explode(F.sequence(F.lit(0), F.when(inside, F.col("few")).otherwise(F.col("few") + F.col("many")) - 1))
+    dealt = placed.withColumn("block", block).withColumn("other", met)
+    return dealt.select(*members.columns, "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
 
 
 def with_components(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -440,10 +452,10 @@ def near_dedup(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame
             break
     signatures = classes.select(F.col("k").alias("s_k"), F.col("n_shingles").alias("n"), "sig")
     order = ["pair", "lo", "hi"]
-    dealt = blocks(placed.join(signatures, F.col("k") == F.col("s_k")).select("pair", "k", "comp", "n", "sig"))
-    unsettled = written(dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(still_open(table, t, percent, n, False), "pair bigint, k binary")).distinct()
-    last = placed.join(unsettled, ["pair", "k"]).join(signatures, F.col("k") == F.col("s_k")).select("pair", "k", "comp", "n", "sig")
-    full = blocks(last).join(texts.withColumnRenamed("k", "x_k"), F.col("k") == F.col("x_k")).drop("x_k")
+    with_sig = lambda df: df.join(signatures, F.col("k") == F.col("s_k")).drop("s_k")
+    dealt = with_sig(blocks(placed)).repartition(*order).sortWithinPartitions(*order)
+    unsettled = written(dealt.mapInArrow(still_open(table, t, percent, n, False), "pair bigint, k binary")).distinct()
+    full = with_sig(blocks(placed.join(unsettled, ["pair", "k"]))).join(texts.withColumnRenamed("k", "x_k"), F.col("k") == F.col("x_k")).drop("x_k")
     links = links.union(written(full.repartition(*order).sortWithinPartitions(*order).mapInArrow(still_open(table, t, percent, n, True), "a binary, b binary")))
 
     roots = components(links, cut=written)
