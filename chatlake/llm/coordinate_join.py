@@ -40,13 +40,14 @@ from pyspark.sql import functions as F
 from chatlake.llm.components import components
 from chatlake.llm.jaccard_join import multipliers, shingles
 from chatlake.llm.names import fresh
+from chatlake.llm.phrase_mining import bit_table, found
 from chatlake.llm.tables import written
 from chatlake.llm.words import mixed, slices, words
 from chatlake.session import ship
 
 N, PERCENT, COORDS, MISS = 2, 80, 64, 2e-7
 BUCKET_BITS, PAGE_BITS = 20, 14
-CHUNK, SHORT, BLOCK, ROUNDS, SALTED = 1024, 32, 256, 2, 64
+CHUNK, SHORT, BLOCK, ROUNDS, SALTED = 4096, 32, 256, 2, 64
 
 
 def least_matches(coords: int = COORDS, percent: int = PERCENT, miss: float = MISS) -> int:
@@ -200,6 +201,19 @@ def best_of_short(lists: np.ndarray, small: np.ndarray, sizes: np.ndarray, t: in
     return x[first], y[first]
 
 
+def best_of_long(small: np.ndarray, sizes: np.ndarray, t: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's best partner, and whether it has ``t`` collisions, over one chunk in blocks of rows."""
+    best, near = np.zeros(len(small), np.int64), np.zeros(len(small), bool)
+    for lo in range(0, len(small), BLOCK):
+        rows = np.arange(lo, min(len(small), lo + BLOCK))
+        n = agreeing(small[rows, None], small[None])
+        n[rows - lo, rows] = 0
+        n[~similar_sizes(sizes[rows, None], sizes[None], percent)] = 0
+        best[rows] = n.argmax(axis=1)
+        near[rows] = n[rows - lo, best[rows]] >= t
+    return best, near
+
+
 def partners(t: int, percent: int):
     """Over rows sorted by list: (pair, k, partner, whole) of the members that have one in their chunk.
 
@@ -235,11 +249,7 @@ def partners(t: int, percent: int):
                     continue
                 for at in range(lo, hi, CHUNK):
                     to = min(hi, at + CHUNK)
-                    n = agreeing(small[at:to, None], small[None, at:to])
-                    np.fill_diagonal(n, 0)
-                    n[~similar_sizes(sizes[at:to, None], sizes[None, at:to], percent)] = 0
-                    best = n.argmax(axis=1)
-                    near = n[np.arange(to - at), best] >= t
+                    best, near = best_of_long(small[at:to], sizes[at:to], t, percent)
                     take = np.flatnonzero(near) if whole else np.arange(to - at)
                     rows.append(take + at)
                     found.append(np.where(near, best + at, -1)[take])
@@ -264,6 +274,16 @@ def partners(t: int, percent: int):
     return run
 
 
+def only(bits: bytes):
+    """Rows whose key the table may hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(found(bits, batch.column("key").to_numpy().view(np.uint64)))).select(["doc_id", "text", "h"])
+
+    return run
+
+
 def confirmed(percent: int, n: int):
     """Of rows (a, b, text_a, text_b) the pairs that are linked on their full sets."""
 
@@ -436,7 +456,9 @@ def near_dedup(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame
     members = met.select("pair", "k").distinct()
     needed = members.select("k").distinct()
     named = classes.join(needed, "k").select(F.col("k").alias("c_k"), F.col("of.doc_id").alias("c_id"), F.col("of.h").alias("c_h"))
-    texts = written(source.join(named, (F.col("h") == F.col("c_h")) & F.col("doc_id").eqNullSafe(F.col("c_id"))).select(F.col("c_k").alias("k"), "text").dropDuplicates(["k"]))
+    bits = bit_table(named.select(F.xxhash64("c_h").alias("key")))  # most texts needn't move; a full table moves all
+    few = source.withColumn("key", F.xxhash64("h")).mapInArrow(only(bits), f"doc_id {kind}, text string, h binary")
+    texts = written(few.join(named, (F.col("h") == F.col("c_h")) & F.col("doc_id").eqNullSafe(F.col("c_id"))).select(F.col("c_k").alias("k"), "text").dropDuplicates(["k"]))
 
     edges = written(met.filter("partner IS NOT NULL").select(F.least("k", "partner").alias("a"), F.greatest("k", "partner").alias("b")).distinct())
     links = tried = placed = None
