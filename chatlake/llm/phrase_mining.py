@@ -146,10 +146,19 @@ def found(table: bytes, keys: np.ndarray) -> np.ndarray:
 
 
 def level(n: int, table: bytes | None):
-    """Keys and weights of the phrases of n words whose two shorter ones are in ``table``, summed in each task."""
+    """Keys and weights of the phrases of n words whose two shorter ones are in ``table``, summed in each task (kind 0).
+
+    For 3 words also the keys of the words that the frequent pairs consist of (kind 1, without weight).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, weights, held = [], [], 0
+        parts = np.zeros(0, np.uint64)
+
+        def rows(kind: int, k: np.ndarray, w: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for at in range(0, len(k), 100_000):
+                x = k[at : at + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x.view(np.int64)), pa.array(w[at : at + 100_000])], names=["kind", "key", "n"])
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal held
@@ -158,9 +167,7 @@ def level(n: int, table: bytes | None):
                 order = np.argsort(k)
                 k, w = k[order], w[order]
                 first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-                k, w = k[first].view(np.int64), np.add.reduceat(w, first)
-                for at in range(0, len(k), 100_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(k[at : at + 100_000]), pa.array(w[at : at + 100_000])], names=["key", "n"])
+                yield from rows(0, k[first], np.add.reduceat(w, first))
             keys.clear()
             weights.clear()
             held = 0
@@ -169,14 +176,21 @@ def level(n: int, table: bytes | None):
             for c, _ in runs(batch):
                 take = c.core & c.phrases(n)
                 if table is not None:
-                    good = found(table, c.key(n - 1))
+                    good = found(table, c.key(n - 1)) & c.phrases(n - 1)
                     take[:-1] &= good[:-1] & good[1:]
+                    if n == 3:
+                        at = np.flatnonzero(good)
+                        parts = np.unique(np.concatenate([parts, c.key(1)[at], c.key(1)[at + 1]]))
+                        if len(parts) >= HELD:
+                            yield from rows(1, parts, np.zeros(len(parts), np.int64))
+                            parts = np.zeros(0, np.uint64)
                 keys.append(c.key(n)[take])
                 weights.append(c.parses[take])
                 held += len(keys[-1])
                 if held >= HELD:
                     yield from flush()
         yield from flush()
+        yield from rows(1, parts, np.zeros(len(parts), np.int64))
 
     return run
 
@@ -236,7 +250,7 @@ def spelled(tables: list[bytes]):
                     for lang, lo, hi, w in zip([langs[i] for i in row[at]], c.starts[at].tolist(), c.ends[at + n - 1].tolist(), weight.tolist(), strict=True):
                         x = (lang, n, data[lo:hi])
                         sums[x] = sums.get(x, 0) + w
-                if len(sums) >= HELD >> 4:
+                if len(sums) >= HELD >> 3:
                     yield from flush()
         yield from flush()
 
@@ -244,15 +258,22 @@ def spelled(tables: list[bytes]):
 
 
 def frequent(parsed: DataFrame, least: int = LEAST, most: int = MOST) -> DataFrame:
-    """(lang, words, phrase, f): the phrases of up to ``most`` words that occur ``least`` times and more."""
+    """(lang, words, phrase, f): the phrases of up to ``most`` (3 at least) words that occur ``least`` times and more.
+
+    Of single words, those that a frequent pair consists of: others are part of no longer phrase.
+    """
     ship(parsed.sparkSession)
     tables: list[bytes] = []
     for n in range(1, most + 1):
-        counts = parsed.mapInArrow(level(n, tables[-1] if tables else None), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-        tables.append(bit_table(counts))
+        sums = parsed.mapInArrow(level(n, tables[-1] if tables else None), "kind int, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+        counts = sums.filter((F.col("kind") == 1) | (F.col("n") >= least))
+        if n == 3:
+            counts = written(counts)
+            tables[0] = bit_table(counts.filter("kind = 1"))
+        tables.append(bit_table(counts.filter("kind = 0")))
         if not any(tables[-1]):
             break
-    sums = parsed.mapInArrow(spelled(tables), "lang string, words int, phrase string, n bigint")
+    sums = parsed.mapInArrow(spelled(tables if len(tables) > 2 else []), "lang string, words int, phrase string, n bigint")
     return sums.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
 
 
