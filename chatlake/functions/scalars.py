@@ -52,10 +52,20 @@ def is_json_object(text: Column) -> Column:
     return F.coalesce(F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), F.lit(False))
 
 
+def folded(text: Column) -> Column:
+    """The text without case, letters that grow included: ``Straße`` is ``STRASSE``.
+
+    Spark's collations that ignore case keep these apart, those that don't lose accents too; the empty text between the
+    two keeps them from being read as one.
+    """
+    return F.lower(F.concat(F.upper(text), F.lit("")))
+
+
 def slug(text: Column) -> Column:
-    """Lower case with runs of other characters as one underscore; a leading digit gets a prefix."""
+    """Lower case with runs of other characters as one underscore; a leading digit gets a prefix.  Raises if nothing is left."""
     plain = F.btrim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", "_"), F.lit("_"))
-    return F.when(plain.rlike("^[0-9]"), F.concat(F.lit("workspace_"), plain)).otherwise(plain)
+    empty = F.raise_error(F.concat(F.lit("no letter or digit in "), text)).cast("string")
+    return F.when(plain == "", empty).when(plain.rlike("^[0-9]"), F.concat(F.lit("workspace_"), plain)).otherwise(plain)
 
 
 def safe_filename(name: Column) -> Column:
@@ -147,8 +157,8 @@ def number_text(value: Column) -> Column:
 
 
 def parsed_list(text: Column) -> Column:
-    """Comma list: trimmed, lower case, without empties, distinct in order."""
-    return F.array_distinct(F.filter(F.transform(F.split(text, ","), lambda x: F.lower(F.trim(x))), lambda x: x != ""))
+    """Comma list: trimmed, without case, without empties, distinct in order."""
+    return F.array_distinct(F.filter(F.transform(F.split(text, ","), lambda x: folded(F.trim(x))), lambda x: x != ""))
 
 
 def workspace_id_ok(text: Column) -> Column:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatlake.functions import scalars as S
 
+SHOWN = 100
 SKIPPED_MODES = ("hidden_by_limit", "external", "tombstone")
 
 
@@ -35,10 +36,14 @@ def expected(records: DataFrame) -> tuple[DataFrame, DataFrame]:
 def reconciled(wanted: DataFrame, present: DataFrame, accepted: DataFrame) -> DataFrame:
     """``wanted`` (file_id, name, size, mode, mime) with served size and class.
 
-    ``present`` is (file_id, name, served), ``accepted`` (file_id, accepted size).
+    ``present`` is (file_id, name, served and, if known, kind), ``accepted`` (file_id, accepted size).  What is there but no plain
+    file is of class unsafe, and nothing is served of it.
     """
-    met = wanted.join(present, ["file_id", "name"], "left").join(accepted, "file_id", "left")
-    return met.withColumn("class", S.variance_class(F.col("mode"), F.col("mime"), F.col("size"), F.col("served"), F.col("accepted")))
+    unsafe = F.coalesce(F.col("kind") != "file", F.lit(False)) if "kind" in present.columns else F.lit(False)
+    met = wanted.join(present, ["file_id", "name"], "left").join(accepted, "file_id", "left").withColumn("unsafe", unsafe)
+    met = met.withColumn("served", F.when(~F.col("unsafe"), F.col("served")))
+    kind = S.variance_class(F.col("mode"), F.col("mime"), F.col("size"), F.col("served"), F.col("accepted"))
+    return met.withColumn("class", F.when(F.col("unsafe"), "unsafe").otherwise(kind)).drop("unsafe")
 
 
 def covered(wanted: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:
@@ -53,14 +58,28 @@ def variance_totals(rows: DataFrame, group: list[str]) -> DataFrame:
     return rows.filter("class = 'documented'").groupBy(*group).agg(F.count(F.lit(1)).alias("files"), F.sum(delta).cast("long").alias("bytes"), listed.alias("listed"))
 
 
-def report(rows: DataFrame) -> DataFrame:
-    """One row of counts, sums and lists over ``reconciled`` rows, in a single aggregation."""
+def report(rows: DataFrame, totals: DataFrame | None = None, shown: int = SHOWN) -> DataFrame:
+    """One row of counts, sums and lists over ``reconciled`` rows; with ``totals`` (skipped, unsafe) of ``expected``.
+
+    Counts and sums are whole; the two lists hold the first ``shown`` files by id, as they are for people.
+    """
     kind = F.col("class")
     delta = F.abs(F.col("served") - F.col("size"))
-    listed = F.array_join(F.array_sort(F.collect_list(F.when(kind == "documented", F.concat_ws("=", "file_id", "served")))), ",")
-    return rows.agg(
-        F.count(F.lit(1)).alias("expected_count"), F.count("served").alias("present_count"), F.count_if(kind == "missing").alias("missing_count"),
+    counted = rows.agg(
+        F.count(F.lit(1)).alias("expected_count"), F.count("served").alias("present_count"), F.count_if(kind == "missing").alias("missing_count"), F.count_if(kind == "unsafe").alias("unsafe_here"),
         F.count_if(kind == "mismatch").alias("size_mismatch_count"), F.coalesce(F.sum("size"), F.lit(0)).cast("long").alias("expected_bytes"), F.coalesce(F.sum("served"), F.lit(0)).cast("long").alias("present_bytes"),
         F.count_if(kind == "snippet").alias("snippet_variance_count"), F.coalesce(F.sum(F.when(kind == "snippet", delta)), F.lit(0)).cast("long").alias("snippet_variance_bytes"),
-        F.count_if(kind == "documented").alias("documented_variance_count"), F.coalesce(F.sum(F.when(kind == "documented", delta)), F.lit(0)).cast("long").alias("documented_variance_bytes"), listed.alias("documented_variance_files"),
+        F.count_if(kind == "documented").alias("documented_variance_count"), F.coalesce(F.sum(F.when(kind == "documented", delta)), F.lit(0)).cast("long").alias("documented_variance_bytes"),
     )
+
+    def first(name: str, text: Column) -> DataFrame:
+        few = rows.filter(kind == name).select("file_id", text.alias("t")).orderBy("file_id", "t").limit(shown)
+        return few.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("file_id", "t"))), lambda x: x["t"]), ",").alias(f"{name}_list"))
+
+    documented = first("documented", F.concat_ws("=", "file_id", "served"))
+    mismatched = first("mismatch", F.concat(F.concat_ws("/", "file_id", "name"), F.lit(" "), F.col("size").cast("string"), F.lit(" "), F.col("served").cast("string")))
+    if totals is None:
+        totals = rows.sparkSession.range(1).select(F.lit(0).cast("long").alias("skipped"), F.lit(0).cast("long").alias("unsafe"))
+    one = counted.join(F.broadcast(totals)).join(F.broadcast(documented)).join(F.broadcast(mismatched))
+    counts = [c for c in counted.columns if c != "unsafe_here"]
+    return one.select(*counts, F.col("skipped").alias("skipped_count"), (F.col("unsafe") + F.col("unsafe_here")).alias("unsafe_count"), F.col("documented_list").alias("documented_variance_files"), F.col("mismatch_list").alias("mismatched_files"))

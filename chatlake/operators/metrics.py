@@ -15,16 +15,24 @@ GAUGES = (
 )
 
 
-def exposition(rows: DataFrame, labels: list[str], gauges: list[str], prefix: str) -> DataFrame:
-    """(place, metric, type, line) for every gauge of every row that isn't null; labels escaped.
+# What each gauge tells, in the same order.
+HELP = (
+    "Whether the last run succeeded.", "When a run last succeeded.", "When the pipeline completed.", "Seconds between completion and observation.", "Time of the archive's latest message.",
+    "Time of the lake's latest message.", "Seconds by which the lake's latest message trails the archive's.", "Rows in the archive.", "Rows in the lake.", "Rows inserted by the run.", "Rows updated by the run.",
+    "Rows deleted by the run.", "Duration of the run.", "Failures of the run.", "Seconds spent waiting for a lock.", "Size of the archive.", "Attachments still to be fetched.", "Whether the workspace was discovered.", "Whether the workspace was materialized.",
+)
+
+
+def exposition(rows: DataFrame, labels: list[str], gauges: list[str], prefix: str, keep: list[str] | None = None) -> DataFrame:
+    """(place, metric, type, line, and columns to keep) for every gauge of every row that isn't null; labels escaped.
 
     ``place`` is the gauge's in the list; ``type`` is the line that stands once above a metric's lines.
     """
     shown = F.concat_ws(",", *[F.concat(F.lit(f'{c}="'), S.label_value(F.col(c).cast("string")), F.lit('"')) for c in labels])
     value = lambda i, g: F.struct(F.lit(i).alias("place"), F.lit(f"{prefix}_{g}").alias("metric"), S.number_text(F.col(g)).alias("number"))
-    each = rows.select(shown.alias("labels"), F.explode(F.array(*[value(i, g) for i, g in enumerate(gauges)])).alias("m")).filter(F.col("m.number").isNotNull())
+    each = rows.select(*(keep or []), shown.alias("labels"), F.explode(F.array(*[value(i, g) for i, g in enumerate(gauges)])).alias("m")).filter(F.col("m.number").isNotNull())
     line = F.concat(F.col("m.metric"), F.lit("{"), "labels", F.lit("} "), F.col("m.number"))
-    return each.select("m.place", "m.metric", F.concat(F.lit("# TYPE "), F.col("m.metric"), F.lit(" gauge")).alias("type"), line.alias("line"))
+    return each.select(*(keep or []), "m.place", "m.metric", F.concat(F.lit("# TYPE "), F.col("m.metric"), F.lit(" gauge")).alias("type"), line.alias("line"))
 
 
 def problems(runs: DataFrame) -> DataFrame:
@@ -62,3 +70,20 @@ def run_gauges(runs: DataFrame) -> DataFrame:
 def render(runs: DataFrame, prefix: str = "chatlake") -> DataFrame:
     """``exposition`` of runs with all their gauges."""
     return exposition(run_gauges(runs), ["workspace", "stage"], list(GAUGES), prefix)
+
+
+def documents(runs: DataFrame, prefix: str = "chatlake", job: str = "chatlake") -> DataFrame:
+    """(path, body): one exposition document for each workspace and stage, HELP and TYPE once above each gauge's line."""
+    helped = F.create_map(*[x for g, h in zip(GAUGES, HELP, strict=True) for x in (F.lit(f"{prefix}_{g}"), F.lit(h))])
+    part = lambda name, value: F.concat(F.lit(f"/{name}@base64/"), S.path_label(value))
+    at = F.concat(F.lit("job@base64/"), S.path_label(F.lit(job)), part("workspace", F.col("workspace")), part("stage", F.col("stage")))
+    gauges = run_gauges(runs).select(at.alias("path"), "workspace", "stage", *GAUGES)
+    lines = exposition(gauges, ["workspace", "stage"], list(GAUGES), prefix, ["path"])
+    text = F.concat(F.lit("# HELP "), "metric", F.lit(" "), F.try_element_at(helped, F.col("metric")), F.lit("\n"), "type", F.lit("\n"), "line", F.lit("\n"))
+    listed = F.array_sort(F.collect_list(F.struct("place", text.alias("text"))))  # a line for each gauge at most
+    return lines.groupBy("path").agg(F.array_join(F.transform(listed, lambda x: x["text"]), "").alias("body"))
+
+
+def stale(known: DataFrame, active: DataFrame) -> DataFrame:
+    """The documents (path) of workspaces that aren't active any more."""
+    return known.select("path").distinct().join(active.select("path"), "path", "left_anti")

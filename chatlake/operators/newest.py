@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chatlake.functions.scalars import folded
+
 
 def newest_rows(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in ``order``.
@@ -45,8 +47,8 @@ def identical_copies_removed(df: DataFrame, keys: list[str], payload: Column, or
 
 
 def folded_duplicates(df: DataFrame, text: Column, own: str) -> DataFrame:
-    """(folded, n): texts that are the same in lower case for more than one ``own``."""
-    return df.select(F.lower(text).alias("folded"), own).groupBy("folded").agg(F.count_distinct(own).alias("n")).filter("n > 1")
+    """(folded, n): texts that are the same without case for more than one ``own``."""
+    return df.select(folded(text).alias("folded"), own).groupBy("folded").agg(F.count_distinct(own).alias("n")).filter("n > 1")
 
 
 def latest_value(df: DataFrame, keys: list[str], value: str, order: list[str]) -> DataFrame:

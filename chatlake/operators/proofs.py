@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatlake.operators import lineage
+
 
 def incomplete_streams(chunks: DataFrame, keys: list[Column], final: Column) -> DataFrame:
     """Streams without any final chunk."""
@@ -23,15 +25,11 @@ def completeness(session: DataFrame, chunk: DataFrame) -> DataFrame:
 def table_digest(df: DataFrame, table: str) -> DataFrame:
     """One row: table, row count and an order-free digest of all rows.
 
-    The digest adds up two 28-bit slices of each row's SHA-256 and xors a third of 60 bits, so it is
-    combined in every task before the shuffle, and no table is ordered or passes through one task.
-    Equal multisets of rows have equal digests; version 3 of the lineage manifest.
+    The digest is that of one range over the whole table (``lineage``), so it is combined in every task before the
+    shuffle, and no table is ordered or passes through one task.  Equal multisets of rows have equal digests.
     """
-    row = F.sha2(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}), 256)
-    piece = lambda at, n: F.conv(F.substring("r", at, n), 16, 10)
-    added = lambda at: F.coalesce(F.sum(piece(at, 7).cast("decimal(38,0)")), F.lit(0)).cast("string")
-    whole = F.concat_ws(":", added(1), added(8), F.coalesce(F.bit_xor(piece(15, 15).cast("long")), F.lit(0)).cast("string"))
-    return df.select(row.alias("r")).agg(F.lit(table).alias("table"), F.count(F.lit(1)).alias("rows"), F.sha2(whole, 256).alias("digest"))
+    whole = df.select(lineage.row_digest(df).alias("r")).agg(*lineage.sums())
+    return whole.select(F.lit(table).alias("table"), "rows", lineage.shown(F.col("a"), F.col("b"), F.col("x")).alias("digest"))
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

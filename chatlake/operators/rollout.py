@@ -10,8 +10,8 @@ from chatlake.functions import scalars as S
 
 def covered(workspaces: DataFrame, apart: DataFrame, id_col: str = "workspace_id") -> DataFrame:
     """``workspaces`` without those that ``apart`` (one column of ids or slugs, in any case) names; all, if none is left."""
-    named = apart.select(F.lower(apart.columns[0]).alias("__apart")).distinct()
-    forms = workspaces.select(id_col, F.explode(F.array(F.lower(id_col), S.slug(F.col(id_col)))).alias("__apart"))
+    named = apart.select(S.folded(F.col(apart.columns[0])).alias("__apart")).distinct()
+    forms = workspaces.select(id_col, F.explode(F.array(S.folded(F.col(id_col)), S.slug(F.col(id_col)))).alias("__apart"))
     solo = forms.join(named, "__apart", "left_semi").select(F.col(id_col).alias("__solo")).distinct()
     marked = workspaces.join(solo, F.col(id_col) == F.col("__solo"), "left")
     rest = marked.agg(F.count_if(F.col("__solo").isNull()).alias("__rest"))

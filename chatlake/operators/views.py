@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chatlake.session import checkpointed
+
 
 def enriched(messages: DataFrame, workspaces: DataFrame, channels: DataFrame, users: DataFrame) -> DataFrame:
     """Messages with workspace, channel and user names; a message without a known user stays."""
@@ -27,6 +29,26 @@ def threads(messages: DataFrame, group: list[Column | str], order: str = "ts_us"
     )
 
 
+def thread_pages(messages: DataFrame, group: list[str], order: str = "ts_us", key: str = "message_key", page: int = 1000) -> DataFrame:
+    """``threads`` in pages: group, page (from 0), message_count, first and last time, and the page's message keys in order.
+
+    Messages are sorted over all tasks by thread, time and key, so a thread of any size is spread; the ranges' counts give
+    each its first position in its thread, and a page is what ``page`` positions hold.  Joined in order, the pages of a
+    thread are its list.
+    """
+    sort = [*group, order, key]
+    ranged = messages.select(*sort).repartitionByRange(*sort).sortWithinPartitions(*sort)
+    placed = checkpointed(ranged.withColumn("share", F.spark_partition_id()))  # the ranges are drawn once
+    counts = placed.groupBy(*group, "share").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy(*group).orderBy("share").rowsBetween(Window.unboundedPreceding, -1)
+    names = [f"__{c}" for c in [*group, "share"]]
+    starts = counts.select(*[F.col(c).alias(n) for c, n in zip([*group, "share"], names, strict=True)], F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    met = placed.join(starts, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip([*group, "share"], names, strict=True)]).drop(*names)
+    own = F.row_number().over(Window.partitionBy(*group, "share").orderBy(order, key))
+    numbered = met.withColumn("page", F.floor((F.col("start") + own - 1) / page).cast("long"))
+    return threads(numbered, [*group, "page"], order, key)
+
+
 def message_threads(messages: DataFrame) -> DataFrame:
     """``threads`` over the lake's messages; deleted ones count."""
     inside = messages.filter(F.col("thread_ts").isNotNull() | F.col("is_thread_parent"))

@@ -1,4 +1,10 @@
-"""Ingest of one archive into the lake: scope, proofs, merges, one commit."""
+"""Ingest of one archive into the lake: scope, proofs, merges, one commit.
+
+An archive whose file hash is the checkpoint's is done before any of its tables is read.  Otherwise a run reads, of the
+large tables, the rows after the checkpoint's chunk (the source filters them), the keys of all rows without their
+payloads, and the rows of the touched keys (a Bloom filter inside the source); the checkpoint's lineage grows by the
+new rows' digests.  ``prove=True`` also digests the old rows and names the chunks that were rewritten.
+"""
 
 from __future__ import annotations
 
@@ -13,12 +19,14 @@ from pyspark.sql import functions as F
 
 from chatlake import schemas
 from chatlake.functions import scalars as S
-from chatlake.operators import canonicalize, merge, newest, proofs
+from chatlake.operators import canonicalize, lineage, merge, newest, proofs
 from chatlake.operators.views import orphan_replies
 from chatlake.plans import lake as L
+from chatlake.sources.file_digest import file_fingerprint
 from chatlake.sources.sqlite_archive import check_structure, read_archive
 
 MODES = ("incremental", "backfill", "development")
+SMALL = ("WORKSPACE", "SESSION", "CHUNK")  # tables of an archive that are persisted
 WIDE = ("workspaces", "channels", "users", "messages", "reactions", "files", "channel_members", "ingestion_checkpoints", "source_archives")
 
 
@@ -51,18 +59,79 @@ def scoped_manifest(tables: dict[str, DataFrame], since: int) -> dict:
     return {"version": 3, "scope": {"min_chunk_id": since}, "tables": manifest(part)}
 
 
-def signature(entries: list[list]) -> str:
-    return hashlib.sha256(json.dumps(entries, separators=(",", ":")).encode()).hexdigest()
+def signature(entries) -> str:
+    return hashlib.sha256(json.dumps(entries, separators=(",", ":"), sort_keys=True).encode()).hexdigest()
+
+
+def chunk_of(table: str) -> str:
+    return "ID" if table in ("SESSION", "CHUNK") else "CHUNK_ID"
+
+
+def lineage_of(tables: dict[str, DataFrame], high_water: int | None, since: int | None = None, before: dict | None = None) -> dict:
+    """The lineage manifest: of each table the additive digests of ranges of chunks.
+
+    With ``since`` and the manifest ``before``, only rows after that chunk are digested and added to its ranges; the
+    sessions, which change in place, are always digested whole.
+    """
+    out = {}
+    for name, df in sorted(tables.items()):
+        chunk = chunk_of(name)
+        old = before["tables"][name] if before and since is not None and name != "SESSION" else None
+        width = max(lineage.width_for(high_water), old["width"] if old else 1)
+        new = lineage.collected(df if old is None else df.filter(F.col(chunk) > since), chunk, width)
+        if old:
+            new = lineage.merged([*lineage.merged([tuple(x) for x in old["ranges"]], width // old["width"]), *new])
+        out[name] = {"width": width, "ranges": [list(x) for x in new]}
+    return {"version": 4, "tables": out}
+
+
+def rows_in(manifest_: dict) -> dict[str, int]:
+    return {t: sum(x[1] for x in m["ranges"]) for t, m in manifest_["tables"].items()}
 
 
-def open_archive(spark: SparkSession, path: str, complete: bool = True) -> tuple[dict[str, DataFrame], str]:
+def stored_lineage(checkpoint) -> dict | None:
+    """The checkpoint's lineage, if it holds one with ranges."""
+    try:
+        held = json.loads(checkpoint["lineage_manifest_json"])
+    except (TypeError, ValueError):
+        return None
+    return held if isinstance(held, dict) and held.get("version") == 4 else None
+
+
+def rewritten_chunks(tables: dict[str, DataFrame], checkpoint) -> dict[str, list[tuple[int, int]]]:
+    """table to the (first, last) chunks of ranges whose rows up to the checkpoint differ from its lineage."""
+    held, out = stored_lineage(checkpoint), {}
+    for name, m in held["tables"].items() if held else ():
+        if name == "SESSION":
+            continue
+        chunk = chunk_of(name)
+        now = lineage.collected(tables[name].filter(F.col(chunk) <= checkpoint["chunk_high_water"]), chunk, m["width"])
+        if found := lineage.differing([tuple(x) for x in m["ranges"]], now, m["width"]):
+            out[name] = found
+    return out
+
+
+def open_archive(spark: SparkSession, path: str, complete: bool = True, persist: tuple[str, ...] = tuple(schemas.ARCHIVE_DDL)) -> tuple[dict[str, DataFrame], str]:
     """The archive's tables and its workspace id; refuses what isn't whole.
 
-    The tables are persisted (spilling to disk): digests, keys and newest rows each need them, and
-    the archive is one file on one machine.  Callers unpersist them.
+    Those named are persisted (spilling to disk), as a whole read needs each several times; callers ``close`` them.
     """
     check_structure(path)
-    tables = {t: read_archive(spark, path, t).persist() for t in schemas.ARCHIVE_DDL}
+    tables = {t: read_archive(spark, path, t) for t in schemas.ARCHIVE_DDL}
+    tables |= {t: tables[t].persist() for t in persist}
+    try:
+        return tables, _checked(tables, complete)
+    except Exception:
+        close(tables)
+        raise
+
+
+def close(tables: dict[str, DataFrame]) -> None:
+    for df in tables.values():
+        df.unpersist()
+
+
+def _checked(tables: dict[str, DataFrame], complete: bool) -> str:
     ids = [r[0] for r in tables["WORKSPACE"].filter("TEAM_ID <> ''").select("TEAM_ID").distinct().limit(2).collect()]
     if len(ids) != 1:
         raise ValueError(f"expected one workspace in the archive, found {len(ids) or 'none'}")
@@ -72,11 +141,14 @@ def open_archive(spark: SparkSession, path: str, complete: bool = True) -> tuple
             raise ValueError("the archive's latest session is unfinished")
         if state["incomplete"]:
             raise ValueError(f"the archive's latest session has {state['incomplete']} incomplete stream(s)")
-    return tables, ids[0]
+    return ids[0]
 
 
 def check_continuity(tables: dict[str, DataFrame], records: dict[str, DataFrame], held: dict[str, DataFrame], checkpoint, marks: dict[str, int | None], bootstrap: bool) -> None:
-    """Every accepted key is still there, nothing regressed or was rewritten in its own chunk."""
+    """Every accepted key is still there, nothing regressed or was rewritten in its own chunk.
+
+    Of ``tables`` only keys are read.
+    """
     if checkpoint is None:
         return
     if not checkpoint["lineage_signature"] or not checkpoint["lineage_manifest_json"]:
@@ -104,15 +176,18 @@ def check_continuity(tables: dict[str, DataFrame], records: dict[str, DataFrame]
             raise ContinuityError(f"the archive's {mark} regressed")
 
 
-def records_of(tables: dict[str, DataFrame], workspace_id: str, since: int | None) -> dict[str, DataFrame]:
+def records_of(tables: dict[str, DataFrame], workspace_id: str, since: int | None, scan) -> dict[str, DataFrame]:
     """Canonical records, of all keys or of those touched after the checkpoint.
 
-    Scoped reads give the global newest row of each touched key; FILE is always read whole.
+    Scoped reads give the global newest row of each touched key: ``scan(table, columns, keys)`` reads the keys of new
+    rows, then the rows of these keys; FILE is always read whole.
     """
 
     def scoped(name: str, keys: list[str]) -> DataFrame:
-        df = tables[name]
-        return df if since is None else df.join(newest.touched_keys(df, keys, "CHUNK_ID", since), keys, "left_semi")
+        if since is None:
+            return tables[name]
+        touched = newest.touched_keys(scan(name, columns=[*keys, "CHUNK_ID"]), keys, "CHUNK_ID", since)
+        return scan(name, keys=touched.persist())
 
     messages = canonicalize.messages(scoped("MESSAGE", ["CHANNEL_ID", "TS"]), F.lit(workspace_id)).persist()
     return {
@@ -126,50 +201,65 @@ def records_of(tables: dict[str, DataFrame], workspace_id: str, since: int | Non
     }
 
 
-def ingest(spark: SparkSession, archive: str, lake: str, slug: str, mode: str = "incremental", uploads: DataFrame | None = None, bootstrap: bool = False) -> Result:
-    """One run; raises, with the run recorded as failed, if a proof fails."""
+def ingest(spark: SparkSession, archive: str, lake: str, slug: str, mode: str = "incremental", uploads: DataFrame | None = None, bootstrap: bool = False, prove: bool = False) -> Result:
+    """One run; raises, with the run recorded as failed, if a proof fails.  ``prove`` digests the old rows too."""
     if mode not in MODES or not slug.strip():
         raise ValueError("mode or workspace slug is not valid")
     run_id, now = uuid.uuid4().hex, datetime.now(UTC).replace(tzinfo=None)
-    tables, workspace_id = open_archive(spark, archive)
+    check_structure(archive)
+    print_of = file_fingerprint(spark, archive)
+    same = L.read(spark, lake, "ingestion_checkpoints").filter(F.col("source_fingerprint") == print_of).first()
+    tables, workspace_id = ({}, same["workspace_id"]) if same else open_archive(spark, archive, persist=SMALL)
     seq = L.current(spark, lake).get(workspace_id, (0, {}))[0]  # before the tables, so what they miss is noticed
     held = L.read_many(spark, lake, WIDE, workspace_id)
     run = {"run_id": run_id, "workspace_id": workspace_id, "mode": mode, "started_at": now, "source_path": archive}
     schema = schemas.struct(schemas.LAKE_DDL["ingestion_runs"])
     ledger = lambda **x: spark.createDataFrame([tuple((run | x).get(f.name) for f in schema.fields)], schema)
-    entries = manifest(tables)
-    print_of = signature(entries)
-    rows = next(n for t, n, _ in entries if t == "MESSAGE")
     seq = L.publish(spark, lake, workspace_id, run_id, {}, {"ingestion_runs": ledger(status="started")}, since=seq, part="started")
+    kept: list[DataFrame] = []
     try:
-        return _run(spark, lake, slug, run_id, now, tables, workspace_id, held, entries, print_of, rows, archive, uploads, bootstrap, ledger, seq)
+        if same:
+            return _unchanged(spark, lake, run_id, now, workspace_id, held, print_of, uploads, ledger, seq)
+        return _run(spark, lake, slug, run_id, now, tables, workspace_id, held, print_of, archive, uploads, bootstrap, prove, ledger, seq, kept)
     except L.CommitConflict:
         raise
     except Exception as e:
         L.publish(spark, lake, workspace_id, run_id, {}, {"ingestion_runs": ledger(status="failed", completed_at=now, source_fingerprint=print_of, error_class=type(e).__name__, error_message=str(e)[:2000])})
         raise
     finally:
-        for df in tables.values():
+        close(tables)
+        for df in kept:
             df.unpersist()
 
 
-def _run(spark, lake, slug, run_id, now, tables, workspace_id, held, entries, print_of, rows, archive, uploads, bootstrap, ledger, seq) -> Result:
-    checkpoint = held["ingestion_checkpoints"].first()
+def _unchanged(spark, lake, run_id, now, workspace_id, held, print_of, uploads, ledger, seq) -> Result:
+    """The file is the checkpoint's: no table of the archive is read."""
     known = held["messages"].count()
-    if checkpoint is not None and checkpoint["source_fingerprint"] == print_of:
-        done = {"ingestion_runs": ledger(status="succeeded", completed_at=now, source_fingerprint=print_of, source_message_rows=rows, canonical_message_rows=known, inserted_messages=0, updated_messages=0, unchanged_messages=known)}
-        again = {"ingestion_checkpoints": held["ingestion_checkpoints"].withColumns({"successful_run_id": F.lit(run_id), "checkpointed_at": F.lit(now)})}
-        if uploads is not None:
-            again["files"] = with_paths(held["files"], uploads)
-        L.publish(spark, lake, workspace_id, run_id, again, done, since=seq)
-        return Result(run_id, workspace_id, 0, 0, known, True)
+    rows = held["source_archives"].filter(F.col("source_fingerprint") == print_of).agg(F.max("source_message_rows")).first()[0]
+    done = {"ingestion_runs": ledger(status="succeeded", completed_at=now, source_fingerprint=print_of, source_message_rows=rows, canonical_message_rows=known, inserted_messages=0, updated_messages=0, unchanged_messages=known)}
+    again = {"ingestion_checkpoints": held["ingestion_checkpoints"].withColumns({"successful_run_id": F.lit(run_id), "checkpointed_at": F.lit(now)})}
+    if uploads is not None:
+        again["files"] = with_paths(held["files"], uploads)
+    L.publish(spark, lake, workspace_id, run_id, again, done, since=seq)
+    return Result(run_id, workspace_id, 0, 0, known, True)
 
+
+def _run(spark, lake, slug, run_id, now, tables, workspace_id, held, print_of, archive, uploads, bootstrap, prove, ledger, seq, kept) -> Result:
+    checkpoint = held["ingestion_checkpoints"].first()
+    known = held["messages"].count()
     marks = high_waters(tables)
     before = checkpoint["chunk_high_water"] if checkpoint else None
     since = before if before is not None and marks["chunk_high_water"] is not None and marks["chunk_high_water"] > before else None
-    records = records_of(tables, workspace_id, since)
-    kept = [records["messages"]]
-    check_continuity(tables, records, held, checkpoint, marks, bootstrap)
+    if prove and checkpoint is not None:
+        for name, ranges in rewritten_chunks(tables, checkpoint).items():
+            raise ContinuityError(f"the archive rewrote {name} in chunks {', '.join(f'{a} to {b}' for a, b in ranges[:5])}")
+    scan = lambda name, columns=None, keys=None: read_archive(spark, archive, name, columns, keys=keys)
+    records = records_of(tables, workspace_id, since, scan)
+    kept.append(records["messages"])
+    pruned = {t: scan(t, columns=c) for t, c in (("MESSAGE", ["CHANNEL_ID", "TS"]), ("CHANNEL", ["ID"]), ("S_USER", ["ID"]))}
+    check_continuity(pruned, records, held, checkpoint, marks, bootstrap)
+    lineage_now = lineage_of(tables, marks["chunk_high_water"], since, stored_lineage(checkpoint) if checkpoint else None)
+    counts = rows_in(lineage_now)
     buckets = None if since is None else L.touched(records["messages"], "messages")  # the others' folders stay
     held |= L.read_many(spark, lake, tuple(L.BUCKETED), workspace_id, buckets)
 
@@ -195,16 +285,14 @@ def _run(spark, lake, slug, run_id, now, tables, workspace_id, held, entries, pr
     if uploads is not None:
         out["files"] = with_paths(out["files"], uploads)
     old = held["source_archives"].filter(F.col("source_fingerprint") == print_of)
-    new = spark.createDataFrame([(workspace_id, print_of, archive, marks["session_high_water"], marks["chunk_high_water"], rows, json.dumps({t: n for t, n, _ in entries}), run_id, run_id, now, now, 1)], schemas.struct(schemas.LAKE_DDL["source_archives"]))
+    new = spark.createDataFrame([(workspace_id, print_of, archive, marks["session_high_water"], marks["chunk_high_water"], counts["MESSAGE"], json.dumps(counts), run_id, run_id, now, now, 1)], schemas.struct(schemas.LAKE_DDL["source_archives"]))
     count = (old.agg(F.max("ingest_count")).first()[0] or 0) + 1
     out["source_archives"] = merge.merge(held["source_archives"], new.withColumn("ingest_count", F.lit(count).cast("long")), ["workspace_id", "source_fingerprint"], keep_old=["first_run_id", "first_ingested_at"])
-    out["ingestion_checkpoints"] = spark.createDataFrame([(workspace_id, print_of, marks["session_high_water"], marks["chunk_high_water"], print_of, json.dumps(entries), run_id, now)], schemas.struct(schemas.LAKE_DDL["ingestion_checkpoints"]))
+    out["ingestion_checkpoints"] = spark.createDataFrame([(workspace_id, print_of, marks["session_high_water"], marks["chunk_high_water"], signature(lineage_now), json.dumps(lineage_now), run_id, now)], schemas.struct(schemas.LAKE_DDL["ingestion_checkpoints"]))
     n = merge.change_counts(marked).first()
     total = known + n["inserted"]
-    done = ledger(status="succeeded", completed_at=now, source_fingerprint=print_of, source_message_rows=rows, canonical_message_rows=total, inserted_messages=n["inserted"], updated_messages=n["updated"], unchanged_messages=n["unchanged"])
+    done = ledger(status="succeeded", completed_at=now, source_fingerprint=print_of, source_message_rows=counts["MESSAGE"], canonical_message_rows=total, inserted_messages=n["inserted"], updated_messages=n["updated"], unchanged_messages=n["unchanged"])
     L.publish(spark, lake, workspace_id, run_id, out, {"message_events": events, "ingestion_runs": done}, buckets, seq)
-    for df in kept:
-        df.unpersist()
     return Result(run_id, workspace_id, n["inserted"], n["updated"], n["unchanged"])
 
 
@@ -235,8 +323,7 @@ def validate(spark: SparkSession, archive: str, lake: str) -> dict:
         report["orphan_reply_count"] = orphan_replies(held["messages"].filter("is_thread_reply"), ["channel_id"], "parent_ts", "ts", held["messages"]).count()
         report |= checkpoint_state(tables, held["ingestion_checkpoints"].first(), held["ingestion_runs"])
     finally:
-        for df in tables.values():
-            df.unpersist()
+        close(tables)
     report["passed"] = bool(
         report["natural_keys_match"] and report["latest_timestamp_matches"] and report["checkpoint_valid"]
         and not any(report[x] for x in ("raw_json_mismatch_count", "source_chunk_mismatch_count", "source_invalid_json_count", "canonical_invalid_json_count", "canonical_duplicate_key_count"))
@@ -288,8 +375,7 @@ def compact(spark: SparkSession, archive: str, to: str, lake: str | None = None)
             counts[name] = copies[name].count()
         verify_compaction(spark, tables, copies, lake, workspace_id)
     finally:
-        for df in tables.values():
-            df.unpersist()
+        close(tables)
     return counts
 
 
@@ -321,11 +407,16 @@ def rebase(spark: SparkSession, archive: str, lake: str) -> str:
     if not all(report[x] for x in differs) or any(report[x] for x in counted):
         raise ContinuityError("the copy differs from the lake; the checkpoint stays")
     tables, workspace_id = open_archive(spark, archive)
-    seq = L.current(spark, lake)[workspace_id][0]
-    entries = manifest(tables)
-    mark = signature(entries)
-    point = L.read(spark, lake, "ingestion_checkpoints", workspace_id).withColumns(
-        {"source_fingerprint": F.lit(mark), "lineage_signature": F.lit(mark), "lineage_manifest_json": F.lit(json.dumps(entries)), "checkpointed_at": F.lit(datetime.now(UTC).replace(tzinfo=None))}
-    )
+    try:
+        seq = L.current(spark, lake)[workspace_id][0]
+        marks = high_waters(tables)
+        held = lineage_of(tables, marks["chunk_high_water"])
+    finally:
+        close(tables)
+    mark = signature(held)
+    now = datetime.now(UTC).replace(tzinfo=None)
+    new = {"source_fingerprint": file_fingerprint(spark, archive), "lineage_signature": mark, "lineage_manifest_json": json.dumps(held), "checkpointed_at": now, **marks}
+    kinds = {f.name: f.dataType for f in schemas.struct(schemas.LAKE_DDL["ingestion_checkpoints"]).fields}
+    point = L.read(spark, lake, "ingestion_checkpoints", workspace_id).withColumns({c: F.lit(v).cast(kinds[c]) for c, v in new.items()})
     L.publish(spark, lake, workspace_id, uuid.uuid4().hex, {"ingestion_checkpoints": point}, {}, since=seq)
     return mark

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatlake.functions import scalars as S
-from chatlake.operators import attachments, merge, metrics, newest, proofs, rollout, views
+from chatlake.operators import attachments, canonicalize, lineage, merge, metrics, newest, proofs, rollout, views
 from chatlake.session import table
 from chatlake.sources import blocks
 
@@ -361,7 +361,7 @@ def safe_names(spark, d):
 
 
 _TAIL = r"' by xoxb-' || source || '.' || doc_id || '/e_9" + r'"rest XOXP-' + r"' || lang || '\q fooxoxa-1'"
-_SQL_TOKEN = S.TOKEN.replace("'", "''")
+_SQL_TOKEN = r"""\bxox[a-zA-Z]-[^\s''"\\]+"""  # spelled out beside the library's own
 
 
 @query(f"SELECT doc_id, sha256(regexp_replace(replace(text || {_TAIL}, 'src1', '[REDACTED]'), '{_SQL_TOKEN}', '[REDACTED]', 'g')) AS redacted FROM documents")
@@ -378,7 +378,15 @@ _FAILURES = (
 _SQL_FAILURE = f"[{', '.join(repr(x) for x in _FAILURES)}]"
 
 
-@query(rf"""SELECT o_orderkey, CASE WHEN regexp_matches(m, '(?i){"|".join(S.TRANSIENT)}') THEN 'transient' WHEN o_orderpriority LIKE '1%' OR regexp_matches(m, '(?i)\b(?:{"|".join(S.REFUSED)})\b') THEN 'authentication' ELSE 'other' END AS class
+# Spelled out beside the library's own patterns.
+_SQL_TRANSIENT = (
+    r"dial tcp|lookup .*?(no such host|server misbehaving|temporary failure)|server misbehaving|no such host|temporary failure in name resolution|network (is )?unreachable|connection (refused|reset|timed out)|"
+    r"i/o timeout|context deadline exceeded|operation timed out|TLS handshake timeout|unexpected EOF|status code 50[234]\b|\b50[234] (Bad Gateway|Service Unavailable|Gateway Timeout)\b"
+)
+_SQL_REFUSED = r"\b(invalid_auth|not_authed|account_inactive|token_revoked|invalid_cookie)\b"
+
+
+@query(rf"""SELECT o_orderkey, CASE WHEN regexp_matches(m, '(?i){_SQL_TRANSIENT}') THEN 'transient' WHEN o_orderpriority LIKE '1%' OR regexp_matches(m, '(?i){_SQL_REFUSED}') THEN 'authentication' ELSE 'other' END AS class
 FROM (SELECT o_orderkey, o_orderpriority, {_SQL_FAILURE}[o_orderkey % {len(_FAILURES)} + 1] || ' / ' || {_SQL_FAILURE}[o_custkey % {len(_FAILURES)} + 1] AS m FROM orders)""")
 def failure_classes(spark, d):
     said = F.array(*map(F.lit, _FAILURES))
@@ -439,7 +447,7 @@ def _reconciled(spark, d) -> DataFrame:
  sum(size)::BIGINT AS expected_bytes, sum(served)::BIGINT AS present_bytes, count(*) FILTER (WHERE class = 'snippet') AS snippet_variance_count, coalesce(sum(abs(served - size)) FILTER (WHERE class = 'snippet'), 0)::BIGINT AS snippet_variance_bytes,
  count(*) FILTER (WHERE class = 'documented') AS documented_variance_count, coalesce(sum(abs(served - size)) FILTER (WHERE class = 'documented'), 0)::BIGINT AS documented_variance_bytes FROM met""")
 def reconcile_report(spark, d):
-    return attachments.report(_reconciled(spark, d)).drop("documented_variance_files")
+    return attachments.report(_reconciled(spark, d)).drop("documented_variance_files", "mismatched_files", "skipped_count", "unsafe_count")
 
 
 @query(f"""{_SQL_FILES} SELECT split_part(file_id, '-', 1)::BIGINT % 97 AS part, count(*) AS files, sum(abs(served - size))::BIGINT AS bytes, string_agg(file_id || '=' || served, ',' ORDER BY file_id || '=' || served) AS listed
@@ -570,3 +578,181 @@ def covered_files(spark, d):
 @query("SELECT max(event_id)::DOUBLE / 1000000.0::DOUBLE AS recency, (SELECT count(*) FROM events WHERE value < 1) AS waiting FROM events")
 def source_recency(spark, d):
     return table(spark, d, "events").agg((F.max("event_id").cast("double") / 1e6).alias("recency"), F.count_if(F.col("value") < 1).alias("waiting"))
+
+
+# payloads of every shape, walked element by element --------------------------------------------------
+
+# Odd and even values of a message's members; a row takes one of each list by its turn and conversation.
+_ODD = {
+    "deleted": ("1", "0", '""', '"no"', "[]", "{}", "true", "false", "null", "0.0", '"0"', "[0]"),
+    "edited": ("{}", '{"ts":"7.5"}', '"x"', "null", "[1]", '{"ts":8}', '{"by":"u"}'),
+    "reply_count": ('"2"', "0", "3", '""', "null"),
+    "files": ('["bad",{"id":"F1","size":"12"}]', "null", '{"id":"F2"}', '[{"id":"F3","size":3.0,"name":"a, 1.5"},7,null,{"name":"no id"}]', "[]", '[{"size":"x","id":4}]'),
+    "reactions": ('[1,{"name":"ok","users":["a","b","a"],"count":2}]', '"none"', '[{"name":"","users":["c"]},{"name":"up","users":["d"]}]', "[]", '[{"name":"odd","users":"e"},{"users":["f"]},{"name":"up","users":["g"],"count":"5"}]'),
+}
+
+
+def _odd_messages(spark: SparkSession, d: str) -> DataFrame:
+    """``conversations`` as archive messages with payloads of every shape; each third one nests its members."""
+    at = F.col("conv_id") * 7 + F.col("turn")
+    body = F.concat(F.lit('{"text":'), F.to_json(F.struct(F.col("role"))), *[x for n, v in _ODD.items() for x in (F.lit(f',"{n}":'), F.get(F.array(*map(F.lit, v)), (at % len(v)).cast("int")))], F.lit("}"))
+    whole = F.when(at % 3 == 0, F.concat(F.lit('{"message":'), body, F.lit("}"))).otherwise(body)
+    ts = F.concat((F.col("conv_id") * 1000 + F.col("turn")).cast("string"), F.lit(".000100"))
+    null = F.lit(None).cast("string")
+    return table(spark, d, "conversations").select(
+        F.concat(F.lit("C"), (F.col("conv_id") % 9).cast("string")).alias("CHANNEL_ID"), ts.alias("TS"), F.col("turn").alias("CHUNK_ID"), F.lit(0).alias("IDX"), F.col("conv_id").alias("rowid"), F.col("conv_id").alias("ID"),
+        F.when(F.col("turn") == 0, ts).alias("THREAD_TS"), null.alias("LATEST_REPLY"), F.lit(0).alias("IS_PARENT"), F.col("role").alias("TXT"), F.encode(whole, "UTF-8").alias("DATA"),
+    )
+
+
+def _sql_true(value: str) -> str:
+    return f"""coalesce(CASE json_type({value}) WHEN 'NULL' THEN false WHEN 'BOOLEAN' THEN {value}::VARCHAR = 'true' WHEN 'VARCHAR' THEN {value}::VARCHAR <> '""'
+      WHEN 'ARRAY' THEN json_array_length({value}) > 0 WHEN 'OBJECT' THEN len(json_keys({value})) > 0 ELSE {value}::VARCHAR::DOUBLE <> 0 END, false)"""
+
+
+_SQL_PICKS = ", ".join(f"([{', '.join(chr(39) + x + chr(39) for x in v)}])[(conv_id * 7 + turn) % {len(v)} + 1]::JSON AS {n}" for n, v in _ODD.items())
+_SQL_ODD = f"WITH m AS (SELECT 'C' || conv_id % 9 AS channel_id, (conv_id * 1000 + turn) || '.000100' AS ts, turn, {_SQL_PICKS} FROM conversations)"
+
+
+@query(f"""{_SQL_ODD}
+SELECT channel_id, ts, {_sql_true("deleted")} AS is_deleted, json_type(edited) = 'OBJECT' AND {_sql_true("edited")} AS is_edited,
+       CASE WHEN json_type(edited) = 'OBJECT' THEN edited->>'ts' END AS edited_ts, turn = 0 AND {_sql_true("reply_count")} AS is_thread_parent,
+       CASE WHEN json_type(files) = 'ARRAY' AND json_array_length(files) > 0 THEN json_array_length(files) ELSE 0 END::INTEGER AS n_files
+FROM m""")
+def payload_flags(spark, d):
+    """Truth of deleted, edited and reply_count, and files of any shape."""
+    records = canonicalize.messages(_odd_messages(spark, d), F.lit("T1"))
+    return records.select("channel_id", "ts", "is_deleted", "is_edited", "edited_ts", "is_thread_parent", F.coalesce(F.json_array_length("file_metadata_json"), F.lit(0)).alias("n_files"))
+
+
+@query(f"""{_SQL_ODD}, f AS (
+  SELECT channel_id, ts, unnest(from_json(files, '["JSON"]')) AS f FROM m WHERE json_type(files) = 'ARRAY')
+SELECT channel_id, ts, f->>'id' AS file_id, try_cast(f->>'size' AS DOUBLE)::BIGINT AS size, f->>'name' AS name FROM f WHERE json_type(f) = 'OBJECT' AND f->>'id' <> ''""")
+def payload_files(spark, d):
+    """Each embedded file by itself; its odd neighbours drop out alone."""
+    records = canonicalize.messages(_odd_messages(spark, d), F.lit("T1"))
+    return records.select("channel_id", "ts", F.explode("embedded_files").alias("f")).select("channel_id", "ts", F.col("f.id").alias("file_id"), "f.size", "f.name")
+
+
+@query(f"""{_SQL_ODD}, r AS (
+  SELECT channel_id, ts, unnest(from_json(reactions, '["JSON"]')) AS r FROM m WHERE json_type(reactions) = 'ARRAY'
+), u AS (
+  SELECT channel_id, ts, r->>'name' AS emoji_name, unnest(from_json(r->'users', '["VARCHAR"]')) AS user_id, (r->>'count')::BIGINT AS reported_count
+  FROM r WHERE json_type(r) = 'OBJECT' AND r->>'name' <> '' AND json_type(r->'users') = 'ARRAY')
+SELECT DISTINCT channel_id, ts AS message_ts, emoji_name, user_id, reported_count FROM u""")
+def payload_reactions(spark, d):
+    """Each user's reaction once, whatever stands beside it."""
+    return canonicalize.reactions(canonicalize.messages(_odd_messages(spark, d), F.lit("T1")))
+
+
+# lineage as a tree ----------------------------------------------------------------------------------
+
+_SQL_ROWS = "SELECT event_id // 100 AS chunk, sha256(to_json({chunk: event_id // 100, event_id: event_id, event_type: event_type, user_id: user_id})) AS h FROM events"
+_SQL_SUMS = "count(*) AS rows, sha256(sum(('0x' || substr(h, 1, 7))::BIGINT)::VARCHAR || ':' || sum(('0x' || substr(h, 8, 7))::BIGINT)::VARCHAR || ':' || bit_xor(('0x' || substr(h, 15, 15))::BIGINT)::VARCHAR) AS digest"
+
+
+def _observations(spark: SparkSession, d: str) -> DataFrame:
+    return _log(spark, d).select("chunk", "event_id", "event_type", "user_id")
+
+
+def _node(df: DataFrame) -> DataFrame:
+    return df.select("range", "rows", lineage.shown(F.col("a"), F.col("b"), F.col("x")).alias("digest"))
+
+
+@query(f"SELECT chunk // 4 AS range, {_SQL_SUMS} FROM ({_SQL_ROWS}) GROUP BY 1")
+def range_digests(spark, d):
+    """Additive digests of ranges of four chunks."""
+    return _node(lineage.leaves(_observations(spark, d), "chunk", 4))
+
+
+@query(" UNION ALL ".join(f"SELECT {k} AS level, chunk // {4 * 2**k} AS range, {_SQL_SUMS} FROM ({_SQL_ROWS}) GROUP BY 1, 2" for k in range(4)))
+def lineage_tree(spark, d):
+    """The leaves and three levels above, each added up from the one below."""
+    nodes, out = lineage.leaves(_observations(spark, d), "chunk", 4), None
+    for k in range(4):
+        shown = _node(nodes).select(F.lit(k).alias("level"), "range", "rows", "digest")
+        out, nodes = shown if out is None else out.unionByName(shown), lineage.above(nodes)
+    return out
+
+
+@query("SELECT DISTINCT event_id // 100 // 4 AS range FROM events WHERE event_id % 997 = 5")
+def rewritten_ranges(spark, d):
+    """The ranges of a log some of whose old rows were rewritten."""
+    log = _observations(spark, d)
+    other = log.withColumn("event_type", F.when(F.col("event_id") % 997 == 5, "rewritten").otherwise(F.col("event_type")))
+    return lineage.rewritten(lineage.leaves(log, "chunk", 4), lineage.leaves(other, "chunk", 4))
+
+
+_SQL_LEVELS = "".join(
+    f""", n{k + 1} AS (SELECT doc_id, place // 4 AS place, CASE WHEN count(*) = 1 AND place // 4 = 0 THEN min(digest) ELSE sha256(string_agg(digest, '' ORDER BY place)) END AS digest
+  FROM n{k} GROUP BY doc_id, place // 4)""" for k in range(5)
+)
+
+
+@query(f"""WITH n0 AS (SELECT doc_id, i AS place, sha256(substr(text, i * 1000 + 1, 1000)) AS digest
+  FROM (SELECT doc_id, text, unnest(range(0, greatest(1, (length(text) + 999) // 1000))) AS i FROM documents)){_SQL_LEVELS}
+SELECT doc_id, digest FROM n5""")
+def tree_roots(spark, d):
+    """The root over the hashes of each text's blocks, four to a node."""
+    docs = table(spark, d, "documents")
+    count = F.greatest(F.lit(1), F.ceil(F.length("text") / 1000)).cast("int")
+    blocks_ = docs.select("doc_id", "text", F.explode(F.sequence(F.lit(0), count - 1)).alias("place"))
+    hashed = blocks_.select("doc_id", "place", F.sha2(F.substr("text", F.col("place") * 1000 + 1, F.lit(1000)), 256).alias("digest"))
+    return lineage.tree_root(hashed, "doc_id", "place", "digest", 4)
+
+
+# lists and documents of bounded size -------------------------------------------------------------------
+
+
+@query("""SELECT conv_id, (r - 1) // 3 AS page, count(*) AS message_count, min(turn) AS first_ts_us, max(turn) AS last_ts_us, string_agg(k, ',' ORDER BY turn, k) AS message_keys
+FROM (SELECT conv_id, turn, k, row_number() OVER (PARTITION BY conv_id ORDER BY turn, k) AS r FROM (SELECT conv_id, turn, sha256(conv_id || chr(31) || turn) AS k FROM conversations)) GROUP BY ALL""")
+def thread_pages(spark, d):
+    """Threads in pages of three messages."""
+    conv = table(spark, d, "conversations").select("conv_id", "turn", S.stable_key(F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("k"))
+    return views.thread_pages(conv, ["conv_id"], "turn", "k", 3).withColumn("message_keys", F.array_join("message_keys", ","))
+
+
+@query("""WITH wanted AS (SELECT l_orderkey || '-' || l_linenumber AS file_id, l_linestatus AS name, l_quantity::BIGINT AS size, CASE WHEN l_returnflag = 'R' THEN 'snippet' ELSE 'hosted' END AS mode FROM lineitem),
+present AS (SELECT l_orderkey || '-' || l_linenumber AS file_id, l_linestatus AS name, (l_quantity + l_orderkey % 3)::BIGINT AS there, CASE WHEN l_orderkey % 50 = 0 THEN 'link' WHEN l_orderkey % 50 = 1 THEN 'outside' ELSE 'file' END AS kind FROM lineitem WHERE l_linenumber <> 4),
+ok AS (SELECT DISTINCT l_orderkey || '-' || l_linenumber AS file_id, (l_quantity + 1)::BIGINT AS accepted FROM lineitem WHERE l_returnflag = 'A'),
+met AS (SELECT w.*, CASE WHEN kind = 'file' THEN there END AS served,
+  CASE WHEN kind IS NULL THEN 'missing' WHEN kind <> 'file' THEN 'unsafe' WHEN size <= 0 OR there = size THEN 'match' WHEN mode = 'snippet' AND abs(there - size) <= 64 THEN 'snippet' WHEN accepted = there THEN 'documented' ELSE 'mismatch' END AS class
+  FROM wanted w LEFT JOIN present USING (file_id, name) LEFT JOIN ok USING (file_id))
+SELECT count(*) AS expected_count, count(served) AS present_count, count(*) FILTER (WHERE class = 'missing') AS missing_count, count(*) FILTER (WHERE class = 'mismatch') AS size_mismatch_count,
+ sum(size)::BIGINT AS expected_bytes, sum(served)::BIGINT AS present_bytes, count(*) FILTER (WHERE class = 'snippet') AS snippet_variance_count, coalesce(sum(abs(served - size)) FILTER (WHERE class = 'snippet'), 0)::BIGINT AS snippet_variance_bytes,
+ count(*) FILTER (WHERE class = 'documented') AS documented_variance_count, coalesce(sum(abs(served - size)) FILTER (WHERE class = 'documented'), 0)::BIGINT AS documented_variance_bytes,
+ (SELECT count(*) FROM orders WHERE o_orderstatus = 'O') AS skipped_count, count(*) FILTER (WHERE class = 'unsafe') + (SELECT count(*) FROM orders WHERE o_orderstatus = 'P') AS unsafe_count,
+ coalesce((SELECT string_agg(t, ',' ORDER BY file_id, t) FROM (SELECT file_id, file_id || '=' || served AS t FROM met WHERE class = 'documented' ORDER BY 1, 2 LIMIT 100)), '') AS documented_variance_files,
+ coalesce((SELECT string_agg(t, ',' ORDER BY file_id, t) FROM (SELECT file_id, file_id || '/' || name || ' ' || size || ' ' || served AS t FROM met WHERE class = 'mismatch' ORDER BY 1, 2 LIMIT 100)), '') AS mismatched_files
+FROM met""")
+def attachment_report(spark, d):
+    """The whole reconciliation: skipped and unsafe files too, and the first files that differ."""
+    li = table(spark, d, "lineitem")
+    file_id = F.concat_ws("-", "l_orderkey", "l_linenumber").alias("file_id")
+    wanted = li.select(file_id, F.col("l_linestatus").alias("name"), F.col("l_quantity").cast("long").alias("size"), F.when(F.col("l_returnflag") == "R", "snippet").otherwise("hosted").alias("mode"), F.lit("text/plain").alias("mime"))
+    kind = F.when(F.col("l_orderkey") % 50 == 0, "link").when(F.col("l_orderkey") % 50 == 1, "outside").otherwise("file")
+    present = li.filter("l_linenumber <> 4").select(file_id, F.col("l_linestatus").alias("name"), (F.col("l_quantity") + F.col("l_orderkey") % 3).cast("long").alias("served"), kind.alias("kind"))
+    ok = li.filter("l_returnflag = 'A'").select(file_id, (F.col("l_quantity") + 1).cast("long").alias("accepted")).distinct()
+    totals = table(spark, d, "orders").agg(F.count_if(F.col("o_orderstatus") == "O").alias("skipped"), F.count_if(F.col("o_orderstatus") == "P").alias("unsafe"))
+    return attachments.report(attachments.reconciled(wanted, present, ok), totals)
+
+
+def _sql_gauge(name: str, told: str, value: str) -> str:
+    head = f"# HELP chatlake_{name} {told}".replace("'", "''")
+    return f"""'{head}' || chr(10) || '# TYPE chatlake_{name} gauge' || chr(10) || 'chatlake_{name}{{workspace="' || s_name || '",stage="' || s_nationkey || '"}} ' || {value} || chr(10)"""
+
+
+@query(f"""SELECT 'job@base64/' || b('chatlake') || '/workspace@base64/' || b(s_name) || '/stage@base64/' || b(s_nationkey::VARCHAR) AS path,
+  {_sql_gauge("run_success", "Whether the last run succeeded.", "(s_nationkey % 2)")} || {_sql_gauge("pipeline_completed_timestamp_seconds", "When the pipeline completed.", "s_suppkey")} ||
+  {_sql_gauge("pipeline_completion_lag_seconds", "Seconds between completion and observation.", "'5'")} ||
+  CASE WHEN s_suppkey % 3 > 0 THEN {_sql_gauge("source_row_count", "Rows in the archive.", "s_suppkey * 2")} ELSE '' END ||
+  {_sql_gauge("rows_inserted", "Rows inserted by the run.", "s_nationkey")} AS body FROM supplier""".replace("b('chatlake')", "'Y2hhdGxha2U='").replace("b(s_name)", "translate(to_base64(encode(s_name)), '+/', '-_')").replace("b(s_nationkey::VARCHAR)", "translate(to_base64(encode(s_nationkey::VARCHAR)), '+/', '-_')"))
+def metric_documents(spark, d):
+    """One exposition document for each workspace and stage."""
+    null = F.lit(None).cast("double")
+    runs = table(spark, d, "supplier").select(
+        F.col("s_name").alias("workspace"), F.col("s_nationkey").cast("string").alias("stage"), (F.col("s_nationkey") % 2 == 1).alias("run_succeeded"), F.col("s_suppkey").cast("double").alias("pipeline_completed_at"), (F.col("s_suppkey") + 5).cast("double").alias("observed_at"),
+        F.when(F.col("s_suppkey") % 3 > 0, F.col("s_suppkey") * 2).alias("source_row_count"), F.col("s_nationkey").alias("rows_inserted"),
+        *[null.alias(c) for c in ("last_success_at", "source_latest_message_at", "canonical_latest_message_at", "canonical_row_count", "rows_updated", "rows_deleted", "run_duration_seconds", "run_failures", "lock_wait_seconds", "archive_size_bytes", "attachment_backlog", "workspace_discovered", "workspace_materialized")],
+    )
+    return metrics.documents(runs)

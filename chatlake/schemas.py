@@ -28,15 +28,6 @@ REQUIRED = {
 }
 NATURAL_KEYS = {"CHANNEL": ["ID"], "S_USER": ["ID"], "MESSAGE": ["CHANNEL_ID", "TS"], "FILE": ["ID"]}
 
-FILE_ITEM = "struct<id:string,user:string,mode:string,name:string,mimetype:string,size:bigint,url_private_download:string,url_private:string,is_external:boolean>"
-REACTION = "struct<name:string,users:array<string>,count:bigint>"
-_BODY = f"subtype string, text string, thread_ts string, reply_count bigint, edited struct<ts:string>, deleted boolean, deleted_ts string, user string, latest_reply string, files array<{FILE_ITEM}>, reactions array<{REACTION}>"
-_BODY_STRUCT = f"struct<subtype:string,text:string,thread_ts:string,reply_count:bigint,edited:struct<ts:string>,deleted:boolean,deleted_ts:string,user:string,latest_reply:string,files:array<{FILE_ITEM}>,reactions:array<{REACTION}>>"
-MESSAGE_PAYLOAD = f"message {_BODY_STRUCT}, {_BODY}"
-CHANNEL_PAYLOAD = "name string, is_private boolean, is_archived boolean, topic struct<value:string>, purpose struct<value:string>"
-USER_PAYLOAD = "name string, real_name string, is_bot boolean, deleted boolean, is_restricted boolean, profile struct<real_name:string,display_name:string>"
-FILE_PAYLOAD = "user string, mode string, name string, mimetype string, size bigint, url_private_download string, url_private string"
-
 _SEEN = "latest_run_id string, first_observed_at timestamp, last_observed_at timestamp"
 # The lake's tables.
 LAKE_DDL = {

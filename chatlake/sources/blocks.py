@@ -71,17 +71,24 @@ def problems(lines: DataFrame, fields: tuple[str, ...] = FIELDS, domain: str = "
         .when((place[fields[2]] | place[fields[3]]) & ~S.secret_ok(F.col("value")), "white space in a secret")
     )
     bad = each.select("file", "block", "line_no", "key", invalid.alias("problem")).filter(F.col("problem").isNotNull())
-    twice = F.row_number().over(Window.partitionBy("file", F.lower(S.strip(F.col("value")))).orderBy("block")) > 1
+    twice = F.row_number().over(Window.partitionBy("file", S.folded(S.strip(F.col("value")))).orderBy("block")) > 1
     repeated = good.filter(F.col("key") == fields[0]).select("file", "block", "line_no", "key", F.when(twice, "duplicate workspace").alias("problem")).filter(F.col("problem").isNotNull())
     return own.unionByName(bad).unionByName(repeated)
 
 
 def parse_blocks(lines: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
-    """(file, block, key, value) with secrets as digests; raises on the first line with a problem."""
-    where = F.concat(F.col("problem"), F.lit(" at line "), F.col("line_no").cast("string"))
+    """(file, block, key, value) with secrets as digests.
+
+    A file is taken or refused whole: any line's own problem, a missing or invalid value, a repeated workspace or no
+    block at all raises, with the first place.
+    """
+    place = F.concat(F.col("problem"), F.coalesce(F.concat(F.lit(" ("), "key", F.lit(")")), F.lit("")), F.lit(" at line "), F.col("line_no").cast("string"))
+    first = problems(lines, fields).groupBy("file").agg(F.min_by(place, F.struct("line_no", "problem")).alias("why"))
+    held = lines.select("file").distinct().join(first, "file", "left").join(parse_lines(lines, fields), "file", "left")
+    why = F.coalesce("why", F.when(F.col("block").isNull(), "no workspace block"))
     shown = F.when(F.col("key").isin(*SECRET), F.concat(F.lit("sha256:"), F.sha2("value", 256))).otherwise(F.col("value"))
-    value = F.when(F.col("problem").isNotNull(), F.raise_error(where).cast("string")).otherwise(shown)
-    return parse_lines(lines, fields).select("file", "block", "key", value.alias("value"))
+    value = F.when(why.isNotNull(), F.raise_error(F.concat(why, F.lit(" of "), "file")).cast("string")).otherwise(shown)
+    return held.select("file", "block", "key", value.alias("value"))
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
@@ -91,12 +98,11 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def select_workspace(workspaces: DataFrame, selector: Column, id_col: str = "workspace_id") -> DataFrame:
-    """The rows whose id equals the selector in any case; raises if none or several ids do.
+    """The rows whose id equals the selector in any case (``Straße`` is ``STRASSE``); raises if none or several ids do.
 
     The check is one row beside the rows, so it stays part of the plan.
     """
-    wanted = F.lower(S.strip(selector))
-    marked = workspaces.withColumn("__hit", F.lower(id_col) == wanted)
+    marked = workspaces.withColumn("__hit", S.folded(F.col(id_col)) == S.folded(S.strip(selector)))
     seen = marked.agg(F.count_distinct(F.when(F.col("__hit"), F.col(id_col))).alias("__n"), F.array_join(F.slice(F.array_sort(F.collect_set(F.when(F.col("__hit"), F.col(id_col)))), 1, 5), ", ").alias("__ids"))
     message = F.when(F.col("__n") == 0, "no workspace has the selected id").otherwise(F.concat(F.lit("the selector is ambiguous: "), "__ids"))
     checked = seen.select(F.when(F.col("__n") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")).alias("__one"))

@@ -10,12 +10,15 @@ to be one that executors can open.  ``columns`` narrows the scan; missing option
 
 from __future__ import annotations
 
+import base64
 import sqlite3
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 
@@ -23,6 +26,7 @@ from chatlake import schemas
 from chatlake.session import ship
 
 ROWS = 100_000
+WANTED_BITS, WANTED_KEYS = 20, 100_000  # of the Bloom filter; beyond so many keys it is left out
 OPERATORS = {GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<=", EqualTo: "="}
 
 
@@ -73,9 +77,27 @@ class Rowids(InputPartition):
     high: int
 
 
+def _places(text: str) -> tuple[int, int]:
+    """The two bits of a key."""
+    return tuple(zlib.crc32(f"{salt}{text}".encode()) & (1 << WANTED_BITS) - 1 for salt in ("a", "b"))
+
+
+def wanted(keys: DataFrame) -> str | None:
+    """The Bloom filter of the rows of ``keys`` (a small set), or None if there are over ``WANTED_KEYS``: 128 KiB at most."""
+    if keys.limit(WANTED_KEYS + 1).count() > WANTED_KEYS:
+        return None
+    text = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in keys.columns])
+    place: Column = F.explode(F.array(*[F.crc32(F.concat(F.lit(salt), text)).bitwiseAND((1 << WANTED_BITS) - 1) for salt in ("a", "b")]))
+    bits = bytearray(1 << WANTED_BITS - 3)
+    for r in keys.select(place.alias("at")).distinct().collect():  # two numbers a key at most
+        bits[r["at"] >> 3] |= 1 << (r["at"] & 7)
+    return base64.b64encode(zlib.compress(bytes(bits))).decode()
+
+
 class Reader(DataSourceReader):
-    def __init__(self, path: str, table: str, schema: T.StructType, partitions: int | None):
+    def __init__(self, path: str, table: str, schema: T.StructType, partitions: int | None, wanted: str | None = None, keys: tuple[str, ...] = ()):
         self.path, self.table, self.schema, self.count = path, table, schema, partitions
+        self.wanted, self.keys = wanted, keys
         self.where: list[tuple[str, object]] = []
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
@@ -101,6 +123,14 @@ class Reader(DataSourceReader):
             have = {r[1].upper() for r in db.execute(f'PRAGMA table_info("{self.table}")')}
             shown = ", ".join("rowid" if f.name == "rowid" else f'"{f.name}"' if f.name.upper() in have else "NULL" for f in self.schema.fields)
             where = " AND ".join(["rowid >= ? AND rowid < ?", *[w for w, _ in self.where]])
+            if self.wanted:
+                bits = zlib.decompress(base64.b64decode(self.wanted))
+
+                def seen(*key) -> bool:
+                    return all(bits[at >> 3] >> (at & 7) & 1 for at in _places("\x1f".join("" if k is None else str(k) for k in key)))
+
+                db.create_function("wanted", len(self.keys), seen, deterministic=True)
+                where += f" AND wanted({', '.join(chr(34) + k + chr(34) for k in self.keys)})"
             binary = [isinstance(f.dataType, T.BinaryType) for f in self.schema.fields]
             for row in db.execute(f'SELECT {shown} FROM "{self.table}" WHERE {where}', [partition.low, partition.high, *[v for _, v in self.where]]):
                 yield tuple(v.encode("utf-8") if b and isinstance(v, str) else v for v, b in zip(row, binary, strict=True))
@@ -119,12 +149,19 @@ class SQLiteArchive(DataSource):
         return ", ".join([*fields, "rowid bigint"])
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return Reader(self.options["path"], self.options["table"].upper(), schema, int(self.options.get("numpartitions", self.options.get("numPartitions", "0"))) or None)
+        keys = tuple(filter(None, self.options.get("wantedKeys", "").split(",")))
+        return Reader(self.options["path"], self.options["table"].upper(), schema, int(self.options.get("numPartitions", "0")) or None, self.options.get("wanted"), keys)
 
 
-def read_archive(spark: SparkSession, path: str, table: str, columns: list[str] | None = None, partitions: int = 0) -> DataFrame:
-    """One table of an archive with its rowid, in as many partitions, or by its rows."""
+def read_archive(spark: SparkSession, path: str, table: str, columns: list[str] | None = None, partitions: int = 0, keys: DataFrame | None = None) -> DataFrame:
+    """One table of an archive with its rowid, in as many partitions, or by its rows; with ``keys``, their rows alone."""
     ship(spark)
     spark.dataSource.register(SQLiteArchive)
     reader = spark.read.format("sqlite_archive").option("path", path).option("table", table).option("numPartitions", partitions)
-    return (reader.option("columns", ",".join(columns)) if columns else reader).load()
+    if columns:
+        reader = reader.option("columns", ",".join(columns))
+    if keys is None:
+        return reader.load()
+    if bits := wanted(keys):
+        reader = reader.option("wanted", bits).option("wantedKeys", ",".join(keys.columns))
+    return reader.load().join(keys, keys.columns, "left_semi")
