@@ -6,10 +6,10 @@ gives the same chunks wherever it stands.  Chunks overlap by the ``MOST - 1`` wo
 into.  The dictionary holds each distinct chunk once with the number of its parses; phrases are counted inside distinct
 chunks, weighted by that number, and belong to the chunk in which they begin, so an overlap counts once.
 
-Only frequent phrases are ever spelled out.  Longer ones are counted level by level: a phrase of n words takes part only
-if both its phrases of n - 1 words are frequent, looked up in a bit table of 2^25 bits by 64-bit keys.  The table is of
-a fixed size and only leaves work out (a full one would leave out none); final counts are by the phrases' text.  Tasks sum
-by key before the shuffle, so a phrase that is everywhere is no hot spot.
+Only frequent phrases are ever spelled out.  Counting goes by 96-bit keys, level by level: a phrase of n words takes part
+only if both its phrases of n - 1 words are frequent, looked up in a bit table of 2^25 bits.  The table is of a fixed size
+and only leaves work out (a full one would leave out none).  Tasks sum by key before the shuffle, so a phrase that is
+everywhere is no hot spot; with the sum goes one chunk that holds the phrase, and that chunk alone spells it.
 
 Scores are exact: products are decimals of 38 digits, which hold them up to 10^12 occurrences of a phrase in 10^22 words.
 
@@ -22,6 +22,7 @@ Defined cases
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,8 @@ from chatlake.session import ship
 
 MOST, LEAST, TOP, EVERY = 5, 100, 2000, 64
 BITS, PAGE = 25, 15
-HELD, SALTS = 1 << 22, 256
+HELD, SALTS = 1 << 21, 256
+_SECOND, _FACTORS = np.uint64(0xA0761D6478BD642F), (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xE7037ED1A0B428DB))
 RAW = kinds(b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d")
 PARSED = kinds(b" ", b"\n")
 LOWER = np.arange(256, dtype=np.uint8)
@@ -79,29 +81,29 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def dictionary(docs: DataFrame) -> DataFrame:
-    """(lang, core, chunk, parses) of all texts."""
+    """(lang, core, chunk, parses, owner) of all texts; ``owner`` tells a chunk, nearly always alone."""
     ship(docs.sparkSession)
     parsed = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").mapInArrow(chunks, "lang string, core int, chunk string")
-    return parsed.groupBy("lang", "core", "chunk").agg(F.count(F.lit(1)).alias("parses"))
+    return parsed.groupBy("lang", "core", "chunk").agg(F.count(F.lit(1)).alias("parses")).withColumn("owner", F.hash("lang", "core", "chunk"))
 
 
 class Chunks:
     """The words of a run of chunks, and the keys of the phrases that begin at each."""
 
-    def __init__(self, buf: np.ndarray, offsets: np.ndarray, seeds: np.ndarray, cores: np.ndarray, parses: np.ndarray) -> None:
+    def __init__(self, buf: np.ndarray, offsets: np.ndarray, seeds: np.ndarray, cores: np.ndarray, row: int) -> None:
         self.buf = buf
-        self.starts, self.ends, h, first = words(buf, offsets, PARSED)
+        self.starts, self.ends, self.h, first = words(buf, offsets, PARSED)
         count = np.diff(first)
         n = len(self.starts)
-        own = np.arange(n) - np.repeat(first[:-1], count) < np.repeat(cores, count)
-        self.core, self.parses = own, np.repeat(parses, count)
+        self.row = row + np.repeat(np.arange(len(count)), count)  # of the batch
+        self.core = np.arange(n) - np.repeat(first[:-1], count) < np.repeat(cores, count)
         ends = np.ones(n, bool)
         inside = self.ends < len(buf)
         ends[inside] = buf[self.ends[inside]] == 10
         ends[first[1:][count > 0] - 1] = True
         self.piece = np.cumsum(np.append(0, ends[:-1])) if n else np.zeros(0, np.int64)
-        self.keys = [mixed(h ^ np.repeat(seeds, count))]
-        self.h = h
+        one = mixed(self.h ^ np.repeat(seeds, count))
+        self.keys = [(one, mixed(one + _SECOND))]
 
     def phrases(self, n: int) -> np.ndarray:
         """Whether a phrase of n words begins at each word."""
@@ -111,33 +113,34 @@ class Chunks:
             fits[:k] = self.piece[n - 1 :] == self.piece[:k]
         return fits
 
-    def key(self, n: int) -> np.ndarray:
-        """Keys of the phrases of n words at each word, 0 where there is none."""
+    def key(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Two keys, drawn apart, of the phrases of n words at each word; 0 where there is none."""
         while len(self.keys) < n:
-            before, m = self.keys[-1], len(self.keys)
-            new = np.zeros(len(before), np.uint64)
-            k = len(before) - m
-            if k > 0:
-                new[:k] = mixed(before[:k] * np.uint64(0x9E3779B97F4A7C15) + self.h[m:])
-            self.keys.append(new)
+            m, new = len(self.keys), []
+            for before, factor in zip(self.keys[-1], _FACTORS, strict=True):
+                own = np.zeros(len(before), np.uint64)
+                k = len(before) - m
+                if k > 0:
+                    own[:k] = mixed(before[:k] * factor + self.h[m:])
+                new.append(own)
+            self.keys.append(tuple(new))
         return self.keys[n - 1]
 
 
-def runs(batch: pa.RecordBatch) -> Iterator[tuple[Chunks, np.ndarray]]:
-    """The chunks of a batch, and of each word the row of its chunk."""
+def runs(batch: pa.RecordBatch) -> Iterator[Chunks]:
+    """The chunks of a batch, in runs of about a megabyte."""
     langs = batch.column("lang")
-    seeds = {x: int.from_bytes(x.encode()[:8].ljust(8, b"\0"), "little") ^ (hash_of(x) << 1) & (1 << 64) - 1 for x in pc.unique(langs).to_pylist()}
+    seeds = {x: hash_of(x) for x in pc.unique(langs).to_pylist()}
     seed = np.array([seeds[x] for x in langs.to_pylist()], np.uint64)
-    cores, parses, at = batch.column("core").to_numpy(), batch.column("parses").to_numpy(), 0
+    cores, at = batch.column("core").to_numpy(), 0
     for buf, offsets in slices(batch.column("chunk")):
         rows = slice(at, at + len(offsets) - 1)
-        c = Chunks(buf, offsets, seed[rows], cores[rows], parses[rows])
         at = rows.stop
-        yield c, rows.start + np.searchsorted(offsets, c.starts, "right") - 1
+        yield Chunks(buf, offsets, seed[rows], cores[rows], rows.start)
 
 
 def hash_of(text: str) -> int:
-    return int(mixed(np.array([len(text)] + [ord(c) for c in text], np.uint64) * np.uint64(31)).sum())
+    return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little")
 
 
 def found(table: bytes, keys: np.ndarray) -> np.ndarray:
@@ -145,52 +148,39 @@ def found(table: bytes, keys: np.ndarray) -> np.ndarray:
     return (np.frombuffer(table, np.uint8)[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def level(n: int, table: bytes | None):
-    """Keys and weights of the phrases of n words whose two shorter ones are in ``table``, summed in each task (kind 0).
+KEYS = "key bigint, key2 int, owner int, n bigint"
 
-    For 3 words also the keys of the words that the frequent pairs consist of (kind 1, without weight).
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, weights, held = [], [], 0
-        parts = np.zeros(0, np.uint64)
+def level(n: int, table: bytes | None):
+    """Keys and weights of the phrases of n words whose two shorter ones are in ``table``, summed in each task, with one owner."""
 
-        def rows(kind: int, k: np.ndarray, w: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for at in range(0, len(k), 100_000):
-                x = k[at : at + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x.view(np.int64)), pa.array(w[at : at + 100_000])], names=["kind", "key", "n"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal held
-            if held:
-                k, w = np.concatenate(keys), np.concatenate(weights)
-                order = np.argsort(k)
-                k, w = k[order], w[order]
-                first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-                yield from rows(0, k[first], np.add.reduceat(w, first))
-            keys.clear()
-            weights.clear()
-            held = 0
+            k, k2, owner, w = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.lexsort((k2, k))
+            k, k2, owner, w = k[order], k2[order], owner[order], w[order]
+            first = np.flatnonzero(np.append(True, (k[1:] != k[:-1]) | (k2[1:] != k2[:-1])))
+            columns = k[first].view(np.int64), k2[first], np.minimum.reduceat(owner, first), np.add.reduceat(w, first)
+            for at in range(0, len(first), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 100_000]) for c in columns], names=["key", "key2", "owner", "n"])
+            held.clear()
 
         for batch in batches:
-            for c, _ in runs(batch):
+            owners, parses = batch.column("owner").to_numpy(), batch.column("parses").to_numpy()
+            for c in runs(batch):
                 take = c.core & c.phrases(n)
                 if table is not None:
-                    good = found(table, c.key(n - 1)) & c.phrases(n - 1)
+                    good = found(table, c.key(n - 1)[0])
                     take[:-1] &= good[:-1] & good[1:]
-                    if n == 3:
-                        at = np.flatnonzero(good)
-                        parts = np.unique(np.concatenate([parts, c.key(1)[at], c.key(1)[at + 1]]))
-                        if len(parts) >= HELD:
-                            yield from rows(1, parts, np.zeros(len(parts), np.int64))
-                            parts = np.zeros(0, np.uint64)
-                keys.append(c.key(n)[take])
-                weights.append(c.parses[take])
-                held += len(keys[-1])
-                if held >= HELD:
+                if take.any():
+                    k, k2 = c.key(n)
+                    held.append((k[take], (k2[take] >> np.uint64(32)).astype(np.uint32).view(np.int32), owners[c.row[take]], parses[c.row[take]]))
+                if sum(len(x[0]) for x in held) >= HELD:
                     yield from flush()
-        yield from flush()
-        yield from rows(1, parts, np.zeros(len(parts), np.int64))
+        if held:
+            yield from flush()
 
     return run
 
@@ -215,66 +205,54 @@ def bit_table(counts: DataFrame) -> bytes:
     return bytes(table)
 
 
-def spelled(tables: list[bytes]):
-    """(lang, words, phrase, n) of the phrases that the tables of their lengths hold, summed in each task."""
+def owners(bits: bytes):
+    """The chunks that may own a phrase."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple, int] = {}
-        names = ["lang", "words", "phrase", "n"]
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            rows = list(sums.items())
-            sums.clear()
-            for at in range(0, len(rows), 50_000):
-                part = rows[at : at + 50_000]
-                columns = [[k[0] for k, _ in part], [k[1] for k, _ in part], [k[2].decode() for k, _ in part], [n for _, n in part]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.string(), pa.int64()), strict=True)], names=names)
-
         for batch in batches:
-            langs = batch.column("lang").to_pylist()
-            for c, row in runs(batch):
-                data = c.buf.tobytes()
-                shorter = None
-                for n, table in enumerate(tables, 1):
-                    good = found(table, c.key(n)) & c.phrases(n)
-                    if shorter is not None:
-                        good[:-1] &= shorter[:-1] & shorter[1:]
-                    shorter = good
-                    at = np.flatnonzero(good & c.core)
-                    if not len(at):
-                        continue
-                    k, first, of = np.unique(c.key(n)[at], return_index=True, return_inverse=True)
-                    weight = np.zeros(len(k), np.int64)
-                    np.add.at(weight, of, c.parses[at])
-                    at = at[first]
-                    for lang, lo, hi, w in zip([langs[i] for i in row[at]], c.starts[at].tolist(), c.ends[at + n - 1].tolist(), weight.tolist(), strict=True):
-                        x = (lang, n, data[lo:hi])
-                        sums[x] = sums.get(x, 0) + w
-                if len(sums) >= HELD >> 3:
-                    yield from flush()
-        yield from flush()
+            keep = found(bits, batch.column("owner").to_numpy().astype(np.int64).view(np.uint64))
+            yield batch.filter(pa.array(keep)).select(["lang", "core", "chunk", "owner"])
 
     return run
 
 
-def frequent(parsed: DataFrame, least: int = LEAST, most: int = MOST) -> DataFrame:
-    """(lang, words, phrase, f): the phrases of up to ``most`` (3 at least) words that occur ``least`` times and more.
+def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, key2, lang, words, phrase) of the phrases that chunks (with ``wanted`` keys) own."""
+    names, types = ["key", "key2", "lang", "words", "phrase"], [pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.string()]
+    for batch in batches:
+        langs, rows = batch.column("lang").to_pylist(), batch.column("wanted").to_pylist()
+        left = {(i, x["key"], x["key2"], x["words"]) for i, wanted in enumerate(rows) for x in wanted}
+        of = {n: np.array(sorted({k for _, k, _, m in left if m == n}), np.int64) for n in range(1, MOST + 1)}
+        out = []
+        for c in runs(batch):
+            for n, keys in of.items():
+                k, k2 = c.key(n)
+                at = np.flatnonzero(np.isin(k.view(np.int64), keys) & c.phrases(n) & c.core)
+                for i, row, x, y in zip(at.tolist(), c.row[at].tolist(), k[at].view(np.int64).tolist(), (k2[at] >> np.uint64(32)).astype(np.uint32).view(np.int32).tolist(), strict=True):
+                    if (row, x, y, n) in left:
+                        left.discard((row, x, y, n))
+                        out.append((x, y, langs[row], n, c.buf[c.starts[i] : c.ends[i + n - 1]].tobytes().decode()))
+        columns = zip(*out, strict=True) if out else [[]] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, types, strict=True)], names=names)
 
-    Of single words, those that a frequent pair consists of: others are part of no longer phrase.
-    """
+
+def frequent(parsed: DataFrame, least: int = LEAST, most: int = MOST) -> DataFrame:
+    """(lang, words, phrase, f): the phrases of up to ``most`` words that occur ``least`` times and more."""
     ship(parsed.sparkSession)
-    tables: list[bytes] = []
+    levels, table = [], None
     for n in range(1, most + 1):
-        sums = parsed.mapInArrow(level(n, tables[-1] if tables else None), "kind int, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
-        counts = sums.filter((F.col("kind") == 1) | (F.col("n") >= least))
-        if n == 3:
-            counts = written(counts)
-            tables[0] = bit_table(counts.filter("kind = 1"))
-        tables.append(bit_table(counts.filter("kind = 0")))
-        if not any(tables[-1]):
+        sums = parsed.mapInArrow(level(n, table), KEYS).groupBy("key", "key2").agg(F.sum("n").alias("f"), F.min("owner").alias("owner"))
+        levels.append(written(sums.filter(F.col("f") >= least).withColumn("words", F.lit(n))))
+        table = bit_table(levels[-1])
+        if not any(table):
             break
-    sums = parsed.mapInArrow(spelled(tables if len(tables) > 2 else []), "lang string, words int, phrase string, n bigint")
-    return sums.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
+    keys = levels[0]
+    for x in levels[1:]:
+        keys = keys.unionByName(x)
+    wanted = keys.groupBy(F.col("owner").alias("w_owner")).agg(F.collect_list(F.struct("key", "key2", "words")).alias("wanted"))  # those of one chunk
+    few = parsed.mapInArrow(owners(bit_table(keys.select(F.col("owner").cast("long").alias("key")))), "lang string, core int, chunk string, owner int")
+    named = few.join(wanted, F.col("owner") == F.col("w_owner")).mapInArrow(spelled, "key bigint, key2 int, lang string, words int, phrase string").dropDuplicates(["key", "key2"])
+    return named.join(keys.select("key", "key2", "f"), ["key", "key2"]).select("lang", "words", "phrase", "f")
 
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int | None = TOP) -> DataFrame:
