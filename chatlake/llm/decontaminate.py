@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chatlake.session import checkpointed
+from chatlake.session import checkpointed, ship
 
 MIN_MATCH, COVERAGE, BROADCAST_CHARS = 4, 0.5, 16 << 20
 TOKEN = re.compile(r"\w+")
@@ -144,6 +144,7 @@ def small(benchmark: DataFrame, limit: int = BROADCAST_CHARS, text_col: str = "t
 
 def hits_column(benchmark: DataFrame, text: Column, size: int = MIN_MATCH, coverage: float = COVERAGE, id_col: str = "item_id", text_col: str = "text") -> Column:
     """The hits of each text, for a benchmark that ``small`` has passed."""
+    ship(benchmark.sparkSession)
     items = [(r[0], r[1]) for r in benchmark.select(F.col(id_col).cast("long"), text_col).collect()]
     shared = benchmark.sparkSession.sparkContext.broadcast(items)
 
@@ -220,6 +221,7 @@ def shuffled_hits(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, limit: int = BROADCAST_CHARS) -> DataFrame:
     """doc_id, item_id, coverage, n_tiles, longest: one row for each contaminated row and its item."""
+    ship(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     if small(benchmark, limit):
         hits = docs.select("doc_id", F.explode(hits_column(benchmark, F.col("text"), coverage=coverage)).alias("hit"))
@@ -230,6 +232,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, limit: int = BROADCAST_CHARS) -> DataFrame:
     """``docs`` without the contaminated rows."""
+    ship(docs.sparkSession)
     if small(benchmark, limit):
         return docs.filter(F.size(hits_column(benchmark, docs["text"], coverage=coverage)) == 0)
     bad = shuffled_hits(docs.select("doc_id", "text"), benchmark, coverage).select("t1", "t2").distinct()

@@ -22,8 +22,8 @@ Defined cases
   block of short lines are not hashed; they neither make nor break a run and are never removed.
 * a word counts once for every 8 characters, and at least once, where words average over 12: text without
   white space (other scripts, encoded data) is cut at its sentence marks and lines, and has units too.
-* null doc_ids rank after all ids.  Rows with the same doc_id are one document: an occurrence at the
-  same offset is the same occurrence, so repeated rows alone remove nothing.  Ties cannot occur.
+* null doc_ids rank after all ids.  Ties: of rows with the same doc_id and different texts, the smaller text hash ranks
+  first; equal rows are one document, so repeated rows alone remove nothing.
 * offsets are code points, end exclusive.  An empty table gives an empty result.
 * very long texts and lines are handled whole.  Only doc_id and text are read by the search; columns with
   clashing names stay as they are, but for ``removed``, which is replaced.
@@ -39,12 +39,12 @@ from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatlake.llm.names import fresh
-from chatlake.session import checkpointed
+from chatlake.session import checkpointed, ship
 
 UNIT_WORDS, LONG_LINE, LONG_WORD = 5, 80, 12
 LINE, CUT = re.compile(r"[^\n]+"), re.compile(r"[.!?][^\w\s]*[\x20\t\r\f\v]+|[。！？]")
@@ -126,7 +126,7 @@ def hashed(run_words: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids, texts = batch.column("doc_id"), batch.column("t")
             keys, owner, rows, spans, ends = [], [], [], [], [0]
             for i, text in enumerate(batch.column("text").to_pylist()):
                 found = list(units(text or ""))
@@ -144,39 +144,45 @@ def hashed(run_words: int):
                 owner += [i] * (len(rows) - len(owner))
             halves = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
             cols = np.array(rows, np.int32).reshape(-1, 3)
-            arrays = [pa.array(np.ascontiguousarray(halves[:, 0])), pa.array(np.ascontiguousarray(halves[:, 1])), ids.take(pa.array(owner, pa.int64()))]
+            arrays = [pa.array(np.ascontiguousarray(halves[:, 0])), pa.array(np.ascontiguousarray(halves[:, 1])), ids.take(pa.array(owner, pa.int64())), texts.take(pa.array(owner, pa.int64()))]
             parts = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(spans, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*arrays, *[pa.array(np.ascontiguousarray(cols[:, j])) for j in range(3)], parts], names=["h1", "h2", "doc_id", "place", "start", "words", "spans"])
+            yield pa.RecordBatch.from_arrays([*arrays, *[pa.array(np.ascontiguousarray(cols[:, j])) for j in range(3)], parts], names=["h1", "h2", "doc_id", "t", "place", "start", "words", "spans"])
 
     return run
 
 
+def text_key(text: Column) -> Column:
+    """Tells the rows of one doc_id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def find_repeats(docs: DataFrame, run_words: int = 0) -> DataFrame:
-    """doc_id, start, end, n_units, n_words, kept_doc_id, kept_start: removed units that follow each other.
+    """doc_id, start, end, n_units, n_words, kept_doc_id, kept_start, t: removed units that follow each other.
 
-    ``kept_doc_id`` and ``kept_start`` are where the first of them is kept, and the others behind it.  A
-    passage whose units are kept in several places makes several rows.
+    ``kept_doc_id`` and ``kept_start`` are where the first of them is kept, and the others behind it; ``t`` is the
+    ``text_key`` of the row.  A passage whose units are kept in several places makes several rows.
     """
+    ship(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType
     ints = [T.StructField(x, T.IntegerType()) for x in ("place", "start", "words")]
-    out = T.StructType([T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("doc_id", kind), *ints, T.StructField("spans", T.ArrayType(T.IntegerType()))])
-    found = docs.select("doc_id", "text").mapInArrow(hashed(run_words), out)
-    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("start").alias("at"), F.col("place").alias("place"))
+    out = T.StructType([T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("doc_id", kind), T.StructField("t", T.LongType()), *ints, T.StructField("spans", T.ArrayType(T.IntegerType()))])
+    found = docs.select("doc_id", text_key(F.col("text")).alias("t"), "text").mapInArrow(hashed(run_words), out)
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("t").alias("t"), F.col("start").alias("at"), F.col("place").alias("place"))
     firsts = found.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.max(rank).alias("last")).filter(~F.col("first").eqNullSafe(F.col("last")))
     firsts = checkpointed(firsts.select(F.col("h1").alias("f1"), F.col("h2").alias("f2"), "first"))
     repeats = found.join(firsts, (F.col("h1") == F.col("f1")) & (F.col("h2") == F.col("f2"))).filter(~rank.eqNullSafe(F.col("first")))
     one = F.size("spans") == 2
     kept = F.when(one, F.struct("words", F.col("first.id").alias("kept_doc_id"), F.col("first.at").alias("kept_start"), (F.col("first.place") - F.col("place")).alias("shift")))
-    each = repeats.select("doc_id", "place", "spans", kept.alias("kept"), (F.col("words") >= run_words).alias("gone"), F.explode(F.sequence(F.lit(0), F.floor(F.size("spans") / 2).cast("int") - 1)).alias("k"))
-    each = each.select("doc_id", (F.col("place") + F.col("k")).alias("place"), F.get("spans", 2 * F.col("k")).alias("start"), F.get("spans", 2 * F.col("k") + 1).alias("end"), "kept", "gone")
-    removed = each.groupBy("doc_id", "place", "start", "end").agg(F.max("kept").alias("kept"), F.max("gone").alias("gone")).filter("gone").select("doc_id", "place", "start", "end", "kept.*")
-    own = Window.partitionBy("doc_id", "kept_doc_id", "shift").orderBy("start", "end")
+    each = repeats.select("doc_id", "t", "place", "spans", kept.alias("kept"), (F.col("words") >= run_words).alias("gone"), F.explode(F.sequence(F.lit(0), F.floor(F.size("spans") / 2).cast("int") - 1)).alias("k"))
+    each = each.select("doc_id", "t", (F.col("place") + F.col("k")).alias("place"), F.get("spans", 2 * F.col("k")).alias("start"), F.get("spans", 2 * F.col("k") + 1).alias("end"), "kept", "gone")
+    removed = each.groupBy("doc_id", "t", "place", "start", "end").agg(F.max("kept").alias("kept"), F.max("gone").alias("gone")).filter("gone").select("doc_id", "t", "place", "start", "end", "kept.*")
+    own = Window.partitionBy("doc_id", "t", "kept_doc_id", "shift").orderBy("start", "end")
     placed = removed.withColumn("run", F.col("place") - F.row_number().over(own))
-    runs = placed.groupBy("doc_id", "kept_doc_id", "shift", "run").agg(
+    runs = placed.groupBy("doc_id", "t", "kept_doc_id", "shift", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n_units"), F.sum("words").alias("n_words"),
         F.min_by("kept_start", "start").alias("kept_start"),
     )
-    return runs.select("doc_id", "start", "end", "n_units", "n_words", "kept_doc_id", "kept_start")
+    return runs.select("doc_id", "start", "end", "n_units", "n_words", "kept_doc_id", "kept_start", "t")
 
 
 @F.arrow_udf(T.StringType())
@@ -194,10 +200,10 @@ def cut_out(texts: pa.Array, spans: pa.Array) -> pa.Array:
 
 
 def remove_repeats(docs: DataFrame, run_words: int = 0) -> DataFrame:
-    """``docs`` with the repeats cut out of the text, and their original spans in ``removed``."""
-    own, found = fresh(docs, "own", "cuts")
-    spans = find_repeats(docs, run_words).groupBy(F.col("doc_id").alias(own)).agg(F.collect_list(F.struct("start", "end")).alias(found))
-    met = docs.join(spans, docs["doc_id"].eqNullSafe(spans[own]), "left")
+    """``docs`` with the repeats cut out of the text, and their original spans in ``removed``; each row loses its own."""
+    own, key, found = fresh(docs, "own", "key", "cuts")
+    spans = find_repeats(docs, run_words).groupBy(F.col("doc_id").alias(own), F.col("t").alias(key)).agg(F.collect_list(F.struct("start", "end")).alias(found))
+    met = docs.join(spans, docs["doc_id"].eqNullSafe(spans[own]) & (text_key(docs["text"]) == spans[key]), "left")
     names = [c for c in docs.columns if c != "removed"]
     cuts = F.coalesce(F.array_sort(spans[found]), F.array().cast("array<struct<start:int,end:int>>"))
     return met.select(*[cut_out(docs["text"], cuts).alias("text") if c == "text" else docs[c] for c in names], cuts.alias("removed"))

@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chatlake.session import ship
+
 SHRINK, RIDGE, THRESHOLD = 0.02, 1e-5, 0.3
 FEATURES = ("words", "word_length", "upper", "digits", "space", "stops", "marks", "symbols", "bars", "wide", "distinct", "top_word", "lines", "same_next", "mark_ends", "letters")
 _STOPS, _MARKS = b".,;:", b"!?\"'()-"
@@ -136,11 +138,13 @@ def in_fold(id_col: str, folds: int, fold: int) -> Column:
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, x) of each row."""
+    ship(docs.sparkSession)
     return docs.select(F.col(id_col).alias("doc_id"), statistics_of(F.col(text_col)).alias("x"))
 
 
 def train(vectors: DataFrame, labels: DataFrame, label_col: str, folds: int = 5, held_fold: int = 0) -> Model:
     """A model from the labelled rows of ``features`` outside the held-out fold."""
+    ship(vectors.sparkSession)
     taught = labels.filter(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull()).filter(~in_fold("doc_id", folds, held_fold)).groupBy(F.col("doc_id").alias("l_id")).agg(F.max(label_col).alias("label"))
     return fit(vectors.join(taught, F.col("doc_id") == F.col("l_id")))
 

@@ -16,7 +16,7 @@ PASSAGE_WORDS = 20
 
 def op1_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The repeated passages that are removed from each document, with their original offsets."""
-    return passage_dedup.find_repeats(table(spark, sf_dir, "documents"), PASSAGE_WORDS)
+    return passage_dedup.find_repeats(table(spark, sf_dir, "documents"), PASSAGE_WORDS).drop("t")
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

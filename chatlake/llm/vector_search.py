@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatlake.session import checkpointed
+from chatlake.session import checkpointed, ship
 
 CELLS, BLOCK, READ_STEP = 256, 2048, 32
 QUERY_BLOCK, SHARE, SLICE, HELD, READ_SHARE = 8192, 1 << 20, 512, 1 << 21, 64
@@ -243,6 +243,7 @@ def read_exact(k: int):
 
 def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score double: each query's k best among the other ids."""
+    ship(vectors.sparkSession)
     conf = vectors.sparkSession.conf
     wide = k + 1  # the query itself may be among its best
     asked = checkpointed(usable(queries, id_col, vec_col).dropDuplicates(["h1", "h2", "id"]))

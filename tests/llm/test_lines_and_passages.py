@@ -169,6 +169,23 @@ def test_passages_odd_rows(odd, empty, clash):
     assert passage_dedup.find_repeats(empty).collect() == [] and passage_dedup.remove_repeats(empty).collect() == []
 
 
+def test_rows_of_one_id_lose_their_own_repeats_alone(make):
+    fox = "The quick brown fox jumps over the lazy dog by the river."
+    rows = [(1, fox), (7, fox + " A tail of its own stands here too."), (7, "An entirely unique text of many words that nothing else repeats anywhere."), (None, fox + " Null one has words of its own."), (None, "Null two is unique in every single one of its words here.")]
+    got = {(r["doc_id"], r["text"]) for r in passage_dedup.remove_repeats(make(rows)).collect()}
+    assert got == {(1, fox), (7, "A tail of its own stands here too."), (7, rows[2][1]), (None, "Null one has words of its own."), (None, rows[4][1])}
+
+
+def test_remove_repeats_loses_no_text_that_stands_once(make):
+    rng = random.Random(12)
+    pool = [sentence(rng, rng.randrange(6, 12)) for _ in range(30)]
+    rows = [(rng.choice([1, 2, None, 3]), " ".join(rng.choices(pool, k=rng.randrange(1, 6)))) for _ in range(40)]
+    out = passage_dedup.remove_repeats(make(rows)).collect()
+    left = " ".join(r["text"] for r in out)
+    assert len(out) == len(rows) and all(s.strip() in left for s in pool if any(s in t for _, t in rows))
+    assert sum(len(r["text"]) for r in out) < sum(len(t) for _, t in rows)
+
+
 def test_units_end_with_long_sentences_wherever_they_stand():
     assert list(passage_dedup.units("Too short. A b c.\n\n")) == []
     text = "One two three four five six. Nine ten. Six words are in this one. Tail."
