@@ -260,7 +260,13 @@ def _run(spark, lake, slug, run_id, now, tables, workspace_id, held, print_of, a
     check_continuity(pruned, records, held, checkpoint, marks, bootstrap)
     lineage_now = lineage_of(tables, marks["chunk_high_water"], since, stored_lineage(checkpoint) if checkpoint else None)
     counts = rows_in(lineage_now)
-    buckets = None if since is None else L.touched(records["messages"], "messages")  # the others' folders stay
+    folders = L.current(spark, lake).get(workspace_id, (0, {}))[1]
+    buckets = None
+    if since is not None:  # the folders of other buckets stay
+        buckets = {"messages": L.touched(records["messages"], "messages")}
+        buckets["reactions"] = buckets["messages"]
+        if isinstance(folders.get("channel_members", {}), dict):
+            buckets["channel_members"] = L.touched(records["channel_members"], "channel_members")
     held |= L.read_many(spark, lake, tuple(L.BUCKETED), workspace_id, buckets)
 
     seen = {"workspace_id": F.lit(workspace_id), "latest_run_id": F.lit(run_id), "first_observed_at": F.lit(now), "last_observed_at": F.lit(now)}
