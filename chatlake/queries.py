@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatlake.functions import scalars as S
-from chatlake.operators import attachments, canonicalize, lineage, merge, metrics, newest, proofs, rollout, views
+from chatlake.operators import attachments, canonicalize, lineage, merge, metadata, metrics, newest, proofs, rollout, views
 from chatlake.session import table
 from chatlake.sources import blocks
 
@@ -587,7 +587,9 @@ _ODD = {
     "deleted": ("1", "0", '""', '"no"', "[]", "{}", "true", "false", "null", "0.0", '"0"', "[0]"),
     "edited": ("{}", '{"ts":"7.5"}', '"x"', "null", "[1]", '{"ts":8}', '{"by":"u"}'),
     "reply_count": ('"2"', "0", "3", '""', "null"),
-    "files": ('["bad",{"id":"F1","size":"12"}]', "null", '{"id":"F2"}', '[{"id":"F3","size":3.0,"name":"a, 1.5"},7,null,{"name":"no id"}]', "[]", '[{"size":"x","id":4}]'),
+    "files": (
+        '[{"id":"F5","name":"x?.txt","mode":"hosted","mimetype":"text/plain","size":7},{"id":"b/d","name":"y"},{"id":"F6","name":"z","mode":"tombstone"},{"id":"F7","is_external":1}]', '[{"id":"F5","name":"x?.txt","size":8}]',
+        '["bad",{"id":"F1","size":"12"}]', "null", '{"id":"F2"}', '[{"id":"F3","size":3.0,"name":"a, 1.5"},7,null,{"name":"no id"}]', "[]", '[{"size":"x","id":4}]'),
     "reactions": ('[1,{"name":"ok","users":["a","b","a"],"count":2}]', '"none"', '[{"name":"","users":["c"]},{"name":"up","users":["d"]}]', "[]", '[{"name":"odd","users":"e"},{"users":["f"]},{"name":"up","users":["g"],"count":"5"}]'),
 }
 
@@ -601,7 +603,7 @@ def _odd_messages(spark: SparkSession, d: str) -> DataFrame:
     null = F.lit(None).cast("string")
     return table(spark, d, "conversations").select(
         F.concat(F.lit("C"), (F.col("conv_id") % 9).cast("string")).alias("CHANNEL_ID"), ts.alias("TS"), F.col("turn").alias("CHUNK_ID"), F.lit(0).alias("IDX"), F.col("conv_id").alias("rowid"), F.col("conv_id").alias("ID"),
-        F.when(F.col("turn") == 0, ts).alias("THREAD_TS"), null.alias("LATEST_REPLY"), F.lit(0).alias("IS_PARENT"), F.col("role").alias("TXT"), F.encode(whole, "UTF-8").alias("DATA"),
+        F.when(F.col("turn") % 5 < 4, F.concat((F.col("conv_id") * 1000).cast("string"), F.lit(".000100"))).alias("THREAD_TS"), null.alias("LATEST_REPLY"), F.lit(0).alias("IS_PARENT"), F.col("role").alias("TXT"), F.encode(whole, "UTF-8").alias("DATA"),
     )
 
 
@@ -611,7 +613,7 @@ def _sql_true(value: str) -> str:
 
 
 _SQL_PICKS = ", ".join(f"([{', '.join(chr(39) + x + chr(39) for x in v)}])[(conv_id * 7 + turn) % {len(v)} + 1]::JSON AS {n}" for n, v in _ODD.items())
-_SQL_ODD = f"WITH m AS (SELECT 'C' || conv_id % 9 AS channel_id, (conv_id * 1000 + turn) || '.000100' AS ts, turn, {_SQL_PICKS} FROM conversations)"
+_SQL_ODD = f"WITH m AS (SELECT 'C' || conv_id % 9 AS channel_id, (conv_id * 1000 + turn) || '.000100' AS ts, conv_id, turn, {_SQL_PICKS} FROM conversations)"
 
 
 @query(f"""{_SQL_ODD}
@@ -756,3 +758,73 @@ def metric_documents(spark, d):
         *[null.alias(c) for c in ("last_success_at", "source_latest_message_at", "canonical_latest_message_at", "canonical_row_count", "rows_updated", "rows_deleted", "run_duration_seconds", "run_failures", "lock_wait_seconds", "archive_size_bytes", "attachment_backlog", "workspace_discovered", "workspace_materialized")],
     )
     return metrics.documents(runs)
+
+
+_SQL_EXPECTED = f"""{_SQL_ODD}, f AS (
+  SELECT channel_id, conv_id * 1000 + turn AS pos, unnest(from_json(files, '["JSON"]')) AS f FROM m WHERE json_type(files) = 'ARRAY'
+), i AS (
+  SELECT channel_id, pos, f->>'id' AS file_id, coalesce(f->>'name', '') AS name, coalesce(f->>'mode', '') AS mode, coalesce(f->>'mimetype', '') AS mime,
+         coalesce(try_cast(f->>'size' AS DOUBLE)::BIGINT, 0) AS size, json_exists(f, '$.is_external') AS external
+  FROM f WHERE json_type(f) = 'OBJECT' AND f->>'id' <> ''
+), marked AS (
+  SELECT *, mode IN ('hidden_by_limit', 'external', 'tombstone') OR (NOT external AND name = '') AS skip, regexp_full_match(file_id, '[A-Za-z0-9_-]+') AS safe FROM i
+), good AS (
+  SELECT file_id, pos, channel_id, {{'name': regexp_replace(CASE WHEN name = '' THEN 'unnamed_file' ELSE name END, '[<>:"/\\\\\\\\|?*]', '_', 'g'), 'size': size, 'mode': mode, 'mime': mime}} AS r FROM marked WHERE NOT skip AND safe
+), firsts AS (
+  SELECT file_id, arg_min(r, {{'pos': pos, 'channel_id': channel_id, 'r': r}}) AS r FROM good GROUP BY file_id)"""
+
+
+@query(f"{_SQL_EXPECTED} SELECT file_id, r.name AS name, r.size AS size, r.mode AS mode, r.mime AS mime FROM firsts")
+def expected_attachments(spark, d):
+    """The downloadable files that messages mention, the first record of each."""
+    return attachments.expected(canonicalize.messages(_odd_messages(spark, d), F.lit("T1")))[0]
+
+
+@query(f"""{_SQL_EXPECTED} SELECT (SELECT count(*) FROM marked WHERE skip) AS skipped,
+  (SELECT count(*) FROM marked WHERE NOT skip AND NOT safe) + (SELECT count(*) FROM good JOIN firsts USING (file_id) WHERE good.r <> firsts.r) AS unsafe""")
+def expected_totals(spark, d):
+    """How many mentioned files are skipped, and how many unsafe or in conflict."""
+    return attachments.expected(canonicalize.messages(_odd_messages(spark, d), F.lit("T1")))[1]
+
+
+@query(f"""{_SQL_ODD}, k AS (
+  SELECT channel_id, conv_id, turn, sha256('T1' || chr(31) || channel_id || chr(31) || ts) AS k, (conv_id * 1000 + turn) * 1000000 + 100 AS ts_us FROM m WHERE turn % 5 < 4)
+SELECT channel_id, (conv_id * 1000) || '.000100' AS thread_ts, count(*) AS message_count, min(ts_us) AS first_ts_us, max(ts_us) AS last_ts_us, string_agg(k, ',' ORDER BY ts_us, k) AS message_keys FROM k GROUP BY ALL""")
+def message_threads(spark, d):
+    """The thread view over canonical messages; what stands in no thread is left out."""
+    records = canonicalize.messages(_odd_messages(spark, d), F.lit("T1")).withColumn("workspace_id", F.lit("T1"))
+    return views.message_threads(records).drop("workspace_id").withColumn("message_keys", F.array_join("message_keys", ","))
+
+
+@query("""WITH s AS (SELECT o_custkey % 50 AS id, max(CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 1 END) AS finished FROM orders GROUP BY 1), top AS (SELECT id, finished FROM s ORDER BY id DESC LIMIT 1),
+streams AS (SELECT o_orderkey % 3 AS kind, o_orderpriority, o_custkey // 50 % 2 AS apart FROM orders, top WHERE o_custkey % 50 = top.id AND o_orderkey % 3 IN (0, 1) GROUP BY ALL HAVING max(CASE WHEN o_totalprice > 300000 THEN 1 ELSE 0 END) = 0)
+SELECT (SELECT finished = 1 FROM top) AS finished, (SELECT count(*) FROM streams) AS incomplete""")
+def session_completeness(spark, d):
+    """Whether the latest session is finished, and how many of its streams lack a final chunk."""
+    orders = table(spark, d, "orders")
+    session = orders.groupBy((F.col("o_custkey") % 50).alias("ID")).agg(F.max(F.when(F.col("o_orderstatus") == "P", 0).otherwise(1)).alias("FINISHED"))
+    chunk = orders.select((F.col("o_custkey") % 50).alias("SESSION_ID"), (F.col("o_orderkey") % 3).alias("TYPE_ID"), F.col("o_orderpriority").alias("CHANNEL_ID"), F.lit(None).cast("string").alias("SEARCH_QUERY"), F.expr("o_custkey div 50 % 2").alias("THREAD_ONLY"), (F.col("o_totalprice") > 300000).cast("int").alias("FINAL"))
+    return proofs.completeness(session, chunk)
+
+
+@query("""WITH e AS (SELECT s_suppkey, unnest([{k: 'mode', v: s_name}, {k: 'row_count', v: s_nationkey::VARCHAR}, {k: 'api_token', v: s_name}, {k: 'Workspace_id', v: 'x'}, {k: 'action', v: CASE WHEN s_nationkey % 2 = 0 THEN s_name END}]) AS e FROM supplier)
+SELECT s_suppkey, e.k AS key, e.v AS value FROM e WHERE e.k IN ('mode', 'row_count', 'action') AND e.v IS NOT NULL""")
+def shown_metadata(spark, d):
+    """The keys of a run's result that may be shown."""
+    name = F.col("s_name")
+    result = F.create_map(*[x for k, v in (("mode", name), ("row_count", F.col("s_nationkey").cast("string")), ("api_token", name), ("Workspace_id", F.lit("x")), ("action", F.when(F.col("s_nationkey") % 2 == 0, name))) for x in (F.lit(k), v)])
+    return table(spark, d, "supplier").select("s_suppkey", F.explode(metadata.shown(result)))
+
+
+_SQL_EDGES = "[chr(160) || s, s || chr(12288), s || chr(28), chr(133) || s || chr(8232), s, s || chr(127), '/r/' || s, '/r/../' || s, '/r//' || s, '/rx/' || s]"
+
+
+@query(rf"""SELECT page_id, trim(t, chr(9) || chr(10) || chr(28) || chr(32) || chr(133) || chr(160) || chr(8232) || chr(12288)) AS stripped, NOT regexp_matches(t, '[\x09-\x0d\x1c-\x20\x7f\x{{85}}\x{{a0}}\x{{2028}}\x{{3000}}]') AS secret_ok,
+  starts_with(t, '/r/') AND t NOT LIKE '/r/../%' AND t NOT LIKE '/r//%' AS inside
+FROM (SELECT page_id, ({_SQL_EDGES})[page_id % 10 + 1] AS t FROM (SELECT page_id, regexp_replace(split_part(url, '/', 3) || ' ' || page_id % 7, ' [0-3]$', '') AS s FROM pages))""")
+def text_edges(spark, d):
+    """White space of every kind at the edges, secrets with and without, paths in and out of a root."""
+    s = F.regexp_replace(F.concat(F.split_part("url", F.lit("/"), F.lit(3)), F.lit(" "), (F.col("page_id") % 7).cast("string")), " [0-3]$", "")
+    odd = [F.concat(F.lit("\u00a0"), s), F.concat(s, F.lit("\u3000")), F.concat(s, F.lit("\x1c")), F.concat(F.lit("\x85"), s, F.lit("\u2028")), s, F.concat(s, F.lit("\x7f"))] + [F.concat(F.lit(x), s) for x in ("/r/", "/r/../", "/r//", "/rx/")]
+    t = F.get(F.array(*odd), (F.col("page_id") % 10).cast("int"))
+    return table(spark, d, "pages").select("page_id", S.strip(t).alias("stripped"), S.secret_ok(t).alias("secret_ok"), S.inside(t, "/r").alias("inside"))
