@@ -828,3 +828,46 @@ def text_edges(spark, d):
     odd = [F.concat(F.lit("\u00a0"), s), F.concat(s, F.lit("\u3000")), F.concat(s, F.lit("\x1c")), F.concat(F.lit("\x85"), s, F.lit("\u2028")), s, F.concat(s, F.lit("\x7f"))] + [F.concat(F.lit(x), s) for x in ("/r/", "/r/../", "/r//", "/rx/")]
     t = F.get(F.array(*odd), (F.col("page_id") % 10).cast("int"))
     return table(spark, d, "pages").select("page_id", S.strip(t).alias("stripped"), S.secret_ok(t).alias("secret_ok"), S.inside(t, "/r").alias("inside"))
+
+
+@query(f"""{_SQL_ODD}, own AS (
+  SELECT 'F' || conv_id % 6 AS file_id, 'C' || conv_id % 9 AS channel_id, conv_id, row_number() OVER (PARTITION BY conv_id % 6 ORDER BY conv_id DESC) AS r FROM conversations WHERE turn = 1
+), last AS (
+  SELECT conv_id, max((conv_id * 1000 + turn) || '.000100') AS ts FROM conversations GROUP BY conv_id
+), e AS (
+  SELECT channel_id, ts, conv_id * 1000 + turn AS pos, turn, conv_id, unnest(from_json(files, '["JSON"]')) AS f FROM m WHERE json_type(files) = 'ARRAY'
+), firsts AS (
+  SELECT f->>'id' AS file_id, arg_min({{'channel_id': channel_id, 'ts': ts, 'thread_ts': CASE WHEN turn % 5 < 4 THEN conv_id * 1000 || '.000100' END, 'f': f, 'turn': turn}}, pos) AS x
+  FROM e WHERE json_type(f) = 'OBJECT' AND f->>'id' <> '' GROUP BY 1
+)
+SELECT file_id, channel_id, coalesce(ts, '0.' || lpad(conv_id::VARCHAR, 6, '0')) AS message_ts, CASE WHEN conv_id % 2 = 0 THEN '0.' || lpad(conv_id::VARCHAR, 6, '0') END AS thread_ts, 'U' || conv_id AS user_id, 'hosted' AS mode, 'n' || conv_id AS filename,
+  nullif(conv_id, 0) * 10 AS size_bytes, CASE WHEN conv_id % 3 = 0 THEN 'down' ELSE 'up' END AS source_url, 1::BIGINT AS source_chunk_id
+FROM own LEFT JOIN last USING (conv_id) WHERE r = 1
+UNION ALL
+SELECT file_id, x.channel_id, x.ts, x.thread_ts, NULL, x.f->>'mode', x.f->>'name', try_cast(x.f->>'size' AS DOUBLE)::BIGINT, NULL, x.turn FROM firsts WHERE file_id NOT IN (SELECT file_id FROM own)""")
+def file_records(spark, d):
+    """File rows with their messages' times, then the files that only messages mention."""
+    conv = table(spark, d, "conversations").filter("turn = 1")
+    name = lambda x: F.concat(F.lit(x), F.col("conv_id").cast("string"))
+    url = F.when(F.col("conv_id") % 3 == 0, "down")
+    payload = F.to_json(F.struct(name("U").alias("user"), F.lit("hosted").alias("mode"), name("n").alias("name"), F.nullif(F.col("conv_id"), F.lit(0)).alias("n"), (F.nullif(F.col("conv_id"), F.lit(0)) * 10).alias("size"), url.alias("url_private_download"), F.lit("up").alias("url_private")))
+    rows = conv.select(
+        F.concat(F.lit("F"), (F.col("conv_id") % 6).cast("string")).alias("ID"), F.lit(1).cast("long").alias("CHUNK_ID"), F.lit(0).alias("IDX"), F.col("conv_id").alias("rowid"), F.concat(F.lit("C"), (F.col("conv_id") % 9).cast("string")).alias("CHANNEL_ID"), F.col("conv_id").alias("MESSAGE_ID"),
+        F.when(F.col("conv_id") % 2 == 0, F.col("conv_id")).alias("THREAD_ID"), F.lit("").alias("MODE"), F.lit(None).cast("string").alias("FILENAME"), F.lit("").alias("URL"), F.lit(0).cast("long").alias("SIZE"), F.encode(payload, "UTF-8").alias("DATA"),
+    )
+    records = canonicalize.messages(_odd_messages(spark, d), F.lit("T1"))
+    return canonicalize.files(rows, records).drop("mime_type", "raw_json")
+
+
+@query("""WITH r AS (SELECT CASE WHEN s_suppkey % 4 = 0 THEN '' ELSE s_name END AS workspace, s_nationkey::VARCHAR AS stage, s_suppkey FROM supplier)
+SELECT workspace, stage, 'workspace is empty' AS problem FROM r WHERE workspace = '' UNION ALL SELECT workspace, stage, 'source_row_count is missing' FROM r WHERE s_suppkey % 5 = 0
+UNION ALL SELECT workspace, stage, 'rows_inserted is negative or not finite' FROM r WHERE s_suppkey % 7 = 0 UNION ALL SELECT workspace, stage, 'observed_at precedes pipeline_completed_at' FROM r WHERE s_suppkey % 3 = 0""")
+def metric_problems(spark, d):
+    """Run records that must not be shown, and why."""
+    key = F.col("s_suppkey")
+    fine = ("canonical_row_count", "rows_updated", "rows_deleted", "run_failures", "archive_size_bytes", "attachment_backlog", "run_duration_seconds", "lock_wait_seconds")
+    runs = table(spark, d, "supplier").select(
+        F.when(key % 4 == 0, "").otherwise(F.col("s_name")).alias("workspace"), F.col("s_nationkey").cast("string").alias("stage"), F.when(key % 5 > 0, key).alias("source_row_count"), F.when(key % 7 == 0, float("-inf")).otherwise(F.lit(1.0)).alias("rows_inserted"),
+        (key + 9).alias("pipeline_completed_at"), F.when(key % 3 == 0, key).otherwise(key + 9).alias("observed_at"), *[F.lit(None).cast("double").alias(c) for c in ("last_success_at", "source_latest_message_at", "canonical_latest_message_at")], *[F.lit(0).alias(c) for c in fine],
+    )
+    return metrics.problems(runs)
