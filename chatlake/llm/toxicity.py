@@ -11,9 +11,10 @@ word that is harmless alone but not beside another).  Both parts are learned tog
 the logistic loss.
 
 Fitting takes the labelled rows outside the held-out fold, one a doc_id, chosen by a hash of it: at most
-about ``MAX_EXAMPLES`` with about ``MAX_ENTRIES`` distinct terms in all.  Beyond these numbers, the share of
-documents that teach falls accordingly.  The sample is brought to one task, which the two bounds make
-safe (4 bytes a term); the machine that comes back has at most ``2 * MAX_TERMS`` terms.  Scoring is one pass over all whole texts without
+about ``MAX_EXAMPLES`` with about ``MAX_ENTRIES`` distinct terms in all, whose squares add up to about ``MAX_SQUARES``
+(pairs of terms are summed document by document, so long documents cost by their squares).  Beyond these numbers, the
+share of documents that teach falls accordingly.  The sample is brought to one task, which the three bounds make
+safe (4 bytes a term, some 75 seconds for the pairs); the machine that comes back has at most ``2 * MAX_TERMS`` terms.  Scoring is one pass over all whole texts without
 a shuffle.
 
 Defined cases
@@ -41,7 +42,7 @@ from pyspark.sql import types as T
 from chatlake.llm.quality import in_fold
 from chatlake.session import checkpointed, ship
 
-FACTORS, MAX_EXAMPLES, MAX_ENTRIES, THRESHOLD = 4, 30_000, 6_000_000, 0.3
+FACTORS, MAX_EXAMPLES, MAX_ENTRIES, MAX_SQUARES, THRESHOLD = 4, 30_000, 6_000_000, 10_000_000_000, 0.3
 MAX_TERMS, MIN_ROWS, MIN_CHI2 = 1 << 16, 3, 16.0
 MIN_PAIR_CHI2, MIN_EXCESS, PAIRS_AT_ONCE = 45.0, 4.0, 1 << 22
 EPOCHS, BATCH, RATE, DECAY, SEED = 12, 64, 0.1, 1e-4, 7
@@ -249,17 +250,18 @@ def chosen(share: float, seed: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id").cast("string")), F.lit(1_000_000)) < int(share * 1_000_000)
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str, folds: int = 4, held_fold: int = 2, max_examples: int = MAX_EXAMPLES, max_entries: int = MAX_ENTRIES) -> Machine:
-    """A machine from labelled documents outside the held-out fold, within about the two bounds."""
+def train(docs: DataFrame, labels: DataFrame, label_col: str, folds: int = 4, held_fold: int = 2, max_examples: int = MAX_EXAMPLES, max_entries: int = MAX_ENTRIES, max_squares: int = MAX_SQUARES) -> Machine:
+    """A machine from labelled documents outside the held-out fold, within about the three bounds."""
     ship(docs.sparkSession)
     taught = labels.filter(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull()).filter(~in_fold("doc_id", folds, held_fold)).groupBy(F.col("doc_id").alias("l_id")).agg(F.max(label_col).alias("label"))
     share = min(1.0, max_examples / max(1, taught.count()))
     read = docs.filter(F.col("doc_id").isNotNull() & ~in_fold("doc_id", folds, held_fold) & chosen(share, SEED))
     rows = read.select("doc_id", F.struct(F.xxhash64("text").alias("hash"), terms_of(F.col("text")).alias("terms")).alias("row")).groupBy("doc_id").agg(F.min("row").alias("row"))
     examples = checkpointed(rows.join(taught, F.col("doc_id") == F.col("l_id")).select("doc_id", "row.terms", F.col("label").cast("int").alias("label")))
-    entries = examples.agg(F.sum(F.size("terms"))).first()[0] or 0
-    if entries > max_entries:
-        examples = examples.filter(chosen(max_entries / entries, SEED + 1))
+    size = F.size("terms").cast("long")
+    entries, squares = (x or 0 for x in examples.agg(F.sum(size), F.sum(size * size)).first())
+    if entries > max_entries or squares > max_squares:
+        examples = examples.filter(chosen(min(max_entries / max(1, entries), max_squares / max(1, squares)), SEED + 1))
     row = examples.repartition(1).mapInArrow(learn_task, "bias double, known array<int>, weights array<double>, factors array<double>").first()
     if row is None:  # no example at all
         return Machine(0.0, np.empty(0, np.int32), np.empty(0), np.empty((0, FACTORS)))

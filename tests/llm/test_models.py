@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 import zlib
@@ -5,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from chatlake.llm import quality, secrets, subword_lm, toxicity
 
@@ -154,6 +156,20 @@ def test_toxicity_score_is_the_pair_sum():
     assert np.isclose(m.score(np.array([0, 3]), np.array(x))[0], 1 / (1 + np.exp(-(0.3 + m.weights[x].sum() + pairs))))
 
 
+def test_long_documents_teach_within_the_squares(spark, make, monkeypatch):
+    """The share that teaches falls with the squares of the documents' lengths."""
+    text = " ".join("".join(x) for x in itertools.islice(itertools.product("abcdefgh", repeat=4), 2000))
+    docs = make([(i, text) for i in range(200)])
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(200)], LABEL)
+    taught = []
+    monkeypatch.setattr(toxicity, "chosen", lambda share, seed: taught.append(share) or F.lit(True))
+    toxicity.train(docs.limit(20), labels, "toxic", max_squares=10**6)
+    assert len(taught) == 2 and taught[0] == 1.0 and taught[1] < 0.05
+    taught.clear()
+    toxicity.train(docs.limit(20), labels, "toxic")
+    assert taught == [1.0]
+
+
 def test_toxicity_odd_rows(spark, odd, empty, clash):
     labels = spark.createDataFrame([(i, 0, i % 2) for i in range(20)], LABEL)
     machine = toxicity.train(odd, labels, "toxic")
