@@ -187,7 +187,7 @@ def records_of(tables: dict[str, DataFrame], workspace_id: str, since: int | Non
         if since is None:
             return tables[name]
         touched = newest.touched_keys(scan(name, columns=[*keys, "CHUNK_ID"]), keys, "CHUNK_ID", since)
-        return scan(name, keys=touched.persist())
+        return scan(name, keys=touched)
 
     messages = canonicalize.messages(scoped("MESSAGE", ["CHANNEL_ID", "TS"]), F.lit(workspace_id)).persist()
     return {
@@ -253,7 +253,12 @@ def _run(spark, lake, slug, run_id, now, tables, workspace_id, held, print_of, a
     if prove and checkpoint is not None:
         for name, ranges in rewritten_chunks(tables, checkpoint).items():
             raise ContinuityError(f"the archive rewrote {name} in chunks {', '.join(f'{a} to {b}' for a, b in ranges[:5])}")
-    scan = lambda name, columns=None, keys=None: read_archive(spark, archive, name, columns, keys=keys)
+
+    def scan(name: str, columns: list[str] | None = None, keys: DataFrame | None = None) -> DataFrame:
+        if keys is not None:  # read for the filter and for the join
+            kept.append(keys := keys.persist())
+        return read_archive(spark, archive, name, columns, keys=keys)
+
     records = records_of(tables, workspace_id, since, scan)
     kept.append(records["messages"])
     pruned = {t: scan(t, columns=c) for t, c in (("MESSAGE", ["CHANNEL_ID", "TS"]), ("CHANNEL", ["ID"]), ("S_USER", ["ID"]))}
