@@ -61,7 +61,8 @@ def variance_totals(rows: DataFrame, group: list[str]) -> DataFrame:
 def report(rows: DataFrame, totals: DataFrame | None = None, shown: int = SHOWN) -> DataFrame:
     """One row of counts, sums and lists over ``reconciled`` rows; with ``totals`` (skipped, unsafe) of ``expected``.
 
-    Counts and sums are whole; the two lists hold the first ``shown`` files by id, as they are for people.
+    Counts and sums are whole; the two lists hold the first ``shown`` files by id, as they are for people.  With 0 they are
+    left out, and the rows are read once.
     """
     kind = F.col("class")
     delta = F.abs(F.col("served") - F.col("size"))
@@ -80,6 +81,9 @@ def report(rows: DataFrame, totals: DataFrame | None = None, shown: int = SHOWN)
     mismatched = first("mismatch", F.concat(F.concat_ws("/", "file_id", "name"), F.lit(" "), F.col("size").cast("string"), F.lit(" "), F.col("served").cast("string")))
     if totals is None:
         totals = rows.sparkSession.range(1).select(F.lit(0).cast("long").alias("skipped"), F.lit(0).cast("long").alias("unsafe"))
-    one = counted.join(F.broadcast(totals)).join(F.broadcast(documented)).join(F.broadcast(mismatched))
-    counts = [c for c in counted.columns if c != "unsafe_here"]
-    return one.select(*counts, F.col("skipped").alias("skipped_count"), (F.col("unsafe") + F.col("unsafe_here")).alias("unsafe_count"), F.col("documented_list").alias("documented_variance_files"), F.col("mismatch_list").alias("mismatched_files"))
+    counts = [*[c for c in counted.columns if c != "unsafe_here"], F.col("skipped").alias("skipped_count"), (F.col("unsafe") + F.col("unsafe_here")).alias("unsafe_count")]
+    one = counted.join(F.broadcast(totals))
+    if not shown:
+        return one.select(*counts)
+    one = one.join(F.broadcast(documented)).join(F.broadcast(mismatched))
+    return one.select(*counts, F.col("documented_list").alias("documented_variance_files"), F.col("mismatch_list").alias("mismatched_files"))

@@ -447,7 +447,7 @@ def _reconciled(spark, d) -> DataFrame:
  sum(size)::BIGINT AS expected_bytes, sum(served)::BIGINT AS present_bytes, count(*) FILTER (WHERE class = 'snippet') AS snippet_variance_count, coalesce(sum(abs(served - size)) FILTER (WHERE class = 'snippet'), 0)::BIGINT AS snippet_variance_bytes,
  count(*) FILTER (WHERE class = 'documented') AS documented_variance_count, coalesce(sum(abs(served - size)) FILTER (WHERE class = 'documented'), 0)::BIGINT AS documented_variance_bytes FROM met""")
 def reconcile_report(spark, d):
-    return attachments.report(_reconciled(spark, d)).drop("documented_variance_files", "mismatched_files", "skipped_count", "unsafe_count")
+    return attachments.report(_reconciled(spark, d), shown=0).drop("skipped_count", "unsafe_count")
 
 
 @query(f"""{_SQL_FILES} SELECT split_part(file_id, '-', 1)::BIGINT % 97 AS part, count(*) AS files, sum(abs(served - size))::BIGINT AS bytes, string_agg(file_id || '=' || served, ',' ORDER BY file_id || '=' || served) AS listed
