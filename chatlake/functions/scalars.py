@@ -1,9 +1,11 @@
-"""Column functions; all stay inside the JVM."""
+"""Column functions; all but ``number_text`` stay inside the JVM."""
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: What Python's str.strip() removes besides Unicode spaces.
 EDGE = r"[\s\u001c-\u001f\u0085   -     　]+"
@@ -143,17 +145,18 @@ def path_label(text: Column) -> Column:
     return F.coalesce(F.nullif(F.translate(F.base64(F.encode(text, "UTF-8")), "+/\r\n", "-_"), F.lit("")), F.lit("="))
 
 
+@F.arrow_udf(T.StringType())
+def _fifteen_digits(values: pa.Array) -> pa.Array:
+    return pa.array([None if x is None else format(x, ".15g") for x in values.to_pylist()], pa.string())
+
+
 def number_text(value: Column) -> Column:
-    """A number with 15 significant digits at most, as the exposition format shows it."""
-    v = value.cast("double")
-    parts = F.split(F.format_string("%.14e", v), "e")
-    power = F.get(parts, F.lit(1)).cast("int")
-    mantissa = F.regexp_replace(F.get(parts, F.lit(0)), r"\.?0+$", "")
-    sign = F.when(power < 0, "-").otherwise("+")
-    exponent = F.concat(mantissa, F.lit("e"), sign, F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0")))
-    plain = F.regexp_replace(F.concat(F.get(parts, F.lit(0)), F.lit("E"), power.cast("string")).try_cast("decimal(38,20)").cast("string"), r"\.?0+$", "")
-    odd = F.when(F.isnan(v), "nan").when(v == float("inf"), "inf").when(v == float("-inf"), "-inf").when(v == 0, "0")
-    return F.when(v.isNull(), None).otherwise(F.coalesce(odd, F.when((power < -4) | (power >= 15), exponent).otherwise(plain)))
+    """A number with 15 significant digits at most, as the exposition format shows it.
+
+    Python rounds the double's exact value. Java's formats round the shortest decimal that stands for it, a second
+    rounding: 40/9 is 4.444444444444445 there and then ends in 5.
+    """
+    return _fifteen_digits(value.cast("double"))
 
 
 def parsed_list(text: Column) -> Column:

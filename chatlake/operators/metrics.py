@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatlake.functions import scalars as S
+from chatlake.session import ship
 
 # The gauges of a run, in the order in which they are shown.
 GAUGES = (
@@ -28,10 +29,11 @@ def exposition(rows: DataFrame, labels: list[str], gauges: list[str], prefix: st
 
     ``place`` is the gauge's in the list; ``type`` is the line that stands once above a metric's lines.
     """
+    ship(rows.sparkSession)
     shown = F.concat_ws(",", *[F.concat(F.lit(f'{c}="'), S.label_value(F.col(c).cast("string")), F.lit('"')) for c in labels])
-    value = lambda i, g: F.struct(F.lit(i).alias("place"), F.lit(f"{prefix}_{g}").alias("metric"), S.number_text(F.col(g)).alias("number"))
-    each = rows.select(*(keep or []), shown.alias("labels"), F.explode(F.array(*[value(i, g) for i, g in enumerate(gauges)])).alias("m")).filter(F.col("m.number").isNotNull())
-    line = F.concat(F.col("m.metric"), F.lit("{"), "labels", F.lit("} "), F.col("m.number"))
+    value = lambda i, g: F.struct(F.lit(i).alias("place"), F.lit(f"{prefix}_{g}").alias("metric"), F.col(g).cast("double").alias("value"))
+    each = rows.select(*(keep or []), shown.alias("labels"), F.explode(F.array(*[value(i, g) for i, g in enumerate(gauges)])).alias("m")).filter(F.col("m.value").isNotNull())
+    line = F.concat(F.col("m.metric"), F.lit("{"), "labels", F.lit("} "), S.number_text(F.col("m.value")))
     return each.select(*(keep or []), "m.place", "m.metric", F.concat(F.lit("# TYPE "), F.col("m.metric"), F.lit(" gauge")).alias("type"), line.alias("line"))
 
 

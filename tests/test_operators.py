@@ -140,6 +140,13 @@ def test_a_workspace_is_selected_in_any_case(spark):
             select_workspace(known, F.lit(wanted)).collect()
 
 
+def test_numbers_are_rounded_once(spark):
+    ties = [123456789012.3125, 123456789012.4375, 7065238185058165.0, 450.8850169177825]
+    values = [40 / 9, 353151.9059282925, *ties, *[-x for x in ties], 999999999999999.5, 9.9999999999999995e-5, -0.0, 5e-324, 2e23, float("nan"), float("inf"), float("-inf")]
+    rows = spark.createDataFrame([*enumerate(values), (len(values), None)], "i int, x double")
+    assert [r["t"] for r in rows.select("i", S.number_text(F.col("x")).alias("t")).orderBy("i").collect()] == [*(format(x, ".15g") for x in values), None]
+
+
 def test_metric_lines(spark):
     rows = spark.createDataFrame([('a"b', 1.5, None)], "w string, x double, y double")
     assert [(r["type"], r["line"]) for r in metrics.exposition(rows, ["w"], ["x", "y"], "p").collect()] == [("# TYPE p_x gauge", 'p_x{w="a\\"b"} 1.5')]

@@ -34,3 +34,14 @@ def test_query(spark, duck, name):
         rel = duck.sql(Q.SQL[name])
         assert sorted(rel.columns) == names
         assert normal(got) == normal(duck.sql(f"SELECT {', '.join(names)} FROM ({Q.SQL[name]})").fetchall())
+
+
+def test_metrics_of_averages_that_end_in_five(spark, tmp_path):
+    con = duckdb.connect()  # the sixteenth and last shortest digit is 5: 40/9 lies below, 41/9 above
+    con.execute("CREATE TABLE documents AS SELECT i AS doc_id, 's' || i % 3 AS source, CASE WHEN i < 3 THEN 40 + i ELSE 0 END AS n_chars FROM range(27) r(i)")
+    con.execute("CREATE TABLE labels AS SELECT doc_id, 1 AS quality, 0 AS toxic FROM documents WHERE doc_id % 2 = 0")
+    for name in ("documents", "labels"):
+        con.execute(f"COPY {name} TO '{tmp_path}/{name}.parquet'")
+    got = Q.metrics_text(spark, str(tmp_path)).select("line", "metric", "place", "type").collect()
+    assert normal(got) == normal(con.sql(f"SELECT line, metric, place, type FROM ({Q.SQL['metrics_text']})").fetchall())
+    assert 'chatlake_run_duration_seconds{workspace="s0"} 4.44444444444444' in {r["line"] for r in got}
